@@ -26,6 +26,7 @@ def get_spark(app: str = "tablewise", master: str | None = None,
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions is None and master and master.startswith("local"):
         shuffle_partitions = int(cpus) if cpus else 8
