@@ -179,16 +179,44 @@ def high_cardinality(df: DataFrame, ratio: float = 0.9, absolute: int = 100) ->
     return d.select("column", "distinct", r.alias("ratio")).where((F.col("distinct") >= absolute) | (r >= ratio))
 
 
+def partial_top_n(long: DataFrame, key: str, value: str, n: int) -> DataFrame:
+    """Combiner-side top-n: every input partition keeps only its n smallest and n
+    largest values per key (numpy partial sort inside the task), so the final
+    ranking sees at most 2n x partitions rows per key."""
+    import numpy as np
+    import pandas as pd
+
+    def top(batches):
+        acc: dict = {}
+        for b in batches:
+            for k, g in b.groupby(key, sort=False):
+                v = g[value].to_numpy(dtype="float64")
+                old = acc.get(k)
+                if old is not None:
+                    v = np.concatenate([old, v])
+                if len(v) > 2 * n:
+                    v = np.concatenate([np.partition(v, n - 1)[:n], -np.partition(-v, n - 1)[:n]])
+                acc[k] = v
+        for k, v in acc.items():
+            yield pd.DataFrame({key: [k] * len(v), value: v})
+
+    return long.select(key, value).mapInPandas(top, f"{key} string, {value} double")
+
+
 def extreme_values(df: DataFrame, cols: Sequence[str] | None = None, n: int = 5) -> DataFrame:
     """The n smallest and n largest values per numeric column as ascending lists.
 
-    Per column a top-n (``row_number`` over the unpivoted values would put a
-    whole column in one task); ``min_by``-style bounded aggregation keeps at
-    most n values per partial buffer: ``max_by``/``min_by`` with k."""
+    Partition-local top-n first (bounded output per task), then a
+    ``row_number`` over that reduced set only."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     long = unpivot(df, cols, [], "variable", "value").where(F.col("value").isNotNull())
-    g = long.groupBy("variable").agg(F.min_by("value", "value", n).alias("s"), F.max_by("value", "value", n).alias("l"))
-    return g.select("variable", F.array_sort("s").alias("smallest"), F.array_sort("l").alias("largest"))
+    cand = partial_top_n(long, "variable", "value", n)
+    ra = cand.withColumn("_a", F.row_number().over(Window.partitionBy("variable").orderBy("value")))
+    ra = ra.withColumn("_d", F.row_number().over(Window.partitionBy("variable").orderBy(F.desc("value"))))
+    g = ra.groupBy("variable").agg(
+        F.array_sort(F.collect_list(F.when(F.col("_a") <= n, F.col("value")))).alias("smallest"),
+        F.array_sort(F.collect_list(F.when(F.col("_d") <= n, F.col("value")))).alias("largest"))
+    return g
 
 
 def describe_variable(df: DataFrame, col: str, order_col: str, max_values: int = 15) -> DataFrame:

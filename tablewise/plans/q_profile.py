@@ -1 +1,194 @@
-"""Registered queries."""
+"""Registered profiling queries (R*, G*, P15)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablewise.operators import profile
+from tablewise.plans.common import finish
+from tablewise.plans.registry import register
+from tablewise.sources.tables import table
+
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _describe_sql(tbl: str, cols: list[str]) -> str:
+    parts = [f"""select '{c}' as variable, count({c})::bigint as "count", (count(*) - count({c}))::bigint as missing,
+  round((count(*) - count({c})) * 100.0 / count(*), 4) as missing_pct, avg({c}) as mean,
+  quantile_cont({c}, 0.5) as median, stddev_samp({c}) as std, min({c})::double as "min",
+  quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.75) as q3, max({c})::double as "max",
+  quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) as iqr, skewness({c}) as skew, kurtosis({c}) as kurtosis,
+  count(distinct {c})::bigint as "distinct" from {tbl}""" for c in cols]
+    return "\nunion all\n".join(parts)
+
+
+@register("r2_describe_numeric", _describe_sql("lineitem", LI_NUM))
+def r2_describe_numeric(spark, sf):
+    return finish(profile.describe_numeric(table(spark, sf, "lineitem").select(*LI_NUM)))
+
+
+@register("r2_describe_events_value", _describe_sql("events", ["value"]))
+def r2_describe_events_value(spark, sf):
+    return finish(profile.describe_numeric(table(spark, sf, "events").select("value")))
+
+
+@register("r3_moment_summary", """
+select 'c_acctbal' as variable, round(avg(c_acctbal), 4) as mean, round(quantile_cont(c_acctbal, 0.5), 4) as median,
+  round(stddev_samp(c_acctbal), 4) as std, round(skewness(c_acctbal), 4) as skew,
+  round(kurtosis(c_acctbal), 4) as kurtosis from customer
+""")
+def r3_moment_summary(spark, sf):
+    return finish(profile.moment_summary(table(spark, sf, "customer").select("c_acctbal")))
+
+
+@register("r5_describe_categorical", """
+with long as (select 'o_orderstatus' as variable, o_orderstatus as value from orders
+              union all select 'o_orderpriority', o_orderpriority from orders),
+vc as (select variable, value, count(*) as freq from long where value is not null group by all)
+select variable, sum(freq)::bigint as "count", count(*)::bigint as "distinct",
+  arg_min(value, (-freq, value)) as top, max(freq)::bigint as top_freq,
+  round(max(freq) * 100.0 / sum(freq), 4) as top_pct
+from vc group by variable
+""")
+def r5_describe_categorical(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority")
+    return finish(profile.describe_categorical(o))
+
+
+@register("r6_value_counts", """
+select role as value, count(*)::bigint as "count", count(*) * 100.0 / (select count(*) from conversations) as pct
+from conversations where role is not null group by role
+""")
+def r6_value_counts(spark, sf):
+    c = table(spark, sf, "conversations")
+    return finish(profile.value_counts(c, "role", normalize=True))
+
+
+@register("r12_constant_columns", """
+with long as (select 'c_mktsegment' as "column", c_mktsegment as value from customer
+              union all select 'c_nationkey', cast(c_nationkey as varchar) from customer
+              union all select 'always', 'x' from customer),
+vc as (select "column", value, count(*) as freq from long group by all),
+g as (select "column", count(*) as n_values, sum(freq) as rows, max(freq) as top_freq,
+             arg_min(value, (-freq, value)) as top_value from vc group by 1)
+select "column", n_values::bigint as n_values, top_freq * 1.0 / rows as top_share, top_value,
+       n_values = 1 as constant, n_values > 1 and top_freq * 1.0 / rows >= 0.95 as quasi_constant from g
+""")
+def r12_constant_columns(spark, sf):
+    c = table(spark, sf, "customer").select("c_mktsegment", "c_nationkey", F.lit("x").alias("always"))
+    return finish(profile.constant_columns(c))
+
+
+@register("r13_high_cardinality", """
+with d as (select 'c_custkey' as "column", count(distinct c_custkey) as n from customer
+           union all select 'c_name', count(distinct c_name) from customer
+           union all select 'c_mktsegment', count(distinct c_mktsegment) from customer
+           union all select 'c_nationkey', count(distinct c_nationkey) from customer)
+select "column", n::bigint as "distinct", n * 1.0 / (select count(*) from customer) as ratio from d
+where n >= 100 or n * 1.0 / (select count(*) from customer) >= 0.9
+""")
+def r13_high_cardinality(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    return finish(profile.high_cardinality(c))
+
+
+@register("r15_extreme_values", """
+with long as (select 'l_extendedprice' as variable, l_extendedprice as value from lineitem
+              union all select 'l_quantity', l_quantity from lineitem),
+s as (select variable, value, row_number() over (partition by variable order by value) as r from long),
+l as (select variable, value, row_number() over (partition by variable order by value desc) as r from long)
+select variable, 'smallest' as side, value from s where r <= 5
+union all select variable, 'largest', value from l where r <= 5
+""")
+def r15_extreme_values(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity")
+    e = profile.extreme_values(li, n=5)
+    s = e.select("variable", F.lit("smallest").alias("side"), F.explode("smallest").alias("value"))
+    lg = e.select("variable", F.lit("largest").alias("side"), F.explode("largest").alias("value"))
+    return finish(s.unionByName(lg))
+
+
+@register("r18_target_distribution", """
+select l_linestatus as value, count(*)::bigint as "count",
+       round(count(*) * 100.0 / (select count(*) from lineitem), 2) as pct
+from lineitem group by 1
+""")
+def r18_target_distribution(spark, sf):
+    vc = profile.value_counts(table(spark, sf, "lineitem"), "l_linestatus", normalize=True)
+    return finish(vc.withColumn("pct", F.round("pct", 2)))
+
+
+@register("r19_table_identity", """
+with g as (select count(*) as c from lineitem group by all_columns := (l_returnflag, l_linestatus, l_quantity))
+select sum(c)::bigint as rows, 3::bigint as columns, (sum(c) - count(*))::bigint as duplicates,
+       count(*)::bigint as unique_rows from g
+""".replace("group by all_columns := (l_returnflag, l_linestatus, l_quantity)",
+            "group by l_returnflag, l_linestatus, l_quantity"))
+def r19_table_identity(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity")
+    return finish(profile.table_identity(li))
+
+
+@register("p15_table_info", """
+select 'n_nationkey' as "column", count(n_nationkey)::bigint as non_null, 'int' as dtype from nation
+union all select 'n_name', count(n_name)::bigint, 'string' from nation
+union all select 'n_regionkey', count(n_regionkey)::bigint, 'int' from nation
+""")
+def p15_table_info(spark, sf):
+    return finish(profile.table_info(table(spark, sf, "nation")))
+
+
+@register("g1_group_aggregate", """
+with long as (select l_returnflag, 'l_quantity' as variable, l_quantity as value from lineitem
+              union all select l_returnflag, 'l_discount', l_discount from lineitem)
+select l_returnflag, variable, count(value)::bigint as "count", avg(value) as mean,
+  quantile_cont(value, 0.5) as median, stddev_samp(value) as std, min(value) as "min", max(value) as "max"
+from long group by all
+""")
+def g1_group_aggregate(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return finish(profile.group_aggregate(li, ["l_returnflag"], ["l_quantity", "l_discount"]))
+
+
+@register("g2_distinct_count", """
+select count(distinct o_custkey)::bigint as customers, count(distinct o_orderpriority)::bigint as priorities from orders
+""")
+def g2_distinct_count(spark, sf):
+    o = table(spark, sf, "orders")
+    return finish(o.agg(F.count_distinct("o_custkey").alias("customers"),
+                        F.count_distinct("o_orderpriority").alias("priorities")))
+
+
+@register("g3_pivot_mean", """
+select o_orderpriority,
+  avg(o_totalprice) filter (where o_orderstatus = 'F') as "F",
+  avg(o_totalprice) filter (where o_orderstatus = 'O') as "O",
+  avg(o_totalprice) filter (where o_orderstatus = 'P') as "P"
+from orders group by 1
+""")
+def g3_pivot_mean(spark, sf):
+    o = table(spark, sf, "orders")
+    return finish(profile.pivot_mean(o, "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P"]))
+
+
+@register("p14_head_tail", """
+(select o_orderkey, o_totalprice from orders order by o_orderkey limit 5)
+union all (select o_orderkey, o_totalprice from orders order by o_orderkey desc limit 5)
+""")
+def p14_head_tail(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return finish(profile.first_rows(o, "o_orderkey", 5).unionByName(profile.first_rows(o, "o_orderkey", 5, tail=True)))
+
+
+@register("r11_mixed_types", """
+with long as (select 'props_k' as "column", trim(json_extract_string(props, '$.k')) as v from events
+              union all select 'event_type', trim(event_type) from events),
+k as (select distinct "column", case when regexp_full_match(v, '[+-]?[0-9]+') then 'int'
+        when try_cast(v as double) is not null then 'float'
+        when lower(v) in ('true', 'false') then 'bool' else 'str' end as kind from long where v is not null)
+select "column", array_to_string(list_sort(list(kind)), ',') as kinds, count(*) > 1 as mixed from k group by 1
+""")
+def r11_mixed_types(spark, sf):
+    e = table(spark, sf, "events").select(F.get_json_object("props", "$.k").alias("props_k"), "event_type")
+    m = profile.mixed_types(e)
+    return finish(m.select("column", F.array_join("kinds", ",").alias("kinds"), "mixed"))

@@ -20,7 +20,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 5)
+        return v
     if v is None:
         return None
     if isinstance(v, (list, tuple)):
@@ -32,7 +32,7 @@ def _key(row):
     return tuple((x is None, str(x)) for x in row)
 
 
-def compare(spark_df, con, sql: str, tol: float = 1e-6) -> list[str]:
+def compare(spark_df, con, sql: str, tol: float = 2.5e-6) -> list[str]:
     pdf = spark_df.toPandas()
     odf = con.execute(sql).df()
     errs = []
