@@ -211,11 +211,14 @@ def qcut(df: DataFrame, col: str, q_: int, out: str | None = None) -> DataFrame:
     right-closed with the lowest included.  Returns the bin index; duplicate
     edges are not allowed (as in pandas, which raises)."""
     out = out or col + "_qbin"
+    from tablewise.functions.quantiles import exact_quantiles_long
     x = q(col).cast("double")
     probs = [i / q_ for i in range(1, q_)]
-    edges = scalar(df, F.percentile(x, F.array(*[F.lit(p) for p in probs])))
-    # index = number of inner edges strictly below x
-    idx = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(x > e, 1).otherwise(0))
+    long = df.select(F.lit(col).alias("variable"), x.alias("value"))
+    edges = exact_quantiles_long(long, ["variable"], "value", probs)
+    # index = number of inner edges strictly below x (right-closed bins)
+    idx = sum((F.when(x > edges.where(F.col("prob") == p).select("quantile").scalar(), 1).otherwise(0)
+               for p in probs), F.lit(0))
     return df.withColumn(out, F.when(x.isNotNull(), idx.cast("int")))
 
 
@@ -233,3 +236,53 @@ def domain_order(df: DataFrame, col: str, order_col: str, declared: Sequence[str
     else:
         key = [F.col("level")]
     return lv.select("level", (F.row_number().over(Window.orderBy(*key)) - 1).alias("level_order"))
+
+
+def prepare_variant(df: DataFrame, spec: Mapping[str, tuple], drop: Sequence[str] = ()) -> DataFrame:
+    """A whole-table variant as ONE projection.
+
+    ``spec`` maps a column to a rule: ``("map", dict)``, ``("bins", bins)``,
+    ``("consumption", kind)``, ``("ordinal", order)`` (0-based),
+    ``("binary",)`` (E8 rule, one shared domain probe) or ``("numeric",)``
+    (``try_cast`` to double).  Unlisted columns pass through; ``drop``
+    removes columns (feature-set switch P4)."""
+    binaries = [c for c, r in spec.items() if r[0] == "binary" and c in df.columns]
+    domains = probe_domains(df, binaries) if binaries else {}
+    out = []
+    for c in df.columns:
+        if c in drop:
+            continue
+        rule = spec.get(c)
+        x = q(c)
+        if rule is None:
+            out.append(x)
+        elif rule[0] == "map":
+            out.append(map_values(x, rule[1]).alias(c))
+        elif rule[0] == "bins":
+            out.append(threshold_bins(x, rule[1]).alias(c))
+        elif rule[0] == "consumption":
+            out.append(consumption_bins(x, rule[1]).alias(c))
+        elif rule[0] == "ordinal":
+            out.append(ordinal_code(x, rule[1]).alias(c))
+        elif rule[0] == "numeric":
+            out.append(x.cast("string").try_cast("double").alias(c))
+        elif rule[0] == "binary":
+            vals = domains[c]
+            pair = None if len(vals) != 2 else _binary_pair(vals, NEGATIVE_TOKENS, POSITIVE_TOKENS, True, False)
+            if pair is None:
+                out.append(x.cast("string").try_cast("double").alias(c))
+            else:
+                s = x.cast("string")
+                out.append(F.when(s == pair[0], 0).when(s == pair[1], 1).cast("int").alias(c))
+        else:
+            raise ValueError(rule)
+    return df.select(*out)
+
+
+def survey_categorical_spec() -> dict:
+    """E6 rule set of the reference's survey table."""
+    return {"Diabetes": ("map", DIABETES_MAP), "Age_Category": ("map", AGE_GROUPS),
+            "BMI": ("bins", BMI_BINS), "Height_(cm)": ("bins", HEIGHT_BINS), "Weight_(kg)": ("bins", WEIGHT_BINS),
+            "Alcohol_Consumption": ("consumption", "alcohol"), "Fruit_Consumption": ("consumption", "generic"),
+            "Green_Vegetables_Consumption": ("consumption", "generic"),
+            "FriedPotato_Consumption": ("consumption", "generic")}
