@@ -146,3 +146,11 @@ def first_rank(df: DataFrame, key: str, order_col: str, rank_col: str = "code",
     firsts = df.where(q(key).isNotNull()).groupBy(q(key).alias(key)).agg(F.min(q(order_col)).alias("_first"))
     w = Window.orderBy("_first", key)
     return firsts.select(key, (F.row_number().over(w) - 1 + base).alias(rank_col))
+
+
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson correlation over pairwise-complete rows that yields null (not an
+    ANSI divide-by-zero error) when either side is constant."""
+    a2 = F.when(b.isNotNull(), a)
+    b2 = F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))

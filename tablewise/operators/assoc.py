@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewise.functions.core import (q, scalar, sign_label, strength_label, unpivot)
+from tablewise.functions.core import (q, safe_corr, scalar, sign_label, strength_label, unpivot)
 from tablewise.operators.encode import binary_target
 
 
@@ -35,7 +35,7 @@ def pearson_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = Tr
     aggs, keys = [], []
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
-            aggs.append(F.corr(q(a).cast("double"), q(b).cast("double")).alias(f"c{len(keys)}"))
+            aggs.append(safe_corr(q(a).cast("double"), q(b).cast("double")).alias(f"c{len(keys)}"))
             keys.append((a, b))
     row = df.agg(*aggs)
     stack = ", ".join(f"'{a}', '{b}', c{k}" for k, (a, b) in enumerate(keys))
@@ -102,7 +102,7 @@ def spearman_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = T
                 continue
             pr = base.select(key, a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
             pr = ranked(ranked(pr, a), b)
-            v = pr.agg(F.corr("r_" + a, "r_" + b).alias("correlation"))
+            v = pr.agg(safe_corr(F.col("r_" + a), F.col("r_" + b)).alias("correlation"))
             results.append(v.select(F.lit(a).alias("var1"), F.lit(b).alias("var2"), "correlation"))
             results.append(v.select(F.lit(b).alias("var1"), F.lit(a).alias("var2"), "correlation"))
     out = results[0]
@@ -295,7 +295,7 @@ def numeric_target_ranking(df: DataFrame, cols: Sequence[str], target: str) -> D
         x = q(c).cast("double")
         ok = x.isNotNull() & t.isNotNull()
         xv = F.when(ok, x)
-        aggs += [F.corr(xv, F.when(ok, t)).alias(f"r{i}"),
+        aggs += [safe_corr(xv, F.when(ok, t)).alias(f"r{i}"),
                  F.avg(F.when(ok & (t == 0), x)).alias(f"m0_{i}"),
                  F.avg(F.when(ok & (t == 1), x)).alias(f"m1_{i}"),
                  (F.min(xv) < F.max(xv)).alias(f"d{i}")]
