@@ -1 +1,211 @@
-"""Registered queries."""
+"""Registered clustering queries.
+
+Exact metrics are checked against DuckDB over the whole ``embeddings`` table
+(its ``label`` column is the partition being evaluated).  Randomised fits
+(k-means, PCA, Ward, DBSCAN grid) have no SQL oracle; DBSCAN and k-NN are
+also tested against brute force in ``tests/test_cluster.py``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablewise.operators import cluster, metrics
+from tablewise.plans.common import finish
+from tablewise.plans.registry import register
+from tablewise.sources.tables import table
+
+EMB = "(select vec_id, label, embedding::double[] as x from embeddings)"
+LI3 = ["l_quantity", "l_discount", "l_tax"]
+
+
+def emb(spark, sf):
+    return table(spark, sf, "embeddings")
+
+
+@register("k8_cluster_sizes", """
+select label as cluster, count(*)::bigint as "count", count(*) * 100.0 / (select count(*) from embeddings) as pct
+from embeddings group by 1
+""")
+def k8_cluster_sizes(spark, sf):
+    return finish(cluster.cluster_sizes(emb(spark, sf), "label"))
+
+
+@register("k9_cluster_profile", """
+with long as (select l_returnflag, 'l_quantity' as feature, l_quantity as v from lineitem
+              union all select l_returnflag, 'l_discount', l_discount from lineitem
+              union all select l_returnflag, 'l_tax', l_tax from lineitem),
+g as (select feature, avg(v) as global_mean from long group by 1),
+c as (select l_returnflag as cluster, feature, avg(v) as mean from long group by all)
+select c.cluster, c.feature, c.mean, g.global_mean, c.mean - g.global_mean as delta, abs(c.mean - g.global_mean) as abs_delta
+from c join g using (feature)
+""")
+def k9_cluster_profile(spark, sf):
+    return finish(cluster.cluster_profile(table(spark, sf, "lineitem"), LI3, "l_returnflag"))
+
+
+@register("k10_top_features", """
+with long as (select l_returnflag, 'l_quantity' as feature, l_quantity as v from lineitem
+              union all select l_returnflag, 'l_discount', l_discount from lineitem
+              union all select l_returnflag, 'l_tax', l_tax from lineitem),
+g as (select feature, avg(v) as global_mean from long group by 1),
+c as (select l_returnflag as cluster, feature, avg(v) as mean from long group by all),
+p as (select c.cluster, c.feature, c.mean, g.global_mean, c.mean - g.global_mean as delta,
+             abs(c.mean - g.global_mean) as abs_delta from c join g using (feature)),
+u as (select *, 'above' as list from p where delta > 0 union all select *, 'below' from p where delta < 0),
+r as (select *, row_number() over (partition by cluster, list order by abs_delta desc, feature) as rank from u)
+select cluster, feature, mean, global_mean, delta, abs_delta, list, rank from r where rank <= 2
+""")
+def k10_top_features(spark, sf):
+    p = cluster.cluster_profile(table(spark, sf, "lineitem"), LI3, "l_returnflag")
+    t = cluster.top_features(p, n=2)
+    return finish(t.select("cluster", "feature", "mean", "global_mean", "delta", "abs_delta", "list", "rank"))
+
+
+@register("k26_calinski_harabasz", f"""
+with e as {EMB},
+u as (select vec_id, label, unnest(x) as v, generate_subscripts(x, 1) as pos from e),
+c as (select label, pos, avg(v) as m, count(*) as n from u group by all),
+g as (select pos, avg(v) as gm from u group by pos),
+b as (select sum(n * (m - gm) * (m - gm)) as b from c join g using (pos)),
+w as (select sum((v - m) * (v - m)) as w from u join c using (label, pos)),
+k as (select count(distinct label) as k, count(*) as n from e)
+select (b / (k - 1)) / (w / (n - k)) as calinski_harabasz from b, w, k
+""")
+def k26_calinski_harabasz(spark, sf):
+    return finish(metrics.calinski_harabasz(emb(spark, sf), "embedding", "label"))
+
+
+@register("k27_davies_bouldin", f"""
+with e as {EMB},
+u as (select vec_id, label, unnest(x) as v, generate_subscripts(x, 1) as pos from e),
+c as (select label, pos, avg(v) as m from u group by all),
+cv as (select label, list(m order by pos) as cen from c group by label),
+s as (select e.label, avg(list_distance(e.x, cv.cen)) as s from e join cv using (label) group by 1),
+pairs as (select a.label as i, b.label as j, (sa.s + sb.s) / list_distance(a.cen, b.cen) as r
+          from cv a join cv b on a.label <> b.label join s sa on sa.label = a.label join s sb on sb.label = b.label),
+d as (select i, max(r) as d from pairs group by i)
+select avg(d) as davies_bouldin from d
+""")
+def k27_davies_bouldin(spark, sf):
+    return finish(metrics.davies_bouldin(emb(spark, sf), "embedding", "label"))
+
+
+@register("k25_silhouette", f"""
+with e as {EMB},
+cnt as (select label, count(*) as n from e group by 1),
+d as (select a.vec_id, a.label as own, b.label as other, sum(list_distance(a.x, b.x)) as sd
+      from e a join e b on true group by all),
+m as (select d.vec_id, d.own, d.other, sd / (case when d.own = d.other then cnt.n - 1 else cnt.n end) as md
+      from d join cnt on cnt.label = d.other),
+ab as (select vec_id, max(md) filter (where own = other) as a, min(md) filter (where own <> other) as b from m group by 1)
+select avg(case when greatest(a, b) > 0 then (b - a) / greatest(a, b) else 0 end) as silhouette, count(*)::bigint as n from ab
+""")
+def k25_silhouette(spark, sf):
+    return finish(metrics.silhouette(emb(spark, sf), "embedding", "label", "vec_id", sample_size=5000))
+
+
+@register("k30_representatives", f"""
+with e as {EMB},
+u as (select vec_id, label, unnest(x) as v, generate_subscripts(x, 1) as pos from e),
+c as (select label, pos, avg(v) as m from u group by all),
+cv as (select label, list(m order by pos) as cen from c group by label),
+d as (select e.vec_id as row_id, e.label as cluster, list_distance(e.x, cv.cen) as distance_to_centroid
+      from e join cv using (label)),
+r as (select *, row_number() over (partition by cluster order by distance_to_centroid, row_id) as example_rank from d)
+select * from r where example_rank <= 3
+""")
+def k30_representatives(spark, sf):
+    return finish(cluster.representatives(emb(spark, sf), "embedding", "vec_id", "label", 3))
+
+
+@register("k29_characterize_clusters", """
+with long as (select l_returnflag, 'l_quantity' as feature, l_quantity as v from lineitem
+              union all select l_returnflag, 'l_discount', l_discount from lineitem
+              union all select l_returnflag, 'l_tax', l_tax from lineitem),
+g as (select feature, avg(v) as gm from long group by 1),
+c as (select l_returnflag as cluster, feature, avg(v) as mean from long group by all),
+p as (select cluster, feature, mean, mean - gm as delta,
+        row_number() over (partition by cluster order by abs(mean - gm) desc, feature) as rank from c join g using (feature)),
+s as (select l_returnflag as cluster, count(*) as n from lineitem group by 1)
+select p.cluster, s.n::bigint as n_samples, s.n * 100.0 / (select count(*) from lineitem) as percentage, rank::bigint as rank,
+  feature, mean, delta from p join s using (cluster) where rank <= 2
+""")
+def k29_characterize_clusters(spark, sf):
+    out = cluster.characterize_clusters(table(spark, sf, "lineitem"), LI3, "l_returnflag", n=2)
+    return finish(out)
+
+
+@register("k32_k33_noise_summary", """
+with l as (select case when label in (0, 1) then -1 else label end as cluster from embeddings),
+c as (select cluster, count(*) as n from l group by 1)
+select count(*) filter (where cluster <> -1)::bigint as n_clusters,
+  coalesce(sum(n) filter (where cluster = -1), 0)::bigint as n_noise,
+  coalesce(sum(n) filter (where cluster = -1), 0) * 100.0 / sum(n) as noise_pct,
+  max(n) filter (where cluster <> -1) * 100.0 / sum(n) filter (where cluster <> -1) as largest_cluster_pct from c
+""")
+def k32_k33_noise_summary(spark, sf):
+    e = emb(spark, sf).select(F.when(F.col("label").isin(0, 1), -1).otherwise(F.col("label")).alias("cluster"))
+    return finish(cluster.noise_summary(e))
+
+
+@register("k19_k_distance", f"""
+with e as {EMB},
+d as (select a.vec_id as rid, list_distance(a.x, b.x) as dist,
+        row_number() over (partition by a.vec_id order by list_distance(a.x, b.x), b.vec_id) as r
+      from e a join e b on true)
+select rid, dist as k_distance from d where r = 5
+""")
+def k19_k_distance(spark, sf):
+    return finish(cluster.k_distance(emb(spark, sf), "vec_id", "embedding", k=5))
+
+
+@register("k28_partition_metrics")
+def k28_partition_metrics(spark, sf):
+    return finish(metrics.partition_metrics(emb(spark, sf), "embedding", "label", "vec_id", name="label"))
+
+
+@register("k1_k3_kmeans_labels")
+def k1_k3_kmeans_labels(spark, sf):
+    model, lab = cluster.kmeans(emb(spark, sf), "embedding", 5, seed=42, n_init=3, keep=["vec_id"])
+    return finish(lab.select("vec_id", F.col("cluster").cast("long").alias("cluster")))
+
+
+@register("k4_k7_kmeans_grid")
+def k4_k7_kmeans_grid(spark, sf):
+    g = cluster.kmeans_grid(emb(spark, sf), "embedding", "vec_id", [2, 3, 4, 5], n_init=1)
+    return finish(g)
+
+
+@register("k13_dbscan_labels")
+def k13_dbscan_labels(spark, sf):
+    return finish(cluster.dbscan(emb(spark, sf), "vec_id", "embedding", eps=1.2, min_samples=5))
+
+
+@register("k14_dbscan_manhattan")
+def k14_dbscan_manhattan(spark, sf):
+    return finish(cluster.dbscan(emb(spark, sf), "vec_id", "embedding", eps=7.7, min_samples=5, metric="manhattan"))
+
+
+@register("k15_k17_dbscan_grid")
+def k15_k17_dbscan_grid(spark, sf):
+    g = cluster.dbscan_grid(emb(spark, sf), "vec_id", "embedding", [1.15, 1.2], [3, 5])
+    return finish(g)
+
+
+@register("k20_k23_ward")
+def k20_k23_ward(spark, sf):
+    lab, Z = cluster.ward(emb(spark, sf), "vec_id", "embedding", 6)
+    return finish(lab)
+
+
+@register("k22_ward_cut")
+def k22_ward_cut(spark, sf):
+    lab, Z = cluster.ward(emb(spark, sf), "vec_id", "embedding", 6)
+    return finish(cluster.suggest_distance_cut(cluster.linkage_table(Z, spark)))
+
+
+@register("k31_pca")
+def k31_pca(spark, sf):
+    proj, ratio = cluster.pca(emb(spark, sf), "embedding", 2, keep=["vec_id", "label"])
+    return finish(proj)

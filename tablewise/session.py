@@ -25,6 +25,7 @@ def get_spark(app: str = "tablewise", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
+          .config("spark.driver.memory", os.environ.get("TABLEWISE_DRIVER_MEMORY", "8g"))
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
