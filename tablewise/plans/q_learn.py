@@ -1 +1,191 @@
-"""Registered queries."""
+"""Registered supervised-learning queries.
+
+k-NN predictions are exact and deterministic, so they and every metric
+computed from them are checked against DuckDB.  Trained ``pyspark.ml``
+models (trees, forests, networks, solvers) have no SQL oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablewise.operators import learn, metrics
+from tablewise.plans.common import finish
+from tablewise.plans.registry import register
+from tablewise.sources.tables import table
+
+SPLIT = """(select vec_id, label, embedding::double[] as x,
+   ((vec_id + 42) * 2654435761) % 1000003 / 1000003.0 as h from embeddings)"""
+
+KNN3 = f"""with e as {SPLIT},
+tr as (select * from e where h >= 0.2), te as (select * from e where h < 0.2),
+d as (select te.vec_id as qid, tr.vec_id as nid, tr.label as cls, list_distance(te.x, tr.x) as dist from te, tr),
+r as (select *, row_number() over (partition by qid order by dist, nid) as rk from d),
+v as (select qid, cls, count(*) as votes from r where rk <= 3 group by all),
+b as (select qid, arg_min(cls, (-votes, cls)) as prediction from v group by qid),
+p as (select b.qid as vec_id, te.label, b.prediction from b join te on te.vec_id = b.qid)"""
+
+KNN5R = f"""with e as {SPLIT},
+tr as (select * from e where h >= 0.2), te as (select * from e where h < 0.2),
+d as (select te.vec_id as qid, tr.label::double as y, list_distance(te.x, tr.x) as dist, tr.vec_id as nid from te, tr),
+r as (select *, row_number() over (partition by qid order by dist, nid) as rk from d),
+b as (select qid, avg(y) as prediction from r where rk <= 5 group by qid),
+p as (select b.qid as vec_id, te.label::double as label, b.prediction from b join te on te.vec_id = b.qid)"""
+
+
+def _split(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return learn.train_test_split(e, "vec_id", 0.2, 42, kind="arith")
+
+
+def _knn3(spark, sf):
+    tr, te = _split(spark, sf)
+    return learn.knn_classify(tr, te, "vec_id", "embedding", "label", k=3)
+
+
+def _knn5r(spark, sf):
+    tr, te = _split(spark, sf)
+    return learn.knn_regress(tr, te, "vec_id", "embedding", "label", k=5)
+
+
+@register("l1_train_test_split", f"""
+with e as {SPLIT}
+select case when h < 0.2 then 'test' else 'train' end as side, count(*)::bigint as n from e group by 1
+""")
+def l1_train_test_split(spark, sf):
+    tr, te = _split(spark, sf)
+    return finish(tr.select(F.lit("train").alias("side")).unionByName(te.select(F.lit("test").alias("side")))
+                  .groupBy("side").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("l8_knn_classifier", KNN3 + "\nselect * from p")
+def l8_knn_classifier(spark, sf):
+    return finish(_knn3(spark, sf))
+
+
+@register("l5_confusion_matrix", KNN3 + """,
+g as (select a.c as actual, b.c as predicted from (select distinct label as c from p union select distinct prediction from p) a,
+      (select distinct label as c from p union select distinct prediction from p) b),
+c as (select label as actual, prediction as predicted, count(*) as n from p group by all)
+select g.actual, g.predicted, coalesce(c.n, 0)::bigint as n from g left join c using (actual, predicted)
+""")
+def l5_confusion_matrix(spark, sf):
+    return finish(metrics.confusion_long(_knn3(spark, sf), "label", "prediction"))
+
+
+@register("l4_classification_report", KNN3 + """,
+cls as (select label::varchar as c from p union select prediction::varchar from p),
+per as (select c as class,
+          coalesce((select count(*) from p where label::varchar = c and prediction::varchar = c) * 1.0
+                   / nullif((select count(*) from p where prediction::varchar = c), 0), 0) as precision,
+          coalesce((select count(*) from p where label::varchar = c and prediction::varchar = c) * 1.0
+                   / nullif((select count(*) from p where label::varchar = c), 0), 0) as recall,
+          (select count(*) from p where label::varchar = c)::bigint as support from cls),
+per2 as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end as f1 from per),
+n as (select count(*) as n, count(*) filter (where label = prediction) as tp from p)
+select class, precision, recall, f1, support from per2
+union all select 'accuracy', tp * 1.0 / n, tp * 1.0 / n, tp * 1.0 / n, n::bigint from n
+union all select 'macro avg', avg(precision), avg(recall), avg(f1), (select n from n)::bigint from per2
+union all select 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1 * support) / sum(support), (select n from n)::bigint from per2
+""")
+def l4_classification_report(spark, sf):
+    return finish(metrics.classification_report(_knn3(spark, sf), "label", "prediction"))
+
+
+@register("l16_wrong_predictions", KNN3 + "\nselect *, false as correct from p where label <> prediction")
+def l16_wrong_predictions(spark, sf):
+    return finish(learn.wrong_predictions(_knn3(spark, sf)))
+
+
+@register("l19_knn_regressor", KNN5R + "\nselect * from p")
+def l19_knn_regressor(spark, sf):
+    return finish(_knn5r(spark, sf))
+
+
+@register("l21_regression_metrics", KNN5R + """
+select 1 - sum((label - prediction) ^ 2) / sum((label - (select avg(label) from p)) ^ 2) as r2,
+  avg((label - prediction) ^ 2) as mse, avg(abs(label - prediction)) as mae from p
+""")
+def l21_regression_metrics(spark, sf):
+    return finish(metrics.regression_metrics(_knn5r(spark, sf), "label", "prediction"))
+
+
+@register("l22_largest_errors", KNN5R + """
+select *, abs(label - prediction) as abs_error from p order by abs_error desc, vec_id limit 20
+""")
+def l22_largest_errors(spark, sf):
+    return finish(metrics.largest_errors(_knn5r(spark, sf), "label", "prediction", "vec_id", 20))
+
+
+@register("l24_fitted_line", """
+with s as (select regr_slope(l_extendedprice, l_quantity) as b, regr_intercept(l_extendedprice, l_quantity) as a,
+                  min(l_quantity) as lo, max(l_quantity) as hi from lineitem),
+g as (select a, b, lo, unnest(range(0, (floor((hi - lo + 1.0) / 0.01 + 1e-9))::bigint + 1)) as i from s)
+select round(lo - 0.5 + i * 0.01, 10) as x, a + b * round(lo - 0.5 + i * 0.01, 10) as y_hat from g
+""")
+def l24_fitted_line(spark, sf):
+    return finish(learn.fitted_line(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice"))
+
+
+@register("l17_undersample_counts", """
+with c as (select label, count(*) as n from embeddings group by 1)
+select label, (select min(n) from c)::bigint as n from c
+""")
+def l17_undersample_counts(spark, sf):
+    b = learn.undersample(table(spark, sf, "embeddings"), "label", "vec_id")
+    return finish(b.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _model_query(name, **params):
+    def fn(spark, sf):
+        tr, te = _split(spark, sf)
+        return finish(learn.fit_predict(tr, te, "embedding", "label", "vec_id", name, **params))
+    return fn
+
+
+for _name, _params in [("naive_bayes", {}), ("decision_tree", {"maxDepth": 5}), ("random_forest", {"numTrees": 10}),
+                       ("logistic", {"maxIter": 50}), ("linear_svm", {"maxIter": 20}),
+                       ("perceptron", {"layers": [64, 10], "maxIter": 50}), ("mlp", {"layers": [64, 16, 8, 10], "maxIter": 50})]:
+    _code = {"naive_bayes": "l9", "decision_tree": "l10", "random_forest": "l11", "logistic": "l12",
+             "linear_svm": "l13", "perceptron": "l14", "mlp": "l15"}[_name]
+    register(f"{_code}_{_name}")(_model_query(_name, **_params))
+
+
+def _regression_query(name, **params):
+    def fn(spark, sf):
+        li = table(spark, sf, "lineitem").withColumn("rid", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+        tr, te = learn.train_test_split(li, "rid", 0.2, 42)
+        p = learn.fit_predict(tr, te, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "rid", name, **params)
+        return finish(metrics.regression_metrics(p, "label", "prediction"))
+    return fn
+
+
+register("l18_linear_regression")(_regression_query("linear_regression"))
+register("l18_ridge_regression")(_regression_query("linear_regression", regParam=0.1, elasticNetParam=0.0))
+register("l18_lasso_regression")(_regression_query("linear_regression", regParam=0.1, elasticNetParam=1.0))
+register("l20_tree_regressor")(_regression_query("tree_regressor", maxDepth=5))
+register("l20_forest_regressor")(_regression_query("forest_regressor", numTrees=10))
+
+
+@register("l2_l3_cross_validation")
+def l2_l3_cross_validation(spark, sf):
+    e = table(spark, sf, "embeddings")
+    oof = learn.cross_val_predict(e, "embedding", "label", "vec_id", "naive_bayes", 5)
+    return finish(learn.fold_scores(oof))
+
+
+@register("l2_stratified_fold_sizes")
+def l2_stratified_fold_sizes(spark, sf):
+    f = learn.stratified_folds(table(spark, sf, "embeddings"), "label", "vec_id", 5)
+    return finish(f.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("l6_l7_model_table")
+def l6_l7_model_table(spark, sf):
+    tr, te = _split(spark, sf)
+    res = {"knn3": learn.knn_classify(tr, te, "vec_id", "embedding", "label", 3),
+           "naive_bayes": learn.fit_predict(tr, te, "embedding", "label", "vec_id", "naive_bayes"),
+           "logistic": learn.fit_predict(tr, te, "embedding", "label", "vec_id", "logistic", maxIter=50)}
+    return finish(learn.model_table({k: v.select(F.col("label").cast("double"), F.col("prediction").cast("double"))
+                                     for k, v in res.items()}))
