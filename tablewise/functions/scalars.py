@@ -19,7 +19,7 @@ def floordiv(a: Column, b: Column) -> Column:
 
 def pymod(a: Column, b: Column) -> Column:
     """Python ``a % b``: result takes the sign of the divisor."""
-    r = F.try_remainder(a, b)
+    r = F.when(b != 0, a % b)
     return F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
 
 

@@ -1 +1,209 @@
-"""Registered queries."""
+"""Registered scalar/array-function queries (X1-X14) and source/sink queries."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tablewise.functions import scalars as X
+from tablewise.plans.common import finish
+from tablewise.plans.registry import register
+from tablewise.session import checkpoint_dir
+from tablewise.sources import files
+from tablewise.sources.tables import table
+
+
+@register("x1_x5_scalar_functions", """
+select l_orderkey, l_linenumber,
+  floor((l_linenumber - 4) / 3.0)::bigint as floordiv,
+  (((l_linenumber - 4) % 3) + 3) % 3 as pymod,
+  round(l_discount * 100 + 0.5) as round_half_up,
+  power(l_quantity, 2) as squared,
+  -l_quantity as negated,
+  length(l_returnflag || l_linestatus) as flag_len,
+  contains(l_shipmode_free, 'F') as has_f,
+  upper(lower(l_returnflag)) = l_returnflag as case_roundtrip,
+  starts_with(l_linestatus, 'F') as starts_f,
+  printf('%.2f', l_extendedprice) as price_text,
+  lpad(cast(l_linenumber as varchar), 3, '0') as padded
+from (select *, l_returnflag || l_linestatus as l_shipmode_free from lineitem)
+""")
+def x1_x5_scalar_functions(spark, sf):
+    li = table(spark, sf, "lineitem")
+    k = F.col("l_linenumber") - 4
+    both = F.concat("l_returnflag", "l_linestatus")
+    return finish(li.select(
+        "l_orderkey", "l_linenumber",
+        X.floordiv(k, F.lit(3)).alias("floordiv"),
+        X.pymod(k, F.lit(3)).cast("long").alias("pymod"),
+        F.round(F.col("l_discount") * 100 + 0.5).alias("round_half_up"),
+        F.pow("l_quantity", 2).alias("squared"),
+        (-F.col("l_quantity")).alias("negated"),
+        F.length(both).cast("long").alias("flag_len"),
+        F.contains(both, F.lit("F")).alias("has_f"),
+        (F.upper(F.lower("l_returnflag")) == F.col("l_returnflag")).alias("case_roundtrip"),
+        F.startswith("l_linestatus", F.lit("F")).alias("starts_f"),
+        F.format_string("%.2f", "l_extendedprice").alias("price_text"),
+        F.lpad(F.col("l_linenumber").cast("string"), 3, "0").alias("padded")))
+
+
+@register("x6_x14_array_functions", """
+with e as (select vec_id, embedding::double[] as x from embeddings)
+select vec_id, len(x)::bigint as n, x[1] as first, list_sum(x[1:4]) as head_sum, list_max(x) as mx, list_min(x) as mn,
+  list_avg(x) as mean, sqrt(list_avg(list_transform(x, lambda v: (v - list_avg(x)) * (v - list_avg(x))))) as std,
+  list_dot_product(x, x) as dot_self, list_sum(list_transform(x, lambda v: case when v < 0.5 then 0.0 else v end)) as clipped_sum,
+  len(list_filter(x, lambda v: v > 0.5))::bigint as n_big, len(list_distinct(list_transform(x, lambda v: round(v, 1))))::bigint as n_distinct_1dp
+from e
+""")
+def x6_x14_array_functions(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    x = F.col("x")
+    return finish(e.select(
+        "vec_id", F.size(x).cast("long").alias("n"), F.element_at(x, 1).alias("first"),
+        X.array_sum(F.slice(x, 1, 4)).alias("head_sum"), F.array_max(x).alias("mx"), F.array_min(x).alias("mn"),
+        X.array_mean(x).alias("mean"), X.array_std(x).alias("std"), X.dot(x, x).alias("dot_self"),
+        X.array_sum(F.transform(x, lambda v: F.when(v < 0.5, F.lit(0.0)).otherwise(v))).alias("clipped_sum"),
+        F.size(F.filter(x, lambda v: v > 0.5)).cast("long").alias("n_big"),
+        F.size(F.array_distinct(F.transform(x, lambda v: F.round(v, 1)))).cast("long").alias("n_distinct_1dp")))
+
+
+@register("x7_x8_sets_and_maps", """
+with t as (select c_custkey, [c_mktsegment, 'BUILDING', 'MACHINERY'] as a, ['BUILDING', 'HOUSEHOLD'] as b from customer)
+select c_custkey, len(list_distinct(a))::bigint as n_distinct,
+  len(list_intersect(a, b))::bigint as n_common,
+  len(list_filter(list_distinct(a), lambda v: not list_contains(b, v)))::bigint as n_only_a,
+  len(list_distinct(list_concat(a, b)))::bigint as n_union
+from t
+""")
+def x7_x8_sets_and_maps(spark, sf):
+    c = table(spark, sf, "customer").select(
+        "c_custkey", F.array("c_mktsegment", F.lit("BUILDING"), F.lit("MACHINERY")).alias("a"),
+        F.array(F.lit("BUILDING"), F.lit("HOUSEHOLD")).alias("b"))
+    return finish(c.select("c_custkey", F.size(F.array_distinct("a")).cast("long").alias("n_distinct"),
+                           F.size(F.array_intersect("a", "b")).cast("long").alias("n_common"),
+                           F.size(F.array_except("a", "b")).cast("long").alias("n_only_a"),
+                           F.size(F.array_union("a", "b")).cast("long").alias("n_union")))
+
+
+@register("s9_sample_n", """
+select o_orderkey, o_totalprice from orders order by ((o_orderkey + 42) * 2654435761) % 1000003, o_orderkey limit 100
+""")
+def s9_sample_n(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return finish(files.sample_n(o, "o_orderkey", 100, kind="arith"))
+
+
+def _scratch(spark) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tablewise-scratch/{uuid.uuid4().hex}"
+
+
+@register("s1_s6_csv_round_trip", """
+select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
+""")
+def s1_s6_csv_round_trip(spark, sf):
+    path = _scratch(spark)
+    files.write_csv(table(spark, sf, "customer"), path)
+    back = files.read_csv(spark, path)
+    return finish(back.select("c_custkey", "c_name", F.col("c_nationkey").cast("int"), "c_acctbal", "c_mktsegment"))
+
+
+@register("s3_s4_robust_csv_read", """
+select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer
+""")
+def s3_s4_robust_csv_read(spark, sf):
+    path = _scratch(spark)
+    table(spark, sf, "customer").write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
+    sep = files.sniff_separator(spark, path)
+    df = files.safe_read_csv(spark, path) if sep == ";" else files.read_csv(spark, path, sep=sep)
+    return finish(df.select("c_custkey", "c_name", F.col("c_nationkey").cast("int"), "c_acctbal", "c_mktsegment"))
+
+
+@register("s7_publish_variants")
+def s7_publish_variants(spark, sf):
+    from tablewise.operators import scale
+    path = _scratch(spark)
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    files.publish_variants({"raw": c, "minmax": scale.minmax_scale(c, ["c_acctbal"]),
+                            "zscore": scale.zscore_scale(c, ["c_acctbal"])}, path)
+    back = spark.read.parquet(path)
+    return finish(back.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.avg("c_acctbal").alias("mean")))
+
+
+@register("s8_model_save_load")
+def s8_model_save_load(spark, sf):
+    from pyspark.ml.clustering import KMeansModel
+    from tablewise.operators import cluster
+    model, _ = cluster.kmeans(table(spark, sf, "embeddings"), "embedding", 3, n_init=1, keep=["vec_id"])
+    path = _scratch(spark)
+    model.write().overwrite().save(path)
+    loaded = KMeansModel.load(path)
+    vec = cluster._vectors(table(spark, sf, "embeddings"), "embedding", ["vec_id"])
+    return finish(loaded.transform(vec).select("vec_id", F.col("prediction").cast("long").alias("cluster")))
+
+
+@register("p4_p5_select_drop", """
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax from lineitem
+""")
+def p4_p5_select_drop(spark, sf):
+    from tablewise.functions.core import numeric_columns
+    li = table(spark, sf, "lineitem").drop("l_shipdate")
+    return finish(li.select(*numeric_columns(li)))
+
+
+@register("p6_p9_derived_columns", """
+select o_orderkey, o_totalprice / 1000.0 as price_k,
+  case when o_totalprice >= 200000 then 'good' else 'bad' end as grade,
+  try_cast(o_orderstatus as double) as status_num, cast(o_custkey as varchar) as cust_text from orders
+""")
+def p6_p9_derived_columns(spark, sf):
+    o = table(spark, sf, "orders")
+    return finish(o.select("o_orderkey", F.try_divide(F.col("o_totalprice"), F.lit(1000.0)).alias("price_k"),
+                           F.when(F.col("o_totalprice") >= 200000, "good").otherwise("bad").alias("grade"),
+                           F.col("o_orderstatus").try_cast("double").alias("status_num"),
+                           F.col("o_custkey").cast("string").alias("cust_text")))
+
+
+@register("j1_u1_full_outer_union", """
+with a as (select n_regionkey as k, count(*) as nations from nation group by 1),
+b as (select r_regionkey as k, r_name from region)
+select coalesce(a.k, b.k) as k, a.nations::bigint as nations, b.r_name from a full join b on a.k = b.k
+union all select 99, null, 'extra'
+""")
+def j1_u1_full_outer_union(spark, sf):
+    a = table(spark, sf, "nation").groupBy(F.col("n_regionkey").alias("k")).agg(F.count(F.lit(1)).alias("nations"))
+    b = table(spark, sf, "region").select(F.col("r_regionkey").alias("k"), "r_name")
+    j = a.join(b, "k", "full").select(F.col("k").cast("int").alias("k"), "nations", "r_name")
+    extra = spark.createDataFrame([(99, None, "extra")], "k int, nations long, r_name string")
+    return finish(j.unionByName(extra))
+
+
+@register("j2_u3_semi_and_set_ops", """
+select 'semi' as op, count(*)::bigint as n from customer where c_custkey in (select o_custkey from orders)
+union all select 'intersect', count(*)::bigint from (select o_custkey from orders intersect select c_custkey from customer)
+union all select 'except', count(*)::bigint from (select c_custkey from customer except select o_custkey from orders)
+""")
+def j2_u3_semi_and_set_ops(spark, sf):
+    c = table(spark, sf, "customer")
+    o = table(spark, sf, "orders")
+    cnt = F.count(F.lit(1)).alias("n")
+    semi = c.join(o, c.c_custkey == o.o_custkey, "left_semi").agg(cnt).select(F.lit("semi").alias("op"), "n")
+    inter = o.select("o_custkey").intersect(c.select("c_custkey")).agg(cnt).select(F.lit("intersect").alias("op"), "n")
+    exc = c.select("c_custkey").subtract(o.select("o_custkey")).agg(cnt).select(F.lit("except").alias("op"), "n")
+    return finish(semi.unionByName(inter).unionByName(exc))
+
+
+@register("t1_t4_sort_rank_lag", """
+with t as (select o_custkey, o_orderkey, o_totalprice,
+  row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as rk,
+  o_totalprice - lag(o_totalprice) over (partition by o_custkey order by o_orderkey) as diff from orders)
+select o_custkey, o_orderkey, o_totalprice, rk::bigint as rk, diff from t where rk <= 2
+""")
+def t1_t4_sort_rank_lag(spark, sf):
+    from pyspark.sql import Window
+    o = table(spark, sf, "orders")
+    w1 = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    w2 = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    t = o.select("o_custkey", "o_orderkey", "o_totalprice", F.row_number().over(w1).alias("rk"),
+                 (F.col("o_totalprice") - F.lag("o_totalprice").over(w2)).alias("diff"))
+    return finish(t.where(F.col("rk") <= 2))
