@@ -353,30 +353,43 @@ def k_distance(df: DataFrame, row_id: str, features: Sequence[str] | str, k: int
 
 # ---------------------------------------------------------------------- Ward
 
-def _ward_merges(c: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Weighted Ward agglomeration (Lance-Williams) on m points with weights:
-    returns the linkage matrix (a, b, height, size) in merge order, ids as in
-    scipy (new clusters numbered m, m+1, ...)."""
+def _agglomerate(c: np.ndarray, w: np.ndarray, linkage: str = "ward") -> np.ndarray:
+    """Weighted agglomeration (Lance-Williams) on m points with weights:
+    ``ward``, ``single``, ``complete`` or ``average``.  Returns the linkage
+    matrix (a, b, height, size) in merge order, ids as in scipy (new
+    clusters numbered m, m+1, ...)."""
     m = len(c)
     size = w.astype(float).copy()
     d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-    # Ward distance between weighted singletons
-    D = np.sqrt(2.0 * (size[:, None] * size[None, :]) / (size[:, None] + size[None, :]) * d2)
+    if linkage == "ward":
+        # Ward distance between weighted singletons
+        D = np.sqrt(2.0 * (size[:, None] * size[None, :]) / (size[:, None] + size[None, :]) * d2)
+    else:
+        D = np.sqrt(d2)
     np.fill_diagonal(D, np.inf)
     ids = list(range(m))
     active = np.ones(m, dtype=bool)
     Z = []
     for step in range(m - 1):
-        Dm = np.where(active[:, None] & active[None, :], D, np.inf)
-        flat = int(np.argmin(Dm))
+        flat = int(np.argmin(D))
         i, j = divmod(flat, m)
         if i > j:
             i, j = j, i
         h = D[i, j]
         ni, nj = size[i], size[j]
         nk = size
-        new = np.sqrt(np.maximum(((ni + nk) * D[i] ** 2 + (nj + nk) * D[j] ** 2 - nk * h ** 2) / (ni + nj + nk), 0))
+        if linkage == "ward":
+            new = np.sqrt(np.maximum(((ni + nk) * D[i] ** 2 + (nj + nk) * D[j] ** 2 - nk * h ** 2) / (ni + nj + nk), 0))
+        elif linkage == "single":
+            new = np.minimum(D[i], D[j])
+        elif linkage == "complete":
+            new = np.maximum(D[i], D[j])
+        elif linkage == "average":
+            new = (ni * D[i] + nj * D[j]) / (ni + nj)
+        else:
+            raise ValueError(linkage)
         Z.append((ids[i], ids[j], h, ni + nj))
+        new = np.where(active, new, np.inf)
         D[i, :] = new
         D[:, i] = new
         D[i, i] = np.inf
@@ -388,6 +401,10 @@ def _ward_merges(c: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.array(Z, dtype=float)
 
 
+def _ward_merges(c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return _agglomerate(c, w, "ward")
+
+
 def _cut(Z: np.ndarray, m: int, n_clusters: int) -> np.ndarray:
     """Leaf labels after undoing the last n_clusters-1 merges; labels are
     numbered by first leaf appearance."""
@@ -407,13 +424,14 @@ def _cut(Z: np.ndarray, m: int, n_clusters: int) -> np.ndarray:
     return np.array([mapping.setdefault(r, len(mapping)) for r in roots])
 
 
-def ward(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters: int,
-         max_points: int = MAX_WARD_POINTS, seed: int = 42):
-    """Ward clustering.  Rows are summarised by k-means micro-clusters
-    (<= max_points weighted centroids, exact when rows <= max_points), the
-    weighted Ward tree is built on that bounded summary, and labels are
-    joined back to every row.  Returns (labels DataFrame (row_id, cluster),
-    linkage matrix)."""
+def agglomerative(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters: int,
+                  linkage: str = "ward", max_points: int = MAX_WARD_POINTS, seed: int = 42):
+    """Agglomerative clustering (``ward`` | ``single`` | ``complete`` |
+    ``average``).  Rows are summarised by k-means micro-clusters (<=
+    max_points weighted centroids; exact when rows <= max_points), the tree
+    is built on that bounded summary, and labels are joined back to every
+    row.  Returns (labels DataFrame (row_id, cluster), linkage matrix,
+    micro-cluster assignment DataFrame (rid, micro))."""
     spark = df.sparkSession
     n = df.count()
     x = df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
@@ -426,7 +444,7 @@ def ward(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters:
     else:
         model, lab = kmeans(x, "x", max_points, seed, n_init=1, keep=["rid"])
         micro = lab.select("rid", F.col("cluster").cast("long").alias("micro"))
-        cnt = dict(micro.groupBy("micro").count().collect())
+        cnt = dict(micro.groupBy("micro").count().collect())  # one row per micro-cluster
         centers = model.clusterCenters()
         keep = [i for i in range(len(centers)) if cnt.get(i, 0) > 0]
         remap = {old: new for new, old in enumerate(keep)}
@@ -434,14 +452,41 @@ def ward(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters:
         wts = np.array([cnt[i] for i in keep], dtype=float)
         rm = F.create_map(*[F.lit(v) for kv in remap.items() for v in kv])
         micro = micro.select("rid", rm[F.col("micro")].cast("long").alias("micro"))
-    Z = _ward_merges(c, wts)
-    labels = _cut(Z, len(c), n_clusters)
-    lm = spark.createDataFrame([(i, int(lbl)) for i, lbl in enumerate(labels)], "micro long, cluster long")
+    Z = _agglomerate(c, wts, linkage)
+    out = cut_tree(micro, Z, len(c), n_clusters).withColumnRenamed("rid", row_id)
+    return out, Z, micro
+
+
+def cut_tree(micro: DataFrame, Z: np.ndarray, m: int, n_clusters: int) -> DataFrame:
+    """Labels of every row for a cut of the tree into ``n_clusters``."""
+    labels = _cut(Z, m, n_clusters)
+    lm = micro.sparkSession.createDataFrame([(i, int(lbl)) for i, lbl in enumerate(labels)], "micro long, cluster long")
     # lm has one row per micro-cluster (<= max_points): bounded broadcast
-    out = micro.join(F.broadcast(lm), "micro").select(F.col("rid").alias(row_id), "cluster")
+    return micro.join(F.broadcast(lm), "micro").select("rid", "cluster")
+
+
+def ward(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters: int,
+         max_points: int = MAX_WARD_POINTS, seed: int = 42):
+    """Ward clustering; returns (labels (row_id, cluster), linkage matrix)."""
+    out, Z, _ = agglomerative(df, row_id, features, n_clusters, "ward", max_points, seed)
     return out, Z
 
 
+def tree_silhouette_range(df: DataFrame, row_id: str, features: Sequence[str] | str, k_min: int = 2,
+                          k_max: int = 10, linkage: str = "ward", sample_size: int = 5000) -> DataFrame:
+    """Silhouette for every cut k_min..k_max of ONE tree."""
+    from tablewise.operators.metrics import silhouette
+    _, Z, micro = agglomerative(df, row_id, features, k_min, linkage)
+    m = len(Z) + 1
+    feats = df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
+    rows = []
+    for k in range(k_min, min(k_max, m) + 1):
+        lab = cut_tree(micro, Z, m, k).join(feats, "rid")
+        s = silhouette(lab, "x", "cluster", "rid", sample_size).collect()[0]["silhouette"]
+        rows.append((k, s))
+    return df.sparkSession.createDataFrame(rows, "k long, silhouette double")
+
+
 def linkage_table(Z: np.ndarray, spark) -> DataFrame:
     """Merge table (step, left, right, height, size)."""
     rows = [(i, int(z[0]), int(z[1]), float(z[2]), int(z[3])) for i, z in enumerate(Z)]

@@ -195,3 +195,20 @@ def outliers_by_target(df: DataFrame, cols: Sequence[str], target: str, k: float
     g = long.groupBy("s.variable", "target_class").agg(F.avg(F.col("s.f").cast("double")).alias("_p"))
     return g.select("variable", "target_class", F.round((1 - F.col("_p")) * 100, 4).alias("pct_not_outlier"),
                     F.round(F.col("_p") * 100, 4).alias("pct_outlier_iqr"))
+
+
+def histogram_outlier_segments(df: DataFrame, col: str, bins: int = 30, k: float = 1.5) -> DataFrame:
+    """Histogram bins (V1) with the IQR limits drawn on them: per bin the
+    count, the count of values outside the limits, and whether the bin
+    reaches below the lower or above the upper limit."""
+    from tablewise.operators.plotdata import histogram
+    h = histogram(df, [col], bins)
+    lim = iqr_limits(df, [col], k)
+    lo, hi = _limit(lim, col, "lower_limit"), _limit(lim, col, "upper_limit")
+    x = q(col).cast("double")
+    mn, mx = df.select(F.min(x)).scalar(), df.select(F.max(x)).scalar()
+    b = F.least(F.floor((x - mn) / ((mx - mn) / bins)), F.lit(bins - 1)).cast("int")
+    outs = (df.where((x < lo) | (x > hi)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("outliers")))
+    return (h.join(outs, "bin", "left")
+             .select("variable", "bin", "lower", "upper", "count", F.coalesce("outliers", F.lit(0)).alias("outliers"),
+                     (F.col("lower") < lo).alias("below_lower_limit"), (F.col("upper") > hi).alias("above_upper_limit")))

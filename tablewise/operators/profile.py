@@ -311,3 +311,31 @@ def slice_rows(df: DataFrame, row_id: str, start, stop, inclusive: bool = False)
     return df.where((c >= start) & ((c <= stop) if inclusive else (c < stop)))
 
 
+
+
+def table_findings(df: DataFrame, top_missing: int = 5, max_distinct_ratio: float = 0.9,
+                   max_distinct: int = 100, quasi: float = 0.95) -> DataFrame:
+    """Table-level findings as rows (finding, subject, detail): surplus
+    duplicates, top missing columns, constant / quasi-constant columns, high
+    cardinality and mixed value kinds -- a union of the rule queries."""
+    from tablewise.operators.quality import exact_duplicates_summary, real_missing_summary
+    dup = exact_duplicates_summary(df).where(F.col("surplus_duplicates") > 0).select(
+        F.lit("duplicates").alias("finding"), F.lit("table").alias("subject"),
+        F.format_string("%d surplus duplicate rows", "surplus_duplicates").alias("detail"))
+    miss = (real_missing_summary(df).where(F.col("missing_count") > 0).orderBy(F.desc("missing_count"), "column")
+            .limit(top_missing).select(F.lit("missing").alias("finding"), F.col("column").alias("subject"),
+                                       F.format_string("%d missing (%.2f%%)", "missing_count", "missing_pct").alias("detail")))
+    const = constant_columns(df, quasi).where(F.col("constant") | F.col("quasi_constant")).select(
+        F.when(F.col("constant"), "constant").otherwise("quasi_constant").alias("finding"), F.col("column").alias("subject"),
+        F.format_string("top value share %.4f", "top_share").alias("detail"))
+    card = high_cardinality(df, max_distinct_ratio, max_distinct).select(
+        F.lit("high_cardinality").alias("finding"), F.col("column").alias("subject"),
+        F.format_string("%d distinct (ratio %.4f)", "distinct", "ratio").alias("detail"))
+    texts = text_columns(df)
+    out = dup.unionByName(miss).unionByName(const).unionByName(card)
+    if texts:
+        mixed = mixed_types(df, texts).where("mixed").select(
+            F.lit("mixed_types").alias("finding"), F.col("column").alias("subject"),
+            F.array_join("kinds", ", ").alias("detail"))
+        out = out.unionByName(mixed)
+    return out

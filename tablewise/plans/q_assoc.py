@@ -260,3 +260,20 @@ def c19_influence_multi(spark, sf):
     o = table(spark, sf, "orders").select("o_orderpriority", "o_orderstatus",
                                           F.when(F.col("o_totalprice") > 150000, "yes").otherwise("no").alias("big"))
     return finish(assoc.influence(o, ["o_orderpriority", "o_orderstatus"], "big"))
+
+
+@register("c9_c11_categorical_associations", f"""
+with m as ({_c8_sql()}),
+p as (select var1, var2, cramers_v from m
+      where list_position(['event_type', 'user_bucket', 'hour_bucket'], var1)
+            < list_position(['event_type', 'user_bucket', 'hour_bucket'], var2))
+select var1, var2, cramers_v,
+  case when cramers_v is null or isnan(cramers_v) then 'indeterminada' when abs(cramers_v) < 0.3 then 'muito fraca'
+       when abs(cramers_v) < 0.5 then 'fraca' when abs(cramers_v) < 0.7 then 'moderada'
+       when abs(cramers_v) < 0.9 then 'forte' else 'muito forte' end as strength,
+  cramers_v > 0.01 as above_threshold
+from p
+""")
+def c9_c11_categorical_associations(spark, sf):
+    a = assoc.categorical_associations(_ev_cat(spark, sf), EV_CAT)
+    return finish(a.withColumn("above_threshold", F.col("cramers_v") > 0.01))

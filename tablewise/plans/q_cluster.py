@@ -209,3 +209,54 @@ def k22_ward_cut(spark, sf):
 def k31_pca(spark, sf):
     proj, ratio = cluster.pca(emb(spark, sf), "embedding", 2, keep=["vec_id", "label"])
     return finish(proj)
+
+
+@register("k11_describe_deltas")
+def k11_describe_deltas(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("is_returned", (F.col("l_returnflag") == "R").cast("double"))
+    p = cluster.cluster_profile(li, ["l_quantity", "l_discount", "is_returned"], "l_linestatus")
+    roles = {"l_quantity": "continuous", "l_discount": "continuous", "is_returned": "binary"}
+    return finish(cluster.describe_deltas(p, roles))
+
+
+@register("k12_centroid_distances")
+def k12_centroid_distances(spark, sf):
+    rows = []
+    for k in (2, 3, 4):
+        model, _ = cluster.kmeans(emb(spark, sf), "embedding", k, n_init=1, keep=["vec_id"])
+        mx, mean, mn = cluster.centroid_distances(model.clusterCenters())
+        rows.append((k, cluster.kmeans_inertia(model), mx, mean, mn))
+    return finish(spark.createDataFrame(rows, "k long, inertia double, max_centroid_distance double, "
+                                              "mean_centroid_distance double, min_centroid_distance double"))
+
+
+@register("k16_k17_best_dbscan")
+def k16_k17_best_dbscan(spark, sf):
+    g = cluster.dbscan_grid(emb(spark, sf), "vec_id", "embedding", [1.12, 1.15], [3, 4])
+    best = cluster.choose_best_configuration(g).withColumn("choice", F.lit("best"))
+    top = cluster.practical_configurations(g, 5).withColumn("choice", F.lit("practical"))
+    return finish(best.unionByName(top))
+
+
+@register("k21_linkages")
+def k21_linkages(spark, sf):
+    out = None
+    for link in ("single", "complete", "average"):
+        lab, _, _ = cluster.agglomerative(emb(spark, sf), "vec_id", "embedding", 5, link)
+        s = cluster.cluster_sizes(lab, "cluster").withColumn("linkage", F.lit(link))
+        out = s if out is None else out.unionByName(s)
+    return finish(out)
+
+
+@register("k24_tree_silhouette_range")
+def k24_tree_silhouette_range(spark, sf):
+    return finish(cluster.tree_silhouette_range(emb(spark, sf), "vec_id", "embedding", 2, 6))
+
+
+@register("j3_attach_labels", """
+select l.vec_id, l.label, e.label as original_label from embeddings e join embeddings l using (vec_id)
+""")
+def j3_attach_labels(spark, sf):
+    e = emb(spark, sf)
+    labels = e.select("vec_id", "label")
+    return finish(e.select("vec_id", F.col("label").alias("original_label")).join(labels, "vec_id"))

@@ -149,3 +149,18 @@ select 'value' as variable, event_type as target_class, round((1 - avg(o)) * 100
 """)
 def o11_outliers_by_target(spark, sf):
     return finish(outliers.outliers_by_target(table(spark, sf, "events"), COLS, "event_type"))
+
+
+@register("o12_histogram_outlier_segments", f"""
+with r as (select min(value) as lo, max(value) as hi from events),
+l as (select {_lim('events', 'value')[0]} as ll, {_lim('events', 'value')[1]} as ul),
+c as (select least(floor((value - lo) / ((hi - lo) / 30)), 29)::int as bin, count(*) as n,
+        count(*) filter (where value < ll or value > ul) as o from events, r, l group by 1),
+g as (select unnest(range(0, 30)) as bin)
+select 'value' as variable, g.bin::int as bin, lo + g.bin * (hi - lo) / 30 as lower, lo + (g.bin + 1) * (hi - lo) / 30 as upper,
+  coalesce(n, 0)::bigint as "count", coalesce(o, 0)::bigint as outliers,
+  lo + g.bin * (hi - lo) / 30 < ll as below_lower_limit, lo + (g.bin + 1) * (hi - lo) / 30 > ul as above_upper_limit
+from g cross join r cross join l left join c using (bin)
+""")
+def o12_histogram_outlier_segments(spark, sf):
+    return finish(outliers.histogram_outlier_segments(table(spark, sf, "events"), "value", 30))

@@ -128,3 +128,12 @@ def v13_pca_scatter(spark, sf):
     from tablewise.operators import cluster
     proj, _ = cluster.pca(table(spark, sf, "embeddings"), "embedding", 2, keep=["vec_id", "label"])
     return finish(plotdata.scatter_sample(proj, [("pc1", "pc2")], "vec_id", 300, hue="label"))
+
+
+@register("v8_pair_grid_histograms", "select * from " + _hist_sql("lineitem", "l_quantity", 10, "l_linestatus")
+          + " union all select * from " + _hist_sql("lineitem", "l_discount", 10, "l_linestatus").replace(
+              "with r as (select min(l_discount) as lo, max(l_discount) as hi from lineitem)",
+              "with r as (select min(l_discount) as lo, max(l_discount) as hi from lineitem)"))
+def v8_pair_grid_histograms(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return finish(plotdata.histogram(li, ["l_quantity", "l_discount"], 10, by=["l_linestatus"]))

@@ -192,3 +192,98 @@ def r11_mixed_types(spark, sf):
     e = table(spark, sf, "events").select(F.get_json_object("props", "$.k").alias("props_k"), "event_type")
     m = profile.mixed_types(e)
     return finish(m.select("column", F.array_join("kinds", ",").alias("kinds"), "mixed"))
+
+
+@register("r17_table_findings", """
+with g as (select count(*) as s from customer group by c_mktsegment, c_nationkey),
+dup as (select 'duplicates' as finding, 'table' as subject, printf('%d surplus duplicate rows', sum(s) - count(*)) as detail
+        from g having sum(s) - count(*) > 0),
+d as (select 'c_mktsegment' as c, count(distinct c_mktsegment) as n from customer
+      union all select 'c_nationkey', count(distinct c_nationkey) from customer),
+card as (select 'high_cardinality' as finding, c as subject,
+           printf('%d distinct (ratio %.4f)', n, n * 1.0 / (select count(*) from customer)) as detail from d
+         where n >= 20 or n * 1.0 / (select count(*) from customer) >= 0.9)
+select * from dup union all select * from card
+""")
+def r17_table_findings(spark, sf):
+    c = table(spark, sf, "customer").select("c_mktsegment", F.col("c_nationkey").cast("string").alias("c_nationkey"))
+    return finish(profile.table_findings(c, max_distinct=20))
+
+
+@register("r7_r9_column_roles", """
+select 'o_orderkey' as "column", true as numeric, false as text, false as "boolean", false as categorical,
+  false as suspicious_text, (select count(distinct o_orderkey) from orders)::bigint as "distinct"
+union all select 'o_orderstatus', false, true, false, true,
+  (select count(distinct o_orderstatus) < count(*) and count(distinct o_orderstatus) > 0 from orders),
+  (select count(distinct o_orderstatus) from orders)::bigint
+union all select 'o_custkey', true, false, false, (select count(distinct o_custkey) <= 30 from orders), false,
+  (select count(distinct o_custkey) from orders)::bigint
+""")
+def r7_r9_column_roles(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    return finish(profile.column_roles(o, 30))
+
+
+@register("r8_r10_analytic_types", """
+select 'o_orderstatus' as "column", 'categórica nominal/ordinal' as analytic_type,
+  (select count(distinct o_orderstatus) from orders)::bigint as "distinct"
+union all select 'o_orderpriority', 'categórica ordinal', (select count(distinct o_orderpriority) from orders)::bigint
+union all select 'o_totalprice', 'numérica contínua', (select count(distinct o_totalprice) from orders)::bigint
+union all select 'big', 'binária', 2::bigint
+""")
+def r8_r10_analytic_types(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice",
+                                          (F.col("o_totalprice") > 100000).cast("int").alias("big"))
+    return finish(profile.analytic_types(o, 15, hints={"o_orderpriority": "ordinal"}))
+
+
+@register("r14_describe_variable", """
+select 'o_orderstatus' as "column", 'string' as dtype, count(*)::bigint as total,
+  (count(*) - count(o_orderstatus))::bigint as missing, round((count(*) - count(o_orderstatus)) * 100.0 / count(*), 2) as missing_pct,
+  count(distinct o_orderstatus)::bigint as "distinct",
+  (select o_orderstatus from orders group by 1 order by count(*) desc, 1 limit 1) as mode
+from orders
+""")
+def r14_describe_variable(spark, sf):
+    d = profile.describe_variable(table(spark, sf, "orders"), "o_orderstatus", "o_orderkey")
+    return finish(d.select("column", "dtype", "total", "missing", "missing_pct", "distinct", "mode"))
+
+
+@register("r16_variable_findings", """
+with d as (select 'l_quantity' as variable, avg(l_quantity) as m, quantile_cont(l_quantity, 0.5) as med,
+             count(distinct l_quantity) as n from lineitem
+           union all select 'l_discount', avg(l_discount), quantile_cont(l_discount, 0.5), count(distinct l_discount) from lineitem
+           union all select 'l_extendedprice', avg(l_extendedprice), quantile_cont(l_extendedprice, 0.5),
+             count(distinct l_extendedprice) from lineitem)
+select variable, 'asymmetry' as rule, 'mean and median differ visibly' as detail from d
+  where case when m <> 0 then abs(m - med) > 0.15 * abs(m) else abs(med) > 0 end
+union all select variable, 'low_cardinality', 'few distinct values' from d where n between 2 and 5
+union all select variable, 'high_cardinality', 'many distinct values' from d where n > 50
+""")
+def r16_variable_findings(spark, sf):
+    d = profile.describe_numeric(table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_extendedprice"))
+    return finish(profile.variable_findings(d))
+
+
+@register("d6_candidate_subset", """
+select count(*)::bigint as duplicated_rows from lineitem
+where (l_returnflag, l_linestatus, l_discount, l_tax) in (
+  select (l_returnflag, l_linestatus, l_discount, l_tax) from lineitem group by all having count(*) > 1)
+""")
+def d6_candidate_subset(spark, sf):
+    from tablewise.operators import quality
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_discount", "l_tax",
+                                             "l_quantity")
+    sub = quality.candidate_subset(li, max_cols=5, max_distinct=20)
+    s = quality.duplicate_subsets_summary(li, [sub])
+    return finish(s.select("duplicated_rows"))
+
+
+@register("p2_p3_p12_p13_columns_and_slices", """
+select o_orderkey as order_key, o_totalprice is null as price_missing, o_custkey from orders
+where o_orderkey >= 100 and o_orderkey <= 200
+""")
+def p2_p3_p12_p13_columns_and_slices(spark, sf):
+    o = table(spark, sf, "orders").withColumnsRenamed({"o_orderkey": "order_key"})
+    o = profile.slice_rows(o, "order_key", 100, 200, inclusive=True)
+    return finish(o.select("order_key", F.col("o_totalprice").isNull().alias("price_missing"), "o_custkey"))

@@ -207,3 +207,60 @@ def t1_t4_sort_rank_lag(spark, sf):
     t = o.select("o_custkey", "o_orderkey", "o_totalprice", F.row_number().over(w1).alias("rk"),
                  (F.col("o_totalprice") - F.lag("o_totalprice").over(w2)).alias("diff"))
     return finish(t.where(F.col("rk") <= 2))
+
+
+@register("b1_b4_value_callbacks", """
+select o_orderkey, o_totalprice / 1000.0 as price_k, o_totalprice * 2 as doubled,
+  case o_orderstatus when 'F' then 'finished' when 'O' then 'open' end as status_name from orders
+""")
+def b1_b4_value_callbacks(spark, sf):
+    from tablewise.functions import udf
+    o = table(spark, sf, "orders")
+    return finish(o.select("o_orderkey", udf.apply_values("o_totalprice", lambda v: v / 1000.0).alias("price_k"),
+                           udf.apply_series("o_totalprice", lambda s: s * 2).alias("doubled"),
+                           udf.map_dict("o_orderstatus", {"F": "finished", "O": "open"}).alias("status_name")))
+
+
+@register("b2_row_callback", """
+select l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) * (1 + l_tax) as charge from lineitem
+""")
+def b2_row_callback(spark, sf):
+    from tablewise.functions import udf
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax")
+
+    def charge(b):
+        b = b.copy()
+        b["charge"] = b["l_extendedprice"] * (1 - b["l_discount"]) * (1 + b["l_tax"])
+        return b[["l_orderkey", "l_linenumber", "charge"]]
+    return finish(udf.apply_rows(li, charge, "l_orderkey long, l_linenumber int, charge double"))
+
+
+@register("b3_group_callback", """
+select l_returnflag, count(*)::bigint as n, avg(l_quantity) as mean_qty, max(l_extendedprice) as max_price
+from lineitem group by 1
+""")
+def b3_group_callback(spark, sf):
+    import pandas as pd
+    from tablewise.functions import udf
+    li = table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sq"), F.max("l_extendedprice").alias("mx"))
+
+    # pre-aggregated partials per (flag, status), then a pandas callback per flag
+    def per_flag(g: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"l_returnflag": [g["l_returnflag"].iloc[0]], "n": [int(g["n"].sum())],
+                             "mean_qty": [g["sq"].sum() / g["n"].sum()], "max_price": [g["mx"].max()]})
+    return finish(udf.apply_groups(li, ["l_returnflag"], per_flag,
+                                   "l_returnflag string, n long, mean_qty double, max_price double"))
+
+
+@register("x9_x10_sequences", """
+select p_partkey, list_sum(list_transform(range(0, 5), lambda i: 1.0 + i * (p_size - 1.0) / 4)) as linspace_sum,
+  len(list_filter(range(1, p_size + 1), lambda v: v % 2 = 0))::bigint as n_even,
+  case when p_size > 25 then 'big' else 'small' end as size_class from part
+""")
+def x9_x10_sequences(spark, sf):
+    p = table(spark, sf, "part")
+    lin = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.lit(1.0) + i * (F.col("p_size") - 1.0) / 4)
+    return finish(p.select("p_partkey", X.array_sum(lin).alias("linspace_sum"),
+                           F.size(F.filter(F.sequence(F.lit(1), F.col("p_size")), lambda v: v % 2 == 0)).cast("long").alias("n_even"),
+                           F.when(F.col("p_size") > 25, "big").otherwise("small").alias("size_class")))

@@ -76,3 +76,35 @@ def test_ward_exact_small(spark):
     assert got[0] == got[1] and got[2] == got[3] and len({got[0], got[2], got[4]}) == 3
     # first two merges join the unit-distance pairs at height 1
     assert np.allclose(sorted(Z[:2, 2]), [1.0, 1.0])
+
+
+@pytest.mark.parametrize("linkage", ["ward", "single", "complete", "average"])
+def test_agglomerate_matches_definition(linkage):
+    from tablewise.operators.cluster import _agglomerate
+    rng = np.random.default_rng(7)
+    X = rng.normal(size=(25, 3))
+    Z = _agglomerate(X, np.ones(len(X)), linkage)
+    clusters = {i: [i] for i in range(len(X))}
+    heights = []
+    for step in range(len(X) - 1):
+        best = None
+        keys = sorted(clusters)
+        for a_i, a in enumerate(keys):
+            for b in keys[a_i + 1:]:
+                A, B = X[clusters[a]], X[clusters[b]]
+                pd_ = np.sqrt(((A[:, None, :] - B[None, :, :]) ** 2).sum(-1))
+                if linkage == "ward":
+                    na, nb = len(A), len(B)
+                    d = np.sqrt(2 * na * nb / (na + nb)) * np.linalg.norm(A.mean(0) - B.mean(0))
+                elif linkage == "single":
+                    d = pd_.min()
+                elif linkage == "complete":
+                    d = pd_.max()
+                else:
+                    d = pd_.mean()
+                if best is None or d < best[0]:
+                    best = (d, a, b)
+        d, a, b = best
+        heights.append(d)
+        clusters[len(X) + step] = clusters.pop(a) + clusters.pop(b)
+    assert np.allclose(Z[:, 2], heights)
