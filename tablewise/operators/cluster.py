@@ -218,7 +218,8 @@ def pca(df: DataFrame, features: Sequence[str] | str, k: int = 2, keep: Sequence
     signs = np.sign(pcm[np.abs(pcm).argmax(axis=0), range(pcm.shape[1])])
     signs[signs == 0] = 1
     arr = vector_to_array("p")
-    proj = centred.select(*[q(c) for c in keep], *[(arr[i] * float(signs[i])).alias(f"pc{i + 1}") for i in range(k)])
+    proj = model.transform(centred).select(*[q(c) for c in keep],
+                                           *[(arr[i] * float(signs[i])).alias(f"pc{i + 1}") for i in range(k)])
     return proj, [float(v) for v in model.explainedVariance.toArray()]
 
 

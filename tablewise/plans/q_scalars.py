@@ -139,7 +139,7 @@ def s8_model_save_load(spark, sf):
     model.write().overwrite().save(path)
     loaded = KMeansModel.load(path)
     vec = cluster._vectors(table(spark, sf, "embeddings"), "embedding", ["vec_id"])
-    return finish(loaded.transform(vec).select("vec_id", F.col("prediction").cast("long").alias("cluster")))
+    return finish(loaded.transform(vec).select("vec_id", F.col("cluster").cast("long").alias("cluster")))
 
 
 @register("p4_p5_select_drop", """
