@@ -7,9 +7,9 @@ Euclidean distance and L1 >= L2, so every true neighbour lies in one of the
 3^m adjacent cells: an equi-join on the cell key followed by the exact
 distance filter finds all of them and nothing else.
 
-k nearest neighbours: exact, by broadcasting bounded blocks of the reference
-set and keeping a per-query top-k inside the tasks (vectorised numpy);
-per-block candidates are merged with a bounded window.
+k nearest neighbours: exact, as a blocked nested loop over (query block,
+reference block) cogroups that keep a per-query top-k inside the tasks
+(vectorised numpy); per-block candidates are merged with a window.
 """
 
 from __future__ import annotations
@@ -71,50 +71,58 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence
         metric: str = "euclidean", ref_features: Sequence[str] | str | None = None,
         extra: Sequence[str] = (), block_rows: int = KNN_BLOCK_ROWS) -> DataFrame:
     """Exact k nearest reference rows for every query row: (qid, nid, dist, rank) + ``extra``
-    reference columns.  Ties on distance go to the smaller reference id."""
+    reference columns.  Ties on distance go to the smaller reference id.
+
+    Blocked nested loop on the cluster: queries are hashed into Q blocks and
+    reference rows into R blocks (each about ``block_rows`` rows); every
+    (query block, reference block) pair is one cogroup task that keeps only
+    the k best candidates per query (vectorised numpy), and the per-block
+    candidates (k x R per query) are merged with a window.  Nothing passes
+    through the driver; the work is the inherent n x m of exact k-NN."""
     import numpy as np
     import pandas as pd
     from pyspark.sql import Window
 
-    spark = query.sparkSession
     qpts = query.select(q(qid).alias("qid"), feature_array(query, features).alias("x"))
     rsel = ref.select(q(rid).alias("nid"), feature_array(ref, ref_features or features).alias("x"),
                       *[q(c).alias(c) for c in extra])
-    n_ref = rsel.count()
-    n_blocks = max(1, -(-n_ref // block_rows))
-    rsel = rsel.withColumn("_blk", F.pmod(F.xxhash64("nid"), F.lit(n_blocks)))
-    results = None
-    extra_schema = [f for f in rsel.schema.fields if f.name in extra]
-    for b in range(n_blocks):
-        rows = rsel.where(F.col("_blk") == b).collect()  # one bounded block (<= ~block_rows rows)
-        if not rows:
-            continue
-        ids = np.array([r["nid"] for r in rows])
-        mat = np.array([r["x"] for r in rows], dtype=float)
-        ext = {c: [r[c] for r in rows] for c in extra}
-        bc = spark.sparkContext.broadcast((ids, mat, ext))
-
-        def top(batches, bc=bc):
-            ids_, m, ex = bc.value
-            kk = min(k, len(ids_))
-            step = min(1024, max(1, int(2e7 // max(1, m.size))))
-            for pdf in batches:
-                xs = np.array(pdf["x"].tolist(), dtype=float)
-                for i0 in range(0, len(xs), step):
-                    blk = xs[i0:i0 + step]
-                    diff = blk[:, None, :] - m[None, :, :]
-                    dist = np.sqrt((diff * diff).sum(-1)) if metric == "euclidean" else np.abs(diff).sum(-1)
-                    order = np.lexsort((np.broadcast_to(ids_, dist.shape), dist), axis=-1)[:, :kk]
-                    r = np.arange(len(blk))[:, None]
-                    out = {"qid": np.repeat(pdf["qid"].to_numpy()[i0:i0 + step], kk),
-                           "nid": ids_[order].ravel(), "dist": dist[r, order].ravel()}
-                    for c in extra:
-                        out[c] = np.asarray(ex[c], dtype=object)[order].ravel()
-                    yield pd.DataFrame(out)
-
-        schema = ("qid " + query.schema[qid].dataType.simpleString() + ", nid " + ref.schema[rid].dataType.simpleString()
-                  + ", dist double" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra_schema))
-        part = qpts.mapInPandas(top, schema)
-        results = part if results is None else results.unionByName(part)
+    n_q, n_r = qpts.count(), rsel.count()
+    Q = max(1, -(-n_q // block_rows))
+    R = max(1, -(-n_r // block_rows))
+    qb = qpts.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(Q))).select(
+        "qid", "x", "qb", F.explode(F.sequence(F.lit(0), F.lit(R - 1))).alias("rb"))
+    rb = rsel.withColumn("rb", F.pmod(F.xxhash64("nid"), F.lit(R))).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(Q - 1))).alias("qb"))
+    extra_fields = [f for f in rsel.schema.fields if f.name in extra]
+    schema = ("qid " + query.schema[qid].dataType.simpleString() + ", nid " + ref.schema[rid].dataType.simpleString()
+              + ", dist double" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra_fields))
+
+    def top(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(qpdf) == 0 or len(rpdf) == 0:
+            empty = {"qid": pd.Series([], dtype="int64"), "nid": pd.Series([], dtype="int64"),
+                     "dist": pd.Series([], dtype="float64")}
+            for f in extra_fields:
+                empty[f.name] = pd.Series([], dtype="object")
+            return pd.DataFrame(empty)
+        ids = rpdf["nid"].to_numpy()
+        m = np.array(rpdf["x"].tolist(), dtype=float)
+        xs = np.array(qpdf["x"].tolist(), dtype=float)
+        kk = min(k, len(ids))
+        step = min(1024, max(1, int(2e7 // max(1, m.size))))
+        parts = []
+        for i0 in range(0, len(xs), step):
+            blk = xs[i0:i0 + step]
+            diff = blk[:, None, :] - m[None, :, :]
+            dist = np.sqrt((diff * diff).sum(-1)) if metric == "euclidean" else np.abs(diff).sum(-1)
+            order = np.lexsort((np.broadcast_to(ids, dist.shape), dist), axis=-1)[:, :kk]
+            r = np.arange(len(blk))[:, None]
+            out = {"qid": np.repeat(qpdf["qid"].to_numpy()[i0:i0 + step], kk),
+                   "nid": ids[order].ravel(), "dist": dist[r, order].ravel()}
+            for f in extra_fields:
+                out[f.name] = rpdf[f.name].to_numpy()[order].ravel()
+            parts.append(pd.DataFrame(out))
+        return pd.concat(parts, ignore_index=True)
+
+    cand = qb.groupBy("qb", "rb").cogroup(rb.groupBy("qb", "rb")).applyInPandas(top, schema)
     w = Window.partitionBy("qid").orderBy("dist", "nid")
-    return results.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
