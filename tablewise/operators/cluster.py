@@ -2,10 +2,10 @@
 
 * k-means is ``pyspark.ml.clustering.KMeans`` on a cached vector column; the
   reference's n_init restarts are a loop over seeds keeping the least cost.
-* DBSCAN is a DataFrame algorithm: eps-neighbour join (``neighbors``), core
-  flags by count, connected components of core points by min-label
-  propagation with pointer jumping (lineage cut by reliable checkpoints),
-  border points to the least adjacent core label.
+* DBSCAN runs as bounded blocked cogroup tasks over an exact eps grid
+  (``operators.density``): neighbour counts, spanning forests of the core
+  graph and border labels are emitted instead of neighbour pairs; components
+  by min-label propagation with pointer jumping (reliable checkpoints).
 * Ward is two-stage: weighted k-means micro-clusters on Spark, Ward merges on
   that bounded summary (exact when micro-clusters = rows), labels joined back.
 """
@@ -252,60 +252,32 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int =
     return lab
 
 
-def dbscan_from_pairs(points: DataFrame, pairs: DataFrame, eps: float, min_samples: int) -> DataFrame:
-    """K13 core: labels from a neighbour-pair table (rid, nid, dist incl. self).
-
-    Returns (rid, cluster, is_core); noise = -1; clusters numbered 0.. by
-    their least core row id; a border point takes the least adjacent label."""
-    pe = pairs.where(F.col("dist") <= eps)
-    counts = pe.groupBy("rid").agg(F.count(F.lit(1)).alias("n_nb"))
-    core = counts.where(F.col("n_nb") >= min_samples).select(F.col("rid").alias("id"))
-    cc = core.select(F.col("id").alias("rid"))
-    ce = (pe.join(cc, "rid").join(cc.withColumnRenamed("rid", "nid"), "nid")
-            .select(F.col("rid").alias("src"), F.col("nid").alias("dst")))
-    comp = connected_components(core, ce)
-    # number components by their least core id (rank over the component table)
-    firsts = comp.groupBy("comp").agg(F.min("id").alias("first"))
-    from tablewise.operators.assoc import average_rank
-    rk = average_rank(firsts, "first").select(F.col("v").alias("first"), (F.col("rank") - 1).cast("long").alias("cluster"))
-    comp_lab = comp.join(firsts, "comp").join(rk, "first").select(F.col("id").alias("rid"), "cluster")
-    border = (pe.join(comp_lab.withColumnRenamed("rid", "nid").withColumnRenamed("cluster", "nl"), "nid")
-                .join(cc.withColumn("_c", F.lit(True)), "rid", "left").where(F.col("_c").isNull())
-                .groupBy("rid").agg(F.min("nl").alias("cluster")))
-    lab = comp_lab.withColumn("is_core", F.lit(True)).unionByName(border.withColumn("is_core", F.lit(False)))
-    return (points.select("rid").join(lab, "rid", "left")
-                  .select("rid", F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"),
-                          F.coalesce("is_core", F.lit(False)).alias("is_core")))
-
-
 def dbscan(df: DataFrame, row_id: str, features: Sequence[str] | str, eps: float, min_samples: int,
            metric: str = "euclidean", proj_dims: int = 2) -> DataFrame:
-    """DBSCAN labels (rid, cluster, is_core)."""
-    pairs = eps_pairs(df, row_id, features, eps, metric, proj_dims).persist()
-    pts = df.select(q(row_id).alias("rid"))
-    return dbscan_from_pairs(pts, pairs, eps, min_samples)
-
-
-def eps_pairs(df, row_id, features, eps, metric="euclidean", proj_dims=2):
-    from tablewise.operators.neighbors import eps_pairs as _ep
-    return _ep(df, row_id, features, eps, metric, proj_dims)
+    """DBSCAN labels (rid, cluster, is_core); see ``operators.density``."""
+    from tablewise.operators import density
+    return density.dbscan(df, row_id, features, eps, min_samples, metric, proj_dims)
 
 
 def dbscan_grid(df: DataFrame, row_id: str, features: Sequence[str] | str, eps_values: Sequence[float],
                 min_samples_values: Sequence[int], metric: str = "euclidean", silhouette_sample: int = 5000,
                 proj_dims: int = 2) -> DataFrame:
-    """One neighbour join at the largest eps, reused for every (eps,
-    min_samples): clusters, noise n / pct, core points, largest cluster pct,
-    silhouette over all points (noise as a label) and without noise.
-    Silhouettes use the labels of the evaluated fit (no refit)."""
+    """Neighbour counts for every eps in ONE blocked pass (cells at the
+    largest eps), reused for every (eps, min_samples): clusters, noise n / pct,
+    core points, largest cluster pct, silhouette over all points (noise as a
+    label) and without noise.  Silhouettes use the labels of the evaluated
+    fit (no refit)."""
+    from tablewise.operators import density
     from tablewise.operators.metrics import silhouette
-    pairs = eps_pairs(df, row_id, features, max(eps_values), metric, proj_dims).persist()
-    pts = df.select(q(row_id).alias("rid"))
-    feats = df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
+    eps_sorted = sorted(eps_values)
+    home, away = density.block_tasks(df, row_id, features, max(eps_sorted), proj_dims)
+    counts = cut_lineage(density.neighbour_counts(home, away, eps_sorted, metric))
+    feats = df.select(q(row_id).cast("long").alias("rid"), feature_array(df, features).alias("x"))
     rows = []
-    for eps in eps_values:
+    for i, eps in enumerate(eps_sorted):
         for ms in min_samples_values:
-            lab = dbscan_from_pairs(pts, pairs, eps, ms).persist()
+            lab = cut_lineage(density.label_points(df, row_id, features, counts, f"n_{i}", eps, ms, metric,
+                                                   proj_dims, density.BLOCK_ROWS))
             s = noise_summary(lab).collect()[0]
             core_n = lab.where("is_core").count()
             lx = lab.join(feats, "rid")
@@ -315,8 +287,6 @@ def dbscan_grid(df: DataFrame, row_id: str, features: Sequence[str] | str, eps_v
                     if nn.limit(2).count() > 1 else None)
             rows.append((float(eps), int(ms), int(s["n_clusters"]), int(s["n_noise"]), float(s["noise_pct"]),
                          int(core_n), s["largest_cluster_pct"], s_all, s_nn))
-            lab.unpersist()
-    pairs.unpersist()
     return df.sparkSession.createDataFrame(
         rows, "eps double, min_samples long, n_clusters long, n_noise long, noise_pct double, core_points long, "
               "largest_cluster_pct double, silhouette_all double, silhouette_non_noise double")

@@ -1,11 +1,7 @@
 """Neighbour joins shared by DBSCAN, k-distance and k-NN models
 (SURVEY K13-K15, K19, K21, L8, L19).
 
-eps-neighbours: every point gets a cell key from its projection on a few
-principal directions (cell width eps).  A projection never increases a
-Euclidean distance and L1 >= L2, so every true neighbour lies in one of the
-3^m adjacent cells: an equi-join on the cell key followed by the exact
-distance filter finds all of them and nothing else.
+eps-neighbourhoods (DBSCAN) live in ``operators.density``.
 
 k nearest neighbours: exact, as a blocked nested loop over (query block,
 reference block) cogroups that keep a per-query top-k inside the tasks
@@ -14,14 +10,13 @@ reference block) cogroups that keep a per-query top-k inside the tasks
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewise.functions.core import q
-from tablewise.operators.metrics import feature_array, l1_dist, sq_dist
+from tablewise.operators.metrics import feature_array
 
 KNN_BLOCK_ROWS = 20_000
 
@@ -42,31 +37,6 @@ def projection_axes(x: DataFrame, dims: int) -> list[list[float]]:
     return axes
 
 
-def _points(df: DataFrame, row_id: str, features: Sequence[str] | str) -> DataFrame:
-    return df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
-
-
-def eps_pairs(df: DataFrame, row_id: str, features: Sequence[str] | str, eps: float,
-              metric: str = "euclidean", proj_dims: int = 2, include_self: bool = True) -> DataFrame:
-    """All ordered pairs (rid, nid, dist) with dist <= eps (inclusive), self
-    pairs included when ``include_self``."""
-    pts = _points(df, row_id, features)
-    axes = projection_axes(pts, proj_dims)
-    cells = [F.floor(F.element_at("x", ax.index(1.0) + 1) / eps) for ax in axes]
-    keyed = pts.select("rid", "x", F.array(*cells).cast("array<long>").alias("cell"))
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=len(axes))]
-    off = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets])
-    probe = keyed.select(F.col("rid").alias("nid"), F.col("x").alias("nx"),
-                         F.explode(off).alias("o"), F.col("cell").alias("ncell"))
-    probe = probe.select("nid", "nx", F.zip_with("ncell", "o", lambda a, b: a + b).alias("cell"))
-    cand = keyed.join(probe, "cell")
-    d = F.sqrt(sq_dist(F.col("x"), F.col("nx"))) if metric == "euclidean" else l1_dist(F.col("x"), F.col("nx"))
-    out = cand.select("rid", "nid", d.alias("dist")).where(F.col("dist") <= eps)
-    if not include_self:
-        out = out.where(F.col("rid") != F.col("nid"))
-    return out
-
-
 def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence[str] | str, k: int,
         metric: str = "euclidean", ref_features: Sequence[str] | str | None = None,
         extra: Sequence[str] = (), block_rows: int = KNN_BLOCK_ROWS) -> DataFrame:

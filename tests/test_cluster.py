@@ -108,3 +108,15 @@ def test_agglomerate_matches_definition(linkage):
         heights.append(d)
         clusters[len(X) + step] = clusters.pop(a) + clusters.pop(b)
     assert np.allclose(Z[:, 2], heights)
+
+
+def test_dbscan_split_cells_match(spark, emb):
+    """Tiny blocks force every cell into many sub-blocks (the dense-cell path)."""
+    from tablewise.operators import density
+    from tablewise.sources.tables import table
+    ids, X = emb
+    want, want_core = brute_dbscan(ids, X, 1.15, 3)
+    got = {r["rid"]: (r["cluster"], r["is_core"]) for r in
+           density.dbscan(table(spark, SF, "embeddings"), "vec_id", "embedding", 1.15, 3, block_rows=37).collect()}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert {k: v[1] for k, v in got.items()} == want_core
