@@ -139,13 +139,14 @@ def first_rank(df: DataFrame, key: str, order_col: str, rank_col: str = "code",
                base: int = 0) -> DataFrame:
     """Rank distinct values of ``key`` by their first appearance (min order_col).
 
-    The distinct-value table is small relative to the data (one row per
-    level); the ranking window runs over that table only.
-    """
-    from pyspark.sql import Window
-    firsts = df.where(q(key).isNotNull()).groupBy(q(key).alias(key)).agg(F.min(q(order_col)).alias("_first"))
-    w = Window.orderBy("_first", key)
-    return firsts.select(key, (F.row_number().over(w) - 1 + base).alias(rank_col))
+    The level table (one row per distinct value) is ranked with a distributed
+    prefix sum over range partitions, so a high-cardinality column is never
+    ranked by a single task."""
+    from tablewise.operators.learn import position_in_group
+    firsts = (df.where(q(key).isNotNull()).groupBy(q(key).alias(key)).agg(F.min(q(order_col)).alias("_first"))
+                .withColumn("_all", F.lit(0)).withColumn("_ord", F.struct("_first", q(key))))
+    pos = position_in_group(firsts, ["_all"], "_ord")
+    return pos.select(q(key), (F.col("pos") + base).alias(rank_col))
 
 
 def safe_corr(a: Column, b: Column) -> Column:

@@ -104,8 +104,8 @@ def disguised_examples(df: DataFrame, row_id: str, cols: Sequence[str] | None =
     long = unpivot(df, cols, [row_id], "column", "value", "string")
     norm = F.coalesce(_strip_lower(F.col("value")), F.lit(""))
     flagged = long.where(norm.isin(list(tokens)))
-    w = Window.partitionBy("column").orderBy(row_id)
-    return flagged.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit).drop("_r")
+    from tablewise.functions.topk import top_n_per_group
+    return top_n_per_group(flagged, ["column"], [row_id], limit).drop("rank")
 
 
 def _row_missing_exprs(df: DataFrame, tokens: Sequence[str], exclude: Sequence[str] = ()):

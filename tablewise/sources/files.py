@@ -1,7 +1,7 @@
 """File sources and sinks and column-name rules.
 
-Probing (separator, encoding) reads only the first bytes through Spark's
-``text`` / ``binaryFile`` sources -- a bounded payload -- and the table is
+Probing (separator, encoding) reads only the first 4 KB of the first file
+through the Hadoop FileSystem API -- a bounded payload -- and the table is
 then read once with ``spark.read.csv``; nothing data-sized passes the driver.
 """
 
@@ -69,10 +69,32 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "ut
 
 
 def _head_bytes(spark: SparkSession, path: str, n: int = 4096) -> bytes:
-    """First ``n`` bytes of the first file under ``path`` (bounded payload)."""
-    row = (spark.read.format("binaryFile").load(path).select(F.substring("content", 1, n).alias("h"))
-                .orderBy(F.lit(1)).limit(1).collect())
-    return bytes(row[0]["h"]) if row else b""
+    """First ``n`` bytes of the first data file under ``path`` through the
+    Hadoop FileSystem API (works for HDFS / S3 / local); bounded payload."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if fs.getFileStatus(p).isDirectory():
+        files = sorted((st.getPath().toString() for st in fs.listStatus(p)
+                        if st.isFile() and not st.getPath().getName().startswith(("_", "."))))
+        if not files:
+            return b""
+        p = jvm.org.apache.hadoop.fs.Path(files[0])
+    stream = fs.open(p)
+    try:
+        gw = spark.sparkContext._gateway
+        jbuf = gw.new_array(jvm.byte, n)
+        got, total = 0, b""
+        while got < n:
+            k = stream.read(jbuf, 0, n - got)
+            if k <= 0:
+                break
+            total += bytes(jbuf)[:k]
+            got += k
+        return total
+    finally:
+        stream.close()
 
 
 def sniff_separator(spark: SparkSession, path: str, encoding: str = "utf-8",
