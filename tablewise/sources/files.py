@@ -83,16 +83,8 @@ def _head_bytes(spark: SparkSession, path: str, n: int = 4096) -> bytes:
         p = jvm.org.apache.hadoop.fs.Path(files[0])
     stream = fs.open(p)
     try:
-        gw = spark.sparkContext._gateway
-        jbuf = gw.new_array(jvm.byte, n)
-        got, total = 0, b""
-        while got < n:
-            k = stream.read(jbuf, 0, n - got)
-            if k <= 0:
-                break
-            total += bytes(jbuf)[:k]
-            got += k
-        return total
+        io = jvm.org.apache.commons.io
+        return bytes(io.IOUtils.toByteArray(io.input.BoundedInputStream(stream, n)))
     finally:
         stream.close()
 
