@@ -142,10 +142,9 @@ def first_rank(df: DataFrame, key: str, order_col: str, rank_col: str = "code",
     The level table (one row per distinct value) is ranked with a distributed
     prefix sum over range partitions, so a high-cardinality column is never
     ranked by a single task."""
-    from tablewise.operators.learn import position_in_group
-    firsts = (df.where(q(key).isNotNull()).groupBy(q(key).alias(key)).agg(F.min(q(order_col)).alias("_first"))
-                .withColumn("_all", F.lit(0)).withColumn("_ord", F.struct("_first", q(key))))
-    pos = position_in_group(firsts, ["_all"], "_ord")
+    from tablewise.functions.prefix import prefix_sum
+    firsts = df.where(q(key).isNotNull()).groupBy(q(key).alias(key)).agg(F.min(q(order_col)).alias("_first"))
+    pos = prefix_sum(firsts, [], ["_first", key], out="pos")
     return pos.select(q(key), (F.col("pos") + base).alias(rank_col))
 
 

@@ -6,8 +6,9 @@ low-cardinality columns, a memory risk for a high-cardinality column over
 100 TB.  ``exact_quantiles`` instead
 
 1. counts distinct values per key (one shuffle with map-side combine),
-2. range-partitions the (key, value, count) table and sums counts locally,
-3. turns per-partition totals (one row per partition and key) into offsets,
+2. range-partitions the (key, value, count) table and sums counts inside
+   each partition, 3. turns per-partition totals into offsets
+   (``functions.prefix``),
 4. keeps, for each requested probability, the two values at sorted positions
    floor(p*(n-1)) and ceil(p*(n-1)), and interpolates.
 
@@ -36,16 +37,8 @@ def exact_quantiles_long(long: DataFrame, keys: Sequence[str], value: str, probs
     v = F.col(value).cast("double")
     counts = (long.where(v.isNotNull()).groupBy(*[F.col(k) for k in keys], v.alias("_v"))
                   .agg(F.count(F.lit(1)).alias("_c")))
-    ranged = counts.repartitionByRange(n_parts, *keys, "_v").withColumn("_pid", F.spark_partition_id())
-    wl = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(wl), F.lit(0)))
-    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_tot"))
-    wo = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_pid", *keys, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"),
-                         F.sum("_tot").over(Window.partitionBy(*keys)).alias("_n"))
-    # offs has at most (range partitions x keys) rows: bounded, so broadcast.
-    pos = local.join(F.broadcast(offs), ["_pid", *keys])
-    pos = pos.withColumn("_start", F.col("_off") + F.col("_before"))
+    from tablewise.functions.prefix import prefix_sum
+    pos = prefix_sum(counts, keys, ["_v"], weight="_c", out="_start", partitions=n_parts).withColumnRenamed("_total", "_n")
     targets = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
     t = pos.select(*keys, "_v", "_c", "_start", "_n", F.explode(targets).alias("_t"))
     h = F.col("_t.p") * (F.col("_n") - 1)

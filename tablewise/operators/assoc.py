@@ -59,18 +59,9 @@ def average_rank(values: DataFrame, value_col: str, weight_col: str | None = Non
     offsets.  No window spans the whole table."""
     w = F.col(weight_col) if weight_col else F.lit(1)
     counts = values.where(q(value_col).isNotNull()).groupBy(q(value_col).alias("v")).agg(F.sum(w).alias("cnt"))
-    n_parts = partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(n_parts, "v").withColumn("pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "local_before",
-        F.sum("cnt").over(Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)))
-    totals = ranged.groupBy("pid").agg(F.sum("cnt").alias("tot"))
-    offsets = totals.select("pid", F.coalesce(F.sum("tot").over(
-        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    # offsets has one row per partition: a proven size bound for broadcast.
-    return (local.join(F.broadcast(offsets), "pid")
-                 .select(F.col("v"), (F.col("offset") + F.coalesce(F.col("local_before"), F.lit(0))
-                                      + (F.col("cnt") + 1) / 2.0).alias("rank")))
+    from tablewise.functions.prefix import prefix_sum
+    pos = prefix_sum(counts, [], ["v"], weight="cnt", out="before", partitions=partitions)
+    return pos.select("v", (F.col("before") + (F.col("cnt") + 1) / 2.0).alias("rank"))
 
 
 def spearman_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = True) -> DataFrame:

@@ -36,17 +36,8 @@ def position_in_group(df: DataFrame, keys: Sequence[str], order_col: str, out: s
     """0-based position of each row within its ``keys`` group by ``order_col``
     (distinct per group): a distributed prefix sum over range partitions,
     so a dominant group is never sorted by one task."""
-    keys = list(keys)
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *[q(k) for k in keys], q(order_col)).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_lp", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(q(order_col))) - 1)
-    tot = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_t"))
-    offs = tot.select("_pid", *keys, F.coalesce(F.sum("_t").over(
-        Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # offs has (range partitions x groups) rows: bounded, broadcast
-    j = local.join(F.broadcast(offs), ["_pid", *keys])
-    return j.withColumn(out, F.col("_off") + F.col("_lp")).drop("_pid", "_lp", "_off")
+    from tablewise.functions.prefix import prefix_sum
+    return prefix_sum(df, list(keys), [order_col], out=out).drop("_total")
 
 
 def stratified_folds(df: DataFrame, label: str, row_id: str, n_splits: int = 5) -> DataFrame:
