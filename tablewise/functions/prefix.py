@@ -8,7 +8,8 @@ into ranges of its primary order column at approximate quantile bounds
 re-execution of any branch of the plan assigns the same range.  Running
 sums are a window over (keys, _pid); the per-range totals (ranges x groups
 rows) become offsets with a small window and a join.  A key group holding a
-third of the table is spread over ``partitions`` ranges.
+third of the table is spread over ``partitions`` ranges.  Groups proven small
+by a count (<= ``SMALL_GROUP`` rows) take a plain window instead.
 """
 
 from __future__ import annotations
@@ -19,8 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SMALL_GROUP = 1_000_000  # rows one window task may sort (spillable; checked before use)
+
+
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
-               out: str = "before", partitions: int | None = None) -> DataFrame:
+               out: str = "before", partitions: int | None = None, small_group: int = SMALL_GROUP,
+               size_hint: int | None = None) -> DataFrame:
     """Adds ``out`` = sum of ``weight`` (1 when None) over rows of the same key
     group that sort strictly before this row by ``order`` (give a unique order
     for a deterministic result), and ``_total`` = the group total.  The first
@@ -31,6 +36,14 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight:
     primary = F.col(order[0]).cast("double")
     w = F.col(weight) if weight else F.lit(1)
     base = df.withColumn("_w", w.cast("long"))
+    # proven-small groups: one window per group (a bounded sort per task)
+    largest = size_hint if size_hint is not None else (
+        base.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 0)
+    if largest <= small_group:
+        grp = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+        run = grp.orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+        return (base.withColumn(out, F.coalesce(F.sum("_w").over(run), F.lit(0)).cast("long"))
+                    .withColumn("_total", F.sum("_w").over(grp)).drop("_w"))
     probs = [i / n for i in range(1, n)]
     if not probs:
         x = base.withColumn("_pid", F.lit(0))

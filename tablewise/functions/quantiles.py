@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tablewise.functions.core import q, unpivot
 
 
+
 def exact_quantiles_long(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                          partitions: int | None = None) -> DataFrame:
     """Quantiles per group of ``keys`` over ``value`` in a long table.
@@ -38,7 +39,14 @@ def exact_quantiles_long(long: DataFrame, keys: Sequence[str], value: str, probs
     counts = (long.where(v.isNotNull()).groupBy(*[F.col(k) for k in keys], v.alias("_v"))
                   .agg(F.count(F.lit(1)).alias("_c")))
     from tablewise.functions.prefix import prefix_sum
-    pos = prefix_sum(counts, keys, ["_v"], weight="_c", out="_start", partitions=n_parts).withColumnRenamed("_total", "_n")
+    # prefix_sum sorts proven-small groups with one window each and spreads
+    # larger groups over value ranges
+    # size hint: distinct values per key from mergeable HLL sketches over the
+    # input (no shuffle of rows), padded for the estimator's error
+    nd = long.where(v.isNotNull()).groupBy(*[F.col(k) for k in keys]).agg(
+        F.approx_count_distinct(v, 0.02).alias("_nd")).agg(F.max("_nd")).collect()[0][0] or 0
+    pos = prefix_sum(counts, keys, ["_v"], weight="_c", out="_start", partitions=n_parts,
+                     size_hint=int(nd * 1.25) + 1).withColumnRenamed("_total", "_n")
     targets = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
     t = pos.select(*keys, "_v", "_c", "_start", "_n", F.explode(targets).alias("_t"))
     h = F.col("_t.p") * (F.col("_n") - 1)
