@@ -154,3 +154,12 @@ def safe_corr(a: Column, b: Column) -> Column:
     a2 = F.when(b.isNotNull(), a)
     b2 = F.when(a.isNotNull(), b)
     return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
+
+
+def mode_of(df: DataFrame, col: str) -> Column:
+    """Most frequent non-null value (smallest among ties) as a scalar
+    subquery.  Counting is a distributed ``groupBy``; the final pick is a
+    ``min_by`` whose partial buffers hold one candidate each -- unlike the
+    ``mode`` aggregate, no task buffers the whole domain."""
+    vc = df.where(q(col).isNotNull()).groupBy(q(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    return vc.agg(F.min_by("_v", F.struct(-F.col("_c"), F.col("_v")))).scalar()

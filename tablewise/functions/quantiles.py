@@ -80,3 +80,10 @@ def percentile_expr(c, probs: Sequence[float]):
     """Single-aggregate exact percentile (Spark built-in) for low-cardinality
     columns; returns an array column in ``probs`` order."""
     return F.percentile(q(c) if isinstance(c, str) else c, F.array(*[F.lit(float(p)) for p in probs]))
+
+
+def with_median(agg: DataFrame, long: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """Join an exact, distributed median per key group onto an aggregate table
+    (replaces the ``median`` aggregate, whose buffer holds a whole group)."""
+    med = exact_quantiles_long(long, keys, value, (0.5,)).select(*keys, F.col("quantile").alias(name))
+    return agg.join(med, list(keys), "left")

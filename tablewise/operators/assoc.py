@@ -302,11 +302,13 @@ def numeric_target_ranking(df: DataFrame, cols: Sequence[str], target: str) -> D
 
 def numeric_by_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Mean, median, std (ddof=1), min, max per (target class, variable), long form."""
-    long = unpivot(df.where(q(target).isNotNull()), cols, [target], "variable", "value")
-    return (long.groupBy(F.col(target).alias("target_class"), "variable")
-                .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                     F.median("value").alias("median"), F.stddev_samp("value").alias("std"),
-                     F.min("value").alias("min"), F.max("value").alias("max")))
+    from tablewise.functions.quantiles import with_median
+    long = unpivot(df.where(q(target).isNotNull()), cols, [target], "variable", "value").withColumnRenamed(
+        target, "target_class")
+    agg = (long.groupBy("target_class", "variable")
+               .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
+                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
+    return with_median(agg, long, ["target_class", "variable"], "value")
 
 
 def target_mean_diff(df: DataFrame, cols: Sequence[str], target: str, order_col: str) -> DataFrame:

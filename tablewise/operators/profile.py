@@ -225,27 +225,35 @@ def describe_variable(df: DataFrame, col: str, order_col: str, max_values: int =
     text columns add the top values with counts and pct."""
     f = df.schema[col]
     tot = F.count(F.lit(1))
+    from tablewise.functions.core import mode_of
     base = df.agg(tot.alias("total"), F.count_if(q(col).isNull()).alias("missing"),
-                  F.count_distinct(q(col)).alias("distinct"), F.mode(q(col), True).cast("string").alias("mode"))
-    firsts = (df.where(q(col).isNotNull()).groupBy(q(col).alias("v")).agg(F.min(q(order_col)).alias("_f"))
-                .agg(F.slice(F.array_sort(F.collect_list(F.struct("_f", F.col("v").cast("string").alias("v")))), 1, max_values)
-                     .alias("_ex")))
-    out = base.withColumn("examples", firsts.select(F.transform("_ex", lambda s: s["v"])).scalar())
+                  F.count_distinct(q(col)).alias("distinct")).withColumn("mode", mode_of(df, col).cast("string"))
+    from tablewise.functions.topk import top_n_per_group
+    firsts = (df.where(q(col).isNotNull()).groupBy(q(col).cast("string").alias("v"))
+                .agg(F.min(q(order_col)).alias("_f")).withColumn("_g", F.lit(0)))
+    # first-seen examples: a combiner top-n keeps <= max_values levels per task
+    ex = top_n_per_group(firsts, ["_g"], ["_f", "v"], max_values).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "v"))), lambda s: s["v"]).alias("ex"))
+    out = base.withColumn("examples", ex.select("ex").scalar())
     out = out.select(F.lit(col).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"), "total", "missing",
                      F.round(F.col("missing") * 100.0 / F.col("total"), 2).alias("missing_pct"), "distinct", "mode", "examples")
     if f.name in numeric_columns(df):
         x = q(col).cast("double")
-        stats = df.agg(F.min(x).alias("min"), F.percentile(x, 0.25).alias("q1"), F.median(x).alias("median"),
-                       F.avg(x).alias("mean"), F.percentile(x, 0.75).alias("q3"), F.max(x).alias("max"),
+        stats = df.agg(F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max"),
                        F.stddev_samp(x).alias("std"))
+        long = df.select(F.lit(col).alias("variable"), x.alias("value"))
+        qs = quantile_wide(exact_quantiles_long(long, ["variable"], "value", (0.25, 0.5, 0.75)), ["variable"],
+                           (0.25, 0.5, 0.75), ["q1", "median", "q3"])
         for c in ("min", "q1", "median", "mean", "q3", "max", "std"):
-            out = out.withColumn(c, F.round(stats.select(c).scalar(), 4))
+            src = qs if c in ("q1", "median", "q3") else stats
+            out = out.withColumn(c, F.round(src.select(c).scalar(), 4))
     else:
-        vc = df.groupBy(q(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-        top = vc.agg(F.slice(F.array_sort(F.collect_list(F.struct(-F.col("c"), display_value(F.col("v")).alias("v"), "c"))),
-                             1, max_values).alias("t"))
-        out = out.withColumn("top_values", top.select(F.transform(
-            "t", lambda s: F.struct(s["v"].alias("value"), s["c"].alias("count")))).scalar())
+        vc = (df.groupBy(display_value(q(col)).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+                .withColumn("_g", F.lit(0)).withColumn("_nc", -F.col("c")))
+        top = top_n_per_group(vc, ["_g"], ["_nc", "v"], max_values).agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("rank", "v", "c"))),
+                        lambda s: F.struct(s["v"].alias("value"), s["c"].alias("count"))).alias("t"))
+        out = out.withColumn("top_values", top.select("t").scalar())
     return out
 
 
@@ -287,11 +295,13 @@ def table_info(df: DataFrame) -> DataFrame:
 
 
 def group_aggregate(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """G1: count, mean, median, std, min, max per group and column (long form)."""
+    """G1: count, mean, median (exact, distributed), std, min, max per group and column (long form)."""
+    from tablewise.functions.quantiles import with_median
     long = unpivot(df, cols, list(by), "variable", "value")
-    return (long.groupBy(*by, "variable")
-                .agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.median("value").alias("median"),
-                     F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
+    agg = (long.groupBy(*by, "variable")
+               .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
+                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
+    return with_median(agg, long, [*by, "variable"], "value")
 
 
 def pivot_mean(df: DataFrame, index: str, columns: str, values: str, levels: Sequence | None = None) -> DataFrame:

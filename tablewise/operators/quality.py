@@ -181,7 +181,8 @@ def impute_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mode imputation, smallest of tied modes (``mode(deterministic)``)."""
-    modes = {c: df.select(F.mode(q(c), True)).scalar() for c in cols}
+    from tablewise.functions.core import mode_of
+    modes = {c: mode_of(df, c) for c in cols}
     return df.select(*[F.coalesce(q(c), modes[c]).alias(c) if c in cols else q(c) for c in df.columns])
 
 
