@@ -24,7 +24,7 @@ SMALL_GROUP = 1_000_000  # rows one window task may sort (spillable; checked bef
 
 
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
-               out: str = "before", partitions: int | None = None, small_group: int = SMALL_GROUP,
+               out: str = "before", partitions: int | None = None, small_group: int | None = None,
                size_hint: int | None = None) -> DataFrame:
     """Adds ``out`` = sum of ``weight`` (1 when None) over rows of the same key
     group that sort strictly before this row by ``order`` (give a unique order
@@ -36,6 +36,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight:
     primary = F.col(order[0]).cast("double")
     w = F.col(weight) if weight else F.lit(1)
     base = df.withColumn("_w", w.cast("long"))
+    small_group = SMALL_GROUP if small_group is None else small_group
     # proven-small groups: one window per group (a bounded sort per task)
     largest = size_hint if size_hint is not None else (
         base.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 0)
