@@ -225,26 +225,35 @@ def pca(df: DataFrame, features: Sequence[str] | str, k: int = 2, keep: Sequence
 
 # -------------------------------------------------------------------- DBSCAN
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int = 100) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int = 100,
+                         checkpoint_every: int = 2) -> DataFrame:
     """Min-label propagation with pointer jumping: (id, comp) where comp is
-    the least id of the component.  Each round's labels are written with a
-    reliable checkpoint (the shared folder of ``spark.checkpoint.dir``), so
-    the plan stays one round deep and a lost executor never forces a replay
-    of earlier rounds."""
+    the least id of the component.  Rounds are persisted and every
+    ``checkpoint_every`` rounds the labels are written with a reliable
+    checkpoint (the shared folder of ``spark.checkpoint.dir``): the plan stays
+    a few rounds deep and a lost executor never replays more than that."""
     und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     und = cut_lineage(und.where(F.col("src") != F.col("dst")).distinct())
     # first round: each vertex takes the least of itself and its neighbours
     first = und.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m"))
     lab = cut_lineage(vertices.select("id").join(first, "id", "left")
                       .select("id", F.least("id", F.coalesce("m", "id")).alias("comp")))
-    for _ in range(max_iter):
+    cached = []
+    for it in range(max_iter):
         msg = und.join(lab.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(
             F.min("comp").alias("m"))
         new = lab.join(msg, "id", "left").select("id", F.least("comp", F.coalesce("m", "comp")).alias("comp"))
         # pointer jumping: a vertex adopts the label of its label
         jump = new.alias("a").join(new.alias("b"), F.col("a.comp") == F.col("b.id"), "left").select(
             F.col("a.id").alias("id"), F.least(F.col("a.comp"), F.coalesce(F.col("b.comp"), F.col("a.comp"))).alias("comp"))
-        jump = cut_lineage(jump)
+        if (it + 1) % checkpoint_every == 0:
+            jump = cut_lineage(jump)
+            for c in cached:
+                c.unpersist()
+            cached = []
+        else:
+            jump = jump.persist()
+            cached.append(jump)
         changed = jump.alias("n").join(lab.alias("o"), "id").where(F.col("n.comp") != F.col("o.comp")).limit(1).count()
         lab = jump
         if changed == 0:
@@ -270,14 +279,15 @@ def dbscan_grid(df: DataFrame, row_id: str, features: Sequence[str] | str, eps_v
     from tablewise.operators import density
     from tablewise.operators.metrics import silhouette
     eps_sorted = sorted(eps_values)
-    home, away = density.block_tasks(df, row_id, features, max(eps_sorted), proj_dims)
+    axes = density._axes(df.select(feature_array(df, features).alias("x")), proj_dims)
+    home, away = density.block_tasks(df, row_id, features, max(eps_sorted), proj_dims, axes=axes)
     counts = cut_lineage(density.neighbour_counts(home, away, eps_sorted, metric))
     feats = df.select(q(row_id).cast("long").alias("rid"), feature_array(df, features).alias("x"))
     rows = []
     for i, eps in enumerate(eps_sorted):
         for ms in min_samples_values:
             lab = cut_lineage(density.label_points(df, row_id, features, counts, f"n_{i}", eps, ms, metric,
-                                                   proj_dims, density.BLOCK_ROWS))
+                                                   proj_dims, density.BLOCK_ROWS, axes))
             s = noise_summary(lab).collect()[0]
             core_n = lab.where("is_core").count()
             lx = lab.join(feats, "rid")
