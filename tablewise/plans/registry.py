@@ -30,18 +30,27 @@ def load_all() -> None:
                                  q_plotdata, q_profile, q_quality, q_scalars, q_scale)
 
 
-def rounded_sql(sql: str, dp: int = 6, describe_dir: str = "/root/testdata/sf0.001") -> str:
-    """Wrap an oracle so floating columns are rounded like ``plans.common.finish``
-    rounds the Spark side.  Column types come from DuckDB's DESCRIBE of the
-    query over the smallest tables; on any failure the SQL is returned as is."""
-    try:
+_DESCRIBE_CON = {}
+
+
+def _describe_con(describe_dir: str):
+    con = _DESCRIBE_CON.get(describe_dir)
+    if con is None:
         import duckdb
         con = duckdb.connect()
         for t in ("region nation customer supplier part orders lineitem events documents "
                   "embeddings pages benchmark labels conversations").split():
             con.execute(f"create view {t} as select * from read_parquet('{describe_dir}/{t}.parquet')")
-        cols = con.execute(f"describe ({sql})").fetchall()
-        con.close()
+        _DESCRIBE_CON[describe_dir] = con
+    return con
+
+
+def rounded_sql(sql: str, dp: int = 6, describe_dir: str = "/root/testdata/sf0.001") -> str:
+    """Wrap an oracle so floating columns are rounded like ``plans.common.finish``
+    rounds the Spark side.  Column types come from DuckDB's DESCRIBE of the
+    query over the smallest tables; on any failure the SQL is returned as is."""
+    try:
+        cols = _describe_con(describe_dir).execute(f"describe ({sql})").fetchall()
     except Exception:
         return sql
     fl = [c[0] for c in cols if c[1] in ("DOUBLE", "FLOAT") or c[1].startswith("DECIMAL")]
