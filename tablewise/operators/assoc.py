@@ -72,8 +72,7 @@ def spearman_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = T
     cols = list(cols)
     nulls = df.agg(*[F.count_if(q(c).isNull()).alias(c) for c in cols]).collect()[0].asDict()
     spark = df.sparkSession
-    key = "__rk_row"
-    base = df.select(*[q(c).cast("double").alias(c) for c in cols]).withColumn(key, F.monotonically_increasing_id())
+    base = df.select(*[q(c).cast("double").alias(c) for c in cols])
 
     def ranked(frame: DataFrame, c: str) -> DataFrame:
         r = average_rank(frame, c)
@@ -82,7 +81,7 @@ def spearman_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = T
     results = []
     full = [c for c in cols if nulls[c] == 0]
     if len(full) >= 2:
-        fr = base.select(key, *full)
+        fr = base.select(*full)
         for c in full:
             fr = ranked(fr, c)
         fr = fr.select(*[F.col("r_" + c).alias(c) for c in full])
@@ -91,7 +90,7 @@ def spearman_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = T
         for b in cols[i + 1:]:
             if nulls[a] == 0 and nulls[b] == 0:
                 continue
-            pr = base.select(key, a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
+            pr = base.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
             pr = ranked(ranked(pr, a), b)
             v = pr.agg(safe_corr(F.col("r_" + a), F.col("r_" + b)).alias("correlation"))
             results.append(v.select(F.lit(a).alias("var1"), F.lit(b).alias("var2"), "correlation"))

@@ -177,12 +177,30 @@ def k4_k7_kmeans_grid(spark, sf):
     return finish(g)
 
 
-@register("k13_dbscan_labels")
+def _dbscan_sql(eps: float, ms: int, metric: str = "euclidean") -> str:
+    dist = ("list_distance(a.x, b.x)" if metric == "euclidean"
+            else "list_sum(list_transform(range(1, len(a.x) + 1), lambda k: abs(a.x[k] - b.x[k])))")
+    return f"""with recursive e as {EMB},
+nb as (select a.vec_id as i, b.vec_id as j from e a, e b where {dist} <= {eps}),
+cnt as (select i, count(*) as n from nb group by i),
+core as (select i from cnt where n >= {ms}),
+ce as (select nb.i, nb.j from nb join core c1 on nb.i = c1.i join core c2 on nb.j = c2.i),
+reach(i, l) as (select i, i from core union select ce.j, r.l from reach r join ce on ce.i = r.i),
+comp as (select i, min(l) as comp from reach group by i),
+num as (select comp, dense_rank() over (order by comp) - 1 as cluster from (select distinct comp from comp)),
+core_lab as (select c.i, n.cluster from comp c join num n using (comp)),
+border as (select nb.i, min(cl.cluster) as cluster from nb join core_lab cl on nb.j = cl.i
+           where nb.i not in (select i from core) group by nb.i)
+select e.vec_id as rid, coalesce(cl.cluster, b.cluster, -1)::bigint as cluster, cl.i is not null as is_core
+from e left join core_lab cl on cl.i = e.vec_id left join border b on b.i = e.vec_id"""
+
+
+@register("k13_dbscan_labels", _dbscan_sql(1.2, 5))
 def k13_dbscan_labels(spark, sf):
     return finish(cluster.dbscan(emb(spark, sf), "vec_id", "embedding", eps=1.2, min_samples=5))
 
 
-@register("k14_dbscan_manhattan")
+@register("k14_dbscan_manhattan", _dbscan_sql(7.7, 5, "manhattan"))
 def k14_dbscan_manhattan(spark, sf):
     return finish(cluster.dbscan(emb(spark, sf), "vec_id", "embedding", eps=7.7, min_samples=5, metric="manhattan"))
 

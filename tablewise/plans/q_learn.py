@@ -175,7 +175,14 @@ def l2_l3_cross_validation(spark, sf):
     return finish(learn.fold_scores(oof))
 
 
-@register("l2_stratified_fold_sizes")
+@register("l2_stratified_fold_sizes", """
+with c as (select label, count(*) as n from embeddings group by 1),
+s as (select label, n, coalesce(sum(n) over (order by label rows between unbounded preceding and 1 preceding), 0) as st
+      from c),
+f as (select label, i as fold, (floor((st + n - 1 - i) / 5.0) - floor((st - 1 - i) / 5.0))::bigint as n
+      from s, range(0, 5) t(i))
+select label, fold::int as fold, n from f where n > 0
+""")
 def l2_stratified_fold_sizes(spark, sf):
     f = learn.stratified_folds(table(spark, sf, "embeddings"), "label", "vec_id", 5)
     return finish(f.groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n")))
