@@ -23,6 +23,9 @@ def get_spark(app: str = "tablewise", master: str | None = None,
     cpus = os.environ.get("BENCH_CPUS")
     b = (b.config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+          # coalesce shuffle partitions to ~128 MB instead of keeping many tiny ones
+          .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+          .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.driver.memory", os.environ.get("TABLEWISE_DRIVER_MEMORY", "8g"))
