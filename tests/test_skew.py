@@ -1,8 +1,7 @@
 """Skew: one key holding a third (or more) of the rows, and the distributed
-
-import numpy as np
 range path of the prefix sums forced on, give the same results as pandas."""
 
+import numpy as np
 import pytest
 
 SF = "/root/testdata/sf0.01"
