@@ -38,6 +38,7 @@ def get_spark(app: str = "tablewise", master: str | None = None,
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     iterative algorithms; survives executor loss unlike a local checkpoint."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tablewise`` importable in the Python workers (the pandas-task
+    operators pickle references to its functions): zip the package once and
+    ``addPyFile`` it, as ``spark-submit --py-files`` would."""
+    import shutil
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tablewise-pyfiles-")
+    base = os.path.join(out, "tablewise")
+    shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="tablewise")
+    sc.addPyFile(base + ".zip")
+    _SHIPPED.add(key)
