@@ -225,7 +225,9 @@ def qcut(df: DataFrame, col: str, q_: int, out: str | None = None) -> DataFrame:
 def domain_order(df: DataFrame, col: str, order_col: str, declared: Sequence[str] | None = None) -> DataFrame:
     """Output order of a column's levels: declared order first (only levels
     present), then extra levels by first appearance; alphabetical when no
-    order is declared.  Returns (level, level_order)."""
+    order is declared.  Returns (level, level_order).  The ranking window runs
+    over the level table (one row per distinct level of a categorical
+    column), not over the data."""
     from pyspark.sql import Window
     lv = (df.where(q(col).isNotNull())
             .groupBy(q(col).cast("string").alias("level"))
