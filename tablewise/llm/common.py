@@ -77,3 +77,16 @@ def slices(offsets: np.ndarray, most: int = 4 << 20) -> list[tuple[int, int]]:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+#: Largest key list that ``narrowed`` broadcasts: one long a row, some 40 MB as a hash table.
+MOST_KEYS = 1_000_000
+
+
+def narrowed(texts: DataFrame, keys: DataFrame, most: int = MOST_KEYS) -> DataFrame:
+    """``texts`` whose key is in ``keys`` (distinct), before they are shuffled to
+    be joined with what those keys have.  The list is broadcast only if a count
+    proves it to be short; else ``texts`` as it is, which the join narrows."""
+    if keys.limit(most + 1).count() > most:
+        return texts
+    return texts.join(F.broadcast(keys.select("key")), "key", "left_semi")

@@ -31,7 +31,7 @@ with recursive w as (
   from documents),
 s as (
   select doc_id, list_distinct(case when len(v) = 0 then [] when len(v) = 1 then v
-         else list_transform(range(1, len(v)), i -> v[i] || ' ' || v[i + 1]) end) as s from w),
+         else list_transform(range(1, len(v)), lambda i: v[i] || ' ' || v[i + 1]) end) as s from w),
 u as (select doc_id, unnest(s) as g from s),
 p as (select a.doc_id as x, b.doc_id as y, count(*) as i from u a join u b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
 l as (select p.x, p.y from p join s a on a.doc_id = p.x join s b on b.doc_id = p.y
@@ -45,3 +45,19 @@ def op2(spark, sf_dir):
     from tablewise.llm.neardup import near_duplicates
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2, percent=80).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op7_rlz_substring_dedup", sql=f"""
+with w as (select doc_id, {_WORDS.format("coalesce(text, '')")} as v from documents),
+p as (select doc_id, len(v) as n, unnest(range(1, len(v) - 33)) as s, v from w where len(v) >= 35),
+g as (select doc_id, s, md5(array_to_string(v[s:s + 34], ' ')) as h from p),
+d as (select doc_id, s from g where h in (select h from g group by h having count(*) > 1)),
+c as (select distinct doc_id, s + unnest(range(0, 35)) as i from d),
+x as (select w.doc_id, any_value(w.v) as v, list(c.i) filter (c.i is not null) as gone from w left join c on c.doc_id = w.doc_id group by w.doc_id)
+select doc_id, cast(len(v) as bigint) as n_words, cast(coalesce(len(gone), 0) as bigint) as n_removed,
+  sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(v) + 1), lambda i: not coalesce(list_contains(gone, i), false)), lambda i: v[i]), ' '), '')) as kept_sha256
+from x
+""")
+def op7(spark, sf_dir):
+    from tablewise.llm.rlz import repeat_digests
+    return repeat_digests(read(spark, sf_dir, "documents"), window=35)
