@@ -61,3 +61,10 @@ from x
 def op7(spark, sf_dir):
     from tablewise.llm.rlz import repeat_digests
     return repeat_digests(read(spark, sf_dir, "documents"), window=35)
+
+
+@register("op6_adaptive_quality")
+def op6(spark, sf_dir):
+    from tablewise.llm.quality import quality_report
+    return quality_report(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
