@@ -68,3 +68,9 @@ def op6(spark, sf_dir):
     from tablewise.llm.quality import quality_report
     return quality_report(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op10_source_mixing")
+def op10(spark, sf_dir):
+    from tablewise.llm.mixing import mix
+    return mix(read(spark, sf_dir, "documents"))
