@@ -74,3 +74,13 @@ def op6(spark, sf_dir):
 def op10(spark, sf_dir):
     from tablewise.llm.mixing import mix
     return mix(read(spark, sf_dir, "documents"))
+
+
+@register("op1_secret_ownership")
+def op1(spark, sf_dir):
+    from tablewise.llm.secret_scan import KINDS, listed, scan_secrets
+    out = scan_secrets(read(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", count("assign"), count("access"), count("hex"),
+                      F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+                      F.col("live").alias("n_live"), F.col("copied").alias("n_copied"))
