@@ -3,14 +3,10 @@
 1. One Arrow pass hashes the word shingles of every document, takes a
    SuperMinHash signature (correlated ranks, early stopping) and its band
    hashes.  Documents with equal shingle sets form one class.
-2. Classes that share a band hash are candidates.  Each bucket first proposes
-   only its star (least class to every other), so a family of G near copies
-   costs G checks and not G squared.  Candidates are confirmed by the exact
-   Jaccard similarity of the full sets.
-3. Confirmed links go through distributed union-find.  Buckets that still hold
-   more than one component propose the pairs between different components
-   (sizes within the similarity bound, pairs already checked left out), so no
-   pair that shares a bucket goes unexamined unless union-find has joined it.
+2. Classes that share a band hash are candidates; ``candidates.linked`` confirms
+   them by the exact Jaccard similarity of the full sets, star by star.
+3. Confirmed links go through distributed union-find, one document of each
+   component stays.
 
 With 40 bands of 6 slots a pair at similarity 0.8 misses every band with
 probability 5e-6, and unrelated texts (similarity 0.05) meet with 6e-7.
@@ -25,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewise.llm import hashing as H
+from tablewise.llm.candidates import linked
 from tablewise.llm.common import arrow_bytes, slices, stored, texts_of
-from tablewise.llm.graph import components
 
 
 def _prime_from(n: int) -> int:
@@ -88,16 +84,6 @@ def _setter(shingle: int):
     return sets
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes whose full sets have the similarity asked for."""
-    left = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    right = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").where(
-        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
-
-
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """One row per input row: id, key, n_shingles, component_id, kept.
@@ -115,34 +101,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         T.StructField("id", id_type), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("c", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])), "signatures")
     members = sig.where("n > 0").select(F.explode("bands").alias("b"), "c", "n")
-    buckets = (members.groupBy("b").agg(F.min("c").alias("lead"), F.max("c").alias("last"))
-               .where("lead <> last").select("b", "lead"))
-    shared = stored(members.join(buckets, "b"), "buckets")
-    stars = stored(shared.where("c <> lead").select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct(), "stars")
-    chosen = (sig.where("n > 0").groupBy("c").agg(F.min("key").alias("key"))
-              .join(shared.select("c").distinct(), "c"))
-    sets = stored(texts.select("key", "text").join(chosen, "key").select("c", "text")
-                  .mapInArrow(_setter(shingle), "c long, n long, s array<bigint>")
-                  .dropDuplicates(["c"]), "sets")
-    links = stored(_confirmed(stars, sets, percent), "links")
-    labels = components(links)
-
-    # pairs between different components that share a bucket
-    placed = (shared.select("b", "c", "n").distinct()
-              .join(labels.withColumnRenamed("node", "c"), "c", "left")
-              .withColumn("component", F.coalesce("component", "c")))
-    mixed = (placed.groupBy("b").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo <> hi").select("b"))
-    left = stored(placed.join(mixed, "b"), "mixed")
-    right = left.select("b", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    rest = (left.join(right, "b").where("component < component2")
-            .where(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-            .select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = stored(_confirmed(rest, sets, percent), "links")
-    if more.limit(1).count():
-        labels = components(links.unionAll(more))
 
+    def sets_of(classes: DataFrame) -> DataFrame:
+        shown = sig.where("n > 0").groupBy("c").agg(F.min("key").alias("key")).join(classes, "c")
+        return (texts.select("key", "text").join(shown, "key").select("c", "text")
+                .mapInArrow(_setter(shingle), "c long, n long, s array<bigint>").dropDuplicates(["c"]))
+
+    labels = linked(members, sets_of, percent)
     classes = (sig.where("n > 0").groupBy("c").agg(F.min("id").alias("least"))
                .join(labels.withColumnRenamed("node", "c"), "c", "left")
                .withColumn("component", F.coalesce("component", "c")))
