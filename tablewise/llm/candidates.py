@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewise.llm.common import stored
+from tablewise.llm.common import MOST_KEYS, stored
 from tablewise.llm.graph import components
 
 
@@ -57,17 +57,20 @@ def _placed(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def linked(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """(node, component) of the classes that have a link.
 
-    ``members`` is (b, c, n): bucket, class, size of its set, with repeats at
-    will.  ``sets_of`` gives (c, n, s) for a table of classes, one row each.
+    ``members`` is (b, c), bucket and class, with repeats at will.  ``sets_of``
+    gives (c, n, s), a class with the size and elements of its set, for a table
+    of classes, one row each.
     """
-    buckets = (members.groupBy("b").agg(F.min("c").alias("lead"), F.max("c").alias("last"))
-               .where("lead <> last").select("b", "lead"))
+    buckets = stored(members.groupBy("b").agg(F.min("c").alias("lead"), F.max("c").alias("last"))
+                     .where("lead <> last").select("b", "lead"), "buckets")
+    if buckets.limit(MOST_KEYS + 1).count() <= MOST_KEYS:  # two longs a row
+        buckets = F.broadcast(buckets)
     shared = stored(members.join(buckets, "b"), "buckets")
     stars = stored(shared.where("c <> lead").select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct(), "stars")
     sets = stored(sets_of(shared.select("c").distinct()), "sets")
     links = stored(confirmed(stars, sets, percent), "links")
     labels = components(links)
-    apart = stored(_apart(_placed(shared.select("b", "c", "n").distinct(), labels)), "apart")
+    apart = stored(_apart(_placed(shared.select("b", "c").distinct(), labels)), "apart")
     if not apart.limit(1).count():
         return labels
 
@@ -77,7 +80,8 @@ def linked(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     own = (sets.join(classes, "c").select("family", "c", F.explode("s").alias("x"))
            .groupBy("family", "x").agg(F.count(F.lit(1)).alias("times"), F.min("c").alias("c"))
            .where("times = 1").groupBy("c").agg(F.count(F.lit(1)).alias("u")))
-    apart = stored(apart.join(own, "c", "left").withColumn("u", F.coalesce("u", F.lit(0))), "apart")
+    size = sets.select("c", "n").join(own, "c", "left").select("c", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    apart = stored(apart.join(size, "c"), "apart")
     lead = apart.groupBy("b").agg(F.min(F.struct("u", "c", "component", "n")).alias("lead"))
     second = stored(
         apart.join(lead, "b").where(F.col("component") != F.col("lead.component"))

@@ -133,6 +133,12 @@ def row_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return run[at[1:]] - run[at[:-1]]
 
 
+def prime_from(n: int) -> int:
+    while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
+        n += 1
+    return n
+
+
 def super_minhash(h: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
     """SuperMinHash signatures of the sets ``h[at[i]:at[i+1]]``; ``m`` is prime, below 256.
 

@@ -25,12 +25,6 @@ from tablewise.llm.candidates import linked
 from tablewise.llm.common import arrow_bytes, slices, stored, texts_of
 
 
-def _prime_from(n: int) -> int:
-    while any(n % k == 0 for k in range(2, int(n ** 0.5) + 1)):
-        n += 1
-    return n
-
-
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-word shingles of each row (A-Z lower-cased), sorted by hash;
     fewer words make one shingle, none make an empty set."""
@@ -52,7 +46,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarr
 
 
 def _signer(shingle: int, bands: int, rows: int):
-    slots = _prime_from(bands * rows)
+    slots = H.prime_from(bands * rows)
 
     def sign(batches):
         for batch in batches:
@@ -100,7 +94,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sig = stored(texts.select("id", "key", "text").mapInArrow(_signer(shingle, bands, rows), T.StructType([
         T.StructField("id", id_type), T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("c", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])), "signatures")
-    members = sig.where("n > 0").select(F.explode("bands").alias("b"), "c", "n")
+    members = sig.where("n > 0").select(F.explode("bands").alias("b"), "c")
 
     def sets_of(classes: DataFrame) -> DataFrame:
         shown = sig.where("n > 0").groupBy("c").agg(F.min("key").alias("key")).join(classes, "c")

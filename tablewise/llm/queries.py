@@ -84,3 +84,9 @@ def op1(spark, sf_dir):
     return out.select("doc_id", count("assign"), count("access"), count("hex"),
                       F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
                       F.col("live").alias("n_live"), F.col("copied").alias("n_copied"))
+
+
+@register("op4_fuzzy_line_dedup")
+def op4(spark, sf_dir):
+    from tablewise.llm.linededup import line_digests
+    return line_digests(read(spark, sf_dir, "documents"))
