@@ -90,3 +90,12 @@ def narrowed(texts: DataFrame, keys: DataFrame, most: int = MOST_KEYS) -> DataFr
     if keys.limit(most + 1).count() > most:
         return texts
     return texts.join(F.broadcast(keys.select("key")), "key", "left_semi")
+
+
+def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose column ``key`` is not among ``keys`` (column ``key``,
+    distinct); a list that a count proves short is broadcast, else both sides meet in a shuffle."""
+    keys = keys.select(F.col("key").alias(key))
+    if keys.limit(MOST_KEYS + 1).count() <= MOST_KEYS:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_anti")

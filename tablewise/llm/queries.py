@@ -90,3 +90,11 @@ def op1(spark, sf_dir):
 def op4(spark, sf_dir):
     from tablewise.llm.linededup import line_digests
     return line_digests(read(spark, sf_dir, "documents"))
+
+
+@register("op9_benchmark_decontamination")
+def op9(spark, sf_dir):
+    from tablewise.llm.decontam import contaminated
+    found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(
+        F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_passages"))
