@@ -98,3 +98,44 @@ def op9(spark, sf_dir):
     found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(
         F.max("similarity").alias("similarity"), F.count(F.lit(1)).alias("n_passages"))
+
+
+@register("op8_warc_zip", sql="""
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+d as (select page_id, octet_length(b) as n, sha1(b) as h from p),
+m as (select h, max(page_id) as head, count(*) as times from d where n >= 1000 group by h)
+select d.page_id, cast(n as bigint) as payload_bytes, d.h as payload_digest,
+  case when n >= 1000 and times > 1 and d.page_id <> head then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and times > 1 and d.page_id <> head then head end as refers_to
+from d left join m on m.h = d.h
+""")
+def op8(spark, sf_dir):
+    from tablewise.llm.warczip import round_trip
+    return round_trip(read(spark, sf_dir, "pages"))
+
+
+def _licence_sql() -> str:
+    from tablewise.llm.licences import TEMPLATES, template_bigrams
+    rows = ", ".join("('{}', [{}])".format(k, ", ".join(f"'{g}'" for g in template_bigrams(v))) for k, v in sorted(TEMPLATES.items()))
+    low, high = "ceil(80.0 * len(g) / 120)", "floor(120.0 * len(g) / 80)"
+    return f"""
+with t(name, g) as (values {rows}),
+lim as (select min({low}) as lo, max({high}) as hi from t),
+r as (select doc_id, unnest(list_distinct(string_split(coalesce(text, ''), chr(10))
+        || regexp_split_to_array(coalesce(text, ''), '\n[\x20\x09]*\n') || [coalesce(text, '')])) as u from documents),
+w as (select doc_id, string_split(trim(regexp_replace(lower(u), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), ' ') as w from r),
+b as (select doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from w, lim
+      where len(w) >= lo + 1),
+c as (select doc_id, b from b, lim where len(b) between lo and hi),
+m as (select doc_id, name, 2.0::double * len(list_intersect(b, g)) / (len(b) + len(g)) as d from c join t on len(b) between {low} and {high}),
+k as (select doc_id, list(distinct name order by name) as licences, first(name order by d desc, name) as best, max(d) as dice from m where d * 100 >= 80 group by doc_id),
+n as (select doc_id, count(*) as units from c group by doc_id)
+select x.doc_id, coalesce(n.units, 0) as units, coalesce(array_to_string(k.licences, ','), '') as licences, k.best, k.dice
+from documents x left join n on n.doc_id = x.doc_id left join k on k.doc_id = x.doc_id
+"""
+
+
+@register("op5_licence_dice", sql=_licence_sql())
+def op5(spark, sf_dir):
+    from tablewise.llm.licences import match_licences
+    return match_licences(read(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
