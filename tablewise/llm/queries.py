@@ -118,7 +118,7 @@ def _licence_sql() -> str:
     from tablewise.llm.licences import TEMPLATES, template_bigrams
     rows = ", ".join("('{}', [{}])".format(k, ", ".join(f"'{g}'" for g in template_bigrams(v))) for k, v in sorted(TEMPLATES.items()))
     low, high = "ceil(80.0 * len(g) / 120)", "floor(120.0 * len(g) / 80)"
-    return f"""
+    return rf"""
 with t(name, g) as (values {rows}),
 lim as (select min({low}) as lo, max({high}) as hi from t),
 r as (select doc_id, unnest(list_distinct(string_split(coalesce(text, ''), chr(10))
