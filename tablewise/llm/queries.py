@@ -139,3 +139,30 @@ from documents x left join n on n.doc_id = x.doc_id left join k on k.doc_id = x.
 def op5(spark, sf_dir):
     from tablewise.llm.licences import match_licences
     return match_licences(read(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
+
+
+@register("op3_preference_format", sql="""
+with o as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+             max(case when role = 'assistant' then turn end) over (partition by conv_id) as stop from conversations where conv_id is not null),
+t as (select * from o where turn <= stop),
+e as (select conv_id, role, text, floor(conv_id / 1000) as k from t where turn = stop),
+s as (select conv_id, coalesce(lag(role) over w, last(role) over f) as role, coalesce(lag(text) over w, last(text) over f) as text from e
+      window w as (partition by k order by conv_id),
+             f as (partition by k order by conv_id rows between unbounded preceding and unbounded following)),
+r as (select conv_id, turn, stop, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as x, role, text from t),
+j as (select r.*, s.role as role2, s.text as text2, r.role = s.role and r.text = s.text as same,
+        '<|im_start|>' || s.role || chr(10) || s.text || '<|im_end|>' || chr(10) as y from r join s using (conv_id))
+select conv_id as pair,
+  cast(count(*) filter (turn < stop or same) as bigint) as n_common,
+  coalesce(string_agg(x, '' order by turn) filter (turn < stop or same), '') as prompt,
+  coalesce(string_agg(x, '') filter (turn = stop and not same), '') as chosen,
+  coalesce(string_agg(y, '') filter (turn = stop and not same), '') as rejected,
+  coalesce(string_agg('22:' || cast(length(x) as varchar), '') filter (turn = stop and not same), '') as chosen_mask,
+  coalesce(string_agg('22:' || cast(length(y) as varchar), '') filter (turn = stop and not same), '') as rejected_mask
+from j group by conv_id
+""")
+def op3(spark, sf_dir):
+    from tablewise.llm.preference import conversations, format_preferences, swapped_endings
+    out = format_preferences(swapped_endings(conversations(read(spark, sf_dir, "conversations"))))
+    told = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return out.withColumns({c: told(c) for c in ("chosen_mask", "rejected_mask")})
