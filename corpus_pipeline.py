@@ -1,34 +1,71 @@
 """Training corpus from ``documents``: quality rules, fuzzy line dedup, near-duplicate
-removal, benchmark decontamination, mixing to target weights."""
+removal, benchmark decontamination, mixing to target weights.
+
+Every stage takes (spark, docs, sf_dir); what it returns is written as Parquet
+and read again as the next one's ``docs``.  All but the last return the columns
+of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewise.llm.common import read, stored
+from tablewise.llm.decontam import decontaminate
+from tablewise.llm.linededup import drop_repeated_lines
+from tablewise.llm.mixing import mix
 from tablewise.llm.neardup import drop_near_duplicates
+from tablewise.llm.quality import keep_good
 from tablewise.session import ship_package
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays (5-word shingles, similarity 0.8)."""
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    ship_package(spark)
+    return keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-equal lines the first one stays; documents left without a line go."""
+    ship_package(spark)
+    return drop_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays (5-word shingles, similarity 0.8)."""
     ship_package(spark)
     return drop_near_duplicates(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship_package(spark)
+    return decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    ship_package(spark)
+    return mix(docs)
+
+
 STAGES = [
-    ("near_dedup", near_dedup),
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
 ]
 
-#: Gives the rows of ``run`` in SQL; the stages' random draws and alignments have no such form.
+#: SQL for the rows of ``run``: the stages' signatures, alignments and draws have no such form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each reads what its predecessor wrote."""
+    """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = stored(docs, name)
+            docs = stored(docs, f"pipeline-{name}")
     return docs

@@ -127,6 +127,8 @@ def _aligner(shared, ids: pa.Array, percent: int):
             for a, b in slices(off):
                 w, at = _words(raw[off[a]:off[b]], off[a:b + 1] - off[a])
                 where, h = _hits(w, at, g.n, g.gram, bits)
+                if not len(h):
+                    continue
                 lo, hi = np.searchsorted(g.h, h, "left"), np.searchsorted(g.h, h, "right")
                 spread = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange((hi - lo).sum())
                 where, item = np.repeat(where, hi - lo), g.item[spread]

@@ -138,57 +138,64 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .groupBy("key").agg(F.collect_set("line").alias("removed")), "removed")
 
 
-def _cutter(digest: bool):
-    """Drops the lines numbered in ``removed`` (none where there is no such column)."""
+def _digester():
+    """Digest of a text without the lines numbered in ``removed`` (all where there is no such column)."""
     def cut(batches):
         for batch in batches:
             names = batch.schema.names
             removed = batch.column("removed").to_pylist() if "removed" in names else [()] * batch.num_rows
-            total, gone, kept, left = [], [], [], []
+            total, gone, kept = [], [], []
             for text, drop in zip(batch.column("text").to_pylist(), removed):
                 lines, drop = (text or "").split("\n"), set(drop)
                 stay = [x for i, x in enumerate(lines) if i not in drop] if drop else lines
-                rest = "\n".join(stay)
-                worded = [x for x in stay if x.strip(" \t\n\x0b\x0c\r")]
-                total.append(len(worded) + len(drop))
+                total.append(sum(bool(x.strip(" \t\n\x0b\x0c\r")) for x in stay) + len(drop))
                 gone.append(len(drop))
-                left.append(len(worded))
-                kept.append(hashlib.sha256(rest.encode()).hexdigest() if digest else rest)
+                kept.append(hashlib.sha256("\n".join(stay).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names if n not in ("text", "removed")), pa.array(total, pa.int64()),
-                 pa.array(gone, pa.int64()), pa.array(left, pa.int64()), pa.array(kept, pa.string())],
-                [*(n for n in names if n not in ("text", "removed")), "n_lines", "n_removed", "n_left", "kept"])
+                 pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                [*(n for n in names if n not in ("text", "removed")), "n_lines", "n_removed", "kept"])
     return cut
 
 
-_CUT = "n_lines long, n_removed long, n_left long, kept string"
-
-
 def line_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: id, n_lines (with a word), n_removed, kept_sha256
     of the text without the removed lines.  Only texts that lose a line are shuffled."""
     texts = texts_of(df, id_col, text_col)
     removed = repeated_lines(df, id_col, text_col, **options)
     cut = (narrowed(texts.select("key", "text"), removed.select("key")).join(removed, "key").dropDuplicates(["key"])
-           .mapInArrow(_cutter(True), f"key long, {_CUT}")
+           .mapInArrow(_digester(), "key long, n_lines long, n_removed long, kept string")
            .select("key", F.col("n_removed").alias("gone"), F.col("kept").alias("rest")))
-    plain = texts.mapInArrow(_cutter(True), T.StructType([
+    plain = texts.mapInArrow(_digester(), T.StructType([
         T.StructField("id", texts.schema["id"].dataType), T.StructField("key", T.LongType()),
-        *(T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed", "n_left")), T.StructField("kept", T.StringType())]))
+        *(T.StructField(n, T.LongType()) for n in ("n_lines", "n_removed")), T.StructField("kept", T.StringType())]))
     return plain.join(cut, "key", "left").select(
         F.col("id").alias(id_col), "n_lines", F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("rest", "kept").alias("kept_sha256"))
 
 
+def _row_cutter(text_col: str, removed_col: str):
+    """Rewrites the text of whole rows; a row that loses its last line with a word goes."""
+    def cut(batches):
+        for batch in batches:
+            texts, stay = batch.column(text_col).to_pylist(), []
+            for i, drop in enumerate(batch.column(removed_col).to_pylist()):
+                if drop:
+                    drop = set(drop)
+                    lines = [x for j, x in enumerate(texts[i].split("\n")) if j not in drop]
+                    texts[i] = "\n".join(lines)
+                if not drop or any(x.strip(" \t\n\x0b\x0c\r") for x in lines):
+                    stay.append(i)
+            names = [n for n in batch.schema.names if n != removed_col]
+            columns = [pa.array(texts, batch.schema.field(n).type) if n == text_col else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names).take(pa.array(stay, pa.int64()))
+    return cut
+
+
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``df`` with the repeated lines taken out of its text.  A document that
     loses all of its lines, a copy of earlier ones, goes; one that had none stays."""
-    key, rest, left = (free_name(df, n) for n in ("line_key", "line_rest", "line_left"))
-    removed = repeated_lines(df, id_col, text_col, **options)
-    texts = texts_of(df, id_col, text_col).select("key", "text")
-    cut = (narrowed(texts, removed.select("key")).join(removed, "key").dropDuplicates(["key"])
-           .mapInArrow(_cutter(False), f"key long, {_CUT}")
-           .select(F.col("key").alias(key), F.col("kept").alias(rest), F.col("n_left").alias(left)))
-    keyed = df.withColumn(key, row_key(q(id_col), F.coalesce(q(text_col), F.lit("")))).join(cut, key, "left")
-    return (keyed.where(F.coalesce(q(left), F.lit(1)) > 0)
-            .withColumn(text_col, F.coalesce(q(rest), q(text_col))).select(*(q(c) for c in df.columns)))
+    key, gone = free_name(df, "line_key"), free_name(df, "line_gone")
+    removed = repeated_lines(df, id_col, text_col, **options).select(F.col("key").alias(key), F.col("removed").alias(gone))
+    keyed = df.withColumn(key, row_key(q(id_col), F.coalesce(q(text_col), F.lit("")))).join(removed, key, "left").drop(key)
+    return keyed.mapInArrow(_row_cutter(text_col, gone), df.schema)

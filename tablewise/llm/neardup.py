@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewise.functions.core import q
 from tablewise.llm import hashing as H
 from tablewise.llm.candidates import linked
-from tablewise.llm.common import arrow_bytes, slices, stored, texts_of
+from tablewise.llm.common import arrow_bytes, free_name, row_key, slices, stored, texts_of, without
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,10 +81,11 @@ def _setter(shingle: int):
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
-    """One row per input row: id, key, n_shingles, component_id, kept.
+    """One row per input row: id, key, n_shingles, component_id, component, kept.
 
     ``component_id`` is the least id reachable over links of ``percent``
-    similarity or more, ``kept`` says that the row's id is that one.  A null
+    similarity or more, ``kept`` says that the row's id is that one; ``component``
+    names the component by a class hash (null for an empty text).  A null
     text counts as empty; empty texts are linked with nothing.  A null id never
     is the least one, unless its component has only null ids.  Rows equal in id
     and text are the same document and get the same answer.  Other columns of
@@ -106,18 +108,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .join(labels.withColumnRenamed("node", "c"), "c", "left")
                .withColumn("component", F.coalesce("component", "c")))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    answer = classes.join(least, "component").select("c", "component_id")
+    answer = classes.join(least, "component").select("c", "component", "component_id")
     return (sig.join(answer, "c", "left")
             .withColumn("component_id", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")))
-            .select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"), "component_id",
+            .select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"), "component_id", "component",
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``df`` with one document of each near-duplicate component, all columns kept."""
-    from tablewise.functions.core import q
-    from tablewise.llm.common import free_name, row_key
+    """``df`` with one document of each near-duplicate component, the one of the
+    least id, all columns kept.  Of rows equal in id and text one stays; texts
+    without a word all stay."""
     key = free_name(df, "near_key")
-    kept = near_duplicates(df, id_col, text_col, **options).where("kept").select(F.col("key").alias(key)).distinct()
+    judged = stored(near_duplicates(df, id_col, text_col, **options).where("n_shingles > 0")
+                    .select("key", "component", "kept"), "judged")
+    chosen = judged.where("kept").groupBy("component").agg(F.min("key").alias("chosen"))
+    gone = stored(judged.join(chosen, "component").where("key <> chosen").select("key").distinct(), "dropped")
+    again = stored(judged.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key"), "repeated")
     keyed = df.withColumn(key, row_key(q(id_col), F.coalesce(q(text_col), F.lit(""))))
-    return keyed.join(kept, key, "left_semi").drop(key)
+    out = without(keyed, gone, key)
+    if again.limit(1).count():
+        repeated = out.join(again.select(F.col("key").alias(key)), key, "left_semi").dropDuplicates([key])
+        out = without(out, again, key).unionByName(repeated)
+    return out.select(*(q(c) for c in df.columns))

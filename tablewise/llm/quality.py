@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewise.functions.core import q
-from tablewise.llm.common import SPACE, WORD, free_name, stored
+from tablewise.llm.common import SPACE, WORD, free_name, row_key, stored, without
 
 #: Features that have an upper fence, with the floor of their quartile distance.
 FENCES = {"symbol_ratio": 0.02, "dup_line_ratio": 0.15, "upper_ratio": 0.10, "word_length": 2.0}
@@ -113,37 +113,31 @@ def judged(featured: DataFrame, thresholds: DataFrame, by: list[str], features:
             .withColumns({"base_failed": failed, "kept": ~failed & ~over}).drop(*names.values()))
 
 
+def _key(id_col: str, text_col: str, by: tuple[str, ...]) -> Column:
+    return row_key(q(id_col), F.coalesce(q(text_col), F.lit("")), *(q(c) for c in by))
+
+
 def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """One row per input row: id, the features, base_failed, kept.
+    """One row per input row: id, key, the features, base_failed, kept.
 
     ``kept`` is false for a text of fewer than 10 words, one with over 20 % of
     its words in repeated 5-word windows, or one beyond a fence of its group.
-    Null and empty texts fail the base rules.  Repeated rows are judged alike;
-    an empty table gives an empty result.
+    Null and empty texts fail the base rules.  Rows equal in id, text and group
+    share ``key`` and are judged alike; an empty table gives an empty result.
     """
-    slim = df.select(q(id_col).alias("id"), q(text_col).alias("text"), *(q(c).alias(f"by_{i}") for i, c in enumerate(by)))
     groups = [f"by_{i}" for i in range(len(by))]
+    slim = df.select(q(id_col).alias("id"), _key(id_col, text_col, by).alias("key"), q(text_col).alias("text"),
+                     *(q(c).alias(g) for c, g in zip(by, groups)))
+    # written once: a filter on the verdict must not be pushed into the features' array expressions
     featured = stored(quality_features(slim).drop("text"), "features")
     out = judged(featured, adaptive_thresholds(featured, groups), groups)
-    return out.select(q("id").alias(id_col), "features.*", "base_failed", "kept")
+    return out.select(q("id").alias(id_col), q("key"), "features.*", "base_failed", "kept")
 
 
 def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """``df`` without the documents that ``quality_report`` rejects.
-
-    The features are taken a second time beside the text instead of shuffling
-    all texts to meet a list of verdicts.
-    """
-    name = free_name(df, "features")
-    groups = [f"by_{i}" for i in range(len(by))]
-    slim = df.select(q(text_col).alias("text"), *(q(c).alias(g) for c, g in zip(by, groups)))
-    fences = stored(adaptive_thresholds(quality_features(slim).drop("text"), groups), "fences")
-    limits = fences.select(*(q(g).alias(c) for g, c in zip(groups, by)), "fences")
-    columns = df.columns
-    framed = quality_features(df, text_col)
-    packed = framed.select(F.struct(*(q(c) for c in columns)).alias("row"), q(name).alias("features"),
-                           *(q(c).alias(g) for c, g in zip(by, groups)))
-    out = judged(packed, limits.select(*(q(c).alias(g) for c, g in zip(by, groups)), "fences"), groups)
-    return out.where("kept").select("row.*")
+    """``df`` without the documents that ``quality_report`` rejects."""
+    key = free_name(df, "quality_key")
+    rejected = stored(quality_report(df, id_col, text_col, by).where(~F.col("kept")).select("key").distinct(), "rejected")
+    return without(df.withColumn(key, _key(id_col, text_col, by)), rejected, key).select(*(q(c) for c in df.columns))
