@@ -152,25 +152,27 @@ def super_minhash(h: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
     An empty set has the largest value in every slot.
     """
     rows = len(at) - 1
-    sig = np.full((rows, m), np.iinfo(np.uint64).max, np.uint64)
+    unset = np.iinfo(np.uint64).max
+    sig = np.full((rows, m), unset, np.uint64)
     flat = sig.ravel()
     row = np.repeat(np.arange(rows), np.diff(at))
+    # rank 0, which every element takes: slot from the high half of one hash, u from its product
     seed = mix(h ^ U(0x589965CC75374CC3))
-    slot = (seed & U(0xFFFFFFFF)) % U(m)
-    step = (seed >> U(32)) % U(m - 1) + U(1)
-    slot, step, base = slot.astype(np.int64), step.astype(np.int64), row * m
-    for j in range(m):
+    slot = (((seed >> U(32)) * U(m)) >> U(32)).astype(np.int64)
+    np.minimum.at(flat, row * m + slot, (seed * U(0xA0761D6478BD642F)) >> U(8))
+    live = (sig == unset).any(axis=1)[row]
+    h, row, slot, seed = h[live], row[live], slot[live], seed[live]
+    step, base = ((seed & U(0xFFFFFFFF)) % U(m - 1) + U(1)).astype(np.int64), row * m
+    for j in range(1, m):
         if not len(h):
             break
-        offer = (mix(h + U((j + 1) * 0x9E3779B97F4A7C15 & (2 ** 64 - 1))) >> U(8)) | U(j << 56)
-        np.minimum.at(flat, base + slot, offer)
-        undone = (sig == np.iinfo(np.uint64).max).any(axis=1)
-        if not undone.any():
-            break
-        live = undone[row]
-        h, row, slot, step, base = h[live], row[live], slot[live], step[live], base[live]
         slot = slot + step
         slot[slot >= m] -= m
+        offer = (mix(h + U(j * 0x9E3779B97F4A7C15 & (2 ** 64 - 1))) >> U(8)) | U(j << 56)
+        np.minimum.at(flat, base + slot, offer)
+        live = (sig[row[0]:] == unset).any(axis=1)[row - row[0]]
+        if not live.all():
+            h, row, slot, step, base = h[live], row[live], slot[live], step[live], base[live]
     return sig
 
 

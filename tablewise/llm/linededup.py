@@ -25,6 +25,8 @@ from tablewise.llm.candidates import linked
 from tablewise.llm.common import arrow_bytes, free_name, narrowed, row_key, slices, stored, texts_of
 
 _SLICE = 2 << 20
+#: Odd multipliers of a shingle's characters.
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(64)], np.uint64)
 
 
 def _lines(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -44,14 +46,15 @@ def shingles(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int) ->
     length = ends - starts
     count = np.where(length >= k, length - k + 1, np.minimum(length, 1))
     at = np.concatenate([[0], np.cumsum(count)])
-    begin = np.repeat(starts - at[:-1], count) + np.arange(at[-1])
-    stop = np.minimum(begin + k, np.repeat(ends, count))
-    h = np.zeros(at[-1], np.uint64)
+    wide = np.concatenate([chars, np.zeros(k, chars.dtype)]).astype(np.uint64) + np.uint64(1)
+    whole = np.zeros(len(chars), np.uint64)
     for i in range(k):
-        place = np.minimum(begin + i, len(chars) - 1)
-        here = np.where(begin + i < stop, chars[place] + np.uint32(1), np.uint32(0)).astype(np.uint64)
-        h += here * np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64))
-    return H.mix(h), at
+        whole += wide[i:i + len(chars)] * _FACTORS[i]
+    h = whole[np.repeat(starts - at[:-1], count) + np.arange(at[-1])]
+    for line in np.flatnonzero((length > 0) & (length < k)).tolist():
+        n = int(length[line])
+        h[at[line]] = (wide[starts[line]:ends[line]] * _FACTORS[:n]).sum() + np.uint64(n << 40)
+    return h, at
 
 
 def _signer(k: int, bands: int, rows: int):
@@ -82,9 +85,9 @@ def _signer(k: int, bands: int, rows: int):
     return sign
 
 
-def _setter(k: int):
-    """Shingle sets of the lines (line, c) listed in ``wanted``."""
-    def sets(batches):
+def _finder(k: int):
+    """The lines (line, c) listed in ``wanted``, with the sizes of their shingle sets."""
+    def find(batches):
         for batch in batches:
             raw, off = arrow_bytes(batch.column("text"))
             wanted = batch.column("wanted")
@@ -94,12 +97,51 @@ def _setter(k: int):
                 chars, starts, ends, at = _lines(raw[off[a]:off[b]], off[a:b + 1] - off[a])
                 part = slice(listed[a], listed[b])
                 pick = np.repeat(at[:-1], np.diff(listed[a:b + 1])) + lines[part]
-                h, hat = H.distinct_sets(*shingles(chars, starts[pick], ends[pick], k))
+                _, hat = H.distinct_sets(*shingles(chars, starts[pick], ends[pick], k))
+                text = [chars[i:j].tobytes().decode("utf-32-le") for i, j in zip(starts[pick].tolist(), ends[pick].tolist())]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(classes[part], pa.int64()), pa.array(np.diff(hat), pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(hat.astype(np.int32)), pa.array(h.view(np.int64)))],
+                    pa.array(classes[part], pa.int64()), pa.array(np.diff(hat), pa.int64()), pa.array(text, pa.string())],
                     ["c", "n", "s"])
-    return sets
+    return find
+
+
+def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a column of lines."""
+    raw, off = arrow_bytes(column)
+    chars = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+    off = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[off]
+    return H.distinct_sets(*shingles(chars, off[:-1], off[1:], k))
+
+
+def _comparer(k: int, percent: int):
+    def compare(batches):
+        for batch in batches:
+            _, off = arrow_bytes(batch.column("sa"))
+            for a, b in slices(off, _SLICE):
+                some = batch.slice(a, b - a)
+                (ha, at), (hb, bt) = _sets(some.column("sa"), k), _sets(some.column("sb"), k)
+                row = np.concatenate([np.repeat(np.arange(b - a), np.diff(at)), np.repeat(np.arange(b - a), np.diff(bt))])
+                h = np.concatenate([ha, hb])
+                order = np.lexsort((h, row))
+                row, h = row[order], h[order]
+                twice = (row[1:] == row[:-1]) & (h[1:] == h[:-1])
+                common = np.bincount(row[1:][twice], minlength=b - a)
+                near = np.flatnonzero(100 * common >= percent * (np.diff(at) + np.diff(bt) - common))
+                yield some.select(["a", "b"]).take(pa.array(near))
+    return compare
+
+
+def _lister(k: int):
+    def elements(batches):
+        for batch in batches:
+            _, off = arrow_bytes(batch.column("s"))
+            for a, b in slices(off, _SLICE):
+                some = batch.slice(a, b - a)
+                h, at = _sets(some.column("s"), k)
+                line = pa.array(np.repeat(np.arange(b - a), np.diff(at)))
+                yield pa.RecordBatch.from_arrays([some.column("family").take(line), some.column("c").take(line),
+                                                  pa.array(h.view(np.int64))], ["family", "c", "x"])
+    return elements
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -124,9 +166,11 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .groupBy("key", "c").agg(F.min("line").alias("line")))
         wanted = stored(placed.groupBy("key").agg(F.collect_list(F.struct("line", "c")).alias("wanted")), "wanted")
         return (narrowed(texts.select("key", "text"), wanted.select("key")).join(wanted, "key").dropDuplicates(["key"])
-                .mapInArrow(_setter(k), "c long, n long, s array<bigint>"))
+                .mapInArrow(_finder(k), "c long, n long, s string"))
 
-    labels = linked(lines.select(F.explode("bands").alias("b"), "c"), sets_of, percent)
+    labels = linked(lines.select(F.explode("bands").alias("b"), "c"), sets_of, percent,
+                    lambda both, p: both.select("a", "b", "sa", "sb").mapInArrow(_comparer(k, p), "a long, b long"),
+                    lambda sets: sets.mapInArrow(_lister(k), "family long, c long, x long"))
     several = (lines.groupBy("c").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("c")
                .unionAll(labels.select("node")).distinct()
                .join(labels.withColumnRenamed("node", "c"), "c", "left")
