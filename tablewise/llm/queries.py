@@ -76,7 +76,31 @@ def op10(spark, sf_dir):
     return mix(read(spark, sf_dir, "documents"))
 
 
-@register("op1_secret_ownership")
+@register("op1_secret_ownership", sql=r"""
+with p(kind, k, pat) as (values
+  (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["\x27]?\x20*[:=]\x20*["\x27]?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]{24,}'), (3, 'owned', '[A-Za-z0-9+/_-]{20,}')),
+t as (select doc_id, source, replace(coalesce(text, ''), chr(1), chr(2)) as text from documents),
+m as (select doc_id, source, kind, k, pat, string_split(regexp_replace(text, pat, chr(1) || '\0' || chr(1), 'g'), chr(1)) as parts
+      from t, p where regexp_matches(text, pat)),
+u as (select *, unnest(range(2, len(parts) + 1, 2)) as i from m),
+v as (select doc_id, source, kind, k, parts[i] as x, coalesce(list_sum(list_transform(parts[1:i - 1], lambda y: length(y))), 0)::bigint as a,
+        case when kind = 0 then regexp_extract(parts[i], pat, 2) else parts[i] end as secret from u),
+w as (select *, a + length(x) as b from v
+      where case kind when 0 then length(secret) >= 6 when 1 then length(x) >= 20 when 2 then true
+        else regexp_matches(secret, '[0-9]') and regexp_matches(secret, '[A-Za-z]') and len(list_distinct(string_split(secret, ''))) >= 10 end),
+c as (select * from w where kind < 3 or not exists (
+      select 1 from w as o where o.kind < 3 and o.doc_id = w.doc_id and o.a < w.b and w.a < o.b)),
+f as (select secret, count(*) >= 3 as copied from (select distinct secret, source from c) group by secret),
+s as (select c.*, copied from c join f using (secret)),
+g as (select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
+        string_agg(k || ':' || a || ':' || b, ',' order by a, kind) filter (kind < 3) as base,
+        string_agg(k || ':' || a || ':' || b, ',' order by a, kind) filter (kind < 3 or not copied) as spans,
+        count(*) filter (not copied) as n_live, count(*) filter (copied and kind < 3) as n_copied from s group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+from documents d left join g on g.doc_id = d.doc_id
+""")
 def op1(spark, sf_dir):
     from tablewise.llm.secret_scan import KINDS, listed, scan_secrets
     out = scan_secrets(read(spark, sf_dir, "documents"))

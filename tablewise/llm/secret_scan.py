@@ -22,8 +22,8 @@ PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]{24,}
 KINDS = ("assign", "access", "hex", "owned")
 LEAST = {"access": 20, "hex": 24}
 LEAST_ASSIGNED = 6
-#: Opaque tokens: a run of token characters without a sentence's punctuation.
-WIDE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])"
+#: Opaque tokens: a run of token characters.
+WIDE = r"[A-Za-z0-9+/_-]{20,}"
 #: A mark that the texts don't have: U+0001 becomes U+0002 there, which no pattern knows either.
 _MARK = "\x01"
 
@@ -69,7 +69,7 @@ def _longer(spans: Column, least: int) -> Column:
 def looks_live(secret: Column, least_different: int = 10) -> Column:
     """Digits and letters, and many different characters: random rather than a word or a rule."""
     return (secret.rlike("[0-9]") & secret.rlike("[A-Za-z]")
-            & (F.size(F.array_distinct(F.split(secret, ""))) >= least_different))
+            & (F.size(F.array_distinct(F.filter(F.split(secret, ""), lambda x: x != ""))) >= least_different))
 
 
 def listed(spans: Column) -> Column:
