@@ -23,6 +23,13 @@ from pyspark.sql import functions as F
 SMALL_GROUP = 1_000_000  # rows one window task may sort (spillable; checked before use)
 
 
+def _same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of the same names, where a null group is a group."""
+    renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    cond = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_on_{c}`")) for c in on]
+    return left.join(renamed, cond).drop(*(f"_on_{c}" for c in on))
+
+
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None,
                out: str = "before", partitions: int | None = None, small_group: int | None = None,
                size_hint: int | None = None) -> DataFrame:
@@ -50,7 +57,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight:
         x = base.withColumn("_pid", F.lit(0))
     elif keys:
         bounds = base.groupBy(*keys).agg(F.percentile_approx(primary, probs, 10000).alias("_b"))
-        x = base.join(bounds, keys)
+        x = _same(base, bounds, keys)
         x = x.withColumn("_pid", F.size(F.filter("_b", lambda t: t <= primary))).drop("_b")
     else:
         b = base.agg(F.percentile_approx(primary, probs, 10000)).collect()[0][0] or []  # n - 1 values
@@ -65,5 +72,5 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight:
                                     F.lit(0)).alias("_off"),
                          F.sum("_t").over(grp).alias("_total"))
     # offs has (ranges x key groups) rows; without keys at most ``partitions`` rows (broadcast)
-    j = loc.join(offs, [*keys, "_pid"]) if keys else loc.join(F.broadcast(offs), "_pid")
+    j = _same(loc, offs, [*keys, "_pid"]) if keys else loc.join(F.broadcast(offs), "_pid")
     return j.withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off", "_w")

@@ -1,10 +1,10 @@
 """Bounded top-n per group.
 
-``row_number() over (partition by g order by v)`` sends a whole group to one
-task; a group holding a third of the table would then be sorted by one
-task.  ``top_n_per_group`` first keeps, inside every input partition, only
-the best n rows per group (pandas ``nsmallest``-style selection in the
-task), so the final window sees at most n x partitions rows per group.
+``rank <= n`` over ``row_number()`` lets Spark keep n rows per group in every
+input partition before the shuffle (its window group limit), so a group holding
+a third of the table sends n rows a task to the final window.  Nulls in the
+order columns come last in either direction, so the answer does not depend on
+how the rows are partitioned.
 """
 
 from __future__ import annotations
@@ -17,23 +17,9 @@ from pyspark.sql import functions as F
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int,
                     ascending: Sequence[bool] | bool = True, rank_col: str = "rank") -> DataFrame:
-    """Rows ranked 1..n within each group by ``order`` (then all other order
-    columns as tie-breakers); returns the input columns plus ``rank_col``."""
-    group, order = list(group), list(order)
+    """Rows ranked 1..n within each group by ``order`` (later order columns
+    break ties); returns the input columns plus ``rank_col``."""
     asc = [ascending] * len(order) if isinstance(ascending, bool) else list(ascending)
-    schema = df.schema
-
-    def local(batches):
-        import pandas as pd
-        parts = [b for b in batches]
-        if not parts:
-            return
-        pdf = pd.concat(parts, ignore_index=True)
-        if len(pdf) == 0:
-            return
-        pdf = pdf.sort_values(group + order, ascending=[True] * len(group) + asc, kind="mergesort")
-        yield pdf.groupby(group, sort=False, dropna=False).head(n)
-
-    reduced = df.mapInPandas(local, schema)
-    w = Window.partitionBy(*group).orderBy(*[F.col(c).asc() if a else F.col(c).desc() for c, a in zip(order, asc)])
-    return reduced.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    w = Window.partitionBy(*group).orderBy(*(
+        F.col(c).asc_nulls_last() if a else F.col(c).desc_nulls_last() for c, a in zip(order, asc)))
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)

@@ -257,8 +257,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int =
         changed = jump.alias("n").join(lab.alias("o"), "id").where(F.col("n.comp") != F.col("o.comp")).limit(1).count()
         lab = jump
         if changed == 0:
-            break
-    return lab
+            return lab
+    raise RuntimeError(f"components did not settle in {max_iter} rounds")
 
 
 def dbscan(df: DataFrame, row_id: str, features: Sequence[str] | str, eps: float, min_samples: int,

@@ -146,20 +146,17 @@ def binary_encode(df: DataFrame, cols: Sequence[str], domains: dict | None = Non
 def binary_target(df: DataFrame, col: str) -> Column:
     """0/1 expression for a binary target; token tables need not be the only
     values, else exactly two classes in sorted order; raises otherwise."""
-    vals = probe_domains(df, [col])[col]
-    plain = [v for v in vals if v != "<more>"]
-    zero = one = None
-    for v in plain:
-        k = str(v).strip().lower()
-        if k in TARGET_NEGATIVE_TOKENS:
-            zero = v
-        elif k in TARGET_POSITIVE_TOKENS:
-            one = v
-    if zero is None or one is None:
-        if len(vals) != 2 or "<more>" in vals:
-            raise ValueError("Target column must contain exactly two classes.")
-        zero, one = sorted(plain, key=str)
     s = q(col).cast("string")
+    token = F.lower(F.trim(s))
+    negative, positive = token.isin(list(TARGET_NEGATIVE_TOKENS)), token.isin(list(TARGET_POSITIVE_TOKENS))
+    # tokens of both sides anywhere in the column decide; other values become null
+    found = df.agg(F.bool_or(negative).alias("no"), F.bool_or(positive).alias("yes")).first()
+    if found["no"] and found["yes"]:
+        return F.when(negative, 0).when(positive, 1).cast("int")
+    vals = probe_domains(df, [col])[col]
+    if len(vals) != 2 or "<more>" in vals:
+        raise ValueError("Target column must contain exactly two classes.")
+    zero, one = sorted(vals, key=str)
     return F.when(s == zero, 0).when(s == one, 1).cast("int")
 
 
@@ -217,8 +214,12 @@ def qcut(df: DataFrame, col: str, q_: int, out: str | None = None) -> DataFrame:
     long = df.select(F.lit(col).alias("variable"), x.alias("value"))
     edges = exact_quantiles_long(long, ["variable"], "value", probs)
     # index = number of inner edges strictly below x (right-closed bins)
-    idx = sum((F.when(x > edges.where(F.col("prob") == p).select("quantile").scalar(), 1).otherwise(0)
-               for p in probs), F.lit(0))
+    edge = [edges.where(F.col("prob") == p).select("quantile").scalar() for p in probs]
+    # pandas refuses equal edges, the least and greatest value included
+    bounds = [scalar(df, F.min(x)), *edge, scalar(df, F.max(x))]
+    twice = sum((F.when(a == b, 1).otherwise(0) for a, b in zip(bounds, bounds[1:])), F.lit(0)) > 0
+    idx = sum((F.when(x > e, 1).otherwise(0) for e in edge), F.lit(0))
+    idx = F.when(twice, F.raise_error(F.lit("Bin edges must be unique")).cast("int")).otherwise(idx)
     return df.withColumn(out, F.when(x.isNotNull(), idx.cast("int")))
 
 

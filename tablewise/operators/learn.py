@@ -114,8 +114,8 @@ def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str] | str
                 model: str, **params) -> DataFrame:
     """Fit on ``train``, predict ``test``: (row_id, label, prediction)."""
     est = make_estimator(model, "label", **params)
-    tr = assemble(train, features, [row_id]).join(train.select(q(row_id), q(label).cast("double").alias("label")), row_id)
-    te = assemble(test, features, [row_id]).join(test.select(q(row_id), q(label).cast("double").alias("label")), row_id)
+    tr, te = (assemble(x, features, [row_id, label]).select(q(row_id), q(label).cast("double").alias("label"), "features")
+              for x in (train, test))
     m = est.fit(tr)
     return m.transform(te).select(q(row_id), "label", "prediction")
 
@@ -175,7 +175,12 @@ def knn_classify(train: DataFrame, test: DataFrame, row_id: str, features: Seque
     label); ``weights='distance'`` weights votes by 1/distance."""
     from tablewise.operators.neighbors import knn
     nn = knn(test, train, row_id, row_id, features, k, extra=[label])
-    wv = F.lit(1.0) if weights == "uniform" else F.try_divide(F.lit(1.0), F.col("dist"))
+    if weights == "uniform":
+        wv = F.lit(1.0)
+    else:  # training rows at distance 0 take all the weight
+        exact = F.min("dist").over(Window.partitionBy("qid")) == 0
+        nn = nn.withColumn("_w", F.when(exact, (F.col("dist") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("dist"))))
+        wv = F.col("_w")
     votes = nn.groupBy("qid", F.col(label).alias("cls")).agg(F.sum(wv).alias("v"))
     best = votes.groupBy("qid").agg(F.min_by("cls", F.struct(-F.col("v"), F.col("cls"))).alias("prediction"))
     truth = test.select(q(row_id).alias("qid"), q(label).alias("label"))

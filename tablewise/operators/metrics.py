@@ -194,6 +194,8 @@ def confusion_long(pred: DataFrame, label: str, prediction: str, classes: Sequen
     if classes is None:
         classes = [r[0] for r in pred.select(q(label)).union(pred.select(q(prediction))).distinct()
                    .orderBy(1).limit(MAX_CLUSTERS + 1).collect()]
+        if len(classes) > MAX_CLUSTERS:
+            raise ValueError(f"more than {MAX_CLUSTERS} classes: the full grid of counts is not built")
     cls = F.array(*[F.lit(c) for c in classes])
     grid = (pred.sparkSession.range(1).select(F.explode(cls).alias("actual"))
                 .select("actual", F.explode(cls).alias("predicted")))

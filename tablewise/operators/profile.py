@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from tablewise.functions.core import (display_value, kurt_unbiased, numeric_columns, pct, q,
                                       skew_unbiased, std_sample, text_columns, unpivot)
-from tablewise.functions.quantiles import exact_quantiles_long, quantile_wide
+from tablewise.functions.topk import top_n_per_group
+from tablewise.functions.quantiles import exact_quantiles_long, quantile_wide, with_median
 from tablewise.operators.quality import distinct_counts
 
 
@@ -179,44 +180,15 @@ def high_cardinality(df: DataFrame, ratio: float = 0.9, absolute: int = 100) ->
     return d.select("column", "distinct", r.alias("ratio")).where((F.col("distinct") >= absolute) | (r >= ratio))
 
 
-def partial_top_n(long: DataFrame, key: str, value: str, n: int) -> DataFrame:
-    """Combiner-side top-n: every input partition keeps only its n smallest and n
-    largest values per key (numpy partial sort inside the task), so the final
-    ranking sees at most 2n x partitions rows per key."""
-    import numpy as np
-    import pandas as pd
-
-    def top(batches):
-        acc: dict = {}
-        for b in batches:
-            for k, g in b.groupby(key, sort=False):
-                v = g[value].to_numpy(dtype="float64")
-                old = acc.get(k)
-                if old is not None:
-                    v = np.concatenate([old, v])
-                if len(v) > 2 * n:
-                    v = np.concatenate([np.partition(v, n - 1)[:n], -np.partition(-v, n - 1)[:n]])
-                acc[k] = v
-        for k, v in acc.items():
-            yield pd.DataFrame({key: [k] * len(v), value: v})
-
-    return long.select(key, value).mapInPandas(top, f"{key} string, {value} double")
-
-
 def extreme_values(df: DataFrame, cols: Sequence[str] | None = None, n: int = 5) -> DataFrame:
     """The n smallest and n largest values per numeric column as ascending lists.
 
-    Partition-local top-n first (bounded output per task), then a
-    ``row_number`` over that reduced set only."""
+    Two rank limits, each of which keeps n rows per column and task before the shuffle."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    long = unpivot(df, cols, [], "variable", "value").where(F.col("value").isNotNull())
-    cand = partial_top_n(long, "variable", "value", n)
-    ra = cand.withColumn("_a", F.row_number().over(Window.partitionBy("variable").orderBy("value")))
-    ra = ra.withColumn("_d", F.row_number().over(Window.partitionBy("variable").orderBy(F.desc("value"))))
-    g = ra.groupBy("variable").agg(
-        F.array_sort(F.collect_list(F.when(F.col("_a") <= n, F.col("value")))).alias("smallest"),
-        F.array_sort(F.collect_list(F.when(F.col("_d") <= n, F.col("value")))).alias("largest"))
-    return g
+    long = unpivot(df, cols, [], "variable", "value").where(F.col("value").isNotNull()).select("variable", "value")
+    sides = [top_n_per_group(long, ["variable"], ["value"], n, asc).groupBy("variable").agg(
+        F.array_sort(F.collect_list("value")).alias(name)) for name, asc in (("smallest", True), ("largest", False))]
+    return sides[0].join(sides[1], "variable")
 
 
 def describe_variable(df: DataFrame, col: str, order_col: str, max_values: int = 15) -> DataFrame:
@@ -228,10 +200,9 @@ def describe_variable(df: DataFrame, col: str, order_col: str, max_values: int =
     from tablewise.functions.core import mode_of
     base = df.agg(tot.alias("total"), F.count_if(q(col).isNull()).alias("missing"),
                   F.count_distinct(q(col)).alias("distinct")).withColumn("mode", mode_of(df, col).cast("string"))
-    from tablewise.functions.topk import top_n_per_group
     firsts = (df.where(q(col).isNotNull()).groupBy(q(col).cast("string").alias("v"))
                 .agg(F.min(q(order_col)).alias("_f")).withColumn("_g", F.lit(0)))
-    # first-seen examples: a combiner top-n keeps <= max_values levels per task
+    # first-seen examples: the rank limit keeps <= max_values levels per task
     ex = top_n_per_group(firsts, ["_g"], ["_f", "v"], max_values).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "v"))), lambda s: s["v"]).alias("ex"))
     out = base.withColumn("examples", ex.select("ex").scalar())
@@ -257,22 +228,57 @@ def describe_variable(df: DataFrame, col: str, order_col: str, max_values: int =
     return out
 
 
-def variable_findings(describe: DataFrame, roles: DataFrame | None = None) -> DataFrame:
-    """Rule-based findings per numeric variable from an R2 table: missing,
-    asymmetry (|mean - median| > 15 % of |mean|), constant, low/high cardinality."""
+def variable_findings(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Rule-based findings of variables whose analytic type is given
+    (``numeric``, ``binary``, ``ordinal`` or ``nominal``): (variable, rule, a, b).
+
+    missing (count, pct) or complete; dominant_class (pct of all rows) of a
+    binary variable of two levels; ordinal; range (min, max) and asymmetry
+    (mean, median; they differ by more than 15 % of the mean) of a numeric one;
+    constant, and for columns that are not numbers low_cardinality (2 to 5
+    levels) and high_cardinality (more than 50), with the number of levels."""
+    plain = set(numeric_columns(df))
+    total = df.select(F.count(F.lit(1))).scalar()
+    counts = df.agg(*(F.struct(F.count_if(q(c).isNull()).alias("missing"), F.count_distinct(q(c)).alias("levels")).alias(c) for c in kinds))
+    shape = counts.select(F.explode(F.array(*(F.struct(
+        F.lit(c).alias("variable"), F.lit(k).alias("kind"), F.lit(c in plain).alias("number"), q(c)["missing"].alias("missing"),
+        q(c)["levels"].alias("levels")) for c, k in kinds.items()))).alias("s")).select("s.*")
+    continuous = [c for c, k in kinds.items() if k == "numeric"]
+    binary = [c for c, k in kinds.items() if k == "binary"]
+    for names, make in ((continuous, _continuous), (binary, _dominant)):
+        if names:
+            shape = shape.join(make(df, names), "variable", "left")
+        else:
+            shape = shape.withColumns({c: F.lit(None).cast("double") for c in (_MEASURES if make is _continuous else ("top",))})
+    rule = lambda cond, name, a=F.lit(None), b=F.lit(None): F.when(cond, F.struct(
+        F.lit(name).alias("rule"), a.cast("double").alias("a"), b.cast("double").alias("b")))
     m, med = F.col("mean"), F.col("median")
-    asym = F.when(m != 0, F.abs(m - med) > 0.15 * F.abs(m)).otherwise(F.abs(med) > 0)
     rules = F.array(
-        F.when(F.col("missing") > 0, F.struct(F.lit("missing").alias("rule"),
-                                               F.format_string("%d missing (%.2f%%)", "missing", "missing_pct").alias("detail"))),
-        F.when(asym, F.struct(F.lit("asymmetry").alias("rule"), F.lit("mean and median differ visibly").alias("detail"))),
-        F.when(F.col("distinct") == 1, F.struct(F.lit("constant").alias("rule"), F.lit("single value").alias("detail"))),
-        F.when(F.col("distinct").between(2, 5), F.struct(F.lit("low_cardinality").alias("rule"),
-                                                         F.lit("few distinct values").alias("detail"))),
-        F.when(F.col("distinct") > 50, F.struct(F.lit("high_cardinality").alias("rule"),
-                                                F.lit("many distinct values").alias("detail"))))
-    return (describe.select("variable", F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("r"))
-                    .select("variable", "r.rule", "r.detail"))
+        rule(F.col("missing") == 0, "complete"),
+        rule(F.col("missing") > 0, "missing", F.col("missing"), F.col("missing") * 100.0 / total),
+        rule((F.col("kind") == "binary") & (F.col("levels") == 2), "dominant_class", F.col("top") * 100.0 / total),
+        rule(F.col("kind") == "ordinal", "ordinal"),
+        rule(F.col("low").isNotNull(), "range", F.col("low"), F.col("high")),
+        rule(F.when(m != 0, F.abs(m - med) > 0.15 * F.abs(m)).otherwise(F.abs(med) > 0), "asymmetry", m, med),
+        rule(F.col("levels") == 1, "constant", F.col("levels")),
+        rule(~F.col("number") & F.col("levels").between(2, 5), "low_cardinality", F.col("levels")),
+        rule(~F.col("number") & (F.col("levels") > 50), "high_cardinality", F.col("levels")))
+    return shape.select("variable", F.explode(F.array_compact(rules)).alias("r")).select("variable", "r.*")
+
+
+_MEASURES = ("low", "high", "mean", "median")
+
+
+def _continuous(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    long = unpivot(df, cols, [], "variable", "value").where(F.col("value").isNotNull())
+    x = F.col("value").cast("double")
+    agg = long.groupBy("variable").agg(F.min(x).alias("low"), F.max(x).alias("high"), F.avg(x).alias("mean"))
+    return with_median(agg, long, ["variable"], "value")
+
+
+def _dominant(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    long = unpivot(df, cols, [], "variable", "value", "string").where(F.col("value").isNotNull())
+    return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("variable").agg(F.max("n").alias("top"))
 
 
 def table_identity(df: DataFrame) -> DataFrame:

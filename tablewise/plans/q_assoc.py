@@ -14,9 +14,9 @@ from tablewise.sources.tables import table
 with t as (select l_returnflag as category, case when l_linestatus = 'O' then 1 else 0 end as y from lineitem),
 g as (select avg(y) as r from t)
 select 'l_returnflag' as variable, category, count(*)::bigint as n,
-       round(avg(y), 6) as rate, round(avg(y) * 100, 6) as rate_pct,
-       round((avg(y) - (select r from g)) * 100, 6) as delta_pp,
-       round(avg(y) / (select r from g), 6) as relative_risk
+       avg(y) as rate, avg(y) * 100 as rate_pct,
+       (avg(y) - (select r from g)) * 100 as delta_pp,
+       avg(y) / (select r from g) as relative_risk
 from t group by category
 """)
 def c19_influence_returnflag(spark, sf):

@@ -250,19 +250,32 @@ def r14_describe_variable(spark, sf):
 
 
 @register("r16_variable_findings", """
-with d as (select 'l_quantity' as variable, avg(l_quantity) as m, quantile_cont(l_quantity, 0.5) as med,
-             count(distinct l_quantity) as n from lineitem
-           union all select 'l_discount', avg(l_discount), quantile_cont(l_discount, 0.5), count(distinct l_discount) from lineitem
-           union all select 'l_extendedprice', avg(l_extendedprice), quantile_cont(l_extendedprice, 0.5),
-             count(distinct l_extendedprice) from lineitem)
-select variable, 'asymmetry' as rule, 'mean and median differ visibly' as detail from d
-  where case when m <> 0 then abs(m - med) > 0.15 * abs(m) else abs(med) > 0 end
-union all select variable, 'low_cardinality', 'few distinct values' from d where n between 2 and 5
-union all select variable, 'high_cardinality', 'many distinct values' from d where n > 50
+with t as (select l_quantity, l_extendedprice, l_linestatus, l_returnflag, l_linenumber, cast(l_orderkey as varchar) as l_order,
+             case when l_quantity > 25 then l_returnflag end as l_holes from lineitem),
+n as (select count(*) as n from t),
+num as (select 'l_quantity' as v, min(l_quantity) as lo, max(l_quantity) as hi, avg(l_quantity) as m, quantile_cont(l_quantity, 0.5) as med from t
+        union all select 'l_extendedprice', min(l_extendedprice), max(l_extendedprice), avg(l_extendedprice), quantile_cont(l_extendedprice, 0.5) from t),
+lev as (select 'l_returnflag' as v, count(distinct l_returnflag) as k from t union all select 'l_linestatus', count(distinct l_linestatus) from t
+        union all select 'l_order', count(distinct l_order) from t union all select 'l_holes', count(distinct l_holes) from t),
+top as (select max(c) as c, count(*) as k from (select count(*) as c from t group by l_linestatus) as x)
+select v as variable, 'complete' as rule, null::double as a, null::double as b
+  from (values ('l_quantity'), ('l_extendedprice'), ('l_linestatus'), ('l_returnflag'), ('l_linenumber'), ('l_order')) as x(v)
+union all select 'l_holes', 'missing', count(*) - count(l_holes), (count(*) - count(l_holes)) * 100.0 / count(*) from t
+union all select 'l_linestatus', 'dominant_class', c * 100.0 / n, null from top, n where k = 2
+union all select 'l_linenumber', 'ordinal', null, null
+union all select v, 'range', lo, hi from num
+union all select v, 'asymmetry', m, med from num where case when m <> 0 then abs(m - med) > 0.15 * abs(m) else abs(med) > 0 end
+union all select v, 'constant', k, null from lev where k = 1
+union all select v, 'low_cardinality', k, null from lev where k between 2 and 5
+union all select v, 'high_cardinality', k, null from lev where k > 50
 """)
 def r16_variable_findings(spark, sf):
-    d = profile.describe_numeric(table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_extendedprice"))
-    return finish(profile.variable_findings(d))
+    t = table(spark, sf, "lineitem").select(
+        "l_quantity", "l_extendedprice", "l_linestatus", "l_returnflag", "l_linenumber", F.col("l_orderkey").cast("string").alias("l_order"),
+        F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).alias("l_holes"))
+    return finish(profile.variable_findings(t, {
+        "l_quantity": "numeric", "l_extendedprice": "numeric", "l_linestatus": "binary", "l_returnflag": "nominal",
+        "l_linenumber": "ordinal", "l_order": "nominal", "l_holes": "nominal"}))
 
 
 @register("d6_candidate_subset", """

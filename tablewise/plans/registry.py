@@ -45,10 +45,11 @@ def _describe_con(describe_dir: str):
     return con
 
 
-def rounded_sql(sql: str, dp: int = 6, describe_dir: str = "/root/testdata/sf0.001") -> str:
+def rounded_sql(sql: str, describe_dir: str = "/root/testdata/sf0.001") -> str:
     """Wrap an oracle so floating columns are rounded like ``plans.common.finish``
     rounds the Spark side.  Column types come from DuckDB's DESCRIBE of the
     query over the smallest tables; on any failure the SQL is returned as is."""
+    from tablewise.plans.common import DECIMALS, DIGITS
     try:
         cols = _describe_con(describe_dir).execute(f"describe ({sql})").fetchall()
     except Exception:
@@ -56,5 +57,11 @@ def rounded_sql(sql: str, dp: int = 6, describe_dir: str = "/root/testdata/sf0.0
     fl = [c[0] for c in cols if c[1] in ("DOUBLE", "FLOAT") or c[1].startswith("DECIMAL")]
     if not fl:
         return sql
-    rep = ", ".join(f'round("{c}"::double, {dp}) as "{c}"' for c in fl)
-    return f"select * replace ({rep}) from ({sql}) as _q"
+
+    def rounded(name: str) -> str:
+        c = f'("{name}"::double)'
+        unit = f"pow(10.0::double, greatest(0.0, least({DECIMALS}.0, {DIGITS - 1} - floor(log10(abs({c}))))))"
+        noise = f"abs({c}) < 5e-{DECIMALS + 1}"
+        return f"""case when {noise} then 0.0::double when not isfinite({c}) then {c}
+            else round_even({c} * (case when {noise} then 1 else {unit} end), 0) / (case when {noise} then 1 else {unit} end) end as "{name}" """
+    return f"select * replace ({', '.join(map(rounded, fl))}) from ({sql}) as _q"

@@ -59,7 +59,7 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "ut
     """CSV with header and type inference; NA tokens to null; an index
     column (S2) is moved first."""
     df = (spark.read.option("header", True).option("inferSchema", infer).option("sep", sep)
-               .option("encoding", "UTF-8" if encoding.lower().startswith("utf-8") else encoding)
+               .option("encoding", "UTF-8" if encoding.lower().startswith("utf-8") else SPARK_CHARSETS.get(encoding.lower(), encoding))
                .option("nullValue", "").option("nanValue", "NaN").option("mode", "PERMISSIVE").csv(path))
     df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
     df = normalize_na(df)
@@ -109,19 +109,31 @@ def sniff_separator(spark: SparkSession, path: str, encoding: str = "utf-8",
     return best
 
 
+#: Spark's names of charsets.
+SPARK_CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "cp1252": "windows-1252"}
+
+
+def _is_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether every line decodes: a scan of the whole file, which stops at the first that doesn't."""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count() == 0
+
+
 def safe_read_csv(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS,
                   separators: Sequence[str] = SEPARATORS) -> DataFrame:
-    """S3: first (encoding, separator) whose header decodes and splits into more
-    than one column; header names stripped.  latin1 decodes any byte, so
-    cp1252 is reached only if every earlier attempt gave one column."""
+    """S3: first (encoding, separator) that decodes the whole file and splits its
+    header into more than one column; header names stripped.  latin1 decodes
+    any byte, so cp1252 is reached only if every earlier attempt gave one
+    column."""
     head = _head_bytes(spark, path)
-    last = None
+    utf8, last = None, "no encoding fits"
     for enc in encodings:
-        try:
-            text = head.decode(enc.replace("utf-8-sig", "utf-8-sig"))
-        except (UnicodeDecodeError, LookupError) as e:
-            last = e
-            continue
+        if enc.lower().startswith("utf-8"):
+            utf8 = _is_utf8(spark, path) if utf8 is None else utf8
+            if not utf8:
+                last = "not UTF-8"
+                continue
+        # the head only shows the separator; its last character may be cut
+        text = head.decode(enc, errors="replace")
         first = text.lstrip("﻿").splitlines()[0] if text else ""
         for sep in separators:
             if len(first.split(sep)) > 1:
