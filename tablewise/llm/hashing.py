@@ -13,6 +13,7 @@ U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _CHUNK = 1 << 20
+_PIECE = 1 << 14
 #: Bytes that separate words: 0x09-0x0D and the space.
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -22,13 +23,17 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """Bijective 64-bit finaliser."""
-    x = x ^ (x >> U(32))
-    x = x * U(0xD6E8FEB86659FD93)
-    x ^= x >> U(32)
-    x *= U(0xD6E8FEB86659FD93)
-    x ^= x >> U(32)
-    return x
+    """Bijective 64-bit finaliser, piece by piece so that pieces stay in the cache."""
+    out = np.empty_like(x)
+    for i in range(0, len(x), _PIECE):
+        y = out[i:i + _PIECE]
+        np.right_shift(x[i:i + _PIECE], U(32), out=y)
+        y ^= x[i:i + _PIECE]
+        y *= U(0xD6E8FEB86659FD93)
+        y ^= y >> U(32)
+        y *= U(0xD6E8FEB86659FD93)
+        y ^= y >> U(32)
+    return out
 
 
 def _table(name: str, base: int, n: int) -> np.ndarray:
@@ -160,18 +165,25 @@ def super_minhash(h: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
     seed = mix(h ^ U(0x589965CC75374CC3))
     slot = (((seed >> U(32)) * U(m)) >> U(32)).astype(np.int64)
     np.minimum.at(flat, row * m + slot, (seed * U(0xA0761D6478BD642F)) >> U(8))
-    live = (sig == unset).any(axis=1)[row]
+    # later ranks offer more than any slot filled so far holds: only empty slots take them
+    empty = (sig == unset).sum(axis=1)
+    live = (empty > 0)[row]
     h, row, slot, seed = h[live], row[live], slot[live], seed[live]
     step, base = ((seed & U(0xFFFFFFFF)) % U(m - 1) + U(1)).astype(np.int64), row * m
     for j in range(1, m):
         if not len(h):
             break
-        slot = slot + step
+        slot += step
         slot[slot >= m] -= m
-        offer = (mix(h + U(j * 0x9E3779B97F4A7C15 & (2 ** 64 - 1))) >> U(8)) | U(j << 56)
-        np.minimum.at(flat, base + slot, offer)
-        live = (sig[row[0]:] == unset).any(axis=1)[row - row[0]]
-        if not live.all():
+        spot = base + slot
+        taken = np.flatnonzero(flat[spot] == unset)
+        if not len(taken):
+            continue
+        spot = spot[taken]
+        np.minimum.at(flat, spot, (mix(h[taken] + U(j * 0x9E3779B97F4A7C15 & (2 ** 64 - 1))) >> U(8)) | U(j << 56))
+        np.subtract.at(empty, np.unique(spot) // m, 1)
+        live = (empty > 0)[row]
+        if live.mean() < 0.7:
             h, row, slot, step, base = h[live], row[live], slot[live], step[live], base[live]
     return sig
 

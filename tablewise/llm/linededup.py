@@ -106,28 +106,29 @@ def _finder(k: int):
     return find
 
 
-def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of a column of lines."""
+def _shingles_of(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of a column of lines, repeats included."""
     raw, off = arrow_bytes(column)
     chars = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
     off = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[off]
-    return H.distinct_sets(*shingles(chars, off[:-1], off[1:], k))
+    return shingles(chars, off[:-1], off[1:], k)
 
 
 def _comparer(k: int, percent: int):
     def compare(batches):
+        """The union of two sets is what is distinct of both; their sizes are known."""
         for batch in batches:
             _, off = arrow_bytes(batch.column("sa"))
             for a, b in slices(off, _SLICE):
                 some = batch.slice(a, b - a)
-                (ha, at), (hb, bt) = _sets(some.column("sa"), k), _sets(some.column("sb"), k)
-                row = np.concatenate([np.repeat(np.arange(b - a), np.diff(at)), np.repeat(np.arange(b - a), np.diff(bt))])
-                h = np.concatenate([ha, hb])
-                order = np.lexsort((h, row))
-                row, h = row[order], h[order]
-                twice = (row[1:] == row[:-1]) & (h[1:] == h[:-1])
-                common = np.bincount(row[1:][twice], minlength=b - a)
-                near = np.flatnonzero(100 * common >= percent * (np.diff(at) + np.diff(bt) - common))
+                (ha, at), (hb, bt) = _shingles_of(some.column("sa"), k), _shingles_of(some.column("sb"), k)
+                both = at + bt
+                h = np.empty(both[-1], np.uint64)
+                h[np.arange(len(ha)) + np.repeat(bt[:-1], np.diff(at))] = ha
+                h[np.arange(len(hb)) + np.repeat(at[1:], np.diff(bt))] = hb
+                union = np.diff(H.distinct_sets(h, both)[1])
+                sizes = some.column("na").to_numpy() + some.column("nb").to_numpy()
+                near = np.flatnonzero(100 * (sizes - union) >= percent * union)
                 yield some.select(["a", "b"]).take(pa.array(near))
     return compare
 
@@ -138,7 +139,7 @@ def _lister(k: int):
             _, off = arrow_bytes(batch.column("s"))
             for a, b in slices(off, _SLICE):
                 some = batch.slice(a, b - a)
-                h, at = _sets(some.column("s"), k)
+                h, at = H.distinct_sets(*_shingles_of(some.column("s"), k))
                 line = pa.array(np.repeat(np.arange(b - a), np.diff(at)))
                 yield pa.RecordBatch.from_arrays([some.column("family").take(line), some.column("c").take(line),
                                                   pa.array(h.view(np.int64))], ["family", "c", "x"])
@@ -170,7 +171,7 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .mapInArrow(_finder(k), "c long, n long, s string"))
 
     labels = linked(lines.select(F.explode("bands").alias("b"), "c"), sets_of, percent,
-                    lambda both, p: both.select("a", "b", "sa", "sb").mapInArrow(_comparer(k, p), "a long, b long"),
+                    lambda both, p: both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_comparer(k, p), "a long, b long"),
                     lambda sets: sets.mapInArrow(_lister(k), "family long, c long, x long"))
     several = (lines.groupBy("c").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("c")
                .unionAll(labels.select("node")).distinct()
