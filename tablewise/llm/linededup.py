@@ -25,7 +25,7 @@ from tablewise.llm import hashing as H
 from tablewise.llm.candidates import linked
 from tablewise.llm.common import arrow_bytes, free_name, narrowed, row_key, slices, stored, texts_of
 
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 #: Odd multipliers of a shingle's characters.
 _FACTORS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) for i in range(64)], np.uint64)
 
