@@ -3,9 +3,14 @@
 The benchmark is the query set.  It is taken in blocks of bounded size; each
 block's n-grams are broadcast and two passes go over the documents:
 
-1. count how often every n-gram of the block occurs in the corpus; the rarer
-   half of each item's n-grams become its seeds (an item's own copies raise all
-   of its n-grams alike, so a leaked item keeps seeds);
+1. count how often every n-gram of the block occurs in the corpus.  A match
+   of the score asked for leaves a least number of an item's n-grams unbroken
+   (``unbroken``), whatever words were replaced, inserted or left out.  Of the
+   n-grams that occur at all, the commonest ones below that number can't be all
+   that is left, so the other, rarer ones are the item's seeds and no match
+   is without one.  N is the widest for which that number isn't zero: 2 at
+   60 %, where an insertion after every second word breaks all 3-grams, and 1
+   for items of up to five words;
 2. every occurrence of a seed places the item at a passage of the document;
    passages are aligned with the item by Smith-Waterman over words, many at a
    time.  A score of 60 % of a perfect match or more is contamination, which
@@ -38,14 +43,26 @@ def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return H.word_hashes(_PLAIN[raw], off)
 
 
+def unbroken(length: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """N-grams of an item of ``length`` words, at least, that a match of ``percent`` leaves unbroken.
+
+    With m words matched and e errors, ``2 m - e >= 2 length percent / 100``.
+    The matched words are in e + 1 runs or fewer, each n - 1 short of its words
+    in n-grams; the sum is least where all words match (n > 1)."""
+    if n == 1:
+        return -(-percent * length // 100)
+    return -((100 * (n - 1) - length * (100 - MATCH * (n - 1) * (100 - percent))) // 100)
+
+
 class Grams:
-    """Sorted n-gram hashes of a block of items with where they occur."""
+    """Sorted n-gram hashes of those items of a block that are ``mine``, with where they occur."""
 
-    def __init__(self, words: np.ndarray, at: np.ndarray, n: int):
+    def __init__(self, words: np.ndarray, at: np.ndarray, n: int, mine: np.ndarray, least: np.ndarray):
         where, rows = H.inside(at, n)
-        self.n, self.words, self.at = n, words, at
+        self.n, self.words, self.at, self.least = n, words, at, least
         h = H.grams(words, n)[where]
         item = np.repeat(np.arange(len(at) - 1), np.diff(rows))
+        where, h, item = where[mine[item]], h[mine[item]], item[mine[item]]
         order = np.argsort(h, kind="stable")
         self.h, self.item, self.place = h[order], item[order], (where - at[:-1][item])[order]
         self.gram = np.unique(self.h)
@@ -56,21 +73,35 @@ class Grams:
         return bits
 
     def seeds(self, counts: np.ndarray) -> "Grams":
-        """Keeps each item's rarer half (ties with the last one stay)."""
+        """Keeps each item's rarest n-grams that occur, all but ``least - 1`` of them (ties with the last one stay)."""
         rare = counts[np.searchsorted(self.gram, self.h)]
-        order = np.lexsort((rare, self.item))
+        some = np.flatnonzero(rare > 0)
+        order = some[np.lexsort((rare[some], self.item[some]))]
         item, rare_o = self.item[order], rare[order]
         first = np.searchsorted(item, np.arange(len(self.at) - 1))
         size = np.bincount(item, minlength=len(self.at) - 1)
         limit = np.zeros(len(size), rare.dtype)
-        has = size > 0
-        limit[has] = rare_o[(first + (size + 1) // 2 - 1)[has]]
-        keep = rare <= limit[self.item]
+        has = size >= self.least
+        limit[has] = rare_o[(first + size - self.least)[has]]
+        keep = (rare > 0) & (rare <= limit[self.item])
         self.h, self.item, self.place = self.h[keep], self.item[keep], self.place[keep]
         self.gram = np.unique(self.h)
         return self
 
 
+def grams_of(words: np.ndarray, at: np.ndarray, n: int, percent: int) -> list[Grams]:
+    """N-grams of the items of ``n`` words or more, each item at the widest n that a match can't break everywhere."""
+    length, out = np.diff(at), []
+    left = length >= n
+    for k in range(n, 0, -1):
+        least = unbroken(length, k, percent)
+        mine = left & (least > 0)
+        left &= ~mine
+        if mine.any():
+            out.append(Grams(words, at, k, mine, np.where(mine, least, 1)))
+    return out
+
+
 def _hits(w: np.ndarray, at: np.ndarray, n: int, grams: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of rows' n-grams that are among ``grams``, and their hashes."""
     where, _ = H.inside(at, n)
@@ -84,17 +115,19 @@ def _hits(w: np.ndarray, at: np.ndarray, n: int, grams: np.ndarray, bits: np.nda
 
 def _counter(shared):
     def count(batches):
-        g = shared.value
-        bits = g.filter_bits(g.gram)
+        bits = [g.filter_bits(g.gram) for g in shared.value]
         for batch in batches:
             raw, off = arrow_bytes(batch.column("text"))
-            seen = np.zeros(len(g.gram), np.int64)
+            seen = [np.zeros(len(g.gram), np.int64) for g in shared.value]
             for a, b in slices(off):
                 w, at = _words(raw[off[a]:off[b]], off[a:b + 1] - off[a])
-                _, h = _hits(w, at, g.n, g.gram, bits)
-                seen += np.bincount(np.searchsorted(g.gram, h), minlength=len(seen))
-            some = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], ["gram", "times"])
+                for g, bit, times in zip(shared.value, bits, seen):
+                    _, h = _hits(w, at, g.n, g.gram, bit)
+                    times += np.bincount(np.searchsorted(g.gram, h), minlength=len(times))
+            for g, times in zip(shared.value, seen):
+                some = np.flatnonzero(times)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), g.n)), pa.array(some), pa.array(times[some])],
+                                                 ["n", "gram", "times"])
     return count
 
 
@@ -117,23 +150,31 @@ def align(items: np.ndarray, item_len: np.ndarray, passages: np.ndarray) -> np.n
     return best
 
 
+def _occurrences(seeds: list[Grams], bits: list[np.ndarray], w: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Positions at which seeds occur, with the seed's place in its item and the item."""
+    out = []
+    for g, bit in zip(seeds, bits):
+        where, h = _hits(w, at, g.n, g.gram, bit)
+        lo, hi = np.searchsorted(g.h, h, "left"), np.searchsorted(g.h, h, "right")
+        spread = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)])[:-1], hi - lo) + np.arange((hi - lo).sum())
+        out.append((np.repeat(where, hi - lo), g.place[spread], g.item[spread]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _aligner(shared, ids: pa.Array, percent: int):
     def match(batches):
-        g = shared.value
-        bits = g.filter_bits(g.gram)
-        length = np.diff(g.at)
-        for batch in batches:
+        seeds = [g for g in shared.value if len(g.gram)]
+        bits = [g.filter_bits(g.gram) for g in seeds]
+        for batch in batches if seeds else ():
+            g, length = seeds[0], np.diff(seeds[0].at)
             raw, off = arrow_bytes(batch.column("text"))
             for a, b in slices(off):
                 w, at = _words(raw[off[a]:off[b]], off[a:b + 1] - off[a])
-                where, h = _hits(w, at, g.n, g.gram, bits)
-                if not len(h):
+                where, place, item = _occurrences(seeds, bits, w, at)
+                if not len(where):
                     continue
-                lo, hi = np.searchsorted(g.h, h, "left"), np.searchsorted(g.h, h, "right")
-                spread = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange((hi - lo).sum())
-                where, item = np.repeat(where, hi - lo), g.item[spread]
                 row = np.searchsorted(at, where, "right") - 1
-                start = where - g.place[spread]
+                start = where - place
                 # hits of one item that agree on its place, up to the slack, are one passage
                 order = np.lexsort((start, item, row))
                 row, item, start = row[order], item[order], start[order]
@@ -199,14 +240,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         block = items.where(F.pmod("key", F.lit(blocks)) == k).select("id", "text").toArrow()
         ids = block.column("id").combine_chunks()
         w, at = _words(*arrow_bytes(block.column("text")))
-        grams = Grams(w, at, n)
-        if not len(grams.gram):
+        grams = grams_of(w, at, n, percent)
+        if not grams:
             continue
-        counted = texts.select("text").mapInArrow(_counter(spark.sparkContext.broadcast(grams)), "gram long, times long")
-        counts = np.zeros(len(grams.gram), np.int64)
-        for row in counted.groupBy("gram").agg(F.sum("times").alias("times")).toLocalIterator():
-            counts[row["gram"]] = row["times"]
-        seeds = spark.sparkContext.broadcast(grams.seeds(counts))
+        counted = texts.select("text").mapInArrow(_counter(spark.sparkContext.broadcast(grams)), "n long, gram long, times long")
+        counts = {g.n: np.zeros(len(g.gram), np.int64) for g in grams}
+        for row in counted.groupBy("n", "gram").agg(F.sum("times").alias("times")).toLocalIterator():
+            counts[row["n"]][row["gram"]] = row["times"]
+        seeds = spark.sparkContext.broadcast([g.seeds(counts[g.n]) for g in grams])
         found = texts.mapInArrow(_aligner(seeds, ids, percent), schema)
         out = found if out is None else out.unionAll(found)
     return out if out is not None else spark.createDataFrame([], schema)

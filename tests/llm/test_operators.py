@@ -251,3 +251,24 @@ def test_near_duplicate_families(spark):
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
     assert got == components(sets, links)
+
+
+def _made_up_items(spark, lengths):
+    words = [[f"w{k}x{i}" for i in range(n)] for k, n in enumerate(lengths)]
+    return words, spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(words)], "item_id long, text string")
+
+
+@pytest.mark.parametrize("leaked", [False, True])
+def test_op9_regular_edits(spark, leaked):
+    """Every 4th or 5th word replaced, and a word inserted after every second one, which breaks all 3-grams."""
+    from tablewise.llm.decontam import contaminated
+    words, items = _made_up_items(spark, [40, 41, 24, 5, 3])
+    edits = {(k, e): x for k, w in enumerate(words[:3]) for e, x in (
+        (4, [x if i % 4 != 3 else "changed" for i, x in enumerate(w)]), (5, [x if i % 5 != 4 else "changed" for i, x in enumerate(w)]),
+        (2, [y for i, x in enumerate(w) for y in ([x, "more"] if i % 2 else [x])]))}
+    edits |= {(k, 1): " more ".join(words[k]).split() for k in (3, 4)}
+    rows = [(10 * k + e, " ".join(["before"] * 30 + x + ["after"] * 30)) for (k, e), x in edits.items()]
+    if leaked:
+        rows += [(1000 + k, " ".join(w)) for k, w in enumerate(words)]
+    found = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r.id, r.item) for r in found} == {(10 * k + e, k) for k, e in edits} | {(1000 + k, k) for k in range(5) if leaked}
