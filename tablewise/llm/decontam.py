@@ -11,10 +11,12 @@ block's n-grams are broadcast and two passes go over the documents:
    is without one.  N is the widest for which that number isn't zero: 2 at
    60 %, where an insertion after every second word breaks all 3-grams, and 1
    for items of up to five words;
-2. every occurrence of a seed places the item at a passage of the document;
-   passages are aligned with the item by Smith-Waterman over words, many at a
-   time.  A score of 60 % of a perfect match or more is contamination, which
-   allows for replaced, inserted and left-out words.
+2. every occurrence of a seed places the item at a passage of the document,
+   with as many words on either side as a match can have errors; passages that
+   overlap are one.  They are aligned with the item by Smith-Waterman over
+   words, many at a time.  A score of 60 % of a perfect match or more is
+   contamination, which allows for replaced, inserted and left-out words; the
+   words around a match are aligned again, as they may hold another one.
 
 Both passes run inside the scan; only matches leave it.
 """
@@ -150,6 +152,42 @@ def align(items: np.ndarray, item_len: np.ndarray, passages: np.ndarray) -> np.n
     return best
 
 
+def located(items: np.ndarray, item_len: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and the one behind the last of the matches that ``align`` scores.
+    Cells hold the score in the high half and where their match begins in the low one."""
+    rows, width = passages.shape
+    fresh = np.arange(1, width + 1)[None, :]
+    step = (-GAP * np.arange(width)) << 32
+    above = np.broadcast_to(fresh, (rows, width)).copy()
+    best, last, every = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.arange(rows)
+    for i in range(items.shape[1]):
+        score = np.where(passages == items[:, i:i + 1], MATCH, MISMATCH)
+        diagonal = np.zeros_like(above)
+        diagonal[:, 1:] = above[:, :-1]
+        here = np.maximum(np.maximum(diagonal + (score << 32), above + (GAP << 32)), fresh)
+        here = np.maximum.accumulate(here + step, axis=1) - step
+        here[i >= item_len] = 0
+        at = (here >> 32).argmax(axis=1)
+        better = here[every, at] >> 32 > best >> 32
+        best[better], last[better] = here[every, at][better], at[better] + 1
+        above = here
+    return best & 0xFFFFFFFF, last
+
+
+def _shared_words(items: np.ndarray, passages: np.ndarray) -> np.ndarray:
+    """How many words of each row's item stand in its passage: no match has more."""
+    count = np.zeros(len(items), np.int64)
+    for i in range(items.shape[1]):
+        count += (passages == items[:, i:i + 1]).any(axis=1)
+    return count
+
+
+def _side_by_side(words: np.ndarray, begin: np.ndarray, length: np.ndarray, pad: int) -> np.ndarray:
+    """Rows of ``length`` words from ``begin`` on, padded to one width."""
+    i = np.arange(length.max())[None, :]
+    return np.where(i < length[:, None], words[np.minimum(i + begin[:, None], len(words) - 1)], np.uint64(pad))
+
+
 def _occurrences(seeds: list[Grams], bits: list[np.ndarray], w: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """Positions at which seeds occur, with the seed's place in its item and the item."""
     out = []
@@ -175,31 +213,44 @@ def _aligner(shared, ids: pa.Array, percent: int):
                     continue
                 row = np.searchsorted(at, where, "right") - 1
                 start = where - place
-                # hits of one item that agree on its place, up to the slack, are one passage
+                # a match has no more errors than ``reach``, so the words of its seeds' passages hold all of it
                 order = np.lexsort((start, item, row))
                 row, item, start = row[order], item[order], start[order]
-                slack = length[item] // 4 + 4
+                reach = MATCH * (100 - percent) * length // 100
                 new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > slack[1:])
+                new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > (length + 2 * reach)[item[1:]])
                 head = np.flatnonzero(new)
                 tail = np.concatenate([head[1:], [len(row)]]) - 1
-                row, item, slack = row[head], item[head], slack[head]
-                first = np.maximum(start[head] - slack, at[row])
-                last = np.minimum(start[tail] + length[item] + slack, at[row + 1])
-                score = np.zeros(len(row), np.int64)
-                for some in _alike(length[item], last - first):
-                    li, lp = length[item[some]], (last - first)[some]
-                    i = np.arange(li.max())[None, :] + g.at[:-1][item[some]][:, None]
-                    p = np.arange(lp.max())[None, :] + first[some][:, None]
-                    left = np.where(np.arange(li.max())[None, :] < li[:, None], g.words[np.minimum(i, len(g.words) - 1)], np.uint64(0))
-                    right = np.where(np.arange(lp.max())[None, :] < lp[:, None], w[np.minimum(p, len(w) - 1)], np.uint64(1))
-                    score[some] = align(left, li, right)
-                found = np.flatnonzero(100 * score >= percent * MATCH * length[item])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("id").take(pa.array(a + row[found])), batch.column("key").take(pa.array(a + row[found])),
-                    ids.take(pa.array(item[found])), pa.array(score[found] / (MATCH * length[item[found]])),
-                    pa.array(first[found] - at[row[found]]), pa.array(last[found] - at[row[found]])],
-                    ["id", "key", "item", "similarity", "first", "last"])
+                row, item = row[head], item[head]
+                first = np.maximum(start[head] - reach[item], at[row])
+                last = np.minimum(start[tail] + (length + reach)[item], at[row + 1])
+                while len(row):
+                    score = np.zeros(len(row), np.int64)
+                    begin, end = first.copy(), last.copy()
+                    for some in _alike(length[item], last - first):
+                        n = length[item[some]]
+                        left = _side_by_side(g.words, g.at[:-1][item[some]], n, 0)
+                        right = _side_by_side(w, first[some], (last - first)[some], 1)
+                        able = 100 * _shared_words(left, right) >= percent * n
+                        some, n, left, right = some[able], n[able], left[able], right[able]
+                        score[some] = align(left, n, right)
+                        good = np.flatnonzero(100 * score[some] >= percent * MATCH * n)
+                        if len(good):
+                            a_word, b_word = located(left[good], n[good], right[good])
+                            begin[some[good]] = first[some[good]] + a_word
+                            end[some[good]] = first[some[good]] + b_word
+                    found = np.flatnonzero(100 * score >= percent * MATCH * length[item])
+                    row, item, first, last = row[found], item[found], first[found], last[found]
+                    score, begin, end = score[found], begin[found], end[found]
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("id").take(pa.array(a + row)), batch.column("key").take(pa.array(a + row)),
+                        ids.take(pa.array(item)), pa.array(score / (MATCH * length[item])),
+                        pa.array(begin - at[row]), pa.array(end - at[row])],
+                        ["id", "key", "item", "similarity", "first", "last"])
+                    row, item = np.tile(row, 2), np.tile(item, 2)
+                    first, last = np.concatenate([first, end]), np.concatenate([begin, last])
+                    room = 100 * (last - first) >= percent * length[item]
+                    row, item, first, last = row[room], item[room], first[room], last[room]
     return match
 
 
@@ -218,7 +269,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                  item_col: str = "item_id", item_text_col: str = "text", n: int = 3, percent: int = 60,
                  block_bytes: int = 4 << 20) -> DataFrame:
     """(id, key, item, similarity, first, last): one row per document and place
-    where it holds a benchmark item; ``first`` and ``last`` bound the passage in words.
+    where it holds a benchmark item; ``first`` and ``last`` bound the match in words.
 
     Words are lower-cased (A-Z) and parted by white space or ASCII punctuation.
     Items of fewer than ``n`` words, null and empty ones match nothing, as do

@@ -272,3 +272,44 @@ def test_op9_regular_edits(spark, leaked):
         rows += [(1000 + k, " ".join(w)) for k, w in enumerate(words)]
     found = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     assert {(r.id, r.item) for r in found} == {(10 * k + e, k) for k, e in edits} | {(1000 + k, k) for k in range(5) if leaked}
+
+
+def test_op9_insertions_and_neighbours(spark):
+    """One long insertion, which parts an item's seeds, and copies side by side."""
+    from tablewise.llm.decontam import contaminated
+    words, items = _made_up_items(spark, [40])
+    w, around = words[0], ["around"] * 60
+    rows = [(1, around + w[:20] + ["more"] * 30 + w[20:] + around, [(60, 130)]), (2, w[:30] + ["more"] * 30 + w[30:], [(0, 30)]),
+            (3, w[:20] + ["more"] * 33 + w[20:], []), (4, around + w * 3 + around, [(60, 100), (100, 140), (140, 180)]),
+            (5, w + ["more"] * 5 + w[:20] + ["more"] * 30 + w[20:], [(0, 40), (45, 115)])]
+    found = contaminated(spark.createDataFrame([(i, " ".join(x)) for i, x, _ in rows], "doc_id long, text string"), items).collect()
+    assert sorted((r.id, r.first, r.last) for r in found) == [(i, a, b) for i, _, places in rows for a, b in places]
+
+
+def test_op9_against_all_pairs(spark):
+    """Random edits around the threshold: what Smith-Waterman over the whole text finds."""
+    import random
+
+    import numpy as np
+
+    from tablewise.llm.decontam import _words, align, contaminated
+    from tablewise.llm.common import arrow_bytes
+    import pyarrow as pa
+    rng = random.Random(5)
+    words, items = _made_up_items(spark, [3, 4, 5, 6, 9, 17, 33, 60])
+    rows = []
+    for i in range(240):
+        w, rate = words[i % 8], rng.choice([0.2, 0.25, 0.3, 0.4])
+        text = []
+        for x in w:
+            edit = rng.random()
+            text += [x] if edit > rate else [["a"], [], [x, "b"], ["c"] * 3 + [x]][rng.randrange(4)]
+        rows.append((i, " ".join(["the"] * rng.randrange(9) + text + ["of"] * rng.randrange(9))))
+    want = set()
+    for i, text in rows:
+        for k, w in enumerate(words):
+            (a, _), (b, _) = (_words(*arrow_bytes(pa.array([x]))) for x in (" ".join(w), text))
+            if len(b) and 100 * align(a[None], np.array([len(a)]), b[None])[0] >= 60 * 2 * len(a):
+                want.add((i, k))
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r.id, r.item) for r in got} == want and 60 < len(want) < 230
