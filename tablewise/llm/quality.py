@@ -3,7 +3,10 @@
 Features of every text are higher-order array expressions over its words; the
 thresholds of a feature are outer fences ``q3 + width * max(q3 - q1, floor)``
 of mergeable quantile sketches per language and source.  A fence follows its
-group: where tables of symbols are usual, more symbols are allowed.  The floor
+group: where tables of symbols are usual, more symbols are allowed.  A small
+group says little about what is usual: its quartiles are mixed with those of
+its language, and those with the corpus's, by weights that grow with the rows
+(``OWN_ROWS``), so that the junk of a small source doesn't set its fence.  The floor
 is the least spread a group is credited with, so that a group whose documents
 all have the same value (no symbol at all, say) doesn't reject its first other
 document.
@@ -20,6 +23,8 @@ from tablewise.llm.common import SPACE, WORD, free_name, row_key, stored, withou
 #: Features that have an upper fence, with the floor of their quartile distance.
 FENCES = {"symbol_ratio": 0.02, "dup_line_ratio": 0.15, "upper_ratio": 0.10, "word_length": 2.0}
 FENCE_WIDTH = 3.0
+#: Rows at which a group's own quartiles weigh as much as those of the level above: n^2 / (n^2 + OWN_ROWS^2).
+OWN_ROWS = 10.0
 #: Relative accuracy of the sketches (rank error of one in this many rows).
 SKETCH_ACCURACY = 10_000
 
@@ -82,16 +87,36 @@ def base_failed(features: Column, min_words: int = 10, most_repeat_percent: int
     return (features["n_words"] < min_words) | (100 * features["n_repeat_words"] > most_repeat_percent * features["n_words"])
 
 
+def _sketches(featured: DataFrame, by: list[str], features: str) -> DataFrame:
+    """Quartiles ``q`` and number ``n`` of each measure by group; documents that fail the base rules don't count."""
+    m = measures(q(features))
+    return featured.where(~base_failed(q(features))).groupBy(*(q(c) for c in by)).agg(*(
+        F.struct(F.percentile_approx(m[k], [0.25, 0.75], SKETCH_ACCURACY).alias("q"), F.count(m[k]).cast("double").alias("n")).alias(k)
+        for k in FENCES))
+
+
+def _mixed(own: Column, above: Column) -> Column:
+    weight = own["n"] * own["n"] / (own["n"] * own["n"] + OWN_ROWS ** 2)
+    return F.when(own["q"].isNull(), above).otherwise(F.zip_with(own["q"], above, lambda a, b: weight * a + (1 - weight) * b))
+
+
 def adaptive_thresholds(featured: DataFrame, by: list[str], features: str = "features") -> DataFrame:
     """One row per group ``by`` (nulls are a group): the fence of each measure.
 
-    Documents that fail the base rules don't shape the fences.  Sketches merge
-    map-side, so a group of any size sends one sketch per task.
+    The levels are the corpus, the first column of ``by``, the first two and so
+    on; each level's quartiles are mixed with those of the one above.  Sketches
+    merge map-side, so a group of any size sends one sketch per task.
     """
-    m = measures(q(features))
-    sketches = featured.where(~base_failed(q(features))).groupBy(*(q(c) for c in by)).agg(*(
-        F.percentile_approx(m[k], [0.25, 0.75], SKETCH_ACCURACY).alias(k) for k in FENCES))
-    return sketches.select(*(q(c) for c in by), F.struct(*(
+    level = _sketches(featured, [], features).select(*(F.col(k)["q"].alias(k) for k in FENCES))
+    for i in range(1, len(by) + 1):
+        above = level.select(*(q(c).alias(f"above_{j}") for j, c in enumerate(by[:i - 1])), *(F.col(k).alias(f"above_{k}") for k in FENCES))
+        on = F.lit(True)
+        for j, c in enumerate(by[:i - 1]):
+            on = on & q(c).eqNullSafe(F.col(f"above_{j}"))
+        own = _sketches(featured, by[:i], features)
+        level = (own.join(above, on) if i > 1 else own.crossJoin(above)).select(
+            *(q(c) for c in by[:i]), *(_mixed(F.col(k), F.col(f"above_{k}")).alias(k) for k in FENCES))
+    return level.select(*(q(c) for c in by), F.struct(*(
         (F.col(k)[1] + FENCE_WIDTH * F.greatest(F.col(k)[1] - F.col(k)[0], F.lit(floor))).alias(k)
         for k, floor in FENCES.items())).alias("fences"))
 
@@ -122,7 +147,8 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, key, the features, base_failed, kept.
 
     ``kept`` is false for a text of fewer than 10 words, one with over 20 % of
-    its words in repeated 5-word windows, or one beyond a fence of its group.
+    its words in repeated 5-word windows, or one beyond a fence of its group
+    (which a small group borrows from the level above).
     Null and empty texts fail the base rules.  Rows equal in id, text and group
     share ``key`` and are judged alike; an empty table gives an empty result.
     """

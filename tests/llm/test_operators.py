@@ -313,3 +313,25 @@ def test_op9_against_all_pairs(spark):
                 want.add((i, k))
     got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     assert {(r.id, r.item) for r in got} == want and 60 < len(want) < 230
+
+
+def test_op6_small_groups_borrow_their_fence(spark):
+    """Junk that is alone in its source, against fences by brute force."""
+    from tablewise.llm.quality import FENCE_WIDTH, FENCES, OWN_ROWS, adaptive_thresholds, quality_features, quality_report
+    plain = "one two three four five six seven eight nine ten eleven twelve word%d"
+    rows = [(i, plain % i, "en", "a") for i in range(40)]
+    rows += [(100 + i, "one### two### three### four### five### six### seven### eight### nine### ten### it%d" % i, "en", f"s{i}" if i else None) for i in range(8)]
+    rows += [(200 + i, plain % i, "en", f"t{i}") for i in range(8)] + [(300 + i, plain % i, None, "u") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_report(df).collect()}
+    assert {i for i, k in kept.items() if not k} == set(range(100, 108))
+    ratio = lambda t: len(re.findall(r"[#*$%&|<>]", t)) / sum(map(len, WORD.findall(t)))
+    quartiles = lambda rs: [sorted(ratio(t) for _, t, _, _ in rs)[math.ceil(p * len(rs)) - 1] for p in (0.25, 0.75)]
+
+    def mixed(rs, above):
+        w = len(rs) ** 2 / (len(rs) ** 2 + OWN_ROWS ** 2)
+        return [w * a + (1 - w) * b for a, b in zip(quartiles(rs), above)]
+    for r in adaptive_thresholds(quality_features(df), ["lang", "source"]).collect():
+        of_lang = [x for x in rows if x[2] == r.lang]
+        low, high = mixed([x for x in of_lang if x[3] == r.source], mixed(of_lang, quartiles(rows)))
+        assert r.fences["symbol_ratio"] == pytest.approx(high + FENCE_WIDTH * max(high - low, FENCES["symbol_ratio"]))
