@@ -5,8 +5,8 @@ Signatures and band hashes of all lines come from one Arrow pass; classes that
 share a band are candidates, confirmed by the exact Jaccard similarity of their
 shingle sets (``candidates.linked``).  Confirmed links form components by
 distributed union-find, and the first line of each, by document id and line
-number, stays.  With 14 bands of 6 slots a pair at similarity 0.8 misses every
-band with probability 1.4 %, one at 0.9 with 2e-5; slots are six because lines of
+number, stays.  With 40 bands of 6 slots, as for near duplicates, a pair at similarity
+0.8 misses every band with probability 5e-6; slots are six because lines of
 one language share some shingles, and with five chance meetings grow past the rest.
 """
 
@@ -147,7 +147,7 @@ def _lister(k: int):
 
 
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                   percent: int = 80, bands: int = 14, rows: int = 6) -> DataFrame:
+                   percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """(key, removed): numbers of the lines that an earlier line of their
     component repeats, for the documents that have any.
 

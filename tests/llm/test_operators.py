@@ -335,3 +335,19 @@ def test_op6_small_groups_borrow_their_fence(spark):
         of_lang = [x for x in rows if x[2] == r.lang]
         low, high = mixed([x for x in of_lang if x[3] == r.source], mixed(of_lang, quartiles(rows)))
         assert r.fences["symbol_ratio"] == pytest.approx(high + FENCE_WIDTH * max(high - low, FENCES["symbol_ratio"]))
+
+
+def test_op4_pairs_near_the_threshold(spark):
+    """Lines with a single partner of similarity 0.81, whom bands must not miss."""
+    import random
+
+    from tablewise.llm.linededup import line_digests
+    rng, rows = random.Random(7), []
+    for i in range(600):
+        x = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100))
+        y = "".join({30: "0", 60: "1"}.get(j, c) for j, c in enumerate(x))
+        a, b = ({t[j:j + 5] for j in range(96)} for t in (x, y))
+        assert 80 * len(a | b) <= 100 * len(a & b) <= 82 * len(a | b)
+        rows += [(i, x), (1000 + i, y)]
+    removed = {r.doc_id: r.n_removed for r in line_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert removed == {i: int(i >= 1000) for i, _ in rows}
