@@ -99,3 +99,14 @@ def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     if keys.limit(MOST_KEYS + 1).count() <= MOST_KEYS:
         keys = F.broadcast(keys)
     return df.join(keys, key, "left_anti")
+
+
+def joined(rows: DataFrame, answers: DataFrame, key: str, times: str) -> DataFrame:
+    """``rows`` with what ``answers`` (one row a key, ``times`` of the rows have
+    it) says of their key.  Keys that hold over a thousandth of all rows, so
+    fewer than a thousand keys, are broadcast: none gathers its rows in one task."""
+    total = answers.agg(F.sum(times)).first()[0] or 0
+    often = F.col(times) * 1000 > F.lit(total)
+    hot = F.broadcast(answers.where(often).drop(times))
+    rare = answers.where(~often).drop(times)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rare, key))

@@ -190,3 +190,9 @@ def op3(spark, sf_dir):
     out = format_preferences(swapped_endings(conversations(read(spark, sf_dir, "conversations"))))
     told = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return out.withColumns({c: told(c) for c in ("chosen_mask", "rejected_mask")})
+
+
+@register("op12_simhash_tiles")
+def op12(spark, sf_dir):
+    from tablewise.llm.simhash import simhash_groups
+    return simhash_groups(read(spark, sf_dir, "documents"), shingle=3, radius=3)
