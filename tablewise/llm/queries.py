@@ -196,3 +196,45 @@ def op3(spark, sf_dir):
 def op12(spark, sf_dir):
     from tablewise.llm.simhash import simhash_groups
     return simhash_groups(read(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
+#: Folder of the public tokenizers' vocabularies.
+TOKENIZERS = "/opt/tokenizers"
+
+
+@register("op13_tokenizer_alignment")
+def op13(spark, sf_dir):
+    from tablewise.llm.alignment import align
+    return align(read(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")[0]
+
+
+@register("op11_prefix_trie", sql=f"""
+with o as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+t as (select conv_id, md5(length(role) || ':' || role || text) as h, len({_WORDS.format("text")}) as words, role, turn from o),
+n as (select conv_id, h, words, row_number() over (partition by conv_id order by turn nulls first, role, h) as n from t),
+c as (select conv_id, conv_id - conv_id % 20 as base, xor(4294967295::ubigint, list_reduce(
+        [4294967295::ubigint] || list_transform(string_split(cast(conv_id as varchar), ''), lambda x: unicode(x)::ubigint),
+        lambda r, b: list_reduce([xor(r, b)] || list_value(0, 0, 0, 0, 0, 0, 0, 0)::ubigint[],
+                                 lambda d, z: xor(d >> 1, 3988292384::ubigint * (d & 1::ubigint))))) % 4 as take
+      from (select distinct conv_id from n)),
+lent as (select c.conv_id, n.n as d, n.h, n.words from c join n on n.conv_id = c.base and n.n <= c.take),
+k as (select conv_id, count(*) as k from lent group by conv_id),
+turns as (select * from lent union all
+  select n.conv_id, n.n - c.take + coalesce(k, 0), n.h, n.words from n join c using (conv_id) left join k using (conv_id) where n.n > c.take),
+m as (select conv_id, d, md5(string_agg(h, '') over (partition by conv_id order by d)) as key, words,
+        d = max(d) over (partition by conv_id) as ends from turns
+      union all select conv_id, 0, '', 0, conv_id not in (select conv_id from turns) from c),
+nodes as (select key, min(conv_id) as c, max(d) as d, count(*) as n, max(words) as w,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as e from m group by key),
+up as (select x.key, p.key as parent from nodes x join m p on p.conv_id = x.c and p.d = x.d - 1),
+kids as (select parent as key, count(*) as kids from up group by parent),
+v as (select x.*, coalesce(kids, 0) as kids from nodes x left join kids using (key)),
+s as (select a.key, sum(case when kids = 0 then 1 else 0 end) as leaves, sum((v.n - 1) * v.w) as saved
+      from v join m a on a.conv_id = v.c and a.d <= v.d group by a.key)
+select v.c as conv_id, cast(v.d as bigint) as depth, p.c as parent_conv_id, cast(v.n as bigint) as n_convs, cast(v.kids as bigint) as n_children,
+  cast(s.leaves as bigint) as n_leaves, cast(s.saved as bigint) as saved_tokens, v.e as ends_sha256
+from v join s using (key) left join up using (key) left join nodes p on p.key = up.parent
+""")
+def op11(spark, sf_dir):
+    from tablewise.llm.trie import prefix_trie
+    return prefix_trie(read(spark, sf_dir, "conversations")).drop("node")
