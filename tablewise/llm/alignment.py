@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment with external spill counting.
 
 Every text is encoded by a byte-level tokenizer (A) and a sentence-piece
-tokenizer (B).  Byte offsets where tokens of both end cut the text into groups;
+tokenizer (B), word by word, each word once while it is remembered (``_Words``).  Byte offsets where tokens of both end cut the text into groups;
 the A and B token that end there are linked.  How often a pair of ids is linked
 in the whole corpus is counted by sorted runs:
 
@@ -24,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import heapq
 import os
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -43,7 +45,10 @@ _RUN_DOCS = 1 << 16   # documents of a run: their numbers take two bytes
 _FRAME = 1 << 14      # entries of one zstd frame
 _FAN = 64             # runs of one merge
 _SHARE = 16           # record runs that share one reading of their bucket's counts
-_TEXT = 1 << 20       # bytes of text encoded at a time
+_TEXT = 1 << 20       # bytes of text worked on at a time
+_TOGETHER = 1 << 12   # words encoded at a time
+_REMEMBERED = 1 << 18  # words that a task remembers
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _COUNTS = (np.int64, np.int64)
 _TABLE = (np.int64, np.int64, np.bool_)
 _RECORDS = (np.int64, np.uint32, np.uint16, np.uint32)
@@ -87,62 +92,177 @@ def _pieces(path: str):
     import sentencepiece
     coder = sentencepiece.SentencePieceProcessor(model_file=path)
     told = [coder.id_to_piece(i) for i in range(coder.get_piece_size())]
+    if any("▁" in x.lstrip("▁") for x in told):
+        raise ValueError("a piece goes across words")
     return coder, [bytes([int(x[3:5], 16)]) if coder.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(told)]
 
 
-def _list_groups(a: list, b: list, ends_a: np.ndarray, ends_b: np.ndarray) -> Iterator[str]:
-    """``a1,a2|b1`` of each group, in parts of bounded size."""
-    i = j = 0
-    for k in range(0, len(ends_a), _FRAME):
-        out = []
-        for x, y in zip(ends_a[k:k + _FRAME].tolist(), ends_b[k:k + _FRAME].tolist()):
-            out.append(f"{','.join(map(str, a[i:x + 1]))}|{','.join(map(str, b[j:y + 1]))}")
-            i, j = x + 1, y + 1
-        yield (";" if k else "") + ";".join(out)
+class _Words:
+    """Encodings of the words of texts, each worked out once while it is remembered.
 
+    Texts are cut at single spaces between other characters.  Neither tokenizer has a token
+    across such a place: the byte-level one starts a new piece there, and the pieces of
+    the other hold a space only in front (checked when it is loaded).  So the tokens,
+    groups and links of a text are those of its words, one after the other.
+    """
 
-class _Encoded:
-    """Both encodings of one text and the groups that they share."""
-
-    def __init__(self, text: str, a: list, b: list, bytes_a: list, bytes_b: list, size_a: np.ndarray, size_b: np.ndarray):
+    def __init__(self, byte_path: str, piece_path: str):
+        self.coder_a, self.bytes_a = _byte_level(byte_path)
+        self.coder_b, self.bytes_b = _pieces(piece_path)
+        self.size_a, self.size_b = (np.array([len(x) for x in v], np.int64) for v in (self.bytes_a, self.bytes_b))
+        digits = [str(i).encode() for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.width = max(map(len, digits))
+        self.digits = np.frombuffer(b"".join(d.ljust(self.width) for d in digits), np.uint8).reshape(-1, self.width)
+        self.length = np.array([len(d) for d in digits], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.counts: list[tuple[int, int, int, bool]] = []  # A tokens, B tokens, groups, whether both give the word back
+        self.texts: list[bytes] = []
+        self.pairs: list[np.ndarray] = []
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Both encodings of words joined by spaces, and whether they give them back."""
+        text = " ".join(words)
+        a = self.coder_a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.coder_b.encode(text, num_threads=1)
         raw = b" " + text.encode()
-        if not text or b"".join([bytes_a[i] for i in a]) != raw or b"".join([bytes_b[i] for i in b]) != raw:
-            a, b = [], []
-        self.a, self.b = a, b
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        stop_a, stop_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
-        place = np.searchsorted(stop_b, stop_a)
-        shared = np.zeros(len(a), bool)
-        inside = place < len(b)
-        shared[inside] = stop_b[place[inside]] == stop_a[inside]
-        self.ends_a = np.flatnonzero(shared)
-        self.ends_b = place[self.ends_a]
+        same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
+        return np.array(a, np.int64), np.array(b, np.int64), same
+
+    def learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w and w == w.strip()]
+        for i in range(0, len(plain), _TOGETHER):
+            self._learn(plain[i:i + _TOGETHER])
+        for w in words:  # white space at the beginning or end of a text is split with what is beside it
+            if w not in self.number:
+                self._learn([w])
+
+    def _learn(self, words: list[str]) -> None:
+        a, b, same = self._encoded(words)
+        if not same:
+            if len(words) > 1:  # one of them: find it
+                half = len(words) // 2
+                self._learn(words[:half])
+                self._learn(words[half:])
+                return
+            self._keep(words[0], 0, 0, 0, False, b"", np.zeros(0, np.int64))
+            return
+        stop_a, stop_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         # no token is empty, so one token of each side ends at a shared offset: one link a group
-        self.pairs = ids_b[self.ends_b] << 32 | ids_a[self.ends_a]
-
-    def groups(self) -> Iterator[str]:
-        return _list_groups(self.a, self.b, self.ends_a, self.ends_b)
-
-    def digest(self) -> str:
-        if not self.a:
-            return ""
-        out = hashlib.sha256()
-        for part in self.groups():
-            out.update(part.encode())
-        return out.hexdigest()
-
-
-def _encoded(batch: pa.RecordBatch, byte_path: str, piece_path: str) -> Iterator[_Encoded]:
-    coder_a, bytes_a = _byte_level(byte_path)
-    coder_b, bytes_b = _pieces(piece_path)
-    size_a, size_b = (np.array([len(x) for x in v], np.int64) for v in (bytes_a, bytes_b))
+        _, end_a, end_b = np.intersect1d(stop_a, stop_b, assume_unique=True, return_indices=True)
+        pairs = b[end_b] << 32 | a[end_a]
+        # written as A ids, |, B ids, ; of each group after the other
+        group_a, group_b = (np.searchsorted(e, np.arange(len(x))) for e, x in ((end_a, a), (end_b, b)))
+        before = np.concatenate([[0], end_b + 1])
+        place_a, place_b = np.arange(len(a)) + before[group_a], np.arange(len(b)) + end_a[group_b] + 1
+        ids, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        mark[place_a[end_a]], mark[place_b[end_b]] = ord("|"), ord(";")
+        length = self.length[ids]
+        cells = np.empty((len(ids), self.width + 1), np.uint8)
+        cells[:, :self.width] = self.digits[ids]
+        cells[np.arange(len(ids)), length] = mark
+        written = cells[np.arange(self.width + 1) <= length[:, None]].tobytes()
+        after = np.cumsum(length + 1)[place_b[end_b]]
+        # every word ends a group
+        last = np.searchsorted(stop_a[end_a], np.cumsum([len(w.encode()) + 1 for w in words]))
+        g = i = j = at = 0
+        for w, k in zip(words, last.tolist()):
+            x, y, to = int(end_a[k]) + 1, int(end_b[k]) + 1, int(after[k])
+            self._keep(w, x - i, y - j, k + 1 - g, True, written[at:to - 1], pairs[g:k + 1])
+            g, i, j, at = k + 1, x, y, to
+
+    def _keep(self, word: str, n_a: int, n_b: int, n_groups: int, same: bool, text: bytes, pairs: np.ndarray) -> None:
+        self.number[word] = len(self.counts)
+        self.counts.append((n_a, n_b, n_groups, same))
+        self.texts.append(text)
+        self.pairs.append(pairs)
+
+
+@dataclass
+class _Aligned:
+    """What is known of a text after some of its parts."""
+
+    same: bool = True
+    n_a: int = 0
+    n_b: int = 0
+    n_groups: int = 0
+    digest: object = None
+    keys: list = field(default_factory=list)
+    times: list = field(default_factory=list)
+
+    def add(self, words: _Words, parts: list[str]) -> bytes:
+        """Adds words that are all known; gives their groups as text."""
+        at = np.array([words.number[w] for w in parts], np.int64)
+        some, times = np.unique(at, return_counts=True)
+        counts = np.array([words.counts[i] for i in some.tolist()], np.int64)
+        self.same &= bool(counts[:, 3].all())
+        if not self.same:
+            return b""
+        sums = times @ counts
+        self.n_a, self.n_b, self.n_groups = self.n_a + int(sums[0]), self.n_b + int(sums[1]), self.n_groups + int(sums[2])
+        self.keys.append(np.concatenate([words.pairs[i] for i in some.tolist()]))
+        self.times.append(np.repeat(times, counts[:, 2]))
+        told = b";".join([words.texts[i] for i in at.tolist()])
+        if self.digest is None:
+            self.digest = hashlib.sha256()
+        else:
+            told = b";" + told
+        self.digest.update(told)
+        return told
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Linked pairs (B id in the upper half) and how often the text has them."""
+        if not self.keys or not self.same:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
+        return keys, np.bincount(at, weights=np.concatenate(self.times)).astype(np.int64)
+
+    def row(self) -> tuple[int, int, int, str]:
+        if self.digest is None or not self.same:
+            return 0, 0, 0, ""
+        return self.n_a, self.n_b, self.n_groups, self.digest.hexdigest()
+
+
+def _segments(text: str) -> Iterator[str]:
+    """A text in parts of about ``_TEXT`` characters, cut between words."""
+    at = 0
+    while len(text) - at > _TEXT and (cut := _BETWEEN.search(text, at + _TEXT)):
+        yield text[at:cut.start()]
+        at = cut.end()
+    if at < len(text):
+        yield text[at:]
+
+
+def _aligned(batch: pa.RecordBatch, words: _Words, keep_groups: bool = False) -> Iterator[tuple[_Aligned, list[bytes]]]:
+    """What becomes of each text, and its groups as text if they are kept."""
     column = batch.column("text")
     for i, j in slices(arrow_bytes(column)[1], _TEXT):
-        texts = column.slice(i, j - i).to_pylist()
-        told_a = coder_a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)
-        told_b = coder_b.encode(texts, num_threads=1)
-        for text, a, b in zip(texts, told_a, told_b):
-            yield _Encoded(text, a.ids, b, bytes_a, bytes_b, size_a, size_b)
+        out = [(_Aligned(), []) for _ in range(i, j)]
+        held, size = [], 0
+
+        def work():
+            fresh = {w for _, parts in held for w in parts if w not in words.number}
+            if len(words.number) + len(fresh) > _REMEMBERED:
+                words.forget()
+                fresh = {w for _, parts in held for w in parts}
+            words.learn(sorted(fresh))
+            for n, parts in held:
+                told = out[n][0].add(words, parts)
+                if keep_groups:
+                    out[n][1].append(told)
+
+        for n, text in enumerate(column.slice(i, j - i).to_pylist()):
+            for part in _segments(text):
+                held.append((n, _BETWEEN.split(part)))
+                size += len(part)
+                if size >= _TEXT:
+                    work()
+                    held, size = [], 0
+        work()
+        yield from out
 
 
 def _frames(keys: np.ndarray, docs: np.ndarray, times: np.ndarray) -> tuple[list[bytes], list[bytes]]:
@@ -164,6 +284,7 @@ def _run_writer(byte_path: str, piece_path: str, buckets: int, names: list[str])
     def write(batches):
         run = TaskContext.get().partitionId() << 32
         made, size, docs = [], 0, 0
+        words = _Words(byte_path, piece_path)
 
         def runs():
             keys, doc, times = (np.concatenate(x) for x in zip(*made))
@@ -182,14 +303,14 @@ def _run_writer(byte_path: str, piece_path: str, buckets: int, names: list[str])
         for batch in batches:
             id_type = batch.column("id").type
             told = []  # run, number in it, n_a, n_b, n_groups, digest
-            for x in _encoded(batch, byte_path, piece_path):
+            for x, _ in _aligned(batch, words):
                 if docs == _RUN_DOCS or size >= _RUN:
                     if size:
                         yield runs()
                     run, made, size, docs = run + 1, [], 0, 0
-                told.append((run, docs, len(x.a), len(x.b), len(x.pairs), x.digest()))
-                if len(x.pairs):
-                    keys, times = np.unique(x.pairs, return_counts=True)
+                told.append((run, docs, *x.row()))
+                keys, times = x.pairs()
+                if len(keys):
                     made.append((keys, np.full(len(keys), docs), times))
                     size += len(keys)
                 docs += 1
@@ -390,8 +511,9 @@ def groups(df: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id
     texts = df.select(q(id_col).alias("id"), F.coalesce(q(text_col), F.lit("")).alias("text"))
 
     def tell(batches):
+        words = _Words(byte_path, piece_path)
         for batch in batches:
-            told = ["".join(x.groups()) for x in _encoded(batch, byte_path, piece_path)]
+            told = [b"".join(parts).decode() if x.same else "" for x, parts in _aligned(batch, words, True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(told, pa.string())], ["id", "groups"])
     return (texts.mapInArrow(tell, T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("groups", T.StringType())]))
             .withColumnRenamed("id", id_col))
