@@ -1,64 +1,129 @@
-"""Exact, distributed quantiles with linear interpolation (pandas / numpy default).
+"""Exact, distributed quantiles with linear interpolation (pandas / numpy default), in two scans.
 
 Spark's ``percentile`` is exact but keeps a map of every distinct value in one
-aggregation buffer, and the global merge runs in one task: fine for
-low-cardinality columns, a memory risk for a high-cardinality column over
-100 TB.  ``exact_quantiles`` instead
-
-1. counts distinct values per key (one shuffle with map-side combine),
-2. range-partitions the (key, value, count) table and sums counts inside
-   each partition, 3. turns per-partition totals into offsets
-   (``functions.prefix``),
-4. keeps, for each requested probability, the two values at sorted positions
-   floor(p*(n-1)) and ceil(p*(n-1)), and interpolates.
-
-No task ever sees more than one range partition of distinct values, and the
-only broadcast table has (partitions x keys) rows.
+buffer.  Here a value is found by bracket and refine:
+
+1. One aggregate of mergeable sketches gives for each group its count and, for
+   each probability, two values that the wanted positions p * (n - 1) lie between:
+   the sketched quantiles ``_MARGIN`` rank errors to either side.  Groups of at
+   most ``ACCURACY`` values keep all of them.
+2. A second scan counts the values below each bracket and keeps only those
+   inside, some 6 in 10,000, as (value, count).  Their running counts give the values at
+   floor and ceil of the position.
+
+Nothing runs while the plan is built.  Should a sketch ever miss by more than
+its margin, the query fails with an error and does not answer wrongly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewise.functions.core import q, unpivot
 
+#: 1 / rank error of the sketches, as a share of the rows.
+ACCURACY = 10_000
+_MARGIN = 3.0 / ACCURACY
+#: Quantiles that stand for a group when the deviations from its median are bracketed.
+_GRID = 1000
+
+
+def same_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on groups of the same names, where a null group is a group."""
+    renamed = right.withColumnsRenamed({k: f"_on_{k}" for k in keys})
+    on = [q(k).eqNullSafe(q(f"_on_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*(f"_on_{k}" for k in keys))
+
+
+def _sketched(long: DataFrame, keys: Sequence[str], v: Column, probs: Sequence[float], aggs: Sequence[Column]) -> DataFrame:
+    """keys, _n, _least, _most, _q (sketched quantiles at ``probs``) and ``aggs``."""
+    return long.groupBy(*[q(k) for k in keys]).agg(
+        F.count(v).alias("_n"), F.min(v).alias("_least"), F.max(v).alias("_most"),
+        F.percentile_approx(v, F.array(*[F.lit(float(p)) for p in probs]), F.lit(ACCURACY)).alias("_q"), *aggs)
+
+
+def _ends(probs: Sequence[float]) -> list[float]:
+    return [min(1.0, max(0.0, p + side * _MARGIN)) for p in probs for side in (-1, 1)]
+
+
+def _bracket(i: int, p: float) -> tuple[Column, Column]:
+    """Least and greatest value that the positions of probability p can have."""
+    all_kept = F.col("_n") <= ACCURACY
+    low = F.col("_least") if p - _MARGIN <= 0 else F.when(all_kept, F.col("_least")).otherwise(F.col("_q")[2 * i])
+    high = F.col("_most") if p + _MARGIN >= 1 else F.when(all_kept, F.col("_most")).otherwise(F.col("_q")[2 * i + 1])
+    return low, high
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], parts: Sequence[Column]) -> DataFrame:
+    """(keys, _n, i, v, c): each row's parts, structs of i, keep and v, counted by value."""
+    x = rows.select(*[q(k) for k in keys], "_n", F.explode(F.array(*parts)).alias("_x")).where("_x.keep")
+    return x.groupBy(*[q(k) for k in keys], "_n", F.col("_x.i").alias("i"), F.col("_x.v").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+
+
+def _part(i: int, keep: Column, v: Column) -> Column:
+    return F.struct(F.lit(i).alias("i"), keep.alias("keep"), v.alias("v"))
+
+
+def _picked(counts: DataFrame, keys: Sequence[str], p: Column, value: str = "v") -> DataFrame:
+    """(keys, i, quantile) from counted values; the null value stands for all that lie below."""
+    run = Window.partitionBy(*[q(k) for k in keys], "i").orderBy(F.col(value).asc_nulls_first())
+    placed = counts.withColumn("_end", F.sum("c").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    h = p * (F.col("_n") - 1)
+    holds = lambda at: (at >= F.col("_end") - F.col("c")) & (at < F.col("_end")) & F.col(value).isNotNull()
+    found = placed.groupBy(*[q(k) for k in keys], "i").agg(
+        F.max(F.when(holds(F.floor(h)), F.col(value))).alias("_lo"), F.max(F.when(holds(F.ceil(h)), F.col(value))).alias("_hi"),
+        F.max(h).alias("_h"))
+    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_h") - F.floor("_h"))
+    missed = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    return found.select(*[q(k) for k in keys], "i", F.when(exact.isNull(), missed).otherwise(exact).alias("quantile"))
+
+
+def _shared(df: DataFrame, few_groups: bool) -> DataFrame:
+    """One row a group: broadcast where the groups are known to be few, such as columns."""
+    return F.broadcast(df) if few_groups else df
+
+
+def _quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], aggs: Sequence[Column],
+               few_groups: bool) -> tuple[DataFrame, DataFrame]:
+    """The groups with ``aggs``, and (keys, i, quantile) for the i-th probability."""
+    v = q(value).cast("double")
+    groups = _sketched(long, keys, v, _ends(probs), aggs)
+    rows = same_group(long.where(v.isNotNull()).select(*[q(k) for k in keys], v.alias("_v")),
+                       _shared(groups.select(*[q(k) for k in keys], "_n", "_least", "_most", "_q"), few_groups), keys)
+    parts = []
+    for i, p in enumerate(probs):
+        low, high = _bracket(i, p)
+        parts.append(_part(i, F.col("_v") <= high, F.when(F.col("_v") >= low, F.col("_v"))))
+    at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
+    return groups, _picked(_counted(rows, keys, parts), keys, at)
+
+
+def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
+                   aggs: Sequence[Column] = (), few_groups: bool = False) -> DataFrame:
+    """One row per group of ``keys``: ``aggs``, computed by the scan that sketches, and the
+    quantiles of ``value`` as ``names`` (null for a group without a value).
+
+    ``few_groups`` says that the groups are columns or the like, few whatever the
+    data, so that their table is broadcast."""
+    keys = list(keys)
+    groups, found = _quantiles(long, keys, value, probs, aggs, few_groups)
+    wide = found.groupBy(*[q(k) for k in keys]).agg(
+        *[F.max(F.when(F.col("i") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)])
+    return same_group(groups.drop("_n", "_least", "_most", "_q"), _shared(wide, few_groups), keys, "left")
 
 
 def exact_quantiles_long(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                         partitions: int | None = None) -> DataFrame:
+                         few_groups: bool = False) -> DataFrame:
     """Quantiles per group of ``keys`` over ``value`` in a long table.
 
-    Returns keys + (prob, quantile)."""
+    Returns keys + (prob, quantile); a group without a value has none."""
     keys = list(keys)
-    spark = long.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value).cast("double")
-    counts = (long.where(v.isNotNull()).groupBy(*[F.col(k) for k in keys], v.alias("_v"))
-                  .agg(F.count(F.lit(1)).alias("_c")))
-    from tablewise.functions.prefix import prefix_sum
-    # prefix_sum sorts proven-small groups with one window each and spreads
-    # larger groups over value ranges
-    # size hint: distinct values per key from mergeable HLL sketches over the
-    # input (no shuffle of rows), padded for the estimator's error
-    nd = long.where(v.isNotNull()).groupBy(*[F.col(k) for k in keys]).agg(
-        F.approx_count_distinct(v, 0.02).alias("_nd")).agg(F.max("_nd")).collect()[0][0] or 0
-    pos = prefix_sum(counts, keys, ["_v"], weight="_c", out="_start", partitions=n_parts,
-                     size_hint=int(nd * 1.25) + 1).withColumnRenamed("_total", "_n")
-    targets = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
-    t = pos.select(*keys, "_v", "_c", "_start", "_n", F.explode(targets).alias("_t"))
-    h = F.col("_t.p") * (F.col("_n") - 1)
-    lo, hi = F.floor(h), F.ceil(h)
-    inside = lambda k: (k >= F.col("_start")) & (k < F.col("_start") + F.col("_c"))
-    picked = (t.where(inside(lo) | inside(hi))
-               .select(*keys, F.col("_t.p").alias("prob"), F.col("_t.i").alias("_i"), h.alias("_h"),
-                       F.when(inside(lo), F.col("_v")).alias("_lo"), F.when(inside(hi), F.col("_v")).alias("_hi")))
-    g = picked.groupBy(*keys, "prob", "_i").agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
-                                                F.first("_h").alias("_h"))
-    frac = F.col("_h") - F.floor(F.col("_h"))
-    return g.select(*keys, "prob", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("quantile"))
+    found = _quantiles(long, keys, value, probs, (), few_groups)[1]
+    at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
+    return found.select(*[q(k) for k in keys], at.alias("prob"), "quantile")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -66,7 +131,42 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """Quantiles of several columns (optionally per group ``by``): returns
     by + (variable, prob, quantile)."""
     long = unpivot(df, cols, list(by), "variable", "value")
-    return exact_quantiles_long(long, [*by, "variable"], "value", probs)
+    return exact_quantiles_long(long, [*by, "variable"], "value", probs, few_groups=not by)
+
+
+def median_and_mad(long: DataFrame, keys: Sequence[str], value: str, few_groups: bool = False) -> DataFrame:
+    """Median and MAD, the median of |x - median|, per group, in the same two scans.
+
+    Where the deviations' median can lie follows from the sketch as well: the
+    deviations of ``_GRID`` sketched quantiles have, within their rank errors, the
+    distribution of all.  The second scan keeps the values that far from the
+    median on either side, and counts those between, which deviate less."""
+    keys = list(keys)
+    v = q(value).cast("double")
+    groups = _sketched(long, keys, v, [*_ends([0.5]), *[j / _GRID for j in range(_GRID + 1)]], ())
+    low, high = _bracket(0, 0.5)
+    centre, wide = F.col("_q")[2 + _GRID // 2], F.col("_high") - F.col("_low")
+    deviations = F.sort_array(F.transform(F.slice("_q", 3, _GRID + 1), lambda x: F.abs(x - centre)))
+    room = int(_GRID * (2 / _GRID + 4 * _MARGIN)) + 4  # rank errors of the grid and of the sketch, on both sides
+    groups = groups.select(*[q(k) for k in keys], "_n", low.alias("_low"), high.alias("_high"), "_least", "_most", "_q")
+    kept_all = F.col("_n") <= ACCURACY
+    groups = groups.select(
+        *[q(k) for k in keys], "_n", "_low", "_high",
+        F.when(kept_all, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.get(deviations, F.lit(_GRID // 2 - room)) - wide)).alias("_near"),
+        F.when(kept_all, F.lit(float("inf"))).otherwise(F.get(deviations, F.lit(_GRID // 2 + room)) + wide).alias("_far"))
+    rows = same_group(long.where(v.isNotNull()).select(*[q(k) for k in keys], v.alias("_v")), _shared(groups, few_groups), keys)
+    x = F.col("_v")
+    # how far a value can be from the median at most and at least
+    most = F.greatest(F.abs(x - F.col("_low")), F.abs(x - F.col("_high")))
+    least = F.when((x >= F.col("_low")) & (x <= F.col("_high")), F.lit(0.0)).otherwise(
+        F.least(F.abs(x - F.col("_low")), F.abs(x - F.col("_high"))))
+    counts = _counted(rows, keys, [_part(0, x <= F.col("_high"), F.when(x >= F.col("_low"), x)),
+                                   _part(1, least <= F.col("_far"), F.when(most >= F.col("_near"), x))])
+    median = _picked(counts.where("i = 0"), keys, F.lit(0.5)).select(*[q(k) for k in keys], F.col("quantile").alias("median"))
+    off = same_group(counts.where("i = 1"), _shared(median, few_groups), keys).withColumn("d", F.abs(F.col("v") - F.col("median")))
+    folded = off.groupBy(*[q(k) for k in keys], "_n", "i", "d").agg(F.sum("c").alias("c"))
+    mad = _picked(folded, keys, F.lit(0.5), "d").select(*[q(k) for k in keys], F.col("quantile").alias("mad"))
+    return same_group(median, _shared(mad, few_groups), keys, "left")
 
 
 def quantile_wide(qlong: DataFrame, keys: Sequence[str], probs: Sequence[float],
@@ -82,8 +182,7 @@ def percentile_expr(c, probs: Sequence[float]):
     return F.percentile(q(c) if isinstance(c, str) else c, F.array(*[F.lit(float(p)) for p in probs]))
 
 
-def with_median(agg: DataFrame, long: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Join an exact, distributed median per key group onto an aggregate table
-    (replaces the ``median`` aggregate, whose buffer holds a whole group)."""
-    med = exact_quantiles_long(long, keys, value, (0.5,)).select(*keys, F.col("quantile").alias(name))
-    return agg.join(med, list(keys), "left")
+def frozen(table: DataFrame, key: str) -> Column:
+    """A table of few rows as one constant map, key -> row, read by one subquery however
+    often it is used: ``frozen(limits, "column")["price"]["lower_limit"]``."""
+    return table.select(F.map_from_entries(F.collect_list(F.struct(q(key), F.struct(*[q(c) for c in table.columns if c != key]))))).scalar()

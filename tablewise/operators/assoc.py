@@ -67,40 +67,48 @@ def average_rank(values: DataFrame, value_col: str, weight_col: str | None = Non
 def spearman_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = True) -> DataFrame:
     """Spearman matrix (average ranks; pairwise-complete rows re-ranked per pair).
 
-    Columns without nulls share one rank per column; a pair touching a column
-    with nulls is ranked on its complete rows only, as pandas does."""
+    Columns without nulls are ranked once; a pair touching a column with nulls is
+    ranked on its complete rows only, as pandas does.  All of them share one table
+    of ranks, keyed (set of columns, column, value): every row is spread into its
+    values, meets their ranks in one join, and is put together again by one
+    regroup, whatever the number of columns."""
+    from tablewise.functions.prefix import prefix_sum
     cols = list(cols)
-    nulls = df.agg(*[F.count_if(q(c).isNull()).alias(c) for c in cols]).collect()[0].asDict()
     spark = df.sparkSession
-    base = df.select(*[q(c).cast("double").alias(c) for c in cols])
-
-    def ranked(frame: DataFrame, c: str) -> DataFrame:
-        r = average_rank(frame, c)
-        return frame.join(r, frame[c] == r["v"], "left").drop("v").withColumnRenamed("rank", "r_" + c)
-
-    results = []
-    full = [c for c in cols if nulls[c] == 0]
-    if len(full) >= 2:
-        fr = base.select(*full)
-        for c in full:
-            fr = ranked(fr, c)
-        fr = fr.select(*[F.col("r_" + c).alias(c) for c in full])
-        results.append(pearson_long(fr, full, include_diagonal=False))
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            if nulls[a] == 0 and nulls[b] == 0:
-                continue
-            pr = base.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-            pr = ranked(ranked(pr, a), b)
-            v = pr.agg(safe_corr(F.col("r_" + a), F.col("r_" + b)).alias("correlation"))
-            results.append(v.select(F.lit(a).alias("var1"), F.lit(b).alias("var2"), "correlation"))
-            results.append(v.select(F.lit(b).alias("var1"), F.lit(a).alias("var2"), "correlation"))
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    if include_diagonal:
-        out = out.unionByName(spark.createDataFrame([(c, c, 1.0) for c in cols],
-                                                    "var1 string, var2 string, correlation double"))
+    seen = df.agg(*[F.count_if(q(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    full = [c for i, c in enumerate(cols) if seen[f"n{i}"] == 0]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if a not in full or b not in full]
+    sets = ([tuple(full)] if len(full) > 1 else []) + pairs
+    parts = []
+    if sets:
+        base = df.select(F.monotonically_increasing_id().alias("rid"), *[q(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+        x = {c: F.col(f"x{i}") for i, c in enumerate(cols)}
+        entry = lambda g, i, c, members: F.struct(
+            F.lit(g).alias("g"), F.lit(i).alias("i"),
+            (x[c] if members is full else F.when(x[members[0]].isNotNull() & x[members[1]].isNotNull(), x[c])).alias("v"))
+        entries = (base.select("rid", F.explode(F.array(*[entry(g, i, c, full if m == tuple(full) else m)
+                                                          for g, m in enumerate(sets) for i, c in enumerate(m)])).alias("e"))
+                   .select("rid", "e.*").where("v is not null"))
+        counts = entries.groupBy("g", "i", "v").agg(F.count(F.lit(1)).alias("times"))
+        ranks = prefix_sum(counts, ["g", "i"], ["v"], weight="times", out="before").select(
+            "g", "i", "v", (F.col("before") + (F.col("times") + 1) / 2.0).alias("rank"))
+        width = max(map(len, sets))
+        wide = entries.join(ranks, ["g", "i", "v"]).groupBy("rid", "g").agg(
+            *[F.max(F.when(F.col("i") == i, F.col("rank"))).alias(f"r{i}") for i in range(width)])
+        # one aggregate over all sets; a set of fewer columns has null ranks beyond them
+        told = wide.groupBy("g").agg(*[safe_corr(F.col(f"r{i}"), F.col(f"r{j}")).alias(f"c_{i}_{j}") for i in range(width) for j in range(i + 1, width)])
+        at = [F.struct(F.lit(g).alias("at"), F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"c_{i}_{j}").alias("correlation"))
+              for g, m in enumerate(sets) for i, a in enumerate(m) for j, b in enumerate(m) if i < j]
+        # a set without a complete row has no group: its correlation is null
+        groups = spark.createDataFrame([(g,) for g in range(len(sets))], "g int").join(F.broadcast(told), "g", "left")
+        half = groups.select("g", F.explode(F.array(*at)).alias("p")).where("g = p.at").select("p.var1", "p.var2", "p.correlation")
+        parts = [half, half.select(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "correlation")]
+    if include_diagonal or not parts:
+        ones = [(c, c, 1.0) for c in cols] if include_diagonal else []
+        parts.append(spark.createDataFrame(ones, "var1 string, var2 string, correlation double"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
     return out
 
 
@@ -301,13 +309,12 @@ def numeric_target_ranking(df: DataFrame, cols: Sequence[str], target: str) -> D
 
 def numeric_by_target(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Mean, median, std (ddof=1), min, max per (target class, variable), long form."""
-    from tablewise.functions.quantiles import with_median
+    from tablewise.functions.quantiles import quantile_table
     long = unpivot(df.where(q(target).isNotNull()), cols, [target], "variable", "value").withColumnRenamed(
         target, "target_class")
-    agg = (long.groupBy("target_class", "variable")
-               .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
-    return with_median(agg, long, ["target_class", "variable"], "value")
+    return quantile_table(long, ["target_class", "variable"], "value", (0.5,), ("median",), [
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max")])
 
 
 def target_mean_diff(df: DataFrame, cols: Sequence[str], target: str, order_col: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 * k-means is ``pyspark.ml.clustering.KMeans`` on a cached vector column; the
   reference's n_init restarts are a loop over seeds keeping the least cost.
-* DBSCAN runs as bounded blocked cogroup tasks over an exact eps grid
-  (``operators.density``): neighbour counts, spanning forests of the core
-  graph and border labels are emitted instead of neighbour pairs; components
-  by min-label propagation with pointer jumping (reliable checkpoints).
-* Ward is two-stage: weighted k-means micro-clusters on Spark, Ward merges on
-  that bounded summary (exact when micro-clusters = rows), labels joined back.
+* DBSCAN runs over pivot blocks (``operators.density``): neighbour counts,
+  spanning forests of the core graph and border labels are emitted instead of
+  neighbour pairs; components by min-label propagation with pointer jumping
+  (reliable checkpoints).
+* Single linkage is exact at every size (``operators.linkage``).  Ward, complete
+  and average linkage merge a summary of at most ``max_points`` weighted rows in one
+  task: every row goes to its nearest pivot, and where there are fewer rows than
+  pivots each row is its own, so the same steps are exact then.
 """
 
 from __future__ import annotations
@@ -58,8 +60,8 @@ def kmeans_inertia(model) -> float:
 
 
 def kmeans_grid(df: DataFrame, features: Sequence[str] | str, row_id: str, ks: Sequence[int], seed: int = 42,
-                n_init: int = 1, silhouette_sample: int = 5000) -> DataFrame:
-    """K4/K5: per k: inertia, silhouette (bounded seeded sample), change of
+                n_init: int = 1, silhouette_sample: int | None = None) -> DataFrame:
+    """K4/K5: per k: inertia, silhouette (over all rows unless a sample is asked for), change of
     inertia vs the previous k and its drop in percent (first row 0)."""
     from tablewise.operators.metrics import silhouette
     rows = []
@@ -146,29 +148,32 @@ def top_features(profile: DataFrame, n: int = 3, roles: dict[str, str] | None =
     return u.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-# Phrases describing a feature delta by role.
-DESCRIBE_PHRASES = {
-    ("binary", True): "higher prevalence of {f}",
-    ("binary", False): "lower prevalence of {f}",
-    ("ordinal", True): "higher {f} level",
-    ("ordinal", False): "lower {f} level",
-    (None, True): "{f} above the mean",
-    (None, False): "{f} below the mean",
+# Readings of a delta above, near and below the mean, by the feature's role, as in the reference.
+DELTA_READINGS = {
+    "binary": ("maior prevalência de {f}", "prevalência semelhante de {f}", "menor prevalência de {f}"),
+    "continuous": ("{f} acima da média", "{f} próximo da média", "{f} abaixo da média"),
+    "other": ("tendência acima da média em {f}", "{f} semelhante à média", "tendência abaixo da média em {f}"),
 }
 
 
-def describe_deltas(profile: DataFrame, roles: dict[str, str]) -> DataFrame:
-    """A reading of each delta by the feature role and sign."""
-    rm = F.create_map(*[F.lit(v) for kv in roles.items() for v in kv])
-    role = rm[F.col("feature")]
-    pos = F.col("delta") > 0
+def describe_deltas(profile: DataFrame, roles: dict[str, str], readings: dict[str, tuple[str, str, str]] = DELTA_READINGS,
+                    own: dict[str, tuple[str, str, str]] | None = None) -> DataFrame:
+    """Adds ``reading``, what a delta says.  Readings come from the feature's role
+    (features without a role are ``other``) or from ``own``, by feature; each is a text for
+    above, equal to and below the mean, with {f} for the feature's name.  A null delta has none."""
+    texts = {f: readings[r] for f, r in roles.items()} | (own or {})
+    told = F.create_map(*[x for f, t in texts.items() for x in (F.lit(f), F.array(*map(F.lit, t)))])
+    text = F.coalesce(told[F.col("feature")], F.array(*map(F.lit, readings["other"]))) if texts else F.array(*map(F.lit, readings["other"]))
+    place = F.when(F.col("delta") > 0, 0).when(F.col("delta") == 0, 1).when(F.col("delta") < 0, 2)
+    return profile.withColumn("reading", F.replace(F.get(text, place), F.lit("{f}"), F.col("feature")))
 
-    def phrase(r, up):
-        return F.replace(F.lit(DESCRIBE_PHRASES[(r, up)]), F.lit("{f}"), F.col("feature"))
-    e = (F.when((role == "binary") & pos, phrase("binary", True)).when(role == "binary", phrase("binary", False))
-          .when((role == "ordinal") & pos, phrase("ordinal", True)).when(role == "ordinal", phrase("ordinal", False))
-          .when(pos, phrase(None, True)).otherwise(phrase(None, False)))
-    return profile.withColumn("reading", e)
+
+def narrative_features(profile: DataFrame, roles: dict[str, str], n: int = 4) -> DataFrame:
+    """Per cluster the n features of greatest |delta|, whatever their side, with their rank
+    and reading; features in no role are left out."""
+    w = Window.partitionBy("cluster").orderBy(F.desc("abs_delta"), "feature")
+    listed = profile.where(F.col("feature").isin(list(roles))).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return describe_deltas(listed, roles)
 
 
 def centroid_distances(centers: np.ndarray) -> tuple[float, float, float]:
@@ -225,13 +230,30 @@ def pca(df: DataFrame, features: Sequence[str] | str, k: int = 2, keep: Sequence
 
 # -------------------------------------------------------------------- DBSCAN
 
+def _least_fellows(edges):
+    """(id, comp) of the nodes of a bounded table of edges, by union-find."""
+    import pandas as pd
+
+    from tablewise.operators.density import merge_labels
+    nodes, at = np.unique(np.concatenate([edges["src"], edges["dst"]]), return_inverse=True)
+    labels = np.arange(len(nodes))
+    merge_labels(at[:len(edges)], at[len(edges):], labels)
+    return pd.DataFrame({"id": nodes, "comp": nodes[labels]})
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int = 100,
-                         checkpoint_every: int = 2) -> DataFrame:
+                         checkpoint_every: int = 2, leaf: int = 100_000) -> DataFrame:
     """Min-label propagation with pointer jumping: (id, comp) where comp is
     the least id of the component.  Rounds are persisted and every
     ``checkpoint_every`` rounds the labels are written with a reliable
     checkpoint (the shared folder of ``spark.checkpoint.dir``): the plan stays
-    a few rounds deep and a lost executor never replays more than that."""
+    a few rounds deep and a lost executor never replays more than that.
+    At most ``leaf`` edges between long ids go through one task instead, to the same labels."""
+    if vertices.schema["id"].dataType.typeName() == "long":
+        edges = cut_lineage(edges.select("src", "dst"))
+        if edges.limit(leaf + 1).count() <= leaf:
+            labels = edges.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(lambda e: _least_fellows(e), "id long, comp long")
+            return cut_lineage(vertices.select("id").join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp")))
     und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     und = cut_lineage(und.where(F.col("src") != F.col("dst")).distinct())
     # first round: each vertex takes the least of itself and its neighbours
@@ -262,39 +284,34 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int =
 
 
 def dbscan(df: DataFrame, row_id: str, features: Sequence[str] | str, eps: float, min_samples: int,
-           metric: str = "euclidean", proj_dims: int = 2) -> DataFrame:
+           metric: str = "euclidean") -> DataFrame:
     """DBSCAN labels (rid, cluster, is_core); see ``operators.density``."""
     from tablewise.operators import density
-    return density.dbscan(df, row_id, features, eps, min_samples, metric, proj_dims)
+    return density.dbscan(df, row_id, features, eps, min_samples, metric)
 
 
 def dbscan_grid(df: DataFrame, row_id: str, features: Sequence[str] | str, eps_values: Sequence[float],
-                min_samples_values: Sequence[int], metric: str = "euclidean", silhouette_sample: int = 5000,
-                proj_dims: int = 2) -> DataFrame:
-    """Neighbour counts for every eps in ONE blocked pass (cells at the
-    largest eps), reused for every (eps, min_samples): clusters, noise n / pct,
-    core points, largest cluster pct, silhouette over all points (noise as a
-    label) and without noise.  Silhouettes use the labels of the evaluated
-    fit (no refit)."""
+                min_samples_values: Sequence[int], metric: str = "euclidean", silhouette_sample: int | None = None) -> DataFrame:
+    """Neighbour counts for every eps in ONE pass over the pivot blocks,
+    reused for every (eps, min_samples): clusters, noise n / pct, core points,
+    largest cluster pct, silhouette over all points (noise as a label) and
+    without noise.  Silhouettes use the labels of the evaluated fit (no refit)."""
     from tablewise.operators import density
     from tablewise.operators.metrics import silhouette
     eps_sorted = sorted(eps_values)
-    axes = density._axes(df.select(feature_array(df, features).alias("x")), proj_dims)
-    home, away = density.block_tasks(df, row_id, features, max(eps_sorted), proj_dims, axes=axes)
-    counts = cut_lineage(density.neighbour_counts(home, away, eps_sorted, metric))
-    feats = df.select(q(row_id).cast("long").alias("rid"), feature_array(df, features).alias("x"))
+    blocks = density.point_blocks(df, row_id, features, metric)
+    counts = cut_lineage(density.neighbour_counts(blocks, eps_sorted))
+    feats = blocks.points.select("rid", "x")
     rows = []
     for i, eps in enumerate(eps_sorted):
         for ms in min_samples_values:
-            lab = cut_lineage(density.label_points(df, row_id, features, counts, f"n_{i}", eps, ms, metric,
-                                                   proj_dims, density.BLOCK_ROWS, axes))
+            lab = cut_lineage(density.label_points(blocks, counts, f"n_{i}", eps, ms))
             s = noise_summary(lab).collect()[0]
             core_n = lab.where("is_core").count()
             lx = lab.join(feats, "rid")
             s_all = silhouette(lx, "x", "cluster", "rid", silhouette_sample).collect()[0]["silhouette"]
             nn = lx.where(F.col("cluster") != -1)
-            s_nn = (silhouette(nn, "x", "cluster", "rid", silhouette_sample).collect()[0]["silhouette"]
-                    if nn.limit(2).count() > 1 else None)
+            s_nn = silhouette(nn, "x", "cluster", "rid", silhouette_sample).collect()[0]["silhouette"]
             rows.append((float(eps), int(ms), int(s["n_clusters"]), int(s["n_noise"]), float(s["noise_pct"]),
                          int(core_n), s["largest_cluster_pct"], s_all, s_nn))
     return df.sparkSession.createDataFrame(
@@ -332,6 +349,18 @@ def k_distance(df: DataFrame, row_id: str, features: Sequence[str] | str, k: int
     return nn.where(F.col("rank") == k).select(F.col("qid").alias("rid"), F.col("dist").alias("k_distance"))
 
 
+def k_distance_curve(df: DataFrame, row_id: str, features: Sequence[str] | str, k: int = 5, metric: str = "euclidean") -> DataFrame:
+    """The sorted k-distance curve (position, rid, k_distance), positions from 0, with its
+    90 % and 95 % quantiles ``q90`` and ``q95``, the usual choices of eps."""
+    from tablewise.functions.prefix import prefix_sum
+    from tablewise.functions.quantiles import exact_quantiles, quantile_wide
+    curve = cut_lineage(k_distance(df, row_id, features, k, metric))
+    limits = quantile_wide(exact_quantiles(curve, ["k_distance"], (0.9, 0.95)), ["variable"], (0.9, 0.95), ("q90", "q95"))
+    placed = prefix_sum(curve, [], ["k_distance", "rid"], out="position")
+    return placed.select("position", "rid", "k_distance", limits.select("q90").scalar().alias("q90"),
+                         limits.select("q95").scalar().alias("q95"))
+
+
 # ---------------------------------------------------------------------- Ward
 
 def _agglomerate(c: np.ndarray, w: np.ndarray, linkage: str = "ward") -> np.ndarray:
@@ -382,10 +411,6 @@ def _agglomerate(c: np.ndarray, w: np.ndarray, linkage: str = "ward") -> np.ndar
     return np.array(Z, dtype=float)
 
 
-def _ward_merges(c: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return _agglomerate(c, w, "ward")
-
-
 def _cut(Z: np.ndarray, m: int, n_clusters: int) -> np.ndarray:
     """Leaf labels after undoing the last n_clusters-1 merges; labels are
     numbered by first leaf appearance."""
@@ -405,82 +430,81 @@ def _cut(Z: np.ndarray, m: int, n_clusters: int) -> np.ndarray:
     return np.array([mapping.setdefault(r, len(mapping)) for r in roots])
 
 
+def summarised(df: DataFrame, row_id: str, features: Sequence[str] | str, max_points: int = MAX_WARD_POINTS) -> DataFrame:
+    """(rid, x, micro): every row with the number of its nearest pivot, of at most ``max_points``;
+    numbers follow the least row id of each pivot's rows."""
+    from tablewise.operators.blocks import assigned, choose_pivots
+    points = df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
+    placed = cut_lineage(assigned(points, choose_pivots(points, max_points), "euclidean"))
+    # at most max_points rows
+    first = placed.groupBy("pivot").agg(F.min("rid").alias("first"))
+    order = first.select("pivot", (F.row_number().over(Window.orderBy("first")) - 1).cast("long").alias("micro"))
+    return placed.join(F.broadcast(order), "pivot").select("rid", "x", "micro")
+
+
+def agglomerative_tree(points: DataFrame, linkage: str = "ward") -> DataFrame:
+    """Merges (step, left, right, height, size) of the weighted means of ``points``
+    (rid, x, micro), made by one task from that bounded table.  Clusters are numbered as
+    usual: micro-clusters first, then a new number for each merge."""
+    import pandas as pd
+    means = (points.select("micro", F.posexplode("x").alias("pos", "v")).groupBy("micro", "pos").agg(F.avg("v").alias("m"), F.count("v").alias("n"))
+             .groupBy("micro").agg(F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda t: t["m"]).alias("x")))
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("micro")
+        Z = _agglomerate(np.array(rows["x"].tolist(), float), rows["n"].to_numpy(float), linkage)
+        Z = Z.reshape(-1, 4)
+        return pd.DataFrame({"step": np.arange(len(Z)), "left": Z[:, 0].astype(int), "right": Z[:, 1].astype(int),
+                             "height": Z[:, 2], "size": Z[:, 3].astype(int)})
+
+    return cut_lineage(means.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(merge, "step long, left long, right long, height double, size long"))
+
+
+def cut_tree(points: DataFrame, tree: DataFrame, n_clusters: int) -> DataFrame:
+    """(rid, cluster) of every row for a cut of the tree into ``n_clusters``, numbered by their least row."""
+    import pandas as pd
+    columns = ["left", "right", "height", "size"]
+
+    def cut(rows: pd.DataFrame) -> pd.DataFrame:
+        Z = rows.sort_values("step")[columns].to_numpy(float)
+        labels = _cut(Z, len(Z) + 1, min(n_clusters, len(Z) + 1))
+        return pd.DataFrame({"micro": np.arange(len(labels)), "cluster": labels})
+
+    # a row for each micro-cluster: bounded by max_points
+    labels = tree.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(cut, "micro long, cluster long")
+    return (points.join(F.broadcast(labels), "micro", "left")
+            .select("rid", F.coalesce("cluster", F.lit(0)).cast("long").alias("cluster")))  # one micro-cluster has no merge
+
+
 def agglomerative(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters: int,
-                  linkage: str = "ward", max_points: int = MAX_WARD_POINTS, seed: int = 42):
-    """Agglomerative clustering (``ward`` | ``single`` | ``complete`` |
-    ``average``).  Rows are summarised by k-means micro-clusters (<=
-    max_points weighted centroids; exact when rows <= max_points), the tree
-    is built on that bounded summary, and labels are joined back to every
-    row.  Returns (labels DataFrame (row_id, cluster), linkage matrix,
-    micro-cluster assignment DataFrame (rid, micro))."""
-    spark = df.sparkSession
-    n = df.count()
-    x = df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
-    if n <= max_points:
-        rows = x.orderBy("rid").collect()  # bounded by max_points
-        c = np.array([r["x"] for r in rows], dtype=float)
-        wts = np.ones(len(rows))
-        micro = spark.createDataFrame([(r["rid"], i) for i, r in enumerate(rows)],
-                                      f"rid {df.schema[row_id].dataType.simpleString()}, micro long")
-    else:
-        model, lab = kmeans(x, "x", max_points, seed, n_init=1, keep=["rid"])
-        micro = lab.select("rid", F.col("cluster").cast("long").alias("micro"))
-        cnt = dict(micro.groupBy("micro").count().collect())  # one row per micro-cluster
-        centers = model.clusterCenters()
-        keep = [i for i in range(len(centers)) if cnt.get(i, 0) > 0]
-        remap = {old: new for new, old in enumerate(keep)}
-        c = np.array([centers[i] for i in keep], dtype=float)
-        wts = np.array([cnt[i] for i in keep], dtype=float)
-        rm = F.create_map(*[F.lit(v) for kv in remap.items() for v in kv])
-        micro = micro.select("rid", rm[F.col("micro")].cast("long").alias("micro"))
-    Z = _agglomerate(c, wts, linkage)
-    out = cut_tree(micro, Z, len(c), n_clusters).withColumnRenamed("rid", row_id)
-    return out, Z, micro
-
-
-def cut_tree(micro: DataFrame, Z: np.ndarray, m: int, n_clusters: int) -> DataFrame:
-    """Labels of every row for a cut of the tree into ``n_clusters``."""
-    labels = _cut(Z, m, n_clusters)
-    lm = micro.sparkSession.createDataFrame([(i, int(lbl)) for i, lbl in enumerate(labels)], "micro long, cluster long")
-    # lm has one row per micro-cluster (<= max_points): bounded broadcast
-    return micro.join(F.broadcast(lm), "micro").select("rid", "cluster")
+                  linkage: str = "ward", max_points: int = MAX_WARD_POINTS) -> tuple[DataFrame, DataFrame]:
+    """Agglomerative clustering (``ward`` | ``single`` | ``complete`` | ``average``):
+    (labels (row_id, cluster), merges).  Single linkage is exact at every size
+    (``operators.linkage``: merges with row ids).  The others merge the
+    summary of at most ``max_points`` weighted means, exact with no more rows than that."""
+    from tablewise.operators import linkage as single
+    if linkage == "single":
+        ranked = single.single_linkage(df, row_id, features)
+        return single.cut_single(df, row_id, ranked, n_clusters), single.merge_table(ranked)
+    points = cut_lineage(summarised(df, row_id, features, max_points))
+    tree = agglomerative_tree(points, linkage)
+    return cut_tree(points, tree, n_clusters).withColumnRenamed("rid", row_id), tree
 
 
 def ward(df: DataFrame, row_id: str, features: Sequence[str] | str, n_clusters: int,
-         max_points: int = MAX_WARD_POINTS, seed: int = 42):
-    """Ward clustering; returns (labels (row_id, cluster), linkage matrix)."""
-    out, Z, _ = agglomerative(df, row_id, features, n_clusters, "ward", max_points, seed)
-    return out, Z
+         max_points: int = MAX_WARD_POINTS) -> tuple[DataFrame, DataFrame]:
+    """Ward clustering; returns (labels (row_id, cluster), merges)."""
+    return agglomerative(df, row_id, features, n_clusters, "ward", max_points)
 
 
 def tree_silhouette_range(df: DataFrame, row_id: str, features: Sequence[str] | str, k_min: int = 2,
-                          k_max: int = 10, linkage: str = "ward", sample_size: int = 5000) -> DataFrame:
+                          k_max: int = 10, linkage: str = "ward", sample_size: int | None = None) -> DataFrame:
     """Silhouette for every cut k_min..k_max of ONE tree."""
     from tablewise.operators.metrics import silhouette
-    _, Z, micro = agglomerative(df, row_id, features, k_min, linkage)
-    m = len(Z) + 1
-    feats = df.select(q(row_id).alias("rid"), feature_array(df, features).alias("x"))
+    points = cut_lineage(summarised(df, row_id, features))
+    tree = agglomerative_tree(points, linkage)
     rows = []
-    for k in range(k_min, min(k_max, m) + 1):
-        lab = cut_tree(micro, Z, m, k).join(feats, "rid")
-        s = silhouette(lab, "x", "cluster", "rid", sample_size).collect()[0]["silhouette"]
-        rows.append((k, s))
+    for k in range(k_min, min(k_max, tree.count() + 1) + 1):
+        lab = cut_tree(points, tree, k).join(points, "rid")
+        rows.append((k, silhouette(lab, "x", "cluster", "rid", sample_size).first()["silhouette"]))
     return df.sparkSession.createDataFrame(rows, "k long, silhouette double")
-
-
-def linkage_table(Z: np.ndarray, spark) -> DataFrame:
-    """Merge table (step, left, right, height, size)."""
-    rows = [(i, int(z[0]), int(z[1]), float(z[2]), int(z[3])) for i, z in enumerate(Z)]
-    return spark.createDataFrame(rows, "step long, left long, right long, height double, size long")
-
-
-def suggest_distance_cut(merges: DataFrame) -> DataFrame:
-    """Jump between consecutive merge heights; cut at the mid-point of the
-    largest jump; suggested clusters = points - (index + 1)."""
-    w = Window.orderBy("step")
-    j = merges.withColumn("next", F.lead("height").over(w)).where(F.col("next").isNotNull())
-    j = j.withColumn("jump", F.col("next") - F.col("height"))
-    m = merges.select(F.count(F.lit(1))).scalar() + 1
-    best = j.orderBy(F.desc("jump"), "step").limit(1)
-    return best.select(((F.col("height") + F.col("next")) / 2).alias("threshold"), F.col("step").alias("index"),
-                       F.col("jump"), (m - F.col("step") - 1).alias("n_clusters"))

@@ -208,17 +208,17 @@ def qcut(df: DataFrame, col: str, q_: int, out: str | None = None) -> DataFrame:
     right-closed with the lowest included.  Returns the bin index; duplicate
     edges are not allowed (as in pandas, which raises)."""
     out = out or col + "_qbin"
-    from tablewise.functions.quantiles import exact_quantiles_long
+    from tablewise.functions.quantiles import quantile_table
     x = q(col).cast("double")
-    probs = [i / q_ for i in range(1, q_)]
     long = df.select(F.lit(col).alias("variable"), x.alias("value"))
-    edges = exact_quantiles_long(long, ["variable"], "value", probs)
-    # index = number of inner edges strictly below x (right-closed bins)
-    edge = [edges.where(F.col("prob") == p).select("quantile").scalar() for p in probs]
+    names = [f"e{i}" for i in range(1, q_)]
+    table = quantile_table(long, ["variable"], "value", [i / q_ for i in range(1, q_)], names,
+                           [F.min("value").alias("least"), F.max("value").alias("most")], few_groups=True)
+    edges = table.select(F.array("least", *names, "most")).scalar()
     # pandas refuses equal edges, the least and greatest value included
-    bounds = [scalar(df, F.min(x)), *edge, scalar(df, F.max(x))]
-    twice = sum((F.when(a == b, 1).otherwise(0) for a, b in zip(bounds, bounds[1:])), F.lit(0)) > 0
-    idx = sum((F.when(x > e, 1).otherwise(0) for e in edge), F.lit(0))
+    twice = table.select(F.size(F.array_distinct(F.array("least", *names, "most"))) <= q_).scalar()
+    # index = number of inner edges strictly below x (right-closed bins)
+    idx = sum((F.when(x > edges[i], 1).otherwise(0) for i in range(1, q_)), F.lit(0))
     idx = F.when(twice, F.raise_error(F.lit("Bin edges must be unique")).cast("int")).otherwise(idx)
     return df.withColumn(out, F.when(x.isNotNull(), idx.cast("int")))
 

@@ -78,10 +78,11 @@ def assemble(df: DataFrame, features: Sequence[str] | str, keep: Sequence[str] =
 
 
 def make_estimator(name: str, label: str = "label", **params):
-    """Estimator by name: naive_bayes (L9), decision_tree (L10), random_forest
-    (L11), logistic (L12), linear_svm (L13, one-vs-rest), perceptron (L14,
-    one-layer network), mlp (L15), linear_regression (L18), tree_regressor,
-    forest_regressor (L20)."""
+    """Estimator by name: naive_bayes (L9), decision_tree (L10; ``impurity="entropy"`` for the
+    other criterion), capped_tree (L10 with at most ``max_features`` features tried at each
+    node), random_forest (L11), logistic (L12), linear_svm (L13, one-vs-rest), mlp (L15),
+    linear_regression (L18; elasticNetParam 0 ridge, 1 lasso, between them elastic net),
+    tree_regressor, forest_regressor (L20).  The perceptron (L14) is ``perceptron``."""
     from pyspark.ml import classification as C
     from pyspark.ml import regression as R
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "prediction"}
@@ -89,6 +90,9 @@ def make_estimator(name: str, label: str = "label", **params):
         return C.NaiveBayes(modelType="gaussian", **common, **params)
     if name == "decision_tree":
         return C.DecisionTreeClassifier(seed=params.pop("seed", 42), **common, **params)
+    if name == "capped_tree":
+        return C.RandomForestClassifier(numTrees=1, bootstrap=False, featureSubsetStrategy=str(params.pop("max_features")),
+                                        seed=params.pop("seed", 42), **common, **params)
     if name == "random_forest":
         return C.RandomForestClassifier(numTrees=params.pop("numTrees", 10), seed=params.pop("seed", 42), **common, **params)
     if name == "logistic":
@@ -96,7 +100,7 @@ def make_estimator(name: str, label: str = "label", **params):
     if name == "linear_svm":
         return C.OneVsRest(classifier=C.LinearSVC(regParam=params.pop("regParam", 0.0), maxIter=params.pop("maxIter", 100)),
                            **common)
-    if name in ("perceptron", "mlp"):
+    if name == "mlp":
         layers = params.pop("layers")
         return C.MultilayerPerceptronClassifier(layers=layers, seed=params.pop("seed", 42),
                                                 maxIter=params.pop("maxIter", 200), **common, **params)
@@ -113,6 +117,9 @@ def make_estimator(name: str, label: str = "label", **params):
 def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str] | str, label: str, row_id: str,
                 model: str, **params) -> DataFrame:
     """Fit on ``train``, predict ``test``: (row_id, label, prediction)."""
+    if model == "perceptron":
+        classes, weights = perceptron(train, features, label, row_id, **params)
+        return perceptron_predict(test, features, label, row_id, classes, weights)
     est = make_estimator(model, "label", **params)
     tr, te = (assemble(x, features, [row_id, label]).select(q(row_id), q(label).cast("double").alias("label"), "features")
               for x in (train, test))
@@ -120,6 +127,80 @@ def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str] | str
     return m.transform(te).select(q(row_id), "label", "prediction")
 
 
+def perceptron(train: DataFrame, features: Sequence[str] | str, label: str, row_id: str, epochs: int = 20, seed: int = 42):
+    """Rosenblatt's rule, one neuron for each class against the others: a row on the wrong side
+    of a neuron's plane is added to its weights with its sign.  In an epoch each task goes
+    through its own rows in a seeded order from the common weights, and the tasks'
+    weights are averaged by their rows (iterative parameter mixing); training ends with an
+    epoch without a mistake, or after ``epochs``.  Returns (classes, weights), the
+    last weight of each row being the bias; both are as large as classes x features."""
+    import numpy as np
+    import pandas as pd
+
+    from tablewise.operators.metrics import MAX_CLUSTERS
+    from tablewise.session import cut_lineage
+    classes = [r[0] for r in train.where(q(label).isNotNull()).select(q(label).cast("double")).distinct().orderBy(1).limit(MAX_CLUSTERS + 1).collect()]
+    if len(classes) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} classes")
+    rows = cut_lineage(train.where(q(label).isNotNull()).select(q(row_id).alias("rid"), q(label).cast("double").alias("y"),
+                                                                feature_array(train, features).alias("x"))
+                       .withColumn("at", F.xxhash64("rid", F.lit(seed))).sortWithinPartitions("at", "rid"))
+    first = rows.select(F.size("x")).first()
+    weights = np.zeros((len(classes), (first[0] if first else 0) + 1))
+
+    def epoch(start):
+        def run(batches):
+            w, n, wrong = start.copy(), 0, 0
+            for b in batches:
+                for x, y in zip(b["x"], b["y"]):
+                    x, sign = np.append(np.asarray(x, float), 1.0), np.where(np.array(classes) == y, 1.0, -1.0)
+                    off = sign * (w @ x) <= 0
+                    w[off] += sign[off, None] * x
+                    n, wrong = n + 1, wrong + int(off.any())
+            if n:
+                yield pd.DataFrame({"n": [n], "wrong": [wrong], "w": [(w * n).ravel()]})
+        return run
+
+    for _ in range(epochs if classes else 0):
+        # one row a task
+        parts = rows.select("x", "y").mapInPandas(epoch(weights), "n long, wrong long, w array<double>")
+        told = parts.select("n", "wrong", F.posexplode("w").alias("i", "v")).groupBy("i").agg(
+            F.sum("v").alias("v"), F.sum("n").alias("n"), F.sum("wrong").alias("wrong")).orderBy("i").collect()
+        if not told[0]["wrong"]:
+            break
+        weights = np.array([r["v"] / r["n"] for r in told]).reshape(weights.shape)
+    return classes, weights
+
+
+def perceptron_predict(test: DataFrame, features: Sequence[str] | str, label: str, row_id: str, classes, weights) -> DataFrame:
+    """(row_id, label, prediction): the class whose neuron answers most, the least class among equals."""
+    from tablewise.functions.scalars import dot
+    x = F.concat(feature_array(test, features), F.array(F.lit(1.0)))
+    neurons = F.array(*[F.struct(F.lit(-i).alias("i"), F.array(*[F.lit(float(v)) for v in w]).alias("w"), F.lit(float(c)).alias("c"))
+                        for i, (c, w) in enumerate(zip(classes, weights))])
+    answers = F.transform(neurons, lambda t: F.struct(dot(F.col("x"), t["w"]).alias("s"), t["i"], t["c"]))
+    return (test.select(q(row_id), q(label).cast("double").alias("label"), x.alias("x"))
+            .select(q(row_id), "label", F.array_max(answers)["c"].alias("prediction")))
+
+
+def linear_coefficients(df: DataFrame, features: Sequence[str], label: str, **params) -> DataFrame:
+    """(feature, coefficient) of a linear model, the intercept as ``intercept``."""
+    rows = assemble(df, features, [label]).select(q(label).cast("double").alias("label"), "features")
+    m = make_estimator("linear_regression", "label", **params).fit(rows)
+    told = [("intercept", float(m.intercept)), *zip(features, map(float, m.coefficients))]
+    return df.sparkSession.createDataFrame(told, "feature string, coefficient double")
+
+
+def flagged_predictions(pred: DataFrame) -> DataFrame:
+    """Every point with whether its prediction is right."""
+    return pred.withColumn("correct", F.col("label").eqNullSafe(F.col("prediction")))
+
+
+def best_model(table: DataFrame) -> DataFrame:
+    """The model of greatest accuracy, the first by name among equals."""
+    return table.orderBy(F.desc("accuracy"), "model").limit(1)
+
+
 def cross_val_predict(df: DataFrame, features: Sequence[str] | str, label: str, row_id: str, model: str,
                       n_splits: int = 5, classifier: bool = True, **params) -> DataFrame:
     """L2: out-of-fold predictions (union over folds)."""

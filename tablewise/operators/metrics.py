@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tablewise.functions.core import q
 
 MAX_CLUSTERS = 10_000  # label tables above this size are not broadcast
-MAX_SILHOUETTE = 50_000  # rows of the broadcast silhouette sample (50k x d doubles)
 
 
 def feature_array(df: DataFrame, features: Sequence[str] | str) -> Column:
@@ -81,96 +80,68 @@ def calinski_harabasz(df: DataFrame, features: Sequence[str] | str, label: str)
 
 
 def davies_bouldin(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
-    """Mean over clusters of max_j (s_i + s_j) / d(c_i, c_j).
-
-    The per-cluster scatter s_i is distributed; the k x k centroid step runs
-    on the k collected centroids (bounded by ``MAX_CLUSTERS``)."""
-    import numpy as np
+    """Mean over clusters of the greatest (s_i + s_j) / d(c_i, c_j), s being the mean distance
+    to the own centroid.  Null under 2 clusters, 0 if all scatter is 0; coinciding centroids
+    don't count against each other.  The centroid table meets itself on a constant
+    number of chunks (labels are checked against ``MAX_CLUSTERS``)."""
     cent = centroids(df, features, label)
-    _check_clusters(cent)
-    s = with_centroid_distance(df, features, label, cent).groupBy(q(label).alias("label")).agg(F.avg("dist").alias("s"))
-    rows = cent.join(s, "label").select("label", "centroid", "s").collect()
-    k = len(rows)
-    if k < 2:
-        val = None
-    else:
-        c = np.array([r["centroid"] for r in rows], dtype=float)
-        sv = np.array([r["s"] for r in rows], dtype=float)
-        d = np.sqrt(((c[:, None, :] - c[None, :, :]) ** 2).sum(-1))
-        if np.allclose(sv, 0) or np.allclose(d, 0):
-            val = 0.0
-        else:
-            d[d == 0] = np.inf
-            r = (sv[:, None] + sv[None, :]) / d
-            np.fill_diagonal(r, -np.inf)
-            val = float(np.mean(np.max(r, axis=1)))
-    return df.sparkSession.createDataFrame([(val,)], "davies_bouldin double")
+    k = _check_clusters(cent)
+    scatter = with_centroid_distance(df, features, label, cent).groupBy(q(label).alias("label")).agg(F.avg("dist").alias("s"))
+    table = cent.join(scatter, "label").select("label", "centroid", "s")
+    others = table.select(F.col("label").alias("other"), F.col("centroid").alias("far"), F.col("s").alias("t"))
+    # label <> other alone would be a product of two tables; each label is sent to the chunks of the others
+    chunks = max(1, k // 64)
+    sent = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    met = sent.join(others.withColumn("chunk", F.pmod(F.xxhash64("other"), F.lit(chunks)).cast("int")), "chunk").where("label <> other")
+    gap = F.sqrt(sq_dist(F.col("centroid"), F.col("far")))
+    worst = met.groupBy("label").agg(F.max(F.when(gap > 0, (F.col("s") + F.col("t")) / gap)).alias("r"))
+    flat = F.sum(F.abs("s"))
+    mean = worst.agg(F.avg(F.coalesce("r", F.lit(0.0)))).scalar() if k > 1 else F.lit(None).cast("double")
+    return table.agg(flat.alias("flat")).select(F.when(F.lit(k) < 2, F.lit(None).cast("double")).when(F.col("flat") < 1e-8, 0.0)
+                                               .otherwise(mean).alias("davies_bouldin"))
 
 
 def silhouette(df: DataFrame, features: Sequence[str] | str, label: str, row_id: str,
-               sample_size: int = 5000, seed: int = 42, metric: str = "euclidean") -> DataFrame:
-    """Mean silhouette (plain Euclidean) over a bounded, seeded sample.
-
-    Silhouette needs every pairwise distance, so -- as in the reference,
-    which scores a sample -- it is computed on at most ``sample_size`` rows
-    (chosen by a hash of the row id and seed, so deterministic).  The sample
-    is broadcast as one numpy matrix (size checked) and each task scores its
-    own rows against it in vectorised blocks.  Null unless there are >= 2
+               sample_size: int | None = None, seed: int = 42, metric: str = "euclidean") -> DataFrame:
+    """Mean silhouette over all rows, from plain distances; (silhouette, n).
+
+    Every home block (``operators.blocks``) sees all points, a batch at a time, and
+    keeps one distance sum for each of its points and labels, so the answer needs
+    no pair, no sample and no label table.  ``sample_size`` scores that many rows of
+    least hash instead, if the caller asks for it.  Null unless there are >= 2
     labels and every label has >= 2 members."""
-    import numpy as np
-    import pandas as pd
-
-    if not sample_size or sample_size > MAX_SILHOUETTE:
-        raise ValueError(f"sample_size must be between 1 and {MAX_SILHOUETTE}")
-    x = df.select(q(row_id).alias("rid"), q(label).alias("label"), feature_array(df, features).alias("x"))
-    x = x.withColumn("_h", F.xxhash64("rid", F.lit(seed))).orderBy("_h", "rid").limit(sample_size).drop("_h")
-    pts = x.collect()
-    n = len(pts)
-    if n == 0:
-        return df.sparkSession.createDataFrame([(None, 0)], "silhouette double, n long")
-    labels = np.array([r["label"] for r in pts])
-    uniq, codes, counts = np.unique(labels, return_inverse=True, return_counts=True)
-    if len(uniq) < 2 or np.any(counts < 2):
-        return df.sparkSession.createDataFrame([(None, n)], "silhouette double, n long")
-    mat = np.array([r["x"] for r in pts], dtype=float)
-    bc = df.sparkSession.sparkContext.broadcast((mat, codes, counts, metric))
-
-    def score(batches):
-        m, cd, cnt, met = bc.value
-        k = len(cnt)
-        onehot = np.zeros((len(cd), k))
-        onehot[np.arange(len(cd)), cd] = 1.0
-        # exact differences (no |a|^2+|b|^2-2ab cancellation), blocks of <= 2e7 cells
-        step = min(1024, max(1, int(2e7 // max(1, len(m) * m.shape[1]))))
-        for b in batches:
-            xs = np.array(b["x"].tolist(), dtype=float)
-            own = b["code"].to_numpy()
-            out = np.empty(len(xs))
-            for i0 in range(0, len(xs), step):
-                blk = xs[i0:i0 + step]
-                if met == "manhattan":
-                    dist = np.abs(blk[:, None, :] - m[None, :, :]).sum(-1)
-                else:
-                    diff = blk[:, None, :] - m[None, :, :]
-                    dist = np.sqrt((diff * diff).sum(-1))
-                sums = dist @ onehot
-                oc = own[i0:i0 + step]
-                r = np.arange(len(blk))
-                a = sums[r, oc] / (cnt[oc] - 1)
-                mean_other = sums / cnt[None, :]
-                mean_other[r, oc] = np.inf
-                bb = mean_other.min(axis=1)
-                out[i0:i0 + step] = np.where(np.maximum(a, bb) > 0, (bb - a) / np.maximum(a, bb), 0.0)
-            yield pd.DataFrame({"s": out})
-
-    code_map = {v: i for i, v in enumerate(uniq.tolist())}
-    cm = F.create_map(*[F.lit(v) for kv in code_map.items() for v in kv])
-    scored = x.select(cm[F.col("label")].alias("code"), "x").mapInPandas(score, "s double")
-    return scored.agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n"))
+    from tablewise.operators.blocks import mean_silhouette
+    points = df.select(q(row_id).alias("rid"), q(label).alias("label"), feature_array(df, features).alias("x"))
+    if sample_size:
+        points = points.orderBy(F.xxhash64("rid", F.lit(seed)), "rid").limit(sample_size)
+    return mean_silhouette(points, metric)
+
+
+def silhouette_squared(df: DataFrame, features: Sequence[str] | str, label: str) -> DataFrame:
+    """The silhouette of squared Euclidean distances, (silhouette_squared, n), in closed form: the mean
+    squared distance of x to a cluster is |x|^2 - 2 x.S/n + Q/n, from the cluster's count n, vector
+    sum S and sum of squares Q, so two scans do.  It is another number than ``silhouette``."""
+    x = df.select(q(label).alias("label"), feature_array(df, features).alias("x"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
+    sums = (x.select("label", F.posexplode("x").alias("pos", "v")).groupBy("label", "pos")
+            .agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"), F.count("v").alias("n")))
+    clusters = (sums.groupBy("label").agg(F.max("n").alias("n"), F.sum("q").alias("q"),
+                                          F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda t: t["s"]).alias("s")))
+    k = _check_clusters(clusters)
+    table = clusters.select(F.collect_list(F.struct("label", "n", "q", "s"))).scalar()
+    size = F.size("x").cast("double")
+    own = F.filter("c", lambda t: t["label"] == F.col("label"))[0]
+    mean = lambda t, d: F.try_divide(t["n"] * F.col("xx") - 2 * dot(F.col("x"), t["s"]) + t["q"], d.cast("double"))
+    told = x.where(size > 0).select("label", "x", dot(F.col("x"), F.col("x")).alias("xx"), table.alias("c"))
+    told = told.select(mean(own, own["n"] - 1).alias("a"), own["n"].alias("n"),
+                       F.array_min(F.transform(F.filter("c", lambda t: t["label"] != F.col("label")), lambda t: mean(t, t["n"]))).alias("b"))
+    score = F.when(F.greatest("a", "b") > 0, (F.col("b") - F.col("a")) / F.greatest("a", "b")).otherwise(F.lit(0.0))
+    out = told.agg(F.avg(score).alias("s"), F.min("n").alias("least"), F.count(F.lit(1)).alias("n"))
+    return out.select(F.when((F.lit(k) >= 2) & (F.col("least") >= 2), F.col("s")).alias("silhouette_squared"), "n")
 
 
 def partition_metrics(df: DataFrame, features: Sequence[str] | str, label: str, row_id: str,
-                      name: str = "partition", sample_size: int | None = 5000) -> DataFrame:
+                      name: str = "partition", sample_size: int | None = None) -> DataFrame:
     """One row: partition, n_clusters, silhouette, calinski_harabasz, davies_bouldin
     (metrics null under 2 clusters)."""
     k = df.select(F.count_distinct(q(label))).collect()[0][0]

@@ -1,98 +1,108 @@
-"""Neighbour joins shared by DBSCAN, k-distance and k-NN models
-(SURVEY K13-K15, K19, K21, L8, L19).
+"""Exact k nearest neighbours over pivot blocks.
 
-eps-neighbourhoods (DBSCAN) live in ``operators.density``.
-
-k nearest neighbours: exact, as a blocked nested loop over (query block,
-reference block) cogroups that keep a per-query top-k inside the tasks
-(vectorised numpy); per-block candidates are merged with a window.
+Two rounds of ``blocks.met``.  In the first, every query block sees the nearest
+reference rings that hold k points in all; the k-th distance found bounds what a
+nearer neighbour may lie at.  In the second, it sees only the rings that the
+triangle inequality leaves within that bound, and of them only points that
+beat it.  Tasks keep k candidates a query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewise.functions.core import q
-from tablewise.operators.metrics import feature_array
+from tablewise.operators.blocks import BLOCK_ROWS, Blocks, Meeting, bounds, distances, met, near_rings, pivot_blocks
+from tablewise.session import cut_lineage
+
+
+class _Nearest(Meeting):
+    """Keeps the k least (distance, id) of the away points for every home point."""
+
+    def __init__(self, base, home, away, k, extra):
+        super().__init__(base)
+        n = len(base["rid"])
+        self.metric, self.k, self.extra = away.metric, k, extra
+        self.least = bounds(home, away, int(base["ring"][0]))[0]
+        self.limit = base["limit"].astype(float) if "limit" in base else np.full(n, np.inf)
+        self.row, self.dist = np.zeros(0, np.int64), np.zeros(0)
+        self.kept = {c: None for c in ("rid", *extra)}
 
-KNN_BLOCK_ROWS = 20_000
+    def meet(self, far):
+        seen = np.flatnonzero(self.least[far["ring"]] <= self.limit.max())
+        if not len(seen):
+            return
+        d = distances(self.base["x"], far["x"][seen], self.metric)
+        if len(seen) > self.k:  # what is not among the k least here is not among them at all
+            cut = np.minimum(self.limit, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
+        else:
+            cut = self.limit
+        i, j = np.nonzero(d <= cut[:, None])
+        row, dist = np.concatenate([self.row, i]), np.concatenate([self.dist, d[i, j]])
+        values = {c: far[c][seen[j]] if v is None else np.concatenate([v, far[c][seen[j]]]) for c, v in self.kept.items()}
+        order = np.lexsort((values["rid"], dist, row))
+        row = row[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        order, row = order[rank < self.k], row[rank < self.k]
+        self.row, self.dist, self.kept = row, dist[order], {c: v[order] for c, v in values.items()}
+        last = np.flatnonzero(np.arange(len(row)) - np.searchsorted(row, row) == self.k - 1)
+        self.limit[row[last]] = np.minimum(self.limit[row[last]], self.dist[last])
 
+    def done(self):
+        if self.kept["rid"] is None:
+            return None
+        out = {"qid": self.base["rid"][self.row], "nid": self.kept["rid"], "dist": self.dist, "home": self.base["ring"][self.row]}
+        return out | {c: self.kept[c] for c in self.extra}
 
-def projection_axes(x: DataFrame, dims: int) -> list[list[float]]:
-    """Unit axes of the ``dims`` coordinates with the largest variance (one
-    aggregate over the exploded coordinates).  Any coordinate projection is
-    non-expansive, so the cell join stays exact; high-variance axes make
-    the cells selective."""
-    ex = x.select(F.posexplode("x").alias("pos", "v"))
-    var = ex.groupBy("pos").agg(F.var_pop("v").alias("var")).orderBy(F.desc("var"), "pos").limit(dims).collect()
-    d = len(x.select("x").first()["x"])
-    axes = []
-    for r in var:
-        a = [0.0] * d
-        a[r["pos"]] = 1.0
-        axes.append(a)
-    return axes
+
+def _first_rings(away: Blocks, k: int):
+    """The rings of least upper bound that hold k points in all."""
+    def wanted(ring, least, greatest):
+        order = np.argsort(greatest, kind="stable")
+        before = np.cumsum(away.rings[order, 1]) - away.rings[order, 1]
+        take = np.zeros(len(greatest), bool)
+        take[order[before < k]] = True
+        return take
+    return wanted
 
 
 def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence[str] | str, k: int,
         metric: str = "euclidean", ref_features: Sequence[str] | str | None = None,
-        extra: Sequence[str] = (), block_rows: int = KNN_BLOCK_ROWS) -> DataFrame:
+        extra: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact k nearest reference rows for every query row: (qid, nid, dist, rank) + ``extra``
-    reference columns.  Ties on distance go to the smaller reference id.
-
-    Blocked nested loop on the cluster: queries are hashed into Q blocks and
-    reference rows into R blocks (each about ``block_rows`` rows); every
-    (query block, reference block) pair is one cogroup task that keeps only
-    the k best candidates per query (vectorised numpy), and the per-block
-    candidates (k x R per query) are merged with a window.  Nothing passes
-    through the driver; the work is the inherent n x m of exact k-NN."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import Window
-
-    qpts = query.select(q(qid).alias("qid"), feature_array(query, features).alias("x"))
-    rsel = ref.select(q(rid).alias("nid"), feature_array(ref, ref_features or features).alias("x"),
-                      *[q(c).alias(c) for c in extra])
-    n_q, n_r = qpts.count(), rsel.count()
-    Q = max(1, -(-n_q // block_rows))
-    R = max(1, -(-n_r // block_rows))
-    qb = qpts.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(Q))).select(
-        "qid", "x", "qb", F.explode(F.sequence(F.lit(0), F.lit(R - 1))).alias("rb"))
-    rb = rsel.withColumn("rb", F.pmod(F.xxhash64("nid"), F.lit(R))).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(Q - 1))).alias("qb"))
-    extra_fields = [f for f in rsel.schema.fields if f.name in extra]
-    schema = ("qid " + query.schema[qid].dataType.simpleString() + ", nid " + ref.schema[rid].dataType.simpleString()
-              + ", dist double" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra_fields))
-
-    def top(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(rpdf) == 0:
-            empty = {"qid": pd.Series([], dtype="int64"), "nid": pd.Series([], dtype="int64"),
-                     "dist": pd.Series([], dtype="float64")}
-            for f in extra_fields:
-                empty[f.name] = pd.Series([], dtype="object")
-            return pd.DataFrame(empty)
-        ids = rpdf["nid"].to_numpy()
-        m = np.array(rpdf["x"].tolist(), dtype=float)
-        xs = np.array(qpdf["x"].tolist(), dtype=float)
-        kk = min(k, len(ids))
-        step = min(1024, max(1, int(2e7 // max(1, m.size))))
-        parts = []
-        for i0 in range(0, len(xs), step):
-            blk = xs[i0:i0 + step]
-            diff = blk[:, None, :] - m[None, :, :]
-            dist = np.sqrt((diff * diff).sum(-1)) if metric == "euclidean" else np.abs(diff).sum(-1)
-            order = np.lexsort((np.broadcast_to(ids, dist.shape), dist), axis=-1)[:, :kk]
-            r = np.arange(len(blk))[:, None]
-            out = {"qid": np.repeat(qpdf["qid"].to_numpy()[i0:i0 + step], kk),
-                   "nid": ids[order].ravel(), "dist": dist[r, order].ravel()}
-            for f in extra_fields:
-                out[f.name] = rpdf[f.name].to_numpy()[order].ravel()
-            parts.append(pd.DataFrame(out))
-        return pd.concat(parts, ignore_index=True)
-
-    cand = qb.groupBy("qb", "rb").cogroup(rb.groupBy("qb", "rb")).applyInPandas(top, schema)
-    w = Window.partitionBy("qid").orderBy("dist", "nid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    reference columns.  Ties on distance go to the smaller reference id; with fewer
+    than k reference rows all of them are listed."""
+    away = pivot_blocks(ref, rid, ref_features or features, metric, block_rows, extra)
+    away = replace(away, points=cut_lineage(away.points))
+    if query is ref and qid == rid and not ref_features:
+        home = away
+    else:
+        home = pivot_blocks(query, qid, features, metric, block_rows, pivots=away.pivots)
+        home = replace(home, points=cut_lineage(home.points))
+    kinds = {f.name: f.dataType.simpleString() for f in away.points.schema.fields}
+    schema = ", ".join([f"qid {dict(home.points.dtypes)['rid']}", f"nid {kinds['rid']}", "dist double", "home int",
+                        *(f"{c} {kinds[c]}" for c in extra)])
+    light = replace(home, points=None), replace(away, points=None)
+    first_rings = _first_rings(light[1], k)
+    first = cut_lineage(met(home, away, near_rings(home, away, first_rings), lambda base: _Nearest(base, *light, k, extra),
+                            schema, ["ring"], ["ring", *extra]))
+    by_query = Window.partitionBy("qid").orderBy("dist", "nid")
+    ranked = first.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+    limits = cut_lineage(ranked.groupBy(F.col("qid").alias("rid"), "home").agg(
+        F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("limit")))
+    reach = np.full(len(home.rings), np.inf)
+    for ring, far in limits.groupBy("home").agg(F.max("limit")).collect():  # one row a ring
+        reach[ring] = far
+
+    def rest(ring, least, greatest):
+        return (least <= reach[ring]) & ~first_rings(ring, least, greatest)
+
+    limited = replace(home, points=home.points.join(limits.select("rid", "limit"), "rid"))
+    second = met(limited, away, near_rings(home, away, rest), lambda base: _Nearest(base, *light, k, extra),
+                 schema, ["ring", "limit"], ["ring", *extra])
+    both = first.unionByName(second).drop("home")
+    return both.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewise.functions.core import pct, q, unpivot
-from tablewise.functions.quantiles import exact_quantiles_long, quantile_wide
+from tablewise.functions.quantiles import frozen, median_and_mad, quantile_table
 
 # Default plausible ranges (normalised survey column names).
 PLAUSIBILITY_RULES = {
@@ -31,26 +31,28 @@ PLAUSIBILITY_RULES = {
 def iqr_limits(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Per column q1, q3, iqr, lower = q1 - k*iqr, upper = q3 + k*iqr (exact quantiles)."""
     long = unpivot(df, cols, [], "column", "value")
-    qs = quantile_wide(exact_quantiles_long(long, ["column"], "value", (0.25, 0.5, 0.75)), ["column"],
-                       (0.25, 0.5, 0.75), ["q1", "median", "q3"])
+    qs = quantile_table(long, ["column"], "value", (0.25, 0.5, 0.75), ("q1", "median", "q3"), few_groups=True)
     iqr = F.col("q3") - F.col("q1")
     return qs.select("column", "q1", "median", "q3", iqr.alias("iqr"),
                      (F.col("q1") - k * iqr).alias("lower_limit"), (F.col("q3") + k * iqr).alias("upper_limit"))
 
 
-def _limit(limits: DataFrame, c: str, which: str) -> Column:
-    return limits.where(F.col("column") == c).select(which).scalar()
+def _outside(x: Column, limits: Column, c: str) -> Column:
+    """Whether x lies strictly outside column c's limits (a ``frozen`` table of limits)."""
+    return (x < limits[c]["lower_limit"]) | (x > limits[c]["upper_limit"])
+
+
+def _mad_outlier(x: Column, stats: Column, c: str, threshold: float) -> Column:
+    med, mad = stats[c]["median"], stats[c]["mad"]
+    mz = F.when(mad.isNull() | (mad == 0), F.lit(0.0)).otherwise(0.6745 * (x - med) / mad)
+    return F.coalesce(F.abs(mz) > threshold, F.lit(False))
 
 
 def iqr_flags(df: DataFrame, cols: Sequence[str], k: float = 1.5, keep: Sequence[str] = (),
               limits: DataFrame | None = None, suffix: str = "_outlier_iqr") -> DataFrame:
     """O3: one boolean flag per column (strictly outside the limits; null -> false)."""
-    limits = limits if limits is not None else iqr_limits(df, cols, k)
-    flags = []
-    for c in cols:
-        x = q(c).cast("double")
-        flags.append(F.coalesce((x < _limit(limits, c, "lower_limit")) | (x > _limit(limits, c, "upper_limit")),
-                                F.lit(False)).alias(c + suffix))
+    lim = frozen(limits if limits is not None else iqr_limits(df, cols, k), "column")
+    flags = [F.coalesce(_outside(q(c).cast("double"), lim, c), F.lit(False)).alias(c + suffix) for c in cols]
     return df.select(*[q(c) for c in keep], *flags)
 
 
@@ -74,9 +76,7 @@ def iqr_summary(df: DataFrame, cols: Sequence[str], k: float = 1.5, denominator:
 
 def outlying_values(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Rows whose value of ``col`` lies outside the IQR limits."""
-    lim = iqr_limits(df, [col], k)
-    x = q(col).cast("double")
-    return df.where((x < _limit(lim, col, "lower_limit")) | (x > _limit(lim, col, "upper_limit")))
+    return df.where(_outside(q(col).cast("double"), frozen(iqr_limits(df, [col], k), "column"), col))
 
 
 def zscore_flags(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, keep: Sequence[str] = ()) -> DataFrame:
@@ -93,24 +93,14 @@ def zscore_flags(df: DataFrame, cols: Sequence[str], threshold: float = 3.0, kee
 
 def mad_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column median and MAD = median(|x - median|), both exact and distributed."""
-    long = unpivot(df, cols, [], "column", "value")
-    med = exact_quantiles_long(long, ["column"], "value", (0.5,)).select("column", F.col("quantile").alias("median"))
-    dev = long.join(F.broadcast(med), "column").select("column", F.abs(F.col("value") - F.col("median")).alias("d"))
-    mad = exact_quantiles_long(dev, ["column"], "d", (0.5,)).select("column", F.col("quantile").alias("mad"))
-    return med.join(mad, "column", "left")
+    return median_and_mad(unpivot(df, cols, [], "column", "value"), ["column"], "value", few_groups=True)
 
 
 def mad_flags(df: DataFrame, cols: Sequence[str], threshold: float = 3.5, keep: Sequence[str] = (),
               stats: DataFrame | None = None) -> DataFrame:
     """Modified z = 0.6745 (x - median) / MAD, |mz| > threshold; MAD 0/null -> 0."""
-    stats = stats if stats is not None else mad_stats(df, cols)
-    flags = []
-    for c in cols:
-        x = q(c).cast("double")
-        med = stats.where(F.col("column") == c).select("median").scalar()
-        mad = stats.where(F.col("column") == c).select("mad").scalar()
-        mz = F.when(mad.isNull() | (mad == 0), F.lit(0.0)).otherwise(0.6745 * (x - med) / mad)
-        flags.append(F.coalesce(F.abs(mz) > threshold, F.lit(False)).alias(c + "_mad_outlier"))
+    told = frozen(stats if stats is not None else mad_stats(df, cols), "column")
+    flags = [_mad_outlier(q(c).cast("double"), told, c, threshold).alias(c + "_mad_outlier") for c in cols]
     return df.select(*[q(c) for c in keep], *flags)
 
 
@@ -170,20 +160,15 @@ def top_outlier_rows(counts: DataFrame, row_id: str, top: int = 100) -> DataFram
 def outlier_audit(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame:
     """IQR, z-score and MAD flags side by side in ONE projection (the
     flag builders all read scalar subqueries; no join on row id)."""
-    lim = iqr_limits(df, cols)
-    stats = mad_stats(df, cols)
+    lim, stats = frozen(iqr_limits(df, cols), "column"), frozen(mad_stats(df, cols), "column")
     exprs = [q(row_id)]
     for c in cols:
         x = q(c).cast("double")
-        exprs.append(F.coalesce((x < _limit(lim, c, "lower_limit")) | (x > _limit(lim, c, "upper_limit")),
-                                F.lit(False)).alias(c + "_outlier_iqr"))
+        exprs.append(F.coalesce(_outside(x, lim, c), F.lit(False)).alias(c + "_outlier_iqr"))
         mean, sd = df.select(F.avg(x)).scalar(), df.select(F.stddev_samp(x)).scalar()
         z_ = F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise((x - mean) / sd)
         exprs.append(F.coalesce(F.abs(z_) > 3.0, F.lit(False)).alias(c + "_zscore_outlier"))
-        med = stats.where(F.col("column") == c).select("median").scalar()
-        mad = stats.where(F.col("column") == c).select("mad").scalar()
-        mz = F.when(mad.isNull() | (mad == 0), F.lit(0.0)).otherwise(0.6745 * (x - med) / mad)
-        exprs.append(F.coalesce(F.abs(mz) > 3.5, F.lit(False)).alias(c + "_mad_outlier"))
+        exprs.append(_mad_outlier(x, stats, c, 3.5).alias(c + "_mad_outlier"))
     return df.select(*exprs)
 
 
@@ -203,8 +188,8 @@ def histogram_outlier_segments(df: DataFrame, col: str, bins: int = 30, k: float
     reaches below the lower or above the upper limit."""
     from tablewise.operators.plotdata import histogram
     h = histogram(df, [col], bins)
-    lim = iqr_limits(df, [col], k)
-    lo, hi = _limit(lim, col, "lower_limit"), _limit(lim, col, "upper_limit")
+    lim = frozen(iqr_limits(df, [col], k), "column")[col]
+    lo, hi = lim["lower_limit"], lim["upper_limit"]
     x = q(col).cast("double")
     mn, mx = df.select(F.min(x)).scalar(), df.select(F.max(x)).scalar()
     b = F.least(F.floor((x - mn) / ((mx - mn) / bins)), F.lit(bins - 1)).cast("int")

@@ -12,11 +12,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewise.functions.core import q, unpivot
-from tablewise.functions.quantiles import exact_quantiles_long, quantile_wide
+from tablewise.functions.quantiles import quantile_table, same_group
 from tablewise.operators.learn import split_hash
 
 
@@ -62,9 +62,9 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
     """V4: q1, median, q3, whiskers (furthest points within whisker x IQR of
     the box) and flier count, optionally per group.  Quantiles are exact."""
     long = df.select(*[q(b) for b in by], F.lit(col).alias("variable"), q(col).cast("double").alias("value"))
-    qs = quantile_wide(exact_quantiles_long(long, [*by, "variable"], "value", (0.25, 0.5, 0.75)), [*by, "variable"],
-                       (0.25, 0.5, 0.75), ["q1", "median", "q3"])
-    j = long.join(qs, [*by, "variable"])
+    keys = [*by, "variable"]
+    qs = quantile_table(long, keys, "value", (0.25, 0.5, 0.75), ("q1", "median", "q3"), few_groups=not by)
+    j = same_group(long, F.broadcast(qs) if not by else qs, keys)
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
     return j.groupBy(*by, "variable", "q1", "median", "q3").agg(
@@ -101,27 +101,62 @@ def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 20) -> DataFram
               .groupBy(bx.cast("int").alias("bin_x"), by_.cast("int").alias("bin_y")).agg(F.count(F.lit(1)).alias("count")))
 
 
-def kde_1d(df: DataFrame, col: str, grid_points: int = 200, prebins: int = 2048, cut: float = 3.0) -> DataFrame:
-    """V7: Gaussian KDE with Scott's bandwidth (n^(-1/5) x sample std) on an
-    even grid over [min - cut h, max + cut h].  The data are first reduced to
-    ``prebins`` weighted bin centres (the only approximation: error < bin
-    width / 2); each bin row then explodes the bounded grid, so the work is
-    prebins x grid_points rows regardless of the table size."""
+def _grid_axis(df: DataFrame, x: Column, n: Column, power: float, points: int, cut: float, cutoff: float):
+    """Scott's bandwidth (sample std x n ** power) and an even grid over [min - cut h, max + cut h]:
+    (h, position of a grid point, first and last grid point that a value reaches)."""
+    st = df.select(F.struct(F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    h = F.nullif(st["sd"] * F.pow(n.cast("double"), F.lit(power)), F.lit(0.0))
+    start = st["lo"] - cut * h
+    step = (st["hi"] + cut * h - start) / (points - 1)
+    first = F.greatest(F.lit(0), F.ceil((x - cutoff * h - start) / step)).cast("int")
+    last = F.least(F.lit(points - 1), F.floor((x + cutoff * h - start) / step)).cast("int")
+    return h, lambda i: start + i * step, first, last
+
+
+def _reached(first: Column, last: Column) -> Column:
+    return F.explode(F.when(first <= last, F.sequence(first, last)))
+
+
+def _kernel(at: Column, x: Column, h: Column) -> Column:
+    return F.exp(-0.5 * F.pow((at - x) / h, 2)) / (h * math.sqrt(2 * math.pi))
+
+
+def kde_1d(df: DataFrame, col: str, grid_points: int = 200, cut: float = 3.0, cutoff: float = 8.0) -> DataFrame:
+    """V7: Gaussian KDE with Scott's bandwidth h (n^(-1/5) x sample std) on an even grid over
+    [min - cut h, max + cut h]: (i, x, density).  No value is binned: each one is
+    added to the grid points within ``cutoff`` bandwidths, the fewer the more rows there
+    are; what lies beyond is less than exp(-cutoff^2 / 2), 1.3e-14, of its kernel's
+    peak.  A column without spread has no density (null)."""
     x = q(col).cast("double")
-    st = df.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi"))
-    h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
-    st = st.withColumn("h", h)
-    lo, hi, n, hh = (st.select(c).scalar() for c in ("lo", "hi", "n", "h"))
-    width = (hi - lo) / prebins
-    b = F.least(F.floor((x - lo) / width), F.lit(prebins - 1))
-    binned = df.where(x.isNotNull()).groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("w"))
-    centre = lo + (F.col("b") + 0.5) * width
-    g0, g1 = lo - cut * hh, hi + cut * hh
-    step = (g1 - g0) / (grid_points - 1)
-    ex = binned.select(centre.alias("c"), "w", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"))
-    gx = g0 + F.col("i") * step
-    dens = F.col("w") * F.exp(-0.5 * F.pow((gx - F.col("c")) / hh, 2)) / (hh * math.sqrt(2 * math.pi))
-    return ex.groupBy("i").agg(F.first(gx).alias("x"), (F.sum(dens) / n).alias("density"))
+    n = df.select(F.count(x)).scalar()
+    h, at, first, last = _grid_axis(df, x, n, -0.2, grid_points, cut, cutoff)
+    near = df.where(x.isNotNull()).select(x.alias("v"), _reached(first, last).alias("i"))
+    sums = near.groupBy("i").agg(F.sum(_kernel(at(F.col("i")), F.col("v"), h)).alias("s"))
+    grid = df.sparkSession.range(grid_points).select(F.col("id").cast("int").alias("i"))
+    return grid.join(F.broadcast(sums), "i", "left").select(
+        "i", at(F.col("i")).alias("x"), F.when(h.isNotNull(), F.coalesce("s", F.lit(0.0)) / n).alias("density"))
+
+
+def kde_2d(df: DataFrame, x: str, y: str, grid_points: int = 50, cut: float = 3.0, cutoff: float = 8.0) -> DataFrame:
+    """V7 in two dimensions: product of Gaussian kernels, bandwidths n^(-1/6) x sample std of
+    each column over the complete rows, on an even grid_points x grid_points grid:
+    (i, j, x, y, density).  Cutoff and error as in ``kde_1d``, for each axis."""
+    xs, ys = q(x).cast("double"), q(y).cast("double")
+    rows = df.where(xs.isNotNull() & ys.isNotNull()).select(xs.alias("u"), ys.alias("v"))
+    n = rows.select(F.count(F.lit(1))).scalar()
+    hx, at_x, first_x, last_x = _grid_axis(rows, F.col("u"), n, -1 / 6, grid_points, cut, cutoff)
+    hy, at_y, first_y, last_y = _grid_axis(rows, F.col("v"), n, -1 / 6, grid_points, cut, cutoff)
+    near = rows.select("u", "v", _reached(first_x, last_x).alias("i"))
+    # the kernel along x is worked out once for all grid points along y
+    near = near.select("v", "i", _kernel(at_x(F.col("i")), F.col("u"), hx).alias("k"), first_y.alias("a"), last_y.alias("b"))
+    near = near.select("v", "i", "k", _reached(F.col("a"), F.col("b")).alias("j"))
+    sums = near.groupBy("i", "j").agg(F.sum(F.col("k") * _kernel(at_y(F.col("j")), F.col("v"), hy)).alias("s"))
+    cell = F.col("id").cast("int")
+    grid = df.sparkSession.range(grid_points * grid_points).select(
+        F.expr(f"cast(id div {grid_points} as int)").alias("i"), (cell % grid_points).alias("j"))
+    return grid.join(F.broadcast(sums), ["i", "j"], "left").select(
+        "i", "j", at_x(F.col("i")).alias("x"), at_y(F.col("j")).alias("y"),
+        F.when(hx.isNotNull() & hy.isNotNull(), F.coalesce("s", F.lit(0.0)) / n).alias("density"))
 
 
 def counts_by_hue(df: DataFrame, x: str, hue: str, order: Sequence[str] | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tablewise.functions.core import (display_value, kurt_unbiased, numeric_columns, pct, q,
                                       skew_unbiased, std_sample, text_columns, unpivot)
 from tablewise.functions.topk import top_n_per_group
-from tablewise.functions.quantiles import exact_quantiles_long, quantile_wide, with_median
+from tablewise.functions.quantiles import quantile_table
 from tablewise.operators.quality import distinct_counts
 
 
@@ -26,16 +26,13 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, skip_empt
     Quantiles are exact with linear interpolation."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     long = unpivot(df, cols, [], "variable", "value")
-    mom = long.groupBy("variable").agg(
+    moments = [
         F.count("value").alias("count"), F.count_if(F.col("value").isNull()).alias("missing"),
         F.count(F.lit(1)).alias("_rows"), F.avg("value").alias("mean"),
         std_sample(F.col("value")).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
         skew_unbiased(F.col("value")).alias("skew"), kurt_unbiased(F.col("value")).alias("kurtosis"),
-        F.count_distinct("value").alias("distinct"))
-    probs = (0.25, 0.5, 0.75)
-    qs = quantile_wide(exact_quantiles_long(long, ["variable"], "value", probs), ["variable"], probs,
-                       ["q1", "median", "q3"])
-    out = mom.join(qs, "variable", "left")
+        F.count_distinct("value").alias("distinct")]
+    out = quantile_table(long, ["variable"], "value", (0.25, 0.5, 0.75), ("q1", "median", "q3"), moments, few_groups=True)
     if skip_empty:
         out = out.where(F.col("count") > 0)
     return out.select("variable", "count", "missing", pct(F.col("missing"), F.col("_rows")).alias("missing_pct"),
@@ -210,14 +207,12 @@ def describe_variable(df: DataFrame, col: str, order_col: str, max_values: int =
                      F.round(F.col("missing") * 100.0 / F.col("total"), 2).alias("missing_pct"), "distinct", "mode", "examples")
     if f.name in numeric_columns(df):
         x = q(col).cast("double")
-        stats = df.agg(F.min(x).alias("min"), F.avg(x).alias("mean"), F.max(x).alias("max"),
-                       F.stddev_samp(x).alias("std"))
         long = df.select(F.lit(col).alias("variable"), x.alias("value"))
-        qs = quantile_wide(exact_quantiles_long(long, ["variable"], "value", (0.25, 0.5, 0.75)), ["variable"],
-                           (0.25, 0.5, 0.75), ["q1", "median", "q3"])
-        for c in ("min", "q1", "median", "mean", "q3", "max", "std"):
-            src = qs if c in ("q1", "median", "q3") else stats
-            out = out.withColumn(c, F.round(src.select(c).scalar(), 4))
+        told = quantile_table(long, ["variable"], "value", (0.25, 0.5, 0.75), ("q1", "median", "q3"), [
+            F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max"), F.stddev_samp("value").alias("std")],
+            few_groups=True)
+        row = told.select(F.struct("min", "q1", "median", "mean", "q3", "max", "std")).scalar()
+        out = out.withColumns({c: F.round(row[c], 4) for c in ("min", "q1", "median", "mean", "q3", "max", "std")})
     else:
         vc = (df.groupBy(display_value(q(col)).alias("v")).agg(F.count(F.lit(1)).alias("c"))
                 .withColumn("_g", F.lit(0)).withColumn("_nc", -F.col("c")))
@@ -272,8 +267,8 @@ _MEASURES = ("low", "high", "mean", "median")
 def _continuous(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = unpivot(df, cols, [], "variable", "value").where(F.col("value").isNotNull())
     x = F.col("value").cast("double")
-    agg = long.groupBy("variable").agg(F.min(x).alias("low"), F.max(x).alias("high"), F.avg(x).alias("mean"))
-    return with_median(agg, long, ["variable"], "value")
+    return quantile_table(long, ["variable"], "value", (0.5,), ("median",),
+                          [F.min(x).alias("low"), F.max(x).alias("high"), F.avg(x).alias("mean")], few_groups=True)
 
 
 def _dominant(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -302,12 +297,10 @@ def table_info(df: DataFrame) -> DataFrame:
 
 def group_aggregate(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """G1: count, mean, median (exact, distributed), std, min, max per group and column (long form)."""
-    from tablewise.functions.quantiles import with_median
     long = unpivot(df, cols, list(by), "variable", "value")
-    agg = (long.groupBy(*by, "variable")
-               .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")))
-    return with_median(agg, long, [*by, "variable"], "value")
+    return quantile_table(long, [*by, "variable"], "value", (0.5,), ("median",), [
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max")])
 
 
 def pivot_mean(df: DataFrame, index: str, columns: str, values: str, levels: Sequence | None = None) -> DataFrame:

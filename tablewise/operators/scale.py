@@ -100,8 +100,7 @@ def compare_versions(versions: dict[str, DataFrame], cols: Sequence[str]) -> Dat
         present = [c for c in cols if c in frame.columns]
         long = unpivot(frame, present, [], "column", "value").withColumn("version", F.lit(name))
         out = long if out is None else out.unionByName(long)
-    from tablewise.functions.quantiles import with_median
-    agg = (out.groupBy("column", "version")
-              .agg(F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"),
-                   F.stddev_samp("value").alias("std")))
-    return with_median(agg, out, ["column", "version"], "value")
+    from tablewise.functions.quantiles import quantile_table
+    return quantile_table(out, ["column", "version"], "value", (0.5,), ("median",), [
+        F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")],
+        few_groups=True)

@@ -93,16 +93,27 @@ def v6_hexbin_counts(spark, sf):
 
 @register("v7_kde", """
 with s as (select count(value) as n, stddev_samp(value) as sd, min(value) as lo, max(value) as hi from events),
-s2 as (select *, sd * power(n, -0.2) as h, (hi - lo) / 2048 as w from s),
-b as (select least(floor((value - lo) / w), 2047) as b, count(*) as cnt from events, s2 where value is not null group by 1),
-g as (select unnest(range(0, 200)) as i)
-select g.i::int as i, lo - 3 * h + g.i * ((hi + 3 * h) - (lo - 3 * h)) / 199 as x,
-  sum(cnt * exp(-0.5 * power(((lo - 3 * h + g.i * ((hi + 3 * h) - (lo - 3 * h)) / 199) - (lo + (b + 0.5) * w)) / h, 2))
-      / (h * sqrt(2 * pi()))) / n as density
-from b, g, s2 group by g.i, lo, hi, h, n
+s2 as (select *, sd * power(n, -0.2) as h from s),
+g as (select i, lo - 3 * h + i * ((hi + 3 * h) - (lo - 3 * h)) / 199 as x, n, h from s2, (select unnest(range(0, 200)) as i))
+select g.i::int as i, x, sum(exp(-0.5 * power((x - value) / h, 2)) / (h * sqrt(2 * pi()))) / n as density
+from events, g where value is not null group by g.i, x, n
 """)
 def v7_kde(spark, sf):
-    return finish(plotdata.kde_1d(table(spark, sf, "events"), "value", 200, 2048))
+    return finish(plotdata.kde_1d(table(spark, sf, "events"), "value", 200))
+
+
+@register("v7_kde_2d", """
+with r as (select c_acctbal::double as u, (c_custkey % 97)::double as v from customer where c_acctbal is not null),
+s as (select count(*) as n, stddev_samp(u) * power(count(*), -1.0 / 6) as hx, stddev_samp(v) * power(count(*), -1.0 / 6) as hy,
+        min(u) as ulo, max(u) as uhi, min(v) as vlo, max(v) as vhi from r),
+g as (select i, j, ulo - 3 * hx + i * ((uhi + 3 * hx) - (ulo - 3 * hx)) / 29 as x, vlo - 3 * hy + j * ((vhi + 3 * hy) - (vlo - 3 * hy)) / 29 as y, n, hx, hy
+      from s, (select unnest(range(0, 30)) as i), (select unnest(range(0, 30)) as j))
+select i::int as i, j::int as j, x, y, sum(exp(-0.5 * (power((x - u) / hx, 2) + power((y - v) / hy, 2)))) / (hx * hy * 2 * pi()) / n as density
+from r, g group by i, j, x, y, n, hx, hy
+""")
+def v7_kde_2d(spark, sf):
+    c = table(spark, sf, "customer").withColumn("v", F.col("c_custkey") % 97)
+    return finish(plotdata.kde_2d(c, "c_acctbal", "v", 30))
 
 
 @register("v11_counts_by_hue", """

@@ -86,6 +86,96 @@ def x7_x8_sets_and_maps(spark, sf):
                            F.size(F.array_union("a", "b")).cast("long").alias("n_union")))
 
 
+@register("x2_rounding", """
+select l_orderkey, l_linenumber, round_even(l_linenumber + 0.5, 0) as half_even, round(l_linenumber + 0.5) as half_up,
+  round_even(l_extendedprice / 100, 0) as price_even, floor(l_discount * 10)::bigint as floored, ceil(l_discount * 10)::bigint as ceiled,
+  trunc(-l_extendedprice)::bigint as truncated, abs(l_discount - 0.05) as distance from lineitem
+""")
+def x2_rounding(spark, sf):
+    li = table(spark, sf, "lineitem")
+    half = F.col("l_linenumber") + F.lit(0.5)
+    return finish(li.select(
+        "l_orderkey", "l_linenumber", X.pyround(half).alias("half_even"), F.round(half).alias("half_up"),
+        X.pyround(F.col("l_extendedprice") / 100).alias("price_even"), F.floor(F.col("l_discount") * 10).alias("floored"),
+        F.ceil(F.col("l_discount") * 10).alias("ceiled"), (-F.col("l_extendedprice")).cast("long").alias("truncated"),
+        F.abs(F.col("l_discount") - 0.05).alias("distance")))
+
+
+@register("x3_x5_text_functions", """
+select c_custkey, c_name[2:5] as piece, c_name[-3:] as tail, reverse(c_name) as reversed, replace(c_name, 'Customer', 'C') as replaced,
+  regexp_matches(c_custkey::varchar, '^[0-9]+$') as numeric_text, ends_with(c_mktsegment, 'E') as ends_e,
+  (length(c_name) - length(replace(c_name, '0', '')))::bigint as zeros, string_split(c_name, '#')[2] as number, trim('  ' || c_mktsegment || ' ') as trimmed,
+  len(string_split(c_name, '0'))::bigint as pieces, format('{:x}', c_custkey) as hex_id, printf('%.8e', c_acctbal::double) as scientific,
+  format('{:,}', c_custkey * 12345) as thousands, position('#' in c_name)::bigint as at from customer
+""")
+def x3_x5_text_functions(spark, sf):
+    c = table(spark, sf, "customer")
+    name, key = F.col("c_name"), F.col("c_custkey")
+    return finish(c.select(
+        "c_custkey", F.substring(name, 2, 4).alias("piece"), F.right(name, F.lit(3)).alias("tail"), F.reverse(name).alias("reversed"),
+        F.replace(name, F.lit("Customer"), F.lit("C")).alias("replaced"), key.cast("string").rlike("^[0-9]+$").alias("numeric_text"),
+        F.endswith("c_mktsegment", F.lit("E")).alias("ends_e"), (F.length(name) - F.length(F.replace(name, F.lit("0"), F.lit("")))).alias("zeros"),
+        F.split_part(name, F.lit("#"), F.lit(2)).alias("number"), F.trim(F.concat(F.lit("  "), "c_mktsegment", F.lit(" "))).alias("trimmed"),
+        F.size(F.split(name, "0")).alias("pieces"), F.lower(F.hex(key)).alias("hex_id"),
+        F.format_string("%.8e", F.col("c_acctbal").cast("double")).alias("scientific"), F.format_number(key * 12345, 0).alias("thousands"),
+        F.instr(name, "#").alias("at")))
+
+
+@register("x6_list_edits", """
+with t as (select p_partkey, [p_size, p_partkey % 7, 3, p_size] as a from part)
+select p_partkey, array_to_string(list_append(a, 9), ',') as appended, array_to_string(a[1:1] || [99] || a[2:], ',') as inserted,
+  array_to_string(list_filter(a, lambda v: v <> 3), ',') as removed, array_to_string(list_reverse(a), ',') as reversed,
+  array_to_string(list_sort(a), ',') as sorted, array_to_string(a || [1, 2], ',') as joined, list_position(a, 3)::bigint as place,
+  list_contains(a, 5) as has_five, a[-1]::bigint as last, array_to_string(a[2:3], ',') as middle from t
+""")
+def x6_list_edits(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", F.array(F.col("p_size").cast("long"), (F.col("p_partkey") % 7).cast("long"),
+                                                             F.lit(3).cast("long"), F.col("p_size").cast("long")).alias("a"))
+    told = lambda c: F.array_join(F.transform(c, lambda v: v.cast("string")), ",")
+    return finish(p.select(
+        "p_partkey", told(F.array_append("a", F.lit(9).cast("long"))).alias("appended"),
+        told(F.array_insert("a", 2, F.lit(99).cast("long"))).alias("inserted"), told(F.array_remove("a", F.lit(3).cast("long"))).alias("removed"),
+        told(F.reverse("a")).alias("reversed"), told(F.array_sort("a")).alias("sorted"),
+        told(F.concat("a", F.array(F.lit(1).cast("long"), F.lit(2).cast("long")))).alias("joined"), F.array_position("a", F.lit(3).cast("long")).alias("place"),
+        F.array_contains("a", F.lit(5).cast("long")).alias("has_five"), F.element_at("a", -1).alias("last"), told(F.slice("a", 2, 2)).alias("middle")))
+
+
+@register("x8_maps", """
+with m as (select o_custkey, map_from_entries(list({'k': p, 'v': n} order by p)) as m
+           from (select o_custkey, o_orderpriority as p, count(*)::bigint as n from orders group by all) group by 1)
+select o_custkey, len(map_keys(m))::bigint as size, array_to_string(map_keys(m), ',') as keys, array_to_string(map_values(m), ',') as "values", coalesce(m['1-URGENT'], 0) as urgent,
+  list_contains(map_keys(m), '5-LOW') as has_low, list_sum(map_values(m))::bigint as total,
+  array_to_string(list_sort(map_keys(m) || ['extra']), ',') as with_extra, array_to_string(list_filter(map_keys(m), lambda k: m[k] > 1), ',') as often from m
+""")
+def x8_maps(spark, sf):
+    o = table(spark, sf, "orders").groupBy("o_custkey", F.col("o_orderpriority").alias("k")).agg(F.count(F.lit(1)).alias("v"))
+    m = o.groupBy("o_custkey").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("m"))
+    put = F.map_concat("m", F.create_map(F.lit("extra"), F.lit(0).cast("long")))
+    return finish(m.select(
+        "o_custkey", F.size("m").alias("size"), F.array_join(F.map_keys("m"), ",").alias("keys"),
+        F.array_join(F.transform(F.map_values("m"), lambda v: v.cast("string")), ",").alias("values"),
+        F.coalesce(F.try_element_at("m", F.lit("1-URGENT")), F.lit(0)).alias("urgent"), F.map_contains_key("m", "5-LOW").alias("has_low"),
+        F.aggregate(F.map_values("m"), F.lit(0).cast("long"), lambda s, v: s + v).alias("total"), F.array_join(F.array_sort(F.map_keys(put)), ",").alias("with_extra"),
+        F.array_join(F.map_keys(F.map_filter("m", lambda k, v: v > 1)), ",").alias("often")))
+
+
+@register("x10_x14_array_arithmetic", """
+with e as (select vec_id, embedding::double[] as x from embeddings),
+y as (select *, list_transform(x, lambda v: v * 2 - 0.1) as y from e)
+select vec_id, list_sum(list_transform(range(1, 65), lambda i: x[i] + y[i])) as added, list_sum(list_transform(range(1, 65), lambda i: x[i] * y[i])) as products,
+  len(list_filter(range(1, 65), lambda i: x[i] > y[i]))::bigint as greater, list_sum(list_transform(y, lambda v: case when v < 0 then 0.0 else v end)) as clipped,
+  list_sum(list_transform(range(0, 5), lambda i: (0.0 + i * 0.25) * x[i + 1])) as weighted, list_sum(list_transform(x, lambda v: v / 4)) as quarters from y
+""")
+def x10_x14_array_arithmetic(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    e = e.withColumn("y", X.scalar_op(F.col("x"), lambda v: v * 2 - 0.1))
+    x, y = F.col("x"), F.col("y")
+    return finish(e.select(
+        "vec_id", X.array_sum(X.elementwise(x, y, lambda a, b: a + b)).alias("added"), X.array_sum(X.elementwise(x, y, lambda a, b: a * b)).alias("products"),
+        F.size(F.filter(X.elementwise(x, y, lambda a, b: a > b), lambda v: v)).alias("greater"), X.array_sum(X.clip_negative(y)).alias("clipped"),
+        X.dot(X.linspace(0.0, 1.0, 5), F.slice(x, 1, 5)).alias("weighted"), X.array_sum(X.scalar_op(x, lambda v: v / 4)).alias("quarters")))
+
+
 @register("s9_sample_n", """
 select o_orderkey, o_totalprice from orders order by ((o_orderkey + 42) * 2654435761) % 1000003, o_orderkey limit 100
 """)
@@ -119,6 +209,35 @@ def s3_s4_robust_csv_read(spark, sf):
     return finish(df.select("c_custkey", "c_name", F.col("c_nationkey").cast("int"), "c_acctbal", "c_mktsegment"))
 
 
+@register("s1_numbers_beside_na", """
+select c_custkey, case when c_custkey % 7 <> 0 then c_nationkey::bigint end as nation, case when c_custkey % 5 <> 0 then c_acctbal::double end as balance,
+  c_custkey % 2 = 0 as even, case when c_custkey % 3 <> 0 then c_mktsegment end as segment from customer
+""")
+def s1_numbers_beside_na(spark, sf):
+    path = _scratch(spark)
+    na = lambda n, token, c: F.when(F.col("c_custkey") % n == 0, token).otherwise(c.cast("string"))
+    (table(spark, sf, "customer").select(
+        "c_custkey", na(7, "NA", F.col("c_nationkey")).alias("nation"), na(5, "n/a", F.col("c_acctbal").cast("double")).alias("balance"),
+        (F.col("c_custkey") % 2 == 0).alias("even"), na(3, "NULL", F.col("c_mktsegment")).alias("segment"))
+     .write.option("header", True).csv(path))
+    back = files.read_csv(spark, path)
+    assert [t for _, t in back.dtypes] == ["bigint", "bigint", "double", "boolean", "string"], back.dtypes
+    return finish(back)
+
+
+@register("s3_cp1252_read", """
+select c_custkey, c_name || ' €' as "name of the customer", c_mktsegment || '™ “' || c_custkey || '”' as segment from customer
+""")
+def s3_cp1252_read(spark, sf):
+    path = _scratch(spark)
+    wrong, right = files._cp1252_texts()
+    rows = table(spark, sf, "customer").select("c_custkey", F.concat("c_name", F.lit(" €")).alias("name of the customer"),
+                    F.concat("c_mktsegment", F.lit("™ “"), F.col("c_custkey").cast("string"), F.lit("”")).alias("segment"))
+    rows = rows.select("c_custkey", *[F.translate(F.col(f"`{n}`"), right, wrong).alias(n) for n in rows.columns[1:]])
+    rows.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    return finish(files.safe_read_csv(spark, path, encodings=("utf-8", "cp1252")))
+
+
 @register("s7_publish_variants")
 def s7_publish_variants(spark, sf):
     from tablewise.operators import scale

@@ -1,8 +1,8 @@
 """File sources and sinks and column-name rules.
 
-Probing (separator, encoding) reads only the first 4 KB of the first file
-through the Hadoop FileSystem API -- a bounded payload -- and the table is
-then read once with ``spark.read.csv``; nothing data-sized passes the driver.
+The header line is read in full through the Hadoop FileSystem API; encoding,
+separator and column types are decided by scans of the whole file, and the table
+is then read with ``spark.read.csv``; nothing data-sized passes the driver.
 """
 
 from __future__ import annotations
@@ -54,63 +54,105 @@ def normalize_na(df: DataFrame, na_values: Sequence[str] = PANDAS_NA) -> DataFra
     return nan_to_null(df.select(*out))
 
 
+#: What pandas reads as a whole number, a number and a truth value.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity|INFINITY)\s*$"
+_TRUTH = r"^(true|True|TRUE|false|False|FALSE)$"
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """Types of text columns whose NA strings are null already, by one aggregate over all
+    columns: bigint if every value is a whole number, else double if every value is a
+    number, else boolean, else text.  Nulls don't matter; a column without a value is double."""
+    kinds = {}
+    for i, c in enumerate(df.columns):
+        x = q(c)
+        kinds[f"n{i}"] = F.count(x)
+        kinds[f"w{i}"] = F.count_if(x.rlike(_WHOLE) & x.try_cast("bigint").isNotNull())
+        kinds[f"d{i}"] = F.count_if(x.rlike(_NUMBER))
+        kinds[f"t{i}"] = F.count_if(x.rlike(_TRUTH))
+    seen = df.agg(*[v.alias(k) for k, v in kinds.items()]).first()
+    out = []
+    for i, c in enumerate(df.columns):
+        n = seen[f"n{i}"]
+        kind = next((k for k, t in (("w", "bigint"), ("d", "double"), ("t", "boolean")) if n and seen[f"{k}{i}"] == n), None)
+        to = {"w": "bigint", "d": "double", "t": "boolean"}.get(kind, "string" if n else "double")
+        out.append(q(c) if to == "string" else F.trim(q(c)).cast(to).alias(c))
+    return df.select(*out)
+
+
+#: Spark's names of charsets.  cp1252 differs from ISO-8859-1 in 0x80 to 0x9F only, which are
+#: put right after reading, so that no charset beyond Spark's own is needed.
+SPARK_CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "cp1252": "ISO-8859-1", "windows-1252": "ISO-8859-1"}
+
+
+def _cp1252_texts() -> tuple[str, str]:
+    """Characters that ISO-8859-1 gives for the bytes 0x80 to 0x9F, and those that cp1252 has there."""
+    told = {chr(b): bytes([b]).decode("cp1252", errors="ignore") for b in range(0x80, 0xA0)}
+    told = {k: v for k, v in told.items() if v}
+    return "".join(told), "".join(told.values())
+
+
+def _decoded(df: DataFrame, encoding: str) -> DataFrame:
+    if encoding.lower() not in ("cp1252", "windows-1252"):
+        return df
+    wrong, right = _cp1252_texts()
+    to = str.maketrans(wrong, right)
+    return df.select(*[F.translate(q(c), wrong, right).alias(c.translate(to)) for c in df.columns])
+
+
 def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "utf-8", infer: bool = True,
              index_col: str | None = None) -> DataFrame:
-    """CSV with header and type inference; NA tokens to null; an index
-    column (S2) is moved first."""
-    df = (spark.read.option("header", True).option("inferSchema", infer).option("sep", sep)
+    """CSV with header; NA tokens to null, then type inference (``infer_types``), so a
+    column of numbers and NA is a number; an index column (S2) is moved first."""
+    df = (spark.read.option("header", True).option("inferSchema", False).option("sep", sep)
                .option("encoding", "UTF-8" if encoding.lower().startswith("utf-8") else SPARK_CHARSETS.get(encoding.lower(), encoding))
-               .option("nullValue", "").option("nanValue", "NaN").option("mode", "PERMISSIVE").csv(path))
-    df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
+               .option("nullValue", "").option("mode", "PERMISSIVE").csv(path))
+    df = _decoded(df.toDF(*[c.lstrip("﻿").strip() for c in df.columns]), encoding)
     df = normalize_na(df)
+    if infer:
+        df = infer_types(df)
     if index_col:
         df = df.select(q(index_col), *[q(c) for c in df.columns if c != index_col])
     return df
 
 
-def _head_bytes(spark: SparkSession, path: str, n: int = 4096) -> bytes:
-    """First ``n`` bytes of the first data file under ``path`` through the
-    Hadoop FileSystem API (works for HDFS / S3 / local); bounded payload."""
+def header_line(spark: SparkSession, path: str) -> bytes:
+    """The first line, however long, of the first data file under ``path``, through the Hadoop
+    FileSystem API (works for HDFS / S3 / local)."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.getFileStatus(p).isDirectory():
         files = sorted((st.getPath().toString() for st in fs.listStatus(p)
                         if st.isFile() and not st.getPath().getName().startswith(("_", "."))))
         if not files:
             return b""
         p = jvm.org.apache.hadoop.fs.Path(files[0])
-    stream = fs.open(p)
+    lines = jvm.org.apache.hadoop.util.LineReader(fs.open(p))
     try:
-        io = jvm.org.apache.commons.io
-        return bytes(io.IOUtils.toByteArray(io.input.BoundedInputStream(stream, n)))
+        line = jvm.org.apache.hadoop.io.Text()
+        lines.readLine(line)
+        return bytes(line.copyBytes())
     finally:
-        stream.close()
+        lines.close()
 
 
 def sniff_separator(spark: SparkSession, path: str, encoding: str = "utf-8",
                     candidates: Sequence[str] = SNIFF_SEPARATORS, fallback: str = ",") -> str:
-    """Separator whose count per line is most consistent (and non-zero)
-    over the first 4 KB; ``fallback`` when none qualifies."""
+    """The separator that most lines of the file hold as often as the header does, at
+    least once; the earlier candidate among equals, ``fallback`` when none is in the header."""
     try:
-        text = _head_bytes(spark, path).decode(encoding, errors="strict")
+        header = header_line(spark, path).decode(encoding).lstrip("﻿")
     except (UnicodeDecodeError, LookupError):
         return fallback
-    lines = [ln for ln in text.splitlines() if ln.strip()][:-1] or [ln for ln in text.splitlines() if ln.strip()]
-    best, best_score = fallback, 0
-    for c in candidates:
-        counts = [ln.count(c) for ln in lines]
-        if not counts or min(counts) == 0:
-            continue
-        score = sum(1 for x in counts if x == counts[0])
-        if score > best_score:
-            best, best_score = c, score
-    return best
-
-
-#: Spark's names of charsets.
-SPARK_CHARSETS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "cp1252": "windows-1252"}
+    held = [c for c in candidates if c in header]
+    if not held:
+        return fallback
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    times = lambda c: F.length("value") - F.length(F.replace("value", F.lit(c)))
+    alike = lines.agg(*[F.count_if(times(c) == header.count(c)).alias(f"c{i}") for i, c in enumerate(held)]).first()
+    return max(zip(alike, range(0, -len(held), -1), held))[2]
 
 
 def _is_utf8(spark: SparkSession, path: str) -> bool:
@@ -123,8 +165,8 @@ def safe_read_csv(spark: SparkSession, path: str, encodings: Sequence[str] = ENC
     """S3: first (encoding, separator) that decodes the whole file and splits its
     header into more than one column; header names stripped.  latin1 decodes
     any byte, so cp1252 is reached only if every earlier attempt gave one
-    column."""
-    head = _head_bytes(spark, path)
+    column; ask for it by ``encodings=("utf-8", "cp1252")``."""
+    header = header_line(spark, path)
     utf8, last = None, "no encoding fits"
     for enc in encodings:
         if enc.lower().startswith("utf-8"):
@@ -132,9 +174,7 @@ def safe_read_csv(spark: SparkSession, path: str, encodings: Sequence[str] = ENC
             if not utf8:
                 last = "not UTF-8"
                 continue
-        # the head only shows the separator; its last character may be cut
-        text = head.decode(enc, errors="replace")
-        first = text.lstrip("﻿").splitlines()[0] if text else ""
+        first = header.decode(enc, errors="replace").lstrip("﻿")
         for sep in separators:
             if len(first.split(sep)) > 1:
                 df = read_csv(spark, path, sep=sep, encoding="utf-8" if enc.startswith("utf-8") else enc)

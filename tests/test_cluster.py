@@ -75,7 +75,8 @@ def test_ward_exact_small(spark):
     got = {r["id"]: r["cluster"] for r in lab.collect()}
     assert got[0] == got[1] and got[2] == got[3] and len({got[0], got[2], got[4]}) == 3
     # first two merges join the unit-distance pairs at height 1
-    assert np.allclose(sorted(Z[:2, 2]), [1.0, 1.0])
+    heights = [r.height for r in Z.orderBy("step").collect()]
+    assert np.allclose(heights[:2], [1.0, 1.0]) and [r["size"] for r in Z.orderBy("step").collect()][-1] == 5
 
 
 @pytest.mark.parametrize("linkage", ["ward", "single", "complete", "average"])
