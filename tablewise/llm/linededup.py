@@ -1,13 +1,16 @@
 """Fuzzy line dedup: MinHash over character shingles, exact verification, union-find.
 
 Equal lines (A-Z lower-cased) are one line class before anything is compared.
-Signatures and band hashes of all lines come from one Arrow pass; classes that
-share a band are candidates, confirmed by the exact Jaccard similarity of their
-shingle sets (``candidates.linked``).  Confirmed links form components by
-distributed union-find, and the first line of each, by document id and line
-number, stays.  With 40 bands of 6 slots, as for near duplicates, a pair at similarity
-0.8 misses every band with probability 5e-6; slots are six because lines of
-one language share some shingles, and with five chance meetings grow past the rest.
+A task signs each class it meets once a run and writes the band hashes of a run,
+sorted, as one compressed block for each range of hashes (``linebands``); the blocks
+of a range meet in one task, which gives back only the bands that several
+classes share.  A band of a single class, as nearly all are, is never a row.
+Classes that share a band are candidates, confirmed by the exact Jaccard
+similarity of their shingle sets (``candidates.linked``).  Confirmed links form
+components by distributed union-find, and the first line of each, by document
+id and line number, stays.  With 40 bands of 6 slots, as for near duplicates, a pair
+at similarity 0.8 misses every band with probability 5e-6; slots are six because
+lines of one language share some shingles, and with five chance meetings grow past the rest.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from tablewise.functions.core import q
 from tablewise.llm import hashing as H
 from tablewise.llm.candidates import linked
 from tablewise.llm.common import arrow_bytes, free_name, narrowed, row_key, slices, stored, texts_of
+from tablewise.llm.linebands import bander, matcher, short
 
 _SLICE = 1 << 20
 #: Odd multipliers of a shingle's characters.
@@ -58,32 +62,27 @@ def shingles(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int) ->
     return h, at
 
 
-def _signer(k: int, bands: int, rows: int):
-    slots = H.prime_from(bands * rows)
+def worded_lines(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Characters, and of every line with a word: start, end, row, number in its row and class hash."""
+    chars, starts, ends, at = _lines(raw, offsets)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
+    number = np.arange(len(starts)) - at[row]
+    wordless = (chars == 32) | ((chars >= 9) & (chars <= 13))
+    run = np.concatenate([[0], np.cumsum(~wordless)])
+    worded = run[ends] > run[starts]
+    starts, ends = starts[worded], ends[worded]
+    return chars, starts, ends, row[worded], number[worded], H.span_hashes(chars, starts, ends)
 
-    def sign(batches):
-        for batch in batches:
-            raw, off = arrow_bytes(batch.column("text"))
-            for a, b in slices(off, _SLICE):
-                chars, starts, ends, at = _lines(raw[off[a]:off[b]], off[a:b + 1] - off[a])
-                row = np.repeat(np.arange(b - a), np.diff(at))
-                number = np.arange(len(starts)) - at[row]
-                wordless = (chars == 32) | ((chars >= 9) & (chars <= 13))
-                run = np.concatenate([[0], np.cumsum(~wordless)])
-                worded = run[ends] > run[starts]
-                starts, ends, row, number = starts[worded], ends[worded], row[worded], number[worded]
-                c = H.span_hashes(chars, starts, ends)
-                once = np.zeros(len(c), bool)  # a line repeated in this slice is signed once
-                once[np.unique(c, return_index=True)[1]] = True
-                band = H.band_hashes(H.super_minhash(*shingles(chars, starts[once], ends[once], k), slots), bands, rows)
-                list_at = np.concatenate([[0], np.cumsum(once * bands)]).astype(np.int32)
-                take = pa.array(a + row)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("id").take(take), batch.column("key").take(take), pa.array(number, pa.int64()),
-                    pa.array(c.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(list_at), pa.array(band.ravel().view(np.int64)))],
-                    ["id", "key", "line", "c", "bands"])
-    return sign
+
+def _classes(batches):
+    """The class of every line with a word."""
+    for batch in batches:
+        raw, off = arrow_bytes(batch.column("text"))
+        for a, b in slices(off, _SLICE):
+            _, _, _, row, number, c = worded_lines(raw[off[a]:off[b]], off[a:b + 1] - off[a])
+            take = pa.array(a + row)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("key").take(take),
+                                              pa.array(number, pa.int64()), pa.array(c.view(np.int64))], ["id", "key", "line", "c"])
 
 
 def _finder(k: int):
@@ -146,6 +145,19 @@ def _lister(k: int):
     return elements
 
 
+def shared_bands(texts: DataFrame, lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    """(b, c): the bands that several line classes share, with those classes."""
+    spark = texts.sparkSession
+    # ranges of band hashes, so many that one holds about a million entries
+    ranges = 1 << max(6, (bands * lines.count() >> 20).bit_length())
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 4)
+    blocks = texts.mapInArrow(bander(k, bands, rows, ranges), "range int, block binary")
+    met = stored(blocks.repartition(count, "range").sortWithinPartitions("range").mapInArrow(matcher, "b long, short long"), "bands")
+    # blocks know a class by some bits of its hash; who shares those bits is a candidate too
+    classes = lines.select("c").distinct().select("c", short(F.col("c")).alias("short"))
+    return stored(met.join(classes, "short").select("b", "c"), "members")
+
+
 def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                    percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """(key, removed): numbers of the lines that an earlier line of their
@@ -157,10 +169,9 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     not read; an empty table gives an empty result.
     """
     texts = texts_of(df, id_col, text_col)
-    lines = stored(texts.mapInArrow(_signer(k, bands, rows), T.StructType([
+    lines = stored(texts.mapInArrow(_classes, T.StructType([
         T.StructField("id", texts.schema["id"].dataType), T.StructField("key", T.LongType()),
-        T.StructField("line", T.LongType()), T.StructField("c", T.LongType()),
-        T.StructField("bands", T.ArrayType(T.LongType()))])), "lines")
+        T.StructField("line", T.LongType()), T.StructField("c", T.LongType())])), "lines")
 
     def sets_of(classes: DataFrame) -> DataFrame:
         shown = lines.join(classes, "c").groupBy("c").agg(F.min("key").alias("key"))
@@ -170,7 +181,8 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return (narrowed(texts.select("key", "text"), wanted.select("key")).join(wanted, "key").dropDuplicates(["key"])
                 .mapInArrow(_finder(k), "c long, n long, s string"))
 
-    labels = linked(lines.select(F.explode("bands").alias("b"), "c"), sets_of, percent,
+    members = shared_bands(texts.select("text"), lines, k, bands, rows)
+    labels = linked(members, sets_of, percent,
                     lambda both, p: both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_comparer(k, p), "a long, b long"),
                     lambda sets: sets.mapInArrow(_lister(k), "family long, c long, x long"))
     several = (lines.groupBy("c").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("c")
