@@ -3,7 +3,9 @@ removal, benchmark decontamination, mixing to target weights.
 
 Every stage takes (spark, docs, sf_dir); what it returns is written as Parquet
 and read again as the next one's ``docs``.  All but the last return the columns
-of their input.
+of their input, whatever else they are called.  Null texts count as empty, null ids,
+languages and sources are values of their own, repeated rows are rows of their own
+unless a stage says otherwise, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,31 +22,37 @@ from tablewise.session import ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go: null, empty and very short texts among them.
+    Repeated rows are judged alike."""
     ship_package(spark)
     return keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-equal lines the first one stays; documents left without a line go."""
+    """Of near-equal lines the first one stays, by document id (null first) and line; documents
+    left without a line go, those that had none stay.  Rows equal in id and text are
+    one document and don't repeat each other."""
     ship_package(spark)
     return drop_repeated_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays (5-word shingles, similarity 0.8)."""
+    """One document of each component stays (5-word shingles, similarity 0.8), that of the least
+    id, a null one last; of rows equal in id and text one stays.  Texts without a word all stay."""
     ship_package(spark)
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, copies of them too; null and empty texts stay.
+    Items that are null, empty or of fewer than three words match nothing."""
     ship_package(spark)
     return decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes: one row for each row, none of a null or
+    empty text; a null source is a source of its own, the last."""
     ship_package(spark)
     return mix(docs)
 
