@@ -25,6 +25,7 @@ HEADLINE = [
     "o1_iqr_summary", "o6_mad_summary", "o10_outlier_audit", "n2_zscore_scale", "n3_decimal_scale",
     "e6_categorical_variant", "e16_qcut", "v1_histogram", "v4_box_stats", "v7_kde",
     "k26_calinski_harabasz", "k25_silhouette", "k30_representatives", "l8_knn_classifier", "k13_dbscan_labels",
+    "k19_k_distance", "k21_single_linkage", "n5_compare_versions",
 ]
 
 

@@ -348,3 +348,34 @@ def table_findings(df: DataFrame, top_missing: int = 5, max_distinct_ratio: floa
             F.array_join("kinds", ", ").alias("detail"))
         out = out.unionByName(mixed)
     return out
+
+
+def exploratory_findings(df: DataFrame, cols: Sequence[str] | None = None, target: str | None = None,
+                         rules: dict[str, tuple] | None = None, top: int = 5) -> DataFrame:
+    """What stands out in a table, as rows (finding, subject, detail): the class shares of a
+    target of two classes, the ``top`` strongest correlations, the ``top`` columns by share of
+    IQR outliers, and the columns with values outside their plausible range."""
+    from tablewise.operators.assoc import correlation_pairs, pearson_long
+    from tablewise.operators.outliers import iqr_summary, plausible_range_check
+    cols = list(cols) if cols is not None else numeric_columns(df)
+    row = lambda finding, subject, detail: [F.lit(finding).alias("finding"), subject.alias("subject"), detail.alias("detail")]
+    parts = []
+    if target and target in df.columns:
+        shares = df.where(q(target).isNotNull()).groupBy(q(target).cast("string").alias("c")).agg(F.count(F.lit(1)).alias("n"))
+        total = shares.select(F.struct(F.sum("n").alias("n"), F.count("n").alias("k"))).scalar()
+        parts.append(shares.where(total["k"] == 2).select(*row("target_share", F.col("c"), F.format_string("%.2f%%", F.col("n") * 100.0 / total["n"]))))
+    if len(cols) > 1:
+        pairs = correlation_pairs(pearson_long(df, cols), cols, top_k=top).where(F.col("correlation").isNotNull())
+        parts.append(pairs.select(*row("correlation", F.concat_ws("~", "var1", "var2"), F.format_string("%.4f", "correlation"))))
+    if cols:
+        worst = iqr_summary(df, cols).orderBy(F.desc_nulls_last("outlier_pct"), "column").limit(top)
+        parts.append(worst.select(*row("outliers", F.col("column"), F.format_string("%.2f%%", "outlier_pct"))))
+    if rules:
+        out = plausible_range_check(df, rules).where(F.col("total_out") > 0)
+        parts.append(out.select(*row("implausible", F.col("column"), F.format_string("%d", F.col("total_out").cast("long")))))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "finding string, subject string, detail string")
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found

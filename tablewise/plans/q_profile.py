@@ -210,6 +210,48 @@ def r17_table_findings(spark, sf):
     return finish(profile.table_findings(c, max_distinct=20))
 
 
+_FOUND = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_IQR_SHARES = " union all ".join(f"""select '{c}' as c, (select count(*) from lineitem, (select quantile_cont({c}, 0.25) as a, quantile_cont({c}, 0.75) as b from lineitem)
+   where {c} < a - 1.5 * (b - a) or {c} > b + 1.5 * (b - a)) * 100.0 / count(*) as p from lineitem""" for c in _FOUND)
+_PAIRS = " union all ".join(f"select '{a}~{b}' as s, corr({a}, {b}) as r, '{a}' as a, '{b}' as b from lineitem"
+                            for i, a in enumerate(_FOUND) for b in _FOUND[i + 1:])
+
+
+@register("r17_exploratory_findings", f"""
+with t as (select l_linestatus as c, count(*) as n from lineitem group by 1), o as ({_IQR_SHARES}), p as ({_PAIRS})
+select 'target_share' as finding, c as subject, printf('%.2f%%', n * 100.0::double / (select sum(n) from t)) as detail from t where (select count(*) from t) = 2
+union all select * from (select 'correlation', s, printf('%.4f', r) from p order by abs(r) desc, a, b limit 5)
+union all select * from (select 'outliers', c, printf('%.2f%%', round(p, 4)) from o order by round(p, 4) desc, c limit 5)
+union all select 'implausible', 'l_discount', count(*)::varchar from lineitem where l_discount < 0.02 or l_discount > 0.08
+""")
+def r17_exploratory_findings(spark, sf):
+    return finish(profile.exploratory_findings(table(spark, sf, "lineitem"), _FOUND, "l_linestatus", {"l_discount": (0.02, 0.08), "l_quantity": (0, 60)}))
+
+
+@register("r8_column_kinds", """
+select 'o_orderstatus' as "column", case when (select count(distinct o_orderstatus) from orders) = 2 then 'binary' else 'categorical' end as role
+union all select 'o_orderpriority', 'ordinal' union all select 'o_totalprice', 'numeric' union all select 'big', 'binary'
+""")
+def r8_column_kinds(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", "o_totalprice", (F.col("o_totalprice") > 100000).cast("int").alias("big"))
+    return finish(profile.binary_ordinal_roles(o, ["o_orderpriority"]))
+
+
+@register("r14_describe_number", """
+select 'l_extendedprice' as "column", 'double' as dtype, count(*)::bigint as total, 0::bigint as missing, 0.0 as missing_pct,
+  count(distinct l_extendedprice)::bigint as "distinct", round(min(l_extendedprice), 4) as "min", round(quantile_cont(l_extendedprice, 0.25), 4) as q1,
+  round(quantile_cont(l_extendedprice, 0.5), 4) as median, round(avg(l_extendedprice), 4) as mean, round(quantile_cont(l_extendedprice, 0.75), 4) as q3,
+  round(max(l_extendedprice), 4) as "max", round(stddev_samp(l_extendedprice), 4) as std,
+  (select array_to_string(list(v order by f, v), ',') from (select l_extendedprice::varchar as v, min(l_orderkey * 10 + l_linenumber) as f
+     from lineitem group by 1 order by f, v limit 5)) as examples
+from lineitem
+""")
+def r14_describe_number(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("rid", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    d = profile.describe_variable(li, "l_extendedprice", "rid", 5)
+    return finish(d.drop("mode").withColumn("examples", F.array_join("examples", ",")))
+
+
 @register("r7_r9_column_roles", """
 select 'o_orderkey' as "column", true as numeric, false as text, false as "boolean", false as categorical,
   false as suspicious_text, (select count(distinct o_orderkey) from orders)::bigint as "distinct"
