@@ -77,12 +77,10 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence
     reference columns.  Ties on distance go to the smaller reference id; with fewer
     than k reference rows all of them are listed."""
     away = pivot_blocks(ref, rid, ref_features or features, metric, block_rows, extra)
-    away = replace(away, points=cut_lineage(away.points))
     if query is ref and qid == rid and not ref_features:
         home = away
     else:
         home = pivot_blocks(query, qid, features, metric, block_rows, pivots=away.pivots)
-        home = replace(home, points=cut_lineage(home.points))
     kinds = {f.name: f.dataType.simpleString() for f in away.points.schema.fields}
     schema = ", ".join([f"qid {dict(home.points.dtypes)['rid']}", f"nid {kinds['rid']}", "dist double", "home int",
                         *(f"{c} {kinds[c]}" for c in extra)])
