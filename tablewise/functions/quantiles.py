@@ -11,7 +11,9 @@ buffer.  Here a value is found by bracket and refine:
    inside, some 6 in 10,000, as (value, count).  Their running counts give the values at
    floor and ceil of the position.
 
-Nothing runs while the plan is built.  Should a sketch ever miss by more than
+Groups of data are joined back to the rows they were sketched from: their table is
+written once and, if it is small, broadcast, so that the rows of few groups are not
+sorted in as many tasks.  Otherwise nothing runs while the plan is built.  Should a sketch ever miss by more than
 its margin, the query fails with an error and does not answer wrongly.
 """
 
@@ -23,12 +25,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewise.functions.core import q, unpivot
+from tablewise.session import cut_lineage
 
 #: 1 / rank error of the sketches, as a share of the rows.
 ACCURACY = 10_000
 _MARGIN = 3.0 / ACCURACY
 #: Quantiles that stand for a group when the deviations from its median are bracketed.
 _GRID = 1000
+#: Groups whose sketched quantiles are broadcast.
+_MOST_GROUPS = 10_000
 
 
 def same_group(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -81,16 +86,24 @@ def _picked(counts: DataFrame, keys: Sequence[str], p: Column, value: str = "v")
     return found.select(*[q(k) for k in keys], "i", F.when(exact.isNull(), missed).otherwise(exact).alias("quantile"))
 
 
+def _settled(groups: DataFrame, few_groups: bool) -> tuple[DataFrame, bool]:
+    """The sketched groups and whether they are few; written once where that has to be counted."""
+    if few_groups:
+        return groups, True
+    groups = cut_lineage(groups)
+    return groups, groups.limit(_MOST_GROUPS + 1).count() <= _MOST_GROUPS
+
+
 def _shared(df: DataFrame, few_groups: bool) -> DataFrame:
     """One row a group: broadcast where the groups are known to be few, such as columns."""
     return F.broadcast(df) if few_groups else df
 
 
 def _quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], aggs: Sequence[Column],
-               few_groups: bool) -> tuple[DataFrame, DataFrame]:
-    """The groups with ``aggs``, and (keys, i, quantile) for the i-th probability."""
+               few_groups: bool) -> tuple[DataFrame, DataFrame, bool]:
+    """The groups with ``aggs``, (keys, i, quantile) for the i-th probability, and whether the groups are few."""
     v = q(value).cast("double")
-    groups = _sketched(long, keys, v, _ends(probs), aggs)
+    groups, few_groups = _settled(_sketched(long, keys, v, _ends(probs), aggs), few_groups)
     rows = same_group(long.where(v.isNotNull()).select(*[q(k) for k in keys], v.alias("_v")),
                        _shared(groups.select(*[q(k) for k in keys], "_n", "_least", "_most", "_q"), few_groups), keys)
     parts = []
@@ -98,7 +111,7 @@ def _quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence
         low, high = _bracket(i, p)
         parts.append(_part(i, F.col("_v") <= high, F.when(F.col("_v") >= low, F.col("_v"))))
     at = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-    return groups, _picked(_counted(rows, keys, parts), keys, at)
+    return groups, _picked(_counted(rows, keys, parts), keys, at), few_groups
 
 
 def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
@@ -109,7 +122,7 @@ def quantile_table(long: DataFrame, keys: Sequence[str], value: str, probs: Sequ
     ``few_groups`` says that the groups are columns or the like, few whatever the
     data, so that their table is broadcast."""
     keys = list(keys)
-    groups, found = _quantiles(long, keys, value, probs, aggs, few_groups)
+    groups, found, few_groups = _quantiles(long, keys, value, probs, aggs, few_groups)
     wide = found.groupBy(*[q(k) for k in keys]).agg(
         *[F.max(F.when(F.col("i") == i, F.col("quantile"))).alias(n) for i, n in enumerate(names)])
     return same_group(groups.drop("_n", "_least", "_most", "_q"), _shared(wide, few_groups), keys, "left")
@@ -148,7 +161,7 @@ def median_and_mad(long: DataFrame, keys: Sequence[str], value: str, few_groups:
     centre, wide = F.col("_q")[2 + _GRID // 2], F.col("_high") - F.col("_low")
     deviations = F.sort_array(F.transform(F.slice("_q", 3, _GRID + 1), lambda x: F.abs(x - centre)))
     room = int(_GRID * (2 / _GRID + 4 * _MARGIN)) + 4  # rank errors of the grid and of the sketch, on both sides
-    groups = groups.select(*[q(k) for k in keys], "_n", low.alias("_low"), high.alias("_high"), "_least", "_most", "_q")
+    groups, few_groups = _settled(groups.select(*[q(k) for k in keys], "_n", low.alias("_low"), high.alias("_high"), "_least", "_most", "_q"), few_groups)
     kept_all = F.col("_n") <= ACCURACY
     groups = groups.select(
         *[q(k) for k in keys], "_n", "_low", "_high",
