@@ -98,8 +98,9 @@ def make_estimator(name: str, label: str = "label", **params):
     if name == "logistic":
         return C.LogisticRegression(maxIter=params.pop("maxIter", 100), **common, **params)
     if name == "linear_svm":
+        # each class has its own run of many short jobs, which leave most cores idle one after the other
         return C.OneVsRest(classifier=C.LinearSVC(regParam=params.pop("regParam", 0.0), maxIter=params.pop("maxIter", 100)),
-                           **common)
+                           parallelism=4, **common)
     if name == "mlp":
         layers = params.pop("layers")
         return C.MultilayerPerceptronClassifier(layers=layers, seed=params.pop("seed", 42),
