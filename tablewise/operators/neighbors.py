@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewise.operators.blocks import BLOCK_ROWS, Blocks, Meeting, bounds, distances, met, near_rings, pivot_blocks
+from tablewise.operators.blocks import BLOCK_ROWS, Blocks, Meeting, bounds, candidates, met, pivot_blocks
 from tablewise.session import cut_lineage
 
 
@@ -36,13 +36,11 @@ class _Nearest(Meeting):
         seen = np.flatnonzero(self.least[far["ring"]] <= self.limit.max())
         if not len(seen):
             return
-        d = distances(self.base["x"], far["x"][seen], self.metric)
-        if len(seen) > self.k:  # what is not among the k least here is not among them at all
-            cut = np.minimum(self.limit, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
-        else:
-            cut = self.limit
-        i, j = np.nonzero(d <= cut[:, None])
-        row, dist = np.concatenate([self.row, i]), np.concatenate([self.dist, d[i, j]])
+        # what is not among the k least here is not among them at all
+        i, j, d = candidates(self.base["x"], far["x"][seen], self.limit, self.k, self.metric)
+        if not len(i):
+            return
+        row, dist = np.concatenate([self.row, i]), np.concatenate([self.dist, d])
         values = {c: far[c][seen[j]] if v is None else np.concatenate([v, far[c][seen[j]]]) for c, v in self.kept.items()}
         order = np.lexsort((values["rid"], dist, row))
         row = row[order]
@@ -86,7 +84,7 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence
                         *(f"{c} {kinds[c]}" for c in extra)])
     light = replace(home, points=None), replace(away, points=None)
     first_rings = _first_rings(light[1], k)
-    first = cut_lineage(met(home, away, near_rings(home, away, first_rings), lambda base: _Nearest(base, *light, k, extra),
+    first = cut_lineage(met(home, away, first_rings, lambda base: _Nearest(base, *light, k, extra),
                             schema, ["ring"], ["ring", *extra]))
     by_query = Window.partitionBy("qid").orderBy("dist", "nid")
     ranked = first.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
@@ -100,7 +98,7 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence
         return (least <= reach[ring]) & ~first_rings(ring, least, greatest)
 
     limited = replace(home, points=home.points.join(limits.select("rid", "limit"), "rid"))
-    second = met(limited, away, near_rings(home, away, rest), lambda base: _Nearest(base, *light, k, extra),
+    second = met(limited, away, rest, lambda base: _Nearest(base, *light, k, extra),
                  schema, ["ring", "limit"], ["ring", *extra])
     both = first.unionByName(second).drop("home")
     return both.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
