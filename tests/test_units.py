@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewise.functions.quantiles import quantile_table
-from tablewise.operators import assoc, blocks, density, metrics
+from tablewise.operators import assoc, blocks, density, linkage, metrics
 from tests.test_blocks import brute_silhouette, clustered, frame, gaps  # noqa: F401
 
 
@@ -102,3 +102,31 @@ def test_predictions_are_made_once(spark):
     got = metrics.regression_metrics(pred, "label", "prediction").first()
     y, p = np.array([k % 3 for k in range(60)]), np.array([k % 2 for k in range(60)])
     assert made.value == 180 and abs(got.r2 - (1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())) < 1e-12
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_spanning_trees_need_no_other_pairs(metric):
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 30, (80, 3)).astype(float), rng.integers(0, 40, (60, 3)).astype(float)
+    own = linkage._tree(blocks.distances(a, a, metric))
+    d = blocks.distances(a, b, metric)
+    i, j, w = blocks.tree_candidates(a, b, own[2].max(), metric)
+    assert np.array_equal(w, d[i, j]) and len(i) < d.size / 2
+    trees = []
+    for cross in (d, np.full(d.shape, np.inf)):
+        cross[i, j] = d[i, j]
+        weights = np.full((140, 140), np.inf)
+        weights[own[0], own[1]] = weights[own[1], own[0]] = own[2]
+        weights[:80, 80:], weights[80:, :80] = cross, cross.T
+        trees.append(linkage._tree(weights))
+    assert all(np.array_equal(x, y) for x, y in zip(*trees))
+
+
+def test_boruvka_rounds_do_not_grow_the_plan(spark):
+    from tablewise.session import written
+    df = written(spark.range(20).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b")).where("a > 3"))
+    assert "LogicalRDD" not in df._jdf.queryExecution().analyzed().toString() and df.count() == 16
+    rng = np.random.default_rng(9)
+    edges = spark.createDataFrame([(k, k + 1, float(h)) for k, h in enumerate(rng.permutation(400))], "a long, b long, height double")
+    got = sorted(tuple(r) for r in linkage.spanning_tree(edges, 3).collect())
+    assert got == sorted(tuple(r) for r in edges.collect())
