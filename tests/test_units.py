@@ -130,3 +130,30 @@ def test_boruvka_rounds_do_not_grow_the_plan(spark):
     edges = spark.createDataFrame([(k, k + 1, float(h)) for k, h in enumerate(rng.permutation(400))], "a long, b long, height double")
     got = sorted(tuple(r) for r in linkage.spanning_tree(edges, 3).collect())
     assert got == sorted(tuple(r) for r in edges.collect())
+
+
+def test_dbscan_measures_until_core_and_until_joined(monkeypatch):
+    """A point is measured until it has the neighbours of a core, an away point until one near point joins it."""
+    x = np.random.default_rng(5).normal(size=(3000, 2))
+    x[490:495] += 40 * np.arange(1, 6)[:, None]  # five points far from all
+    gap = np.sqrt(((x[:500, None] - x[None]) ** 2).sum(-1))
+    cells, real = [], density.within
+    monkeypatch.setattr(density, "within", lambda a, b, *more: cells.append(len(a) * len(b)) or real(a, b, *more))
+    light = blocks.Blocks(None, np.zeros((1, 2)), np.array([[0, 3000, 0, np.inf, 1]], float), "euclidean")
+    rows = lambda i, j: {"rid": np.arange(i, j), "x": x[i:j], "ring": np.zeros(j - i, int)}
+    counts = density._Counts(rows(0, 500), light, [0.5], 5)
+    counts.meet(rows(0, 3000))
+    n, whole = counts.done()["n_0"], (gap <= 0.5).sum(1)
+    assert np.array_equal(n >= 5, whole >= 5) and np.array_equal(n[n < 5], whole[n < 5]) and (n < 5).any()
+    assert sum(cells) < 500 * 3000 / 3
+    forest, edges = density._Forest(rows(0, 500), 0.5, "euclidean"), []
+    edges.append(forest.meet(rows(0, 1000)))
+    cells.clear()
+    edges.append(forest.meet(rows(1000, 3000)))
+    assert sum(cells) < 500 * 2000 / 3
+    edges.append(forest.done())
+    a, b = (np.concatenate([e[c] for e in edges]) for c in ("src", "dst"))
+    labels, told = np.arange(3000), np.arange(3000)
+    density.merge_labels(a, b, told)
+    density.merge_labels(*np.nonzero(gap <= 0.5), labels)
+    assert np.array_equal(told, labels)
