@@ -37,11 +37,14 @@ class _Nearest(Meeting):
         if not len(seen):
             return
         # what is not among the k least here is not among them at all
-        i, j, d = candidates(self.base["x"], far["x"][seen], self.limit, self.k, self.metric)
+        if len(seen) < len(far["ring"]):
+            far = {c: v[seen] for c, v in far.items()}
+        sides = tuple(p[c] for p in (self.base, far) for c in ("side", "square")) if "side" in self.base else None
+        i, j, d = candidates(self.base["x"], far["x"], self.limit, self.k, self.metric, sides)
         if not len(i):
             return
         row, dist = np.concatenate([self.row, i]), np.concatenate([self.dist, d])
-        values = {c: far[c][seen[j]] if v is None else np.concatenate([v, far[c][seen[j]]]) for c, v in self.kept.items()}
+        values = {c: far[c][j] if v is None else np.concatenate([v, far[c][j]]) for c, v in self.kept.items()}
         order = np.lexsort((values["rid"], dist, row))
         row = row[order]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -85,7 +88,7 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence
     light = replace(home, points=None), replace(away, points=None)
     first_rings = _first_rings(light[1], k)
     first = cut_lineage(met(home, away, first_rings, lambda base: _Nearest(base, *light, k, extra),
-                            schema, ["ring"], ["ring", *extra]))
+                            schema, ["ring"], ["ring", *extra], sides=True))
     by_query = Window.partitionBy("qid").orderBy("dist", "nid")
     ranked = first.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
     limits = cut_lineage(ranked.groupBy(F.col("qid").alias("rid"), "home").agg(
@@ -99,6 +102,6 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, features: Sequence
 
     limited = replace(home, points=home.points.join(limits.select("rid", "limit"), "rid"))
     second = met(limited, away, rest, lambda base: _Nearest(base, *light, k, extra),
-                 schema, ["ring", "limit"], ["ring", *extra])
+                 schema, ["ring", "limit"], ["ring", *extra], sides=True)
     both = first.unionByName(second).drop("home")
     return both.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)

@@ -157,3 +157,35 @@ def test_dbscan_measures_until_core_and_until_joined(monkeypatch):
     density.merge_labels(a, b, told)
     density.merge_labels(*np.nonzero(gap <= 0.5), labels)
     assert np.array_equal(told, labels)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_away_points_are_prepared_once_and_met_in_tiles(monkeypatch, metric):
+    """A task makes the away side of a product once for all its home blocks, and no array of distances outgrows a tile."""
+    rng, made, cells = np.random.default_rng(9), [], []
+    x = rng.normal(size=(900, 5)) + 3
+    rid, ring = np.arange(900), np.arange(900) // 100
+    real, pieces = blocks._side, blocks.close_pieces
+    monkeypatch.setattr(blocks, "_side", lambda p, *more: made.append(len(p)) or real(p, *more))
+    home, far = ({"x": v, "rid": rid[:k], "ring": ring[:k]} for k, v in ((900, x), (900, x)))
+    if metric == "euclidean":
+        centre = x.mean(0)
+        sides = (*blocks._side(x, centre, np.float32, True), *blocks._side(x, centre, np.float32, False))
+        made.clear()
+        i, j, d = blocks.candidates(home["x"], far["x"], np.full(900, np.inf), 4, metric, sides)
+        assert not made
+    else:
+        i, j, d = blocks.candidates(home["x"], far["x"], np.full(900, np.inf), 4, metric)
+    gap = gaps(x, metric)
+    for k in (0, 450, 899):
+        assert np.allclose(np.sort(d[i == k])[:4], np.sort(gap[k])[:4], rtol=1e-12, atol=0)
+    out = np.concatenate([cells.append(got.size) or got for _, got in pieces(x, x, metric)])
+    assert np.allclose(out, gap, rtol=1e-10, atol=0) and max(cells) <= blocks._TILE_ROWS * 900
+    if metric == "euclidean":
+        x, rid = x[:300], rid[:300]
+        base = {"rid": rid, "x": x, "ring": ring[:300], "label_0": rid % 3, "has_0": rid > 5, "label_1": rid % 80, "has_1": rid >= 0}
+        score = blocks._Silhouette(base, 2, metric)
+        for k in range(0, 300, 150):
+            score.meet({c: v[k:k + 150] for c, v in base.items()})
+        for got, mask, label in zip(score.done()["s"], (rid > 5, rid >= 0), (rid % 3, rid % 80)):
+            assert np.isclose(got / mask.sum(), brute_silhouette(x[mask], label[mask]), rtol=1e-9)
