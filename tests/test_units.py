@@ -189,3 +189,19 @@ def test_away_points_are_prepared_once_and_met_in_tiles(monkeypatch, metric):
             score.meet({c: v[k:k + 150] for c, v in base.items()})
         for got, mask, label in zip(score.done()["s"], (rid > 5, rid >= 0), (rid % 3, rid % 80)):
             assert np.isclose(got / mask.sum(), brute_silhouette(x[mask], label[mask]), rtol=1e-9)
+
+
+def test_models_of_a_grid_are_fitted_at_the_same_time_from_one_table(spark, monkeypatch):
+    from threading import Barrier
+
+    from tablewise.operators import cluster
+    x = np.random.default_rng(3).normal(size=(60, 2)) + 9 * (np.arange(60)[:, None] % 2)
+    both, seen, real = Barrier(2), [], cluster._best_fit
+
+    def fit(vec, k, *more):
+        both.wait(60)
+        seen.append(id(vec))
+        return real(vec, k, *more)
+    monkeypatch.setattr(cluster, "_best_fit", fit)
+    rows = cluster.kmeans_grid(frame(spark, range(60), x), "x", "id", [2, 3]).orderBy("k").collect()
+    assert len(set(seen)) == 1 and [r.k for r in rows] == [2, 3] and rows[0].silhouette > 0.7 and rows[1].inertia < rows[0].inertia
