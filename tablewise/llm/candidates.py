@@ -33,8 +33,17 @@ def equal_elements(both: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b")
 
 
-def listed_elements(sets: DataFrame) -> DataFrame:
-    return sets.select("family", "c", F.explode("s").alias("x"))
+def rarest_elements(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of sets (family, c, n, s), arrays of hashes, their rarest elements (family, x, c, n, rank), so many as two
+    sets of the similarity share one of, and (c, n, u), u of those being in no other set of the family."""
+    listed = stored(sets.select("family", "c", F.explode("s").alias("x")), "elements")
+    times = listed.groupBy("family", "x").agg(F.count(F.lit(1)).alias("times"))
+    order = W.partitionBy("c").orderBy("times", "x")
+    ranked = (listed.join(times, ["family", "x"]).withColumn("rank", F.row_number().over(order))
+              .join(sets.select("c", "n"), "c").where(F.col("rank") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1))
+    ranked = stored(ranked, "ranked")
+    own = ranked.where("times = 1").groupBy("c").agg(F.count(F.lit(1)).alias("u"))
+    return ranked, sets.select("c", "n").join(own, "c", "left").select("c", "n", F.coalesce("u", F.lit(0)).alias("u"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, similar: Callable = equal_elements) -> DataFrame:
@@ -78,13 +87,13 @@ def _rare_meetings(ranked: DataFrame, placed: DataFrame, percent: int) -> DataFr
 
 
 def linked(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
-           similar: Callable = equal_elements, elements: Callable = listed_elements) -> DataFrame:
+           similar: Callable = equal_elements, rarest: Callable = rarest_elements) -> DataFrame:
     """(node, component) of the classes that have a link.
 
     ``members`` is (b, c), bucket and class, with repeats at will.  ``sets_of``
     gives (c, n, s), a class with the size and elements of its set, for a table
     of classes, one row each.  Where s is something else than an array of
-    hashes, ``similar`` and ``elements`` compare and list it.
+    hashes, ``similar`` and ``rarest`` compare it and give its rarest elements.
     """
     buckets = stored(members.groupBy("b").agg(F.min("c").alias("lead"), F.max("c").alias("last"))
                      .where("lead <> last").select("b", "lead"), "buckets")
@@ -102,14 +111,7 @@ def linked(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
 
     families = components(stars).select(F.col("node").alias("c"), F.col("component").alias("family"))
     classes = apart.select("c").distinct().join(families, "c")
-    listed = stored(elements(sets.join(classes, "c").select("family", "c", "s")), "elements")
-    times = listed.groupBy("family", "x").agg(F.count(F.lit(1)).alias("times"))
-    order = W.partitionBy("c").orderBy("times", "x")
-    ranked = (listed.join(times, ["family", "x"]).withColumn("rank", F.row_number().over(order))
-              .join(sets.select("c", "n"), "c").where(F.col("rank") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1))
-    ranked = stored(ranked, "ranked")
-    own = ranked.where("times = 1").groupBy("c").agg(F.count(F.lit(1)).alias("u"))
-    size = sets.select("c", "n").join(own, "c", "left").select("c", "n", F.coalesce("u", F.lit(0)).alias("u"))
+    ranked, size = rarest(sets.join(classes, "c").select("family", "c", "n", "s"), percent)
     apart = stored(apart.join(size, "c"), "apart")
     lead = apart.groupBy("b").agg(F.min(F.struct("u", "c", "component", "n")).alias("lead"))
     second = stored(

@@ -71,27 +71,29 @@ def band_entries(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+def planes(numbers: np.ndarray, width: int) -> bytes:
+    """The lower ``width`` bytes of 64-bit numbers, all first bytes first."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _values(planes: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros((planes.size // width, 8), np.uint8)
-    out[:, :width] = planes.reshape(width, -1).T
+def values(raw: np.ndarray, width: int) -> np.ndarray:
+    """The numbers that ``planes`` wrote."""
+    out = np.zeros((raw.size // width, 8), np.uint8)
+    out[:, :width] = raw.reshape(width, -1).T
     return out.view(np.uint64).ravel()
 
 
 def packed(band: np.ndarray, c: np.ndarray) -> bytes:
     """A block of entries that are sorted by band."""
     return zstandard.ZstdCompressor(level=1).compress(
-        _planes(np.diff(band, prepend=np.uint64(0)), _BAND_BITS // 8) + _planes(c, _CLASS_BITS // 8))
+        planes(np.diff(band, prepend=np.uint64(0)), _BAND_BITS // 8) + planes(c, _CLASS_BITS // 8))
 
 
 def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8)
     width = _BAND_BITS // 8
     cut = raw.size // (width + _CLASS_BITS // 8) * width
-    return np.cumsum(_values(raw[:cut], width)), _values(raw[cut:], _CLASS_BITS // 8)
+    return np.cumsum(values(raw[:cut], width)), values(raw[cut:], _CLASS_BITS // 8)
 
 
 def bander(k: int, bands: int, rows: int, ranges: int):

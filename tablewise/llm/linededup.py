@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tablewise.functions.core import q
 from tablewise.llm import hashing as H
+from tablewise.llm import rarity
 from tablewise.llm.candidates import linked
 from tablewise.llm.common import arrow_bytes, free_name, narrowed, row_key, slices, stored, texts_of
 from tablewise.llm.linebands import bander, matcher, short
@@ -132,17 +133,14 @@ def _comparer(k: int, percent: int):
     return compare
 
 
-def _lister(k: int):
-    def elements(batches):
-        for batch in batches:
-            _, off = arrow_bytes(batch.column("s"))
-            for a, b in slices(off, _SLICE):
-                some = batch.slice(a, b - a)
-                h, at = H.distinct_sets(*_shingles_of(some.column("s"), k))
-                line = pa.array(np.repeat(np.arange(b - a), np.diff(at)))
-                yield pa.RecordBatch.from_arrays([some.column("family").take(line), some.column("c").take(line),
-                                                  pa.array(h.view(np.int64))], ["family", "c", "x"])
-    return elements
+def _rarest(k: int):
+    """The rarest shingles of lines, as ``candidates.rarest_elements`` gives them; only those that several lines
+    of a family have become rows."""
+    def rarest(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+        found = rarity.rarest(sets, lambda column: H.distinct_sets(*_shingles_of(column, k)), percent)
+        shared = found.select("family", "c", "n", F.explode(F.arrays_zip("x", "rank")).alias("at"))
+        return shared.select("family", "at.x", "c", "n", "at.rank"), found.select("c", "n", "u")
+    return rarest
 
 
 def shared_bands(texts: DataFrame, lines: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
@@ -184,7 +182,7 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = shared_bands(texts.select("text"), lines, k, bands, rows)
     labels = linked(members, sets_of, percent,
                     lambda both, p: both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_comparer(k, p), "a long, b long"),
-                    lambda sets: sets.mapInArrow(_lister(k), "family long, c long, x long"))
+                    _rarest(k))
     several = (lines.groupBy("c").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("c")
                .unionAll(labels.select("node")).distinct()
                .join(labels.withColumnRenamed("node", "c"), "c", "left")
