@@ -205,3 +205,20 @@ def test_models_of_a_grid_are_fitted_at_the_same_time_from_one_table(spark, monk
     monkeypatch.setattr(cluster, "_best_fit", fit)
     rows = cluster.kmeans_grid(frame(spark, range(60), x), "x", "id", [2, 3]).orderBy("k").collect()
     assert len(set(seen)) == 1 and [r.k for r in rows] == [2, 3] and rows[0].silhouette > 0.7 and rows[1].inertia < rows[0].inertia
+
+
+def test_knn_sends_a_point_once_a_unit_at_every_size(spark):
+    """What k-NN shuffles is at most the points times the units, and the units don't grow with the points."""
+    rng, most = np.random.default_rng(5), 2 * blocks.MOST_UNITS
+    for n in (2000, 8000):
+        cut = density.point_blocks(frame(spark, range(n), rng.normal(size=(n, 8))), "id", "x", "euclidean", 16)
+        units = blocks.home_units(cut)
+        assert sum({g: s for g, s, _ in units.tolist()}.values()) <= most
+
+        class Sent(blocks.Meeting):
+            def done(self):
+                return {"ring": self.base["ring"]}
+
+        rows = blocks.met(cut, cut, lambda ring, least, greatest: least >= 0, Sent, "ring int", split_far=False)
+        assert rows.count() == n  # each home point in one unit
+        assert rows.rdd.getNumPartitions() <= most
