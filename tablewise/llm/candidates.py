@@ -19,13 +19,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tablewise.llm import hashing as H
 from tablewise.llm.common import MOST_KEYS, stored
 from tablewise.llm.graph import components
 
+SKETCH_BITS = 512
+#: Largest bucket whose classes all meet each other.
+MOST_MET = 1 << 13
+
+
+def sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sketches, ``SKETCH_BITS / 64`` longs each, of the sets of distinct elements ``h[at[i]:at[i+1]]``."""
+    group = (H.mix(h) % H.U(SKETCH_BITS)).astype(np.int64)
+    n = len(at) - 1
+    times = np.bincount(np.repeat(np.arange(n), np.diff(at)) * SKETCH_BITS + group, minlength=n * SKETCH_BITS)
+    return np.packbits((times & 1).astype(np.uint8).reshape(n, SKETCH_BITS), axis=1).view(np.int64)
+
 
 def equal_elements(both: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets, arrays of hashes, have the Jaccard similarity asked for."""
@@ -86,13 +100,26 @@ def _rare_meetings(ranked: DataFrame, placed: DataFrame, percent: int) -> DataFr
             .select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct())
 
 
+def _bucket_meetings(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes (b, c, component) of one bucket and different components whose
+    sketches m leave them similar; the rest are not rows."""
+    rows = placed.join(sets.select("c", "n", "m"), "c").select("b", "c", "component", "n", "m")
+    other = rows.select(F.col("b").alias("b2"), *[F.col(x).alias(f"{x}2") for x in ("c", "component", "n", "m")])
+    differ = sum((F.bit_count(F.col("m")[i].bitwiseXOR(F.col("m2")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    need = F.ceil(percent * (F.col("n") + F.col("n2")) / (100 + percent))
+    return (rows.join(other, (F.col("b") == F.col("b2")) & (F.col("component") < F.col("component2"))
+                      & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+                      & (F.col("n") + F.col("n2") - differ >= 2 * need))
+            .select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b")).distinct())
+
+
 def linked(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int,
            similar: Callable = equal_elements, rarest: Callable = rarest_elements) -> DataFrame:
     """(node, component) of the classes that have a link.
 
     ``members`` is (b, c), bucket and class, with repeats at will.  ``sets_of``
     gives (c, n, s), a class with the size and elements of its set, for a table
-    of classes, one row each.  Where s is something else than an array of
+    of classes, one row each, and may give their sketches m.  Where s is something else than an array of
     hashes, ``similar`` and ``rarest`` compare it and give its rarest elements.
     """
     buckets = stored(members.groupBy("b").agg(F.min("c").alias("lead"), F.max("c").alias("last"))
@@ -109,6 +136,20 @@ def linked(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percen
     if not apart.limit(1).count():
         return labels
 
+    if "m" in sets.columns:
+        times = apart.groupBy("b").agg(F.count(F.lit(1)).alias("times"))
+        few = apart.join(times.where(F.col("times") <= MOST_MET).select("b"), "b")
+        met = _bucket_meetings(few, sets, percent).join(
+            stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        more = stored(confirmed(met, sets, percent, similar), "links")
+        if more.limit(1).count():
+            links = links.unionAll(more)
+            labels = components(links)
+        many = apart.select("b", "c").join(times.where(F.col("times") > MOST_MET).select("b"), "b")
+        apart = stored(_apart(_placed(many, labels)), "apart")
+        if not apart.limit(1).count():
+            return labels
+
     families = components(stars).select(F.col("node").alias("c"), F.col("component").alias("family"))
     classes = apart.select("c").distinct().join(families, "c")
     ranked, size = rarest(sets.join(classes, "c").select("family", "c", "n", "s"), percent)

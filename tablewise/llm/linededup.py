@@ -6,7 +6,7 @@ sorted, as one compressed block for each range of hashes (``linebands``); the bl
 of a range meet in one task, which gives back only the bands that several
 classes share.  A band of a single class, as nearly all are, is never a row.
 Classes that share a band are candidates, confirmed by the exact Jaccard
-similarity of their shingle sets (``candidates.linked``).  Confirmed links form
+similarity of their shingle sets (``candidates.linked``, with sketches of the sets).  Confirmed links form
 components by distributed union-find, and the first line of each, by document
 id and line number, stays.  With 40 bands of 6 slots, as for near duplicates, a pair
 at similarity 0.8 misses every band with probability 5e-6; slots are six because
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tablewise.functions.core import q
 from tablewise.llm import hashing as H
 from tablewise.llm import rarity
-from tablewise.llm.candidates import linked
+from tablewise.llm.candidates import linked, sketches
 from tablewise.llm.common import arrow_bytes, free_name, narrowed, row_key, slices, stored, texts_of
 from tablewise.llm.linebands import bander, matcher, short
 
@@ -87,7 +87,7 @@ def _classes(batches):
 
 
 def _finder(k: int):
-    """The lines (line, c) listed in ``wanted``, with the sizes of their shingle sets."""
+    """The lines (line, c) listed in ``wanted``, with the sizes and sketches of their shingle sets."""
     def find(batches):
         for batch in batches:
             raw, off = arrow_bytes(batch.column("text"))
@@ -98,11 +98,13 @@ def _finder(k: int):
                 chars, starts, ends, at = _lines(raw[off[a]:off[b]], off[a:b + 1] - off[a])
                 part = slice(listed[a], listed[b])
                 pick = np.repeat(at[:-1], np.diff(listed[a:b + 1])) + lines[part]
-                _, hat = H.distinct_sets(*shingles(chars, starts[pick], ends[pick], k))
+                h, hat = H.distinct_sets(*shingles(chars, starts[pick], ends[pick], k))
+                m = sketches(h, hat)
                 text = [chars[i:j].tobytes().decode("utf-32-le") for i, j in zip(starts[pick].tolist(), ends[pick].tolist())]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(classes[part], pa.int64()), pa.array(np.diff(hat), pa.int64()), pa.array(text, pa.string())],
-                    ["c", "n", "s"])
+                    pa.array(classes[part], pa.int64()), pa.array(np.diff(hat), pa.int64()), pa.array(text, pa.string()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))],
+                    ["c", "n", "s", "m"])
     return find
 
 
@@ -177,7 +179,7 @@ def repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   .groupBy("key", "c").agg(F.min("line").alias("line")))
         wanted = stored(placed.groupBy("key").agg(F.collect_list(F.struct("line", "c")).alias("wanted")), "wanted")
         return (narrowed(texts.select("key", "text"), wanted.select("key")).join(wanted, "key").dropDuplicates(["key"])
-                .mapInArrow(_finder(k), "c long, n long, s string"))
+                .mapInArrow(_finder(k), "c long, n long, s string, m array<bigint>"))
 
     members = shared_bands(texts.select("text"), lines, k, bands, rows)
     labels = linked(members, sets_of, percent,
