@@ -121,3 +121,22 @@ def test_dbscan_split_cells_match(spark, emb):
            density.dbscan(table(spark, SF, "embeddings"), "vec_id", "embedding", 1.15, 3, block_rows=37).collect()}
     assert {k: v[0] for k, v in got.items()} == want
     assert {k: v[1] for k, v in got.items()} == want_core
+
+
+@pytest.mark.parametrize("kind", ["long", "struct<part: long, node: long>"])
+def test_components_of_long_paths(spark, kind):
+    """Paths of least fellows far apart settle in a few rounds, as in one task."""
+    from pyspark.sql import functions as F
+
+    from tablewise.operators.cluster import connected_components
+    n = 150
+    at = np.random.default_rng(3).permutation(n)
+    edges = [(int(at[i]), int(at[i + 1])) for i in range(n - 1) if i != 60] + [(7, 7)]
+    name = (lambda c: F.col(c)) if kind == "long" else (lambda c: F.struct(F.lit(1).cast("long").alias("part"), F.col(c).alias("node")).cast(kind))
+    ends = spark.createDataFrame(edges, "src long, dst long").select(name("src").alias("src"), name("dst").alias("dst"))
+    nodes = spark.range(n + 1).select(name("id").alias("id"))
+    want = {int(v): int(min(part)) for part in (at[:61], at[61:], [n]) for v in part}
+    for leaf in (30, 100_000):
+        rows = connected_components(nodes, ends, 10, leaf=leaf).collect()
+        plain = [(r.id, r.comp) if kind == "long" else (r.id.node, r.comp.node) for r in rows]
+        assert len(plain) == n + 1 and dict(plain) == want
