@@ -140,3 +140,24 @@ def test_components_of_long_paths(spark, kind):
         rows = connected_components(nodes, ends, 10, leaf=leaf).collect()
         plain = [(r.id, r.comp) if kind == "long" else (r.id.node, r.comp.node) for r in rows]
         assert len(plain) == n + 1 and dict(plain) == want
+
+
+@pytest.mark.parametrize("linkage", ["complete", "average"])
+def test_linkage_of_more_rows_than_one_task_merges(spark, linkage, monkeypatch):
+    """All rows count, not a summary: merges and labels are those of the whole matrix of distances."""
+    from tablewise.operators import cluster, pairwise
+    monkeypatch.setattr(pairwise, "_UNIT_ROWS", (16, 64))
+    monkeypatch.setattr(pairwise, "_PIECE_ROWS", 2)
+    rng = np.random.default_rng(11)
+    X = np.concatenate([rng.normal(size=(30, 3)), rng.normal(size=(20, 3)) + 6, rng.uniform(-20, 20, (10, 3))])
+    ids = rng.permutation(len(X)) * 3
+    df = spark.createDataFrame([(int(i), [float(v) for v in x]) for i, x in zip(ids, X)] + [(5000, [float(v) for v in X[0]])], "id long, x array<double>")
+    order = np.argsort(ids)
+    X = np.concatenate([X[order], X[:1]])
+    Z = cluster._agglomerate(X, np.ones(len(X)), linkage)
+    labels, merges = cluster.agglomerative(df, "id", "x", 7, linkage, max_points=40)
+    got = merges.orderBy("step").collect()
+    assert [(r.left, r.right, r["size"]) for r in got] == [(min(a, b), max(a, b), s) for a, b, _, s in Z.astype(int).tolist()]
+    assert np.allclose([r.height for r in got], Z[:, 2])
+    want = dict(zip([*ids[order].tolist(), 5000], cluster._cut(Z, len(X), 7).tolist()))
+    assert {r.id: r.cluster for r in labels.collect()} == want
