@@ -222,3 +222,20 @@ def test_knn_sends_a_point_once_a_unit_at_every_size(spark):
         rows = blocks.met(cut, cut, lambda ring, least, greatest: least >= 0, Sent, "ring int", split_far=False)
         assert rows.count() == n  # each home point in one unit
         assert rows.rdd.getNumPartitions() <= most
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_links_of_a_block_go_by_the_way_of_each_row(metric):
+    """One far row of the block doesn't make every pair a candidate, and the tree of all is still found."""
+    from tablewise.operators import blocks, linkage
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(300, 4))
+    X[3] += 40
+    given = type("B", (), {"metric": metric})
+    first, second = (linkage._Edges({"rid": ids, "x": X[ids]}, given, np.inf) for ids in (np.arange(120), np.arange(120, 300)))
+    assert len(blocks.tree_candidates(X[:120], X[120:], first.way, metric)[0]) < 180 * 120 / 4
+    parts = [first.meet({"rid": np.arange(300), "x": X}), first.done(), second.done()]
+    a, b, w = (np.concatenate([p[c] for p in parts]) for c in ("a", "b", "height"))
+    kept = linkage._forest(300, a, b, w)
+    assert kept.sum() == 299
+    assert np.allclose(np.sort(w[kept]), np.sort(linkage._tree(blocks.distances(X, X, metric))[2]))
